@@ -1,4 +1,4 @@
-"""Shared plumbing of the llm operators: reading tables, shared storage, batch sizes."""
+"""Shared plumbing of the llm operators: shared storage and batch sizes."""
 
 from __future__ import annotations
 
@@ -8,10 +8,6 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share.
 
