@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexiloom.llm import bpe, chat, ogg, url_rules
+from lexiloom.llm import bpe, chat, ogg, simhash, url_rules
 from lexiloom.llm.common import small_batches
 from lexiloom.session import read_table
 
@@ -17,6 +17,10 @@ URL_RULES = [("com", "/en/", "block"), ("example.com", "/en/7", "allow"), ("net"
 PROBE = [(-7, turn, role, "</s>[INST] ok [/INST]") for turn, role in enumerate(("user", "assistant"))]
 
 
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(read_table(spark, sf_dir, "documents"), shingle=4, distance=4).select("doc_id", "fingerprint", "component_id")
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     small_batches(spark)
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -42,7 +46,7 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(turns, chat.expand_targets(turns))
 
 
-QUERIES = {"op3_bpe": op3_bpe, "op4_ogg": op4_ogg, "op5_url_rules": op5_url_rules, "op10_chat": op10_chat}
+QUERIES = {"op1_simhash": op1_simhash, "op3_bpe": op3_bpe, "op4_ogg": op4_ogg, "op5_url_rules": op5_url_rules, "op10_chat": op10_chat}
 
 _HOST = "translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _RULES = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)
