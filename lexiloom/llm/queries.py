@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexiloom.llm import bpe, chat, ogg, simhash, url_rules
+from lexiloom.llm import bpe, chat, mixing, ogg, simhash, url_rules
 from lexiloom.llm.common import small_batches
 from lexiloom.session import read_table
 
@@ -39,6 +39,11 @@ def op5_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge_urls(pages, rules).drop("url")
 
 
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return mixing.mixed(docs).select("doc_id", "source", mixing.tokens_of(F.col("text")).alias("n_tokens"), "epoch", "block")
+
+
 def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     values = ", ".join(f"({c}L, {t}L, '{r}', '{x}')" for c, t, r, x in PROBE)
     probe = spark.sql(f"SELECT * FROM VALUES {values} AS t(conv_id, turn, role, text)")
@@ -46,12 +51,55 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(turns, chat.expand_targets(turns))
 
 
-QUERIES = {"op1_simhash": op1_simhash, "op3_bpe": op3_bpe, "op4_ogg": op4_ogg, "op5_url_rules": op5_url_rules, "op10_chat": op10_chat}
+QUERIES = {"op1_simhash": op1_simhash, "op3_bpe": op3_bpe, "op4_ogg": op4_ogg, "op5_url_rules": op5_url_rules, "op7_mixing": op7_mixing, "op10_chat": op10_chat}
 
 _HOST = "translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _RULES = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)
 
+
+def mixing_sql(docs: str, kept: str) -> str:
+    """DuckDB SQL of ``mixing.mixed`` with its default parameters over the view ``docs``; ``kept`` are the columns returned."""
+    mix = mixing.Mix()
+    digits = " ".join(f"WHEN most <= {mix.block_docs * 16**d} THEN {d}" for d in range(9))
+    entropy = lambda a: f"(ln(list_sum(list_transform(ps, lambda p: pow(p, {a})))) - {a} * list_sum(list_transform(ps, lambda p: pow(p, {a}) * ln(p))) / list_sum(list_transform(ps, lambda p: pow(p, {a}))))"
+    repeats = lambda a: f"({mix.budget_share} * list_max(list_transform(ps, lambda p: pow(p, {a} - 1))) / list_sum(list_transform(ps, lambda p: pow(p, {a}))))"
+    mid = "((lo + hi) / 2)"
+    return f"""
+mix_docs AS (
+  SELECT *, CASE WHEN source IS NULL THEN 'n' ELSE 's' || source END AS _key, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS n_tokens,
+    md5(concat_ws('|', '{mix.seed}', coalesce(doc_id::VARCHAR, '∅'), coalesce(md5(text), '∅'))) AS _h FROM {docs}
+), mix_sources AS (SELECT _key, sum(n_tokens)::BIGINT AS t, count(*) AS n FROM mix_docs GROUP BY _key),
+mix_whole AS (SELECT sum(t)::BIGINT AS total, count(*) FILTER (t > 0) AS k, max(n) AS most FROM mix_sources),
+mix_shares AS (SELECT list(t / total ORDER BY _key) AS ps, any_value(k) AS k FROM mix_sources, mix_whole WHERE t > 0),
+mix_by_entropy(step, ps, target, lo, hi) AS (
+  SELECT 0, ps, {mix.entropy_share} * ln(k), CASE WHEN {entropy("1.0")} >= {mix.entropy_share} * ln(k) THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END, 1.0::DOUBLE FROM mix_shares
+  UNION ALL
+  SELECT step + 1, ps, target, CASE WHEN {entropy(mid)} >= target THEN {mid} ELSE lo END, CASE WHEN {entropy(mid)} >= target THEN hi ELSE {mid} END FROM mix_by_entropy WHERE step < {mixing.HALVINGS}
+), mix_by_repeats(step, ps, lo, hi) AS (
+  SELECT 0, ps, 0.0::DOUBLE, CASE WHEN {repeats("0.0")} <= {mix.max_repeats} THEN 0.0::DOUBLE ELSE 1.0::DOUBLE END FROM mix_shares
+  UNION ALL
+  SELECT step + 1, ps, CASE WHEN {repeats(mid)} > {mix.max_repeats} THEN {mid} ELSE lo END, CASE WHEN {repeats(mid)} > {mix.max_repeats} THEN hi ELSE {mid} END FROM mix_by_repeats WHERE step < {mixing.HALVINGS}
+), mix_a AS (
+  SELECT greatest((SELECT lo FROM mix_by_entropy WHERE step = {mixing.HALVINGS}), (SELECT hi FROM mix_by_repeats WHERE step = {mixing.HALVINGS})) AS a
+), mix_z AS (SELECT a, sum(pow(t / total, a)) AS z FROM mix_sources, mix_whole, mix_a WHERE t > 0 GROUP BY a),
+mix_budgets AS (
+  SELECT _key, CASE WHEN t > 0 THEN d // nullif(t, 0) ELSE 1 END AS passes, CASE WHEN t > 0 THEN d % nullif(t, 0) ELSE 0 END AS rest
+  FROM (SELECT _key, t, round(pow(t / total, a) / z * round({mix.budget_share} * total))::BIGINT AS d FROM mix_sources, mix_whole, mix_z)
+), mix_placed AS (SELECT mix_docs.*, substr(_h, 1, CASE {digits} END) AS block FROM mix_docs, mix_whole),
+mix_blocks AS (
+  SELECT _key, block, passes, CASE WHEN upto <= rest THEN -1 WHEN upto - t < rest THEN rest - upto + t ELSE 0 END AS fits FROM (
+    SELECT *, sum(t) OVER (PARTITION BY _key ORDER BY md5(concat_ws('|', '{mix.seed}', 'block', passes, _key, block)), block) AS upto
+    FROM (SELECT _key, block, sum(n_tokens) AS t FROM mix_placed GROUP BY ALL) JOIN mix_budgets USING (_key))
+), mix_times AS (
+  SELECT *, passes + CASE WHEN fits = -1 OR (fits > 0 AND upto <= fits) THEN 1 ELSE 0 END AS times FROM (
+    SELECT *, sum(n_tokens) OVER (PARTITION BY _key, block ORDER BY md5(concat_ws('|', '{mix.seed}', 'doc', passes, _h)), _h ROWS UNBOUNDED PRECEDING) AS upto
+    FROM mix_placed JOIN mix_blocks USING (_key, block))
+)
+SELECT {kept} FROM (SELECT *, unnest(range(0, times::BIGINT))::INT AS epoch FROM mix_times WHERE times > 0)"""
+
+
 ORACLES = {
+    "op7_mixing": "WITH RECURSIVE " + mixing_sql("documents", "doc_id, source, n_tokens, epoch, block").lstrip(),
     "op5_url_rules": f"""
 WITH parsed AS (
   SELECT page_id, {_HOST} AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
