@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexiloom.llm import bpe, chat, mixing, ogg, simhash, url_rules
+from lexiloom.llm import bpe, chat, langid, mixing, ogg, simhash, url_rules
 from lexiloom.llm.common import small_batches
 from lexiloom.session import read_table
 
@@ -39,6 +39,25 @@ def op5_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge_urls(pages, rules).drop("url")
 
 
+def held_out(doc_id):
+    """Whether a document is kept from learning; a null id is neither held out nor learned from."""
+    return F.coalesce(F.crc32(doc_id.cast("string")) % 5 == 0, F.lit(False))
+
+
+def learned_from(doc_id):
+    return doc_id.isNotNull() & ~held_out(doc_id)
+
+
+def language_filter(docs: DataFrame) -> langid.Filter:
+    return langid.fit(docs.filter(learned_from(F.col("doc_id"))).select("text", "lang", F.col("doc_id").alias("key")))
+
+
+def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    found = langid.identify(docs.select("doc_id", "text"), language_filter(docs))
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "coverage")
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return mixing.mixed(docs).select("doc_id", "source", mixing.tokens_of(F.col("text")).alias("n_tokens"), "epoch", "block")
@@ -51,7 +70,7 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(turns, chat.expand_targets(turns))
 
 
-QUERIES = {"op1_simhash": op1_simhash, "op3_bpe": op3_bpe, "op4_ogg": op4_ogg, "op5_url_rules": op5_url_rules, "op7_mixing": op7_mixing, "op10_chat": op10_chat}
+QUERIES = {"op1_simhash": op1_simhash, "op3_bpe": op3_bpe, "op4_ogg": op4_ogg, "op5_url_rules": op5_url_rules, "op6_langid": op6_langid, "op7_mixing": op7_mixing, "op10_chat": op10_chat}
 
 _HOST = "translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _RULES = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)
