@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexiloom.llm import bpe, chat, langid, mixing, ogg, simhash, toxicity, url_rules
+from lexiloom.llm import bpe, chat, embed_dedup, langid, mixing, ogg, simhash, toxicity, url_rules
 from lexiloom.llm.common import small_batches
 from lexiloom.session import read_table
 
@@ -63,6 +63,10 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(docs).select("doc_id", "source", mixing.tokens_of(F.col("text")).alias("n_tokens"), "epoch", "block")
 
 
+def op8_embed_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed_dedup.near_duplicates(read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
 def toxic_field(docs: DataFrame, labels: DataFrame) -> toxicity.Field:
     """Fitted on the labelled documents that are learned from; a document with several label rows takes the highest."""
     told = labels.filter(learned_from(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
@@ -82,7 +86,7 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(turns, chat.expand_targets(turns))
 
 
-QUERIES = {"op1_simhash": op1_simhash, "op3_bpe": op3_bpe, "op4_ogg": op4_ogg, "op5_url_rules": op5_url_rules, "op6_langid": op6_langid, "op7_mixing": op7_mixing, "op9_toxicity": op9_toxicity, "op10_chat": op10_chat}
+QUERIES = {"op1_simhash": op1_simhash, "op3_bpe": op3_bpe, "op4_ogg": op4_ogg, "op5_url_rules": op5_url_rules, "op6_langid": op6_langid, "op7_mixing": op7_mixing, "op8_embed_dedup": op8_embed_dedup, "op9_toxicity": op9_toxicity, "op10_chat": op10_chat}
 
 _HOST = "translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _RULES = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)
