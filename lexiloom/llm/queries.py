@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexiloom.llm import bpe, chat, embed_dedup, langid, mixing, ogg, simhash, toxicity, url_rules
+from lexiloom.llm import bpe, chat, embed_dedup, html_text, langid, mixing, ogg, simhash, toxicity, url_rules
 from lexiloom.llm.common import small_batches
 from lexiloom.session import read_table
 
@@ -21,6 +21,11 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents"), shingle=4, distance=4).select("doc_id", "fingerprint", "component_id")
 
 
+def op2_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_text.extract_pages(pages).drop("html").withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     small_batches(spark)
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -86,7 +91,7 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(turns, chat.expand_targets(turns))
 
 
-QUERIES = {"op1_simhash": op1_simhash, "op3_bpe": op3_bpe, "op4_ogg": op4_ogg, "op5_url_rules": op5_url_rules, "op6_langid": op6_langid, "op7_mixing": op7_mixing, "op8_embed_dedup": op8_embed_dedup, "op9_toxicity": op9_toxicity, "op10_chat": op10_chat}
+QUERIES = {"op1_simhash": op1_simhash, "op2_html": op2_html, "op3_bpe": op3_bpe, "op4_ogg": op4_ogg, "op5_url_rules": op5_url_rules, "op6_langid": op6_langid, "op7_mixing": op7_mixing, "op8_embed_dedup": op8_embed_dedup, "op9_toxicity": op9_toxicity, "op10_chat": op10_chat}
 
 _HOST = "translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _RULES = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)
