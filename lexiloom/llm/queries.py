@@ -75,7 +75,7 @@ def op8_embed_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def toxic_field(docs: DataFrame, labels: DataFrame) -> toxicity.Field:
     """Fitted on the labelled documents that are learned from; a document with several label rows takes the highest."""
     told = labels.filter(learned_from(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    return toxicity.fit(docs.select("doc_id", "text").join(told, "doc_id").select("text", "toxic", F.col("doc_id").alias("key")))
+    return toxicity.fit(docs, told)
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -224,15 +224,20 @@ def _curve(odds: np.ndarray, labels: np.ndarray, rows: np.ndarray) -> tuple[floa
     return float(max(w[0], 1e-3)), float(w[1])
 
 
-def fit(labelled: DataFrame, settings: Settings = Settings()) -> Field:
-    """Fit on rows of (text, toxic, key): rows with a null are left out; ``key`` drives the sample."""
-    labelled = labelled.select("text", F.col("toxic").cast("int").alias("toxic"), F.col("key").cast("string").alias("key")).dropna().filter("toxic IN (0, 1)")
-    sizes = {r.toxic: r.n for r in labelled.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> Field:
+    """Fit on the texts of ``docs`` (doc_id, text) that ``labels`` (doc_id, toxic) tells of; rows with a null are left out.
+
+    The sample is drawn from the labels alone, so it is the only side of the join
+    with the texts that moves; it has a bounded number of rows.
+    """
+    told = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).dropna().filter("toxic IN (0, 1)")
+    sizes = {r.toxic: r.n for r in told.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if len(sizes) < 2:
         return Field({}, -10.0, np.zeros((2, 2)), (0.0, 40.0 if sizes.get(1) else -40.0))
-    draw = F.conv(F.substring(F.md5(F.concat_ws("|", F.lit("toxicity"), "key")), 1, 13), 16, 10).cast("double") / 2**52
+    draw = F.conv(F.substring(F.md5(F.concat_ws("|", F.lit("toxicity"), F.col("doc_id").cast("string"))), 1, 13), 16, 10).cast("double") / 2**52
     share = F.when(F.col("toxic") == 1, min(1.0, settings.sample_docs / sizes[1])).otherwise(min(1.0, settings.sample_docs / sizes[0]))
-    sample = stored(labelled.filter(draw < share).dropDuplicates(["text", "toxic"]).select("text", "toxic"), "toxicity-sample")
+    texts = docs.select("doc_id", "text").dropna().join(F.broadcast(told.filter(draw < share)), "doc_id")
+    sample = stored(texts.dropDuplicates(["text", "toxic"]).select("text", "toxic"), "toxicity-sample")
     drawn = {r.toxic: r.n for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     n1, n0 = drawn.get(1, 0), drawn.get(0, 0)
     if not n1 or not n0:
