@@ -38,6 +38,8 @@ from lexiloom.llm.common import small_batches, stored
 from lexiloom.llm.url_rules import host_of
 
 SAMPLE = 6
+#: Parts that a host's pages are dealt to while its sample is drawn.
+SALTS = 64
 DROP, WAY, CONTENT = 0, 1, 2
 # Names of HTML elements by how they nest or what they hold.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -321,11 +323,12 @@ def _unpacked(data: bytes | None) -> list | None:
 def wrappers(pages: DataFrame, url: str = "url", page: str = "html") -> DataFrame:
     """(host, wrapper) for each host with pages; wrappers are packed JSON."""
     named = pages.select(host_of(F.col(url)).alias("host"), F.col(page).alias("page")).filter(F.col("page").isNotNull() & (F.col("page") != ""))
-    sizes = named.groupBy("host").agg(F.count("*").alias("n"))
-    draw = F.pmod(F.xxhash64("page"), F.lit(1 << 40)) / F.lit(float(1 << 40))
-    few = named.join(sizes, "host").filter(draw * F.col("n") < 4.0 * SAMPLE)
-    first = Window.partitionBy("host").orderBy(F.xxhash64("page"), "page")
-    sample = few.select("host", "page", F.row_number().over(first).alias("place")).filter(F.col("place") <= SAMPLE)
+    named = named.withColumn("draw", F.xxhash64("page")).withColumn("salt", F.pmod("draw", F.lit(SALTS)))
+    # First within salted parts of a host, which each task limits before it sends rows, then within the host.
+    for part in (["host", "salt"], ["host"]):
+        first = Window.partitionBy(*part).orderBy("draw", "page")
+        named = named.withColumn("place", F.row_number().over(first)).filter(F.col("place") <= SAMPLE)
+    sample = named.select("host", "page", "place")
 
     def inferred(rows: pd.DataFrame) -> pd.DataFrame:
         pages_ = list(dict.fromkeys(rows.sort_values("place")["page"]))
