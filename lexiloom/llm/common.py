@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -43,3 +45,24 @@ BATCH_BYTES = "8m"
 def small_batches(spark: SparkSession) -> None:
     """Bound the memory of Python workers by bytes, as one text may be long."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+
+def sorted_runs(batches: Iterator[pd.DataFrame], key: list[str]) -> Iterator[pd.DataFrame]:
+    """Rows sorted by ``key`` in frames that hold whole groups; a group may go on over batches."""
+    held: list[pd.DataFrame] = []
+    for batch in batches:
+        if not len(batch):
+            continue
+        if whole := int((batch[key] != batch[key].iloc[-1]).any(axis=1).sum()):
+            yield pd.concat([*held, batch.iloc[:whole]])
+            held = []
+        held.append(batch.iloc[whole:])
+    if held:
+        yield pd.concat(held)
+
+
+def sorted_groups(batches: Iterator[pd.DataFrame], key: list[str]) -> Iterator[pd.DataFrame]:
+    """The groups of rows sorted by ``key``, one frame each."""
+    for rows in sorted_runs(batches, key):
+        for _, group in rows.groupby(key, sort=False):
+            yield group

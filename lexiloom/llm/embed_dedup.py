@@ -35,7 +35,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexiloom.llm.common import stored
+from lexiloom.llm.common import sorted_groups, stored
 from lexiloom.llm.components import components
 
 SEED, PROBES, RANKS, BLOCK = 20, 4, 4, 2048
@@ -135,21 +135,6 @@ def _classed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"vec_id": batch["vec_id"].astype("Int64"), "cls": named, "vec": raw})
 
 
-def _groups(batches: Iterator[pd.DataFrame], key: list[str]) -> Iterator[tuple[tuple, pd.DataFrame]]:
-    """Groups of rows sorted by ``key``; a group may go on over batches."""
-    held: list[pd.DataFrame] = []
-    for batch in batches:
-        if not len(batch):
-            continue
-        whole = int((batch[key] != batch[key].iloc[-1]).any(axis=1).sum())
-        if whole:
-            yield from pd.concat([*held, batch.iloc[:whole]]).groupby(key, sort=False)
-            held = []
-        held.append(batch.iloc[whole:])
-    if held:
-        yield from pd.concat(held).groupby(key, sort=False)
-
-
 def forest(x: np.ndarray, cosine: float) -> tuple[list[int], list[int]]:
     """Links that span the components of the rows; every pair is accounted for."""
     left, right, rest = [], [], np.arange(len(x))
@@ -199,7 +184,7 @@ def links(nodes: DataFrame, cosine: float, recall: float) -> DataFrame:
     met = signatures.join(shared, key).join(nodes.select("cls", "vec"), "cls")
 
     def linked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for _, rows in _groups(batches, [*key, "i", "j"]):
+        for rows in sorted_groups(batches, [*key, "i", "j"]):
             names = rows["cls"].to_numpy()
             left, right = forest(unit_rows(rows["vec"].tolist()), cosine)
             if left:
@@ -213,7 +198,8 @@ def link_counts(members: DataFrame, cosine: float) -> DataFrame:
     sizes = members.groupBy("root").agg(F.count("*").alias("n"))
 
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for (_, i, j), rows in _groups(batches, ["root", "i", "j"]):
+        for rows in sorted_groups(batches, ["root", "i", "j"]):
+            i, j = rows["i"].iloc[0], rows["j"].iloc[0]
             for _, own in rows.groupby(rows["vec"].map(len)):
                 x, copies, names, b = unit_rows(own["vec"].tolist()), own["copies"].to_numpy(), own["cls"].to_numpy(), own["b"].to_numpy()
                 if i == j:

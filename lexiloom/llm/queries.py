@@ -18,7 +18,7 @@ PROBE = [(-7, turn, role, "</s>[INST] ok [/INST]") for turn, role in enumerate((
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simhash.near_duplicates(read_table(spark, sf_dir, "documents"), shingle=4, distance=4).select("doc_id", "fingerprint", "component_id")
+    return simhash.near_duplicates(read_table(spark, sf_dir, "documents"), shingle=4, distance=4, similarity=None).select("doc_id", "fingerprint", "component_id")
 
 
 def op2_html(spark: SparkSession, sf_dir: str) -> DataFrame:

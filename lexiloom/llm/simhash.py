@@ -18,6 +18,10 @@ at a value are verified on all bits, and a spanning forest of the links goes on
 to connected components, so a dense group costs links in proportion to its size.
 Values at which more than ``BLOCK`` nodes meet are dealt out by pairs of blocks.
 
+With a ``similarity``, what fingerprints bring together is only a candidate: within
+each component, distinct word sequences link if the Jaccard similarity of their sets
+of shingles reaches it, and the components of these links count.
+
 Repeated rows and ties are linked like other copies. Null ids are ignored when a
 component's least id is taken. An empty table gives an empty result.
 """
@@ -33,14 +37,16 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexiloom.llm.common import small_batches, stored
+from lexiloom.llm.common import small_batches, sorted_groups, sorted_runs, stored
 from lexiloom.llm.components import components
 
 SEED, BITS = 42, 64
 #: Nodes that meet at one value and are compared within one task; more are dealt out by pairs of blocks.
 BLOCK = 2048
 #: Nodes of a bucket up to which all its pairs are compared at once for many buckets.
-SMALL = 48
+SMALL = 256
+#: Documents that are compared by shingles within one task; more are dealt out by pairs of blocks.
+TEXT_BLOCK = 512
 #: Cost of writing, moving and sorting a signature, in comparisons of two fingerprints.
 SIGNATURE_COST = 100.0
 
@@ -62,14 +68,16 @@ def fingerprint(text: str | None, shingle: int) -> int:
     return int(np.packbits(votes * 2 > len(hashes) // 8).view(">i8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int, text: str = "text", out: str = "fp") -> DataFrame:
-    """Add the fingerprint of each whole text as a signed long; a column of that name is replaced."""
+def fingerprints(docs: DataFrame, shingle: int, text: str = "text", fp: str = "fp", words: str = "words") -> DataFrame:
+    """Add the fingerprint of each whole text as a signed long, and a 128-bit digest of its word sequence in hex; columns of these names are replaced."""
 
-    def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
-            yield pd.Series([fingerprint(t, shingle) for t in texts], dtype="int64")
+            digest = [xxhash.xxh3_128_hexdigest(b" ".join((t or "").encode().lower().split())) for t in texts]
+            yield pd.DataFrame({"fp": pd.Series([fingerprint(t, shingle) for t in texts], dtype="int64"), "words": digest})
 
-    return docs.withColumn(out, F.pandas_udf(of, "long")(F.col(text)))
+    added = docs.withColumn("_print", F.pandas_udf(of, "fp long, words string")(F.col(text)))
+    return added.withColumns({fp: F.col("_print.fp"), words: F.col("_print.words")}).drop("_print")
 
 
 def bit_counts(nodes: DataFrame) -> np.ndarray:
@@ -194,7 +202,7 @@ def forest(fps: np.ndarray, distance: int) -> tuple[list[int], list[int]]:
 
 
 def _verify(key: list[str], distance: int):
-    """Function for mapInPandas over rows sorted by ``key``: links of each bucket; a bucket may go on over batches."""
+    """Function for mapInPandas over rows sorted by ``key``: links of each bucket."""
 
     def linked(frame: pd.DataFrame) -> pd.DataFrame:
         fps = frame["fp"].to_numpy("int64").view("uint64")  # counts of bits are of absolute values if signed
@@ -209,27 +217,28 @@ def _verify(key: list[str], distance: int):
             left.append(np.array(a, "uint64"))
             right.append(np.array(b, "uint64"))
         few = np.repeat((sizes > 1) & (sizes <= SMALL), sizes)
-        x, bucket = fps[few], np.repeat(np.arange(len(sizes)), sizes)[few]
+        x, bucket, own = fps[few], np.repeat(np.arange(len(sizes)), sizes)[few], []
         for k in range(1, SMALL):
-            if len(x) <= k:
+            if len(x) <= k or not (near := bucket[k:] == bucket[:-k]).any():
                 break
-            hit = (bucket[k:] == bucket[:-k]) & (np.bitwise_count(x[k:] ^ x[:-k]) <= distance)
-            left.append(x[:-k][hit])
-            right.append(x[k:][hit])
+            own.append(np.flatnonzero(near & (np.bitwise_count(x[k:] ^ x[:-k]) <= distance)))
+        # Buckets with more links than nodes give a forest instead of all their links.
+        tally = sum((np.bincount(bucket[i], minlength=len(sizes)) for i in own), np.zeros(len(sizes), int))
+        dense = tally > sizes
+        for k, i in enumerate(own, 1):
+            i = i[~dense[bucket[i]]]
+            left.append(x[i])
+            right.append(x[i + k])
+        for s, n in zip(starts[dense], sizes[dense], strict=True):
+            a, b = forest(fps[s : s + n], distance)
+            left.append(np.array(a, "uint64"))
+            right.append(np.array(b, "uint64"))
         empty = np.zeros(0, "uint64")
         return pd.DataFrame({"u": np.concatenate([empty, *left]).view("int64"), "v": np.concatenate([empty, *right]).view("int64")})
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: list[pd.DataFrame] = []
-        for batch in batches:
-            if not len(batch):
-                continue
-            if whole := int((batch[key] != batch[key].iloc[-1]).any(axis=1).sum()):
-                yield linked(pd.concat([*held, batch.iloc[:whole]]))
-                held = []
-            held.append(batch.iloc[whole:])
-        if held:
-            yield linked(pd.concat(held))
+        for rows in sorted_runs(batches, key):
+            yield linked(rows)
 
     return run
 
@@ -258,31 +267,116 @@ def links(nodes: DataFrame, distance: int) -> DataFrame:
     return found
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 5, distance: int = 4, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """One row per document: its id, fingerprint (16 hex digits), component_id (least id reachable) and group (a key of the component)."""
+def shingle_set(text: str | None, shingle: int) -> np.ndarray:
+    """Sorted distinct hashes of a text's shingles; none for a text without words."""
+    words = (text or "").encode().lower().split()
+    if not words:
+        return np.zeros(0, "int64")
+    found = {xxhash.xxh64_intdigest(b" ".join(words[i : i + shingle]), SEED) for i in range(max(1, len(words) - shingle + 1))}
+    return np.sort(np.fromiter(found, np.uint64, len(found)).view("int64"))
+
+
+def jaccard_forest(sets: list[np.ndarray], similarity: float) -> tuple[list[int], list[int]]:
+    """Links that span the components of the sets; every pair is accounted for. Empty sets are alike."""
+    sizes = np.array([len(s) for s in sets])
+    flat, owner = np.concatenate(sets) if sets else np.zeros(0, "int64"), np.repeat(np.arange(len(sets)), sizes)
+    left, right, open_ = [], [], np.ones(len(sets), bool)
+    for seed in range(len(sets)):
+        if not open_[seed]:
+            continue
+        open_[seed] = False
+        queue = [seed]
+        while queue and open_.any():
+            i = queue.pop()
+            at = np.searchsorted(sets[i], flat)
+            shared = np.zeros(len(flat), bool)
+            within = at < sizes[i]
+            shared[within] = sets[i][at[within]] == flat[within]
+            both = np.bincount(owner[shared], minlength=len(sets))
+            found = np.flatnonzero(open_ & (both >= similarity * (sizes + sizes[i] - both)))
+            left += [i] * len(found)
+            right += found.tolist()
+            queue += found.tolist()
+            open_[found] = False
+            if len(found) * 4 > len(sets) or len(found) > 64:
+                still = open_[owner]
+                flat, owner = flat[still], owner[still]
+    return left, right
+
+
+def _alike(docs: DataFrame, classes: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """Links (u, v) between word sequences (words, candidate, first) of one candidate group whose sets of shingles are alike."""
+    sizes = classes.groupBy("candidate").agg(F.count("*").alias("n")).filter("n > 1")
+    wanted = stored(classes.join(sizes, "candidate").select(F.col("first").alias("_first"), F.col("words").alias("_words"), "candidate", "n"), "candidates")
+
+    def sets_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            own = [xxhash.xxh3_128_hexdigest(b" ".join((t or "").encode().lower().split())) for t in batch["text"]]
+            kept = batch[np.array(own, object) == batch["words"].to_numpy(object)]
+            yield kept[["words", "candidate", "n"]].assign(shingles=[shingle_set(t, shingle) for t in kept["text"]])
+
+    texts = docs.select("doc_id", "text").join(wanted, F.col("doc_id") == F.col("_first")).select("text", F.col("_words").alias("words"), "candidate", "n")
+    sets = texts.mapInPandas(sets_of, "words string, candidate long, n long, shingles array<long>")
+    order = ["candidate", "i", "j"]
+    dealt = (
+        sets.withColumn("blocks", F.ceil(F.col("n") / TEXT_BLOCK).cast("int"))
+        .withColumn("b", F.pmod(F.xxhash64("words"), F.col("blocks")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select("candidate", F.least("b", "other").alias("i"), F.greatest("b", "other").alias("j"), "words", "shingles")
+        .repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), *order)
+        .sortWithinPartitions(*order)
+    )
+
+    def linked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in sorted_groups(batches, order):
+            rows = rows.drop_duplicates("words")
+            names = rows["words"].to_numpy(object)
+            left, right = jaccard_forest([np.asarray(x, "int64") for x in rows["shingles"]], similarity)
+            if left:
+                yield pd.DataFrame({"u": names[left], "v": names[right]})
+
+    return dealt.mapInPandas(linked, "u string, v string")
+
+
+def near_duplicates(docs: DataFrame, shingle: int = 5, distance: int = 11, similarity: float | None = 0.8, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """One row per document: doc_id, fp (signed), fingerprint (16 hex digits), words (digest), component_id (least id reachable) and group (its component's key).
+
+    By default five-word shingles that are at least 0.8 alike, brought together by
+    fingerprints within 11 bits (0.8 makes 9.7 bits differ on average). Without a
+    ``similarity`` the fingerprints' links alone count. With one, documents whose
+    ids are all null link only to their equals.
+    """
     small_batches(docs.sparkSession)
-    fps = stored(fingerprints(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), shingle).select("doc_id", "fp"), "fingerprints")
+    docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    fps = stored(fingerprints(docs, shingle).select("doc_id", "fp", "words"), "fingerprints")
     nodes = stored(fps.groupBy("fp").agg(F.min("doc_id").alias("first")), "nodes")
     roots = components(links(nodes, distance)).withColumnRenamed("node", "fp")
-    named = nodes.join(roots, "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("group"))
+    shown = F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint")
+    if similarity is None:
+        named = nodes.join(roots, "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("group"))
+        least = named.groupBy("group").agg(F.min("first").alias("component_id"))
+        return fps.join(named.select("fp", "group").join(least, "group"), "fp").select("doc_id", "fp", shown, "words", "component_id", F.col("group").cast("string").alias("group"))
+    classes = fps.groupBy("fp", "words").agg(F.min("doc_id").alias("first")).join(roots, "fp", "left")
+    classes = stored(classes.select("fp", "words", "first", F.coalesce("root", "fp").alias("candidate")), "word-classes")
+    alike = components(_alike(docs, classes, shingle, similarity)).withColumnRenamed("node", "words")
+    named = classes.join(alike, "words", "left").select("words", "first", F.coalesce("root", "words").alias("group"))
     least = named.groupBy("group").agg(F.min("first").alias("component_id"))
-    by_fp = named.select("fp", "group").join(least, "group")
-    return fps.join(by_fp, "fp").select("doc_id", "fp", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", "group")
+    return fps.join(named.select("words", "group").join(least, "group"), "words").select("doc_id", "fp", shown, "words", "component_id", "group")
 
 
-def keep_one(docs: DataFrame, shingle: int = 5, distance: int = 4) -> DataFrame:
+def keep_one(docs: DataFrame, shingle: int = 5, distance: int = 11, similarity: float | None = 0.8) -> DataFrame:
     """The document of least id of each group of near-duplicates; of repeated rows of that id, one stays. Columns stay as they are.
 
     A group whose ids are all null keeps one of its rows.
     """
-    found = near_duplicates(docs, shingle, distance).filter("doc_id <=> component_id")
-    found = stored(found.select(F.col("doc_id").alias("_id"), F.col("fp").alias("_of"), F.col("group").alias("_group")), "kept")
+    found = near_duplicates(docs, shingle, distance, similarity).filter("doc_id <=> component_id")
+    found = stored(found.select(F.col("doc_id").alias("_id"), F.col("words").alias("_of"), F.col("group").alias("_group")), "kept")
     once = found.groupBy("_id").agg(F.count("*").alias("_n"))
     single = docs.join(once.filter("_n = 1 AND _id IS NOT NULL"), F.col("doc_id") == F.col("_id"), "left_semi")
     several = once.filter("_n > 1 OR _id IS NULL")
     if several.isEmpty():
         return single
-    again = fingerprints(docs.join(several, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi"), shingle, out="_fp")
-    again = again.join(found.distinct(), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_fp") == F.col("_of")))
+    again = fingerprints(docs.join(several, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi"), shingle, fp="_fp", words="_words")
+    again = again.join(found.distinct(), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_words") == F.col("_of")))
     rank = F.row_number().over(Window.partitionBy("doc_id", "_group").orderBy(*docs.columns))
     return single.unionByName(again.withColumn("_rank", rank).filter("_rank = 1").select(*docs.columns))
