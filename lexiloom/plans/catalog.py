@@ -5,6 +5,666 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+from lexiloom.functions import chance, lexicon, mutation, text
+from lexiloom.operators import cluster, curate, dedup, fanout, metrics, sampling, split, stats
+from lexiloom.plans.views import LEXICON, SQL_UNIFIED, TARGETS, documents, sql_canon, sql_clean, sql_cluster, sql_hash, sql_number, sql_unit, sql_words, unified
+from lexiloom.session import read_table
+from lexiloom.sources import adapters
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
+ORDER = ["source", "ord"]
+U = f"WITH u AS ({SQL_UNIFIED}) "
+
+
+def query(sql: str | None = None) -> Callable[[Query], Query]:
+    """Register a function under its name, with its SQL if it has one."""
+
+    def add(f: Query) -> Query:
+        QUERIES[f.__name__] = f
+        if sql is not None:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return add
+
+
+# Scalar functions ---------------------------------------------------------------------------------
+
+
+@query(f"SELECT doc_id, {sql_clean('text')} AS cleaned FROM documents")
+def txt_clean(spark, sf_dir):
+    return documents(spark, sf_dir, "doc_id", text.clean_text(F.col("text")).alias("cleaned"))
+
+
+@query(f"SELECT doc_id, {sql_words('t')}::INT AS words FROM (SELECT doc_id, {sql_clean('text')} AS t FROM documents)")
+def txt_word_count(spark, sf_dir):
+    return documents(spark, sf_dir, "doc_id", text.word_count(text.clean_text(F.col("text"))).alias("words"))
+
+
+@query("""SELECT doc_id, CASE WHEN n = 0 THEN true ELSE k / n >= 0.5 END AS latin FROM (
+  SELECT doc_id, length(regexp_replace(text, '[^\\pL]', '', 'g')) AS n, length(regexp_replace(text, '[^\\pL]|[^\\x{0}-\\x{24F}]', '', 'g')) AS k FROM documents)""")
+def txt_is_latin(spark, sf_dir):
+    return documents(spark, sf_dir, "doc_id", text.is_latin(F.col("text")).alias("latin"))
+
+
+@query(f"SELECT doc_id, {sql_canon('text')} AS canon FROM documents")
+def txt_canonicalize(spark, sf_dir):
+    return documents(spark, sf_dir, "doc_id", text.canonicalize(F.col("text")).alias("canon"))
+
+
+def _sql_references(c: str) -> str:
+    for name, char in text.REFERENCES.items():
+        c = f"replace({c}, '{name}', '{char.replace(chr(39), chr(39) * 2)}')"
+    return c
+
+
+@query(f"""SELECT page_id, trim(regexp_replace(regexp_replace(regexp_replace(replace(regexp_replace(regexp_replace({_sql_references("html")}, 'class="quote"|class="deadlink"|class="quoteLink"', '', 'g'),
+  '<[^>]+>', ' ', 'g'), chr(160), ' '), '[ \\t]+', ' ', 'g'), '\\n\\s*\\n+', chr(10), 'g'), ' *\\n *', ' ', 'g')) AS plain FROM pages""")
+def txt_html_clean(spark, sf_dir):
+    return read_table(spark, sf_dir, "pages").select("page_id", text.html_to_text(F.col("html")).alias("plain"))
+
+
+@query()
+def txt_html_clean_all(spark, sf_dir):
+    return read_table(spark, sf_dir, "pages").select("page_id", text.html_to_text_all(F.col("html")).alias("plain"))
+
+
+_ASCII = "".join(map(chr, range(0x21, 0x7F)))
+
+
+@query(f"SELECT doc_id, translate(text, '{_ASCII.replace(chr(39), chr(39) * 2)}', '{text.wide(_ASCII)}') AS wide FROM documents")
+def txt_fullwidth(spark, sf_dir):
+    return documents(spark, sf_dir, "doc_id", text.fullwidth(F.col("text")).alias("wide"))
+
+
+def _tokens(spark, sf_dir):
+    """Distinct lower-case words of letters and digits of all documents."""
+    words = F.explode(F.split(text.clean_text(F.col("text")), " "))
+    core = F.lower(text.token_parts(F.col("token"))["core"])
+    return documents(spark, sf_dir, words.alias("token")).select(core.alias("word")).filter("word <> ''").distinct()
+
+
+_SQL_TOKENS = f"SELECT DISTINCT lower(regexp_extract(token, '^([^A-Za-z0-9]*)([A-Za-z0-9]+)([^A-Za-z0-9]*)$', 2)) AS word FROM (SELECT unnest(string_split({sql_clean('text')}, ' ')) AS token FROM documents) WHERE word <> ''"
+_KNOWN = ", ".join(f"'{t}'" for t in TARGETS)
+_STEMS = " ".join(f"WHEN length(word) > {len(s) + 2} AND ends_with(word, '{s}') AND left(word, length(word) - {len(s)}) IN ({_KNOWN}) THEN left(word, length(word) - {len(s)})" for s in text.SUFFIXES)
+
+
+@query(f"SELECT word, CASE WHEN word IN ({_KNOWN}) THEN word {_STEMS} END AS stem FROM ({_SQL_TOKENS})")
+def txt_stem(spark, sf_dir):
+    return _tokens(spark, sf_dir).select("word", text.stem_in(F.col("word"), TARGETS).alias("stem"))
+
+
+@query("""SELECT doc_id, len(s)::INT AS sentences, md5(array_to_string(s, '|')) AS joined FROM (
+  SELECT doc_id, string_split(regexp_replace(replace(text, chr(10), ' '), '([.!?])\\s+', '\\1' || chr(30), 'g'), chr(30)) AS s FROM documents)""")
+def txt_sentence_split(spark, sf_dir):
+    return documents(spark, sf_dir, "doc_id", text.sentences(F.col("text")).alias("s")).select("doc_id", F.size("s").alias("sentences"), F.md5(F.array_join("s", "|")).alias("joined"))
+
+
+@query("SELECT doc_id, md5(text) AS digest FROM documents")
+def txt_digest(spark, sf_dir):
+    return documents(spark, sf_dir, "doc_id", text.digest(F.col("text")).alias("digest"))
+
+
+@query()
+def txt_crc_seed(spark, sf_dir):
+    return documents(spark, sf_dir, "doc_id", text.crc_seed(F.col("source"), F.col("text"), 42, F.lit(1)).alias("seed"))
+
+
+@query(f"SELECT doc_id, token, regexp_extract(token, f, 1) AS pre, regexp_extract(token, f, 2) AS core, regexp_extract(token, f, 3) AS post FROM (SELECT doc_id, unnest(string_split({sql_clean('text')}, ' ')) AS token, '^([^A-Za-z0-9]*)([A-Za-z0-9]+)([^A-Za-z0-9]*)$' AS f FROM documents)")
+def txt_token_parts(spark, sf_dir):
+    tokens = documents(spark, sf_dir, "doc_id", F.explode(F.split(text.clean_text(F.col("text")), " ")).alias("token"))
+    return tokens.select("doc_id", "token", *(c.alias(n) for n, c in text.token_parts(F.col("token")).items()))
+
+
+# Sources ------------------------------------------------------------------------------------------
+
+
+@query(f"""SELECT {sql_clean("text")} AS text, (quality = 1 OR toxic = 1)::INT AS label, 'flags' AS source,
+  CASE WHEN quality = 1 OR toxic = 1 THEN array_to_string(list_filter([CASE WHEN toxic = 1 THEN 'toxic' END, CASE WHEN quality = 1 THEN 'obscene' END], lambda x: x IS NOT NULL), '+') ELSE 'clean' END AS origin_label, 'test' AS split_origin
+  FROM documents JOIN labels USING (doc_id) WHERE {sql_clean("text")} <> ''""")
+def src_flags_label(spark, sf_dir):
+    rows = read_table(spark, sf_dir, "documents").join(read_table(spark, sf_dir, "labels"), "doc_id")
+    flags = {f: F.lit(0) for f in adapters.FLAGS} | {"toxic": F.col("toxic"), "obscene": F.col("quality")}
+    return adapters.from_flags(rows.withColumns(flags), "flags", "text", "balanced_test").withColumn("label", F.col("label").cast("int"))
+
+
+@query(f"""SELECT {sql_clean("text")} AS text, (doc_id % 4 < 2)::INT AS label, 'classes' AS source, CASE doc_id % 4 WHEN 0 THEN 'hate' WHEN 1 THEN 'offensive' WHEN 2 THEN 'neither' ELSE '3' END AS origin_label, 'train' AS split_origin
+  FROM documents WHERE {sql_clean("text")} <> ''""")
+def src_class_map(spark, sf_dir):
+    rows = documents(spark, sf_dir, "text", (F.col("doc_id") % 4).alias("label"))
+    return adapters.from_class(rows, "classes").withColumn("label", F.col("label").cast("int"))
+
+
+@query(f"""SELECT {sql_clean("text")} AS text, (coalesce(TRY_CAST(s AS DOUBLE), 0) >= 3.5)::INT AS label, 'scores' AS source, printf('%.1f', coalesce(TRY_CAST(s AS DOUBLE), 0)) AS origin_label, 'train' AS split_origin
+  FROM (SELECT text, CASE WHEN doc_id % 7 = 0 THEN 'n/a' ELSE ((doc_id % 10) / 2.0)::VARCHAR END AS s FROM documents) WHERE {sql_clean("text")} <> ''""")
+def src_try_cast_score(spark, sf_dir):
+    raw = F.when(F.col("doc_id") % 7 == 0, "n/a").otherwise(((F.col("doc_id") % 10) / 2).cast("string"))
+    return adapters.from_score(documents(spark, sf_dir, "text", raw.alias("toxicity_human")), "scores").withColumn("label", F.col("label").cast("int"))
+
+
+@query(f"""SELECT {sql_clean("text")} AS text, (doc_id % 2)::INT AS label, 'prompts' AS source, (doc_id % 2)::VARCHAR AS origin_label, 'train' AS split_origin FROM documents WHERE doc_id % 5 <> 0 AND {sql_clean("text")} <> ''""")
+def src_prompt_label(spark, sf_dir):
+    raw = F.when(F.col("doc_id") % 5 == 0, "none").otherwise((F.col("doc_id") % 2).cast("string"))
+    return adapters.from_prompt(documents(spark, sf_dir, F.col("text").alias("generation"), raw.alias("prompt_label")), "prompts").withColumn("label", F.col("label").cast("int"))
+
+
+@query(f"""SELECT {sql_clean("text")} AS text, CASE WHEN k = 'normal' THEN 0 ELSE 1 END AS label, 'tokens' AS source, k AS origin_label, 'test' AS split_origin
+  FROM (SELECT text, CASE doc_id % 4 WHEN 0 THEN 'normal' WHEN 1 THEN 'hate' WHEN 2 THEN 'offensive' ELSE 'other' END AS k FROM documents) WHERE k <> 'other' AND {sql_clean("text")} <> ''""")
+def src_json_tokens(spark, sf_dir):
+    name = F.element_at(F.array(*map(F.lit, ("normal", "hate", "offensive", "other"))), (F.col("doc_id") % 4 + 1).cast("int"))
+    tokens = F.when(F.col("doc_id") % 2 == 0, F.to_json(F.split(text.clean_text(F.col("text")), " "))).otherwise(F.col("text"))
+    return adapters.from_tokens(documents(spark, sf_dir, tokens.alias("text"), name.alias("label")), "tokens").withColumn("label", F.col("label").cast("int"))
+
+
+_SENTENCES = f"""SELECT doc_id, place, {sql_clean("said")} AS said FROM (
+  SELECT doc_id, unnest(s) AS said, generate_subscripts(s, 1) AS place FROM (SELECT doc_id, string_split(regexp_replace(replace(text, chr(10), ' '), '([.!?])\\s+', '\\1' || chr(30), 'g'), chr(30)) AS s FROM documents))"""
+
+
+@query(f"SELECT said AS text, 0 AS label, 'articles' AS source, 'clean' AS origin_label, 'train' AS split_origin FROM (SELECT * FROM ({_SENTENCES}) WHERE {sql_words('said')} BETWEEN 4 AND 60 ORDER BY doc_id, place LIMIT 5000)")
+def src_sentences(spark, sf_dir):
+    return adapters.from_articles(documents(spark, sf_dir, "doc_id", "text"), "articles", ["doc_id"], 5000).withColumn("label", F.col("label").cast("int"))
+
+
+@query(f"SELECT {sql_clean('text')} AS text, 'conv' AS source, role AS subreddit, 0::BIGINT AS created_utc, turn AS score, conv_id || '-' || turn AS id FROM conversations WHERE {sql_clean('text')} <> ''")
+def src_column_map(spark, sf_dir):
+    rows = read_table(spark, sf_dir, "conversations").withColumn("key", F.concat_ws("-", "conv_id", "turn"))
+    return adapters.adapt(rows, adapters.ColumnMap(source="role", time="no_such_column", score="turn", id="key", name="conv"))
+
+
+@query("""SELECT event_id, CASE event_id % 4 WHEN 0 THEN 0 WHEN 1 THEN event_id WHEN 2 THEN epoch(date_trunc('second', ts))::BIGINT ELSE 0 END::BIGINT AS seconds FROM events""")
+def src_ts_coerce(spark, sf_dir):
+    at = F.col("event_id") % 4
+    iso = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    raw = F.when(at == 0, F.lit(None)).when(at == 1, F.col("event_id").cast("string")).when(at == 2, iso).otherwise("junk")
+    return read_table(spark, sf_dir, "events").select("event_id", text.timestamp_seconds(raw).alias("seconds"))
+
+
+@query(f"SELECT {sql_clean('text')} AS text, 'comments' AS source, role AS subreddit, turn AS created_utc, 0::BIGINT AS score, conv_id::VARCHAR AS id FROM conversations WHERE conv_id % 3 <> 0 AND {sql_clean('text')} <> ''")
+def src_comments(spark, sf_dir):
+    body = F.when(F.col("conv_id") % 3 == 0, "[removed]").otherwise(F.col("text"))
+    rows = read_table(spark, sf_dir, "conversations").select(body.alias("body"), F.col("role").alias("subreddit"), F.col("turn").alias("created_utc"), F.lit(None).cast("string").alias("score"), F.col("conv_id").alias("id"))
+    return adapters.from_comments(rows)
+
+
+@query("SELECT event_id, json_extract_string(props, '$.k') AS k, length(props)::INT AS chars FROM events")
+def src_json_field(spark, sf_dir):
+    return read_table(spark, sf_dir, "events").select("event_id", F.get_json_object("props", "$.k").alias("k"), F.length("props").alias("chars"))
+
+
+@query(f"SELECT id, words FROM (SELECT conv_id || '-' || turn AS id, {sql_words(sql_clean('text'))}::INT AS words FROM conversations) WHERE words >= 4")
+def src_usable(spark, sf_dir):
+    rows = read_table(spark, sf_dir, "conversations").select(text.clean_text(F.col("text")).alias("text"), F.concat_ws("-", "conv_id", "turn").alias("id"))
+    return adapters.usable(rows).select("id", text.word_count(F.col("text")).alias("words"))
+
+
+# Dedup, normalise, cluster ------------------------------------------------------------------------
+
+
+@query(U + "SELECT * EXCLUDE rn FROM (SELECT *, row_number() OVER (PARTITION BY lower(trim(text)) ORDER BY source, ord) AS rn FROM u) WHERE rn = 1")
+def dedup_keep_first(spark, sf_dir):
+    return dedup.dedup_exact(unified(spark, sf_dir), ORDER)
+
+
+@query(U + "SELECT * EXCLUDE rn FROM (SELECT *, row_number() OVER (PARTITION BY text ORDER BY ord) AS rn FROM u) WHERE rn = 1")
+def dedup_raw_text(spark, sf_dir):
+    return dedup.dedup_text(unified(spark, sf_dir), ["ord"])
+
+
+@query(sql_cluster(" SELECT * FROM normal"))
+def nrm_normalize(spark, sf_dir):
+    return dedup.normalize(unified(spark, sf_dir), ORDER)
+
+
+def _clustered(spark, sf_dir):
+    """Normalised rows with their canonical form's MD5 as cluster."""
+    return cluster.with_canon(dedup.normalize(unified(spark, sf_dir), ORDER)).withColumn("cluster", F.md5("canon")).drop("canon")
+
+
+@query(sql_cluster(" SELECT ord, cluster, (SELECT count(*) FROM (SELECT min((source, ord)) AS m FROM clustered GROUP BY cluster) t WHERE t.m < f.m)::BIGINT AS dense FROM clustered JOIN (SELECT cluster, min((source, ord)) AS m FROM clustered GROUP BY cluster) f USING (cluster)"))
+def cluster_assign(spark, sf_dir):
+    dense = cluster.assign_clusters(dedup.normalize(unified(spark, sf_dir), ORDER), ORDER, dense=True).select("ord", F.col("cluster").alias("dense"))
+    return _clustered(spark, sf_dir).select("ord", "cluster").join(dense, "ord")
+
+
+@query(sql_cluster(" SELECT cluster, count(*) AS size, (2 * sum(label) > count(*))::INT AS label, arg_min(source, (source, ord)) AS source, arg_min(split_origin, (source, ord)) AS split_origin, arg_min(label, (source, ord)) AS first_label FROM clustered GROUP BY cluster"))
+def cluster_sizes(spark, sf_dir):
+    return cluster.cluster_table(_clustered(spark, sf_dir), ORDER)
+
+
+@query(sql_cluster(" SELECT count(*) AS clusters, count(*) FILTER (n > 1) AS multi_row, sum(n)::BIGINT AS rows FROM (SELECT count(*) AS n FROM clustered GROUP BY cluster)"))
+def cluster_multi(spark, sf_dir):
+    return cluster.cluster_counts(_clustered(spark, sf_dir))
+
+
+@query(U + "SELECT source, count(*) FILTER (label = 0) AS label_0, count(*) FILTER (label = 1) AS label_1 FROM u GROUP BY source")
+def pivot_source_label(spark, sf_dir):
+    return stats.cross_table(unified(spark, sf_dir), "source", "label", [0, 1])
+
+
+@query("SELECT l_returnflag, count(*) FILTER (l_linestatus = 'F') AS \"l_linestatus_F\", count(*) FILTER (l_linestatus = 'O') AS \"l_linestatus_O\" FROM lineitem GROUP BY l_returnflag")
+def pivot_lineitem(spark, sf_dir):
+    return stats.cross_table(read_table(spark, sf_dir, "lineitem"), "l_returnflag", "l_linestatus", ["F", "O"])
+
+
+@query(U + "SELECT label, count(*) AS n FROM u GROUP BY label")
+def count_labels(spark, sf_dir):
+    return stats.counts(unified(spark, sf_dir), "label")
+
+
+@query("WITH old AS (SELECT doc_id AS ord, text FROM documents WHERE doc_id % 2 = 0), fresh AS (SELECT doc_id AS ord, text FROM documents WHERE doc_id % 3 = 0) SELECT ord, md5(text) AS digest FROM (SELECT *, row_number() OVER (PARTITION BY text ORDER BY r, ord) AS rn FROM (SELECT 0 AS r, * FROM old UNION ALL SELECT 1, * FROM fresh)) WHERE rn = 1")
+def set_union_precedence(spark, sf_dir):
+    rows = documents(spark, sf_dir, F.col("doc_id").alias("ord"), "text")
+    return dedup.union_first(rows.filter("ord % 2 = 0"), rows.filter("ord % 3 = 0"), order=["ord"]).select("ord", F.md5("text").alias("digest"))
+
+
+@query("SELECT doc_id, text FROM documents WHERE text NOT IN (SELECT text FROM documents WHERE doc_id % 2 = 0)")
+def jn_resume_skip(spark, sf_dir):
+    rows = documents(spark, sf_dir, "doc_id", "text")
+    return dedup.unseen(rows, rows.filter("doc_id % 2 = 0"))
+
+
+@query("SELECT doc_id, source, n_chars FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY n_chars DESC, doc_id) AS rn FROM documents) WHERE rn <= 5")
+def top_per_source(spark, sf_dir):
+    rows = documents(spark, sf_dir, "doc_id", "source", "n_chars", (-F.col("n_chars")).alias("short"))
+    return dedup.rank_in_group(rows, ["source"], ["short", "doc_id"], 5).drop("short")
+
+
+# Samples, splits, balance -------------------------------------------------------------------------
+
+_RANK = "row_number() OVER ({part}ORDER BY {h}, {k})"
+
+
+def _sql_rank(purpose: str, key: str, by: str = "", value: str = "") -> str:
+    part = f"PARTITION BY {by} " if by else ""
+    order = f"{part}ORDER BY {sql_hash(purpose, key + '::VARCHAR')}, {key}"
+    return f"coalesce(sum({value}) OVER ({order} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)" if value else f"row_number() OVER ({order}) - 1"
+
+
+@query(f"SELECT doc_id, {_sql_rank('order', 'doc_id')} AS place FROM documents")
+def sample_order(spark, sf_dir):
+    return sampling.in_hash_order(documents(spark, sf_dir, "doc_id"), ["doc_id"])
+
+
+@query(f"SELECT doc_id FROM (SELECT doc_id, {_sql_rank('sample', 'doc_id')} AS p FROM documents) WHERE p < 100")
+def sample_n(spark, sf_dir):
+    return sampling.sample_n(documents(spark, sf_dir, "doc_id"), ["doc_id"], 100)
+
+
+@query(f"SELECT doc_id FROM (SELECT doc_id, {_sql_rank('fraction', 'doc_id')} AS p, count(*) OVER () AS n FROM documents) WHERE p < floor(n * 0.4)")
+def sample_frac(spark, sf_dir):
+    return sampling.sample_fraction(documents(spark, sf_dir, "doc_id"), ["doc_id"], 0.4)
+
+
+@query(U + f"SELECT ord, source, label FROM (SELECT *, {_sql_rank('cap', 'ord', 'source, label')} AS p FROM u) WHERE p < CASE WHEN label = 1 THEN 2 ELSE 10 END")
+def cap_per_source(spark, sf_dir):
+    return sampling.cap_per_source(unified(spark, sf_dir).select("ord", "source", "label"), ["ord"], 2, 10)
+
+
+_QUOTAS = """counts AS (SELECT label, count(*) AS n, sum(count(*)) OVER () AS total FROM {src} GROUP BY label), dealt AS (SELECT *, n * {cap} / total AS exact, floor(n * {cap} / total)::BIGINT AS q FROM counts),
+quotas AS (SELECT label, CASE WHEN total <= {cap} THEN n ELSE q + (row_number() OVER (ORDER BY exact - q DESC, label) <= {cap} - sum(q) OVER ())::BIGINT END AS quota FROM dealt)"""
+
+
+@query(f"WITH u AS ({SQL_UNIFIED}), {_QUOTAS.format(src='u', cap=101)} SELECT ord, label FROM (SELECT u.*, quota, {_sql_rank('stratified', 'ord', 'u.label')} AS p FROM u JOIN quotas ON u.label = quotas.label) WHERE p < quota")
+def strat_cap_lr(spark, sf_dir):
+    return sampling.stratified(unified(spark, sf_dir).select("ord", "label"), ["ord"], 101)
+
+
+@query(U + f"SELECT ord, label FROM (SELECT *, {_sql_rank('ratio', 'ord', 'label')} AS p, count(*) OVER () AS n, sum(label) OVER () AS pos FROM u) WHERE p < CASE WHEN n <= 150 THEN n WHEN label = 1 THEN greatest(1, round_even(150 * pos / n, 0)) ELSE greatest(0, 150 - greatest(1, round_even(150 * pos / n, 0))) END")
+def strat_ratio(spark, sf_dir):
+    return sampling.keep_ratio(unified(spark, sf_dir).select("ord", "label"), ["ord"], 150)
+
+
+@query(f"""WITH u AS ({SQL_UNIFIED}), s AS (SELECT * FROM u WHERE source = 'src1'), {_QUOTAS.format(src="s", cap=7)},
+taken AS (SELECT * FROM (SELECT s.*, quota, {_sql_rank("stratified", "ord", "s.label")} AS p FROM s JOIN quotas ON s.label = quotas.label) WHERE p < quota)
+SELECT ord, source FROM (SELECT ord, source, row_number() OVER (PARTITION BY text ORDER BY ord) AS rn FROM (SELECT ord, source, text FROM taken UNION ALL SELECT ord, source, text FROM u WHERE source <> 'src1')) WHERE rn = 1""")
+def mrg_subsample(spark, sf_dir):
+    return sampling.subsample_sources(unified(spark, sf_dir), sampling.parse_caps("src1=7"), ["ord"], ["ord"]).select("ord", "source")
+
+
+TEST, VALIDATION = 60, 40
+_TABLE = ", tbl AS (SELECT cluster, count(*) AS size, (2 * sum(label) > count(*))::INT AS label, arg_min(source, (source, ord)) AS source, arg_min(split_origin, (source, ord)) AS split_origin, arg_min(label, (source, ord)) AS first_label FROM clustered GROUP BY cluster)"
+_SPLIT = (
+    _TABLE + f", test AS (SELECT cluster FROM (SELECT cluster, {_sql_rank('test', 'cluster', 'label', 'size')} AS b FROM tbl WHERE split_origin = 'test') WHERE b < {TEST // 2})"
+    + f", val AS (SELECT cluster FROM (SELECT cluster, {_sql_rank('validation', 'cluster', 'label', 'size')} AS b FROM tbl WHERE cluster NOT IN (SELECT cluster FROM test)) WHERE b < {VALIDATION // 2})"
+    + ", parted AS (SELECT *, CASE WHEN cluster IN (SELECT cluster FROM test) THEN 'test' WHEN cluster IN (SELECT cluster FROM val) THEN 'validation' ELSE 'train' END AS split, (ord % 3 = 0)::INT AS mutated FROM clustered)"
+)
+
+
+def _split(spark, sf_dir):
+    parted = split.assign_split(_clustered(spark, sf_dir), ORDER, TEST, VALIDATION)
+    return parted.withColumn("mutated", (F.col("ord") % 3 == 0).cast("int"))
+
+
+@query(sql_cluster(_SPLIT + " SELECT split, label, count(*) AS n FROM parted GROUP BY split, label"))
+def flagship_split_stats(spark, sf_dir):
+    return stats.counts(_split(spark, sf_dir), "split", "label")
+
+
+@query(sql_cluster(_SPLIT + " SELECT ord, cluster, split FROM parted"))
+def split_assign(spark, sf_dir):
+    return _split(spark, sf_dir).select("ord", "cluster", "split")
+
+
+@query(sql_cluster(_TABLE + " SELECT cluster, source, split_origin FROM tbl WHERE source = 'src3' OR split_origin = 'test'"))
+def split_held_out(spark, sf_dir):
+    return cluster.cluster_table(_clustered(spark, sf_dir), ORDER).filter(split.held_out(("src3",))).select("cluster", "source", "split_origin")
+
+
+@query(sql_cluster(_SPLIT + f""", tr AS (SELECT cluster, count(*) AS size, arg_min(label, (source, ord)) AS label FROM parted WHERE split = 'train' GROUP BY cluster),
+totals AS (SELECT coalesce(sum(size) FILTER (label = 1), 0) AS pos, coalesce(sum(size) FILTER (label = 0), 0) AS neg FROM tr),
+gone AS (SELECT cluster FROM (SELECT tr.*, pos, neg, {_sql_rank('balance', 'cluster', 'label', 'size')} AS b FROM tr, totals) WHERE label = CASE WHEN pos > neg THEN 1 ELSE 0 END AND b < abs(pos - neg))
+SELECT ord, split, label FROM parted WHERE split <> 'train' OR cluster NOT IN (SELECT cluster FROM gone)"""))
+def balance_train(spark, sf_dir):
+    return split.rebalance(_split(spark, sf_dir), ORDER).select("ord", "split", "label")
+
+
+@query(sql_cluster(_SPLIT + " SELECT ord, cluster, benchmark_split FROM (SELECT *, 'test' AS benchmark_split FROM parted WHERE split = 'test' UNION ALL SELECT *, 'test_obfuscated' FROM parted WHERE split = 'test' AND mutated = 1)"))
+def bench_build(spark, sf_dir):
+    return split.benchmark_set(_split(spark, sf_dir)).select("ord", "cluster", "benchmark_split").orderBy("benchmark_split", "cluster")
+
+
+_COPIED = _SPLIT + ", shown AS (SELECT * FROM parted UNION ALL SELECT * REPLACE ('test_obfuscated' AS split) FROM parted WHERE split = 'test' AND mutated = 1)"
+
+
+@query(sql_cluster(_COPIED + """ SELECT 'label_distribution' AS kind, split, label::VARCHAR AS value, count(*) AS n FROM shown GROUP BY ALL UNION ALL SELECT 'source_distribution', split, source, count(*) FROM shown GROUP BY ALL
+UNION ALL SELECT 'mutated_share', split, mutated::VARCHAR, count(*) FROM shown GROUP BY ALL UNION ALL SELECT 'splits', split, 'rows', count(*) FROM shown GROUP BY ALL"""))
+def stats_report(spark, sf_dir):
+    rows = stats.report(split.with_obfuscated(_split(spark, sf_dir)))
+    return rows.withColumn("n", F.col("n").cast("bigint"))
+
+
+@query(sql_cluster(_COPIED + " SELECT coalesce(split, 'total') AS split, count(*) AS rows, sum(label)::BIGINT AS pos, sum(1 - label)::BIGINT AS neg FROM shown GROUP BY ROLLUP (split)"))
+def stats_summary(spark, sf_dir):
+    return stats.split_summary(split.with_obfuscated(_split(spark, sf_dir)))
+
+
+@query(U + "SELECT *, (pos > neg)::INT AS majority, abs(pos - neg) AS excess FROM (SELECT sum(label)::BIGINT AS pos, sum(1 - label)::BIGINT AS neg FROM u)")
+def class_excess(spark, sf_dir):
+    return stats.class_excess(unified(spark, sf_dir))
+
+
+@query(U + f"SELECT p AS p95, greatest(16, least(p, 512)) AS max_length FROM (SELECT trunc(quantile_cont({sql_words('text')}, 0.95))::INT AS p FROM u)")
+def len_p95(spark, sf_dir):
+    return stats.length_limit(unified(spark, sf_dir).select(text.word_count(F.col("text")).alias("w")), "w")
+
+
+@query("SELECT event_type, min(event_id) AS oldest FROM events GROUP BY event_type")
+def oldest_cursor(spark, sf_dir):
+    return stats.oldest(read_table(spark, sf_dir, "events"), "event_type", "event_id")
+
+
+# Mutation -----------------------------------------------------------------------------------------
+
+_H = sql_hash("style", "word")
+_CHARS = "string_split(word, '')"
+_CASE = f"array_to_string(list_transform({_CHARS}, lambda c, i: CASE WHEN ('0x' || substr(md5(h || (i - 1)::VARCHAR), 1, 1))::INT < 8 THEN upper(c) ELSE c END), '')"
+_SEPS = "[" + ", ".join(f"'{s}'" for s in mutation.SEPARATORS) + "]"
+
+
+def _styled(spark, sf_dir, style):
+    words = _tokens(spark, sf_dir).withColumn("h", chance.hashed("style", F.col("word")))
+    return words.select("word", style(F.col("word"), F.col("h")).alias("form"))
+
+
+def _sql_style(form: str) -> str:
+    return f"SELECT word, {form} AS form FROM (SELECT word, {_H} AS h FROM ({_SQL_TOKENS}))"
+
+
+def _sql_mapped(letters: str, forms: str, low: float, high: float) -> str:
+    pool = f"list_filter({_CHARS}, lambda c: contains('{letters}', c))"
+    k = f"least(greatest(1, round_even(len({pool}) * ({low} + {sql_unit('h', 2)} * ({high} - {low})), 0))::INT, len(list_distinct({pool})))"
+    drawn = f"list_transform(list_sort(list_transform(list_distinct({pool}), lambda c: md5(h || c) || c))[1:{k}], lambda x: substr(x, 33))"
+    return f"CASE WHEN len({pool}) = 0 THEN {_CASE} ELSE array_to_string(list_transform({_CHARS}, lambda c: CASE WHEN list_contains({drawn}, c) THEN translate(c, '{letters}', '{forms}') ELSE c END), '') END"
+
+
+@query(_sql_style(_sql_mapped(mutation.LEET_FROM, mutation.LEET_TO, 0.3, 0.8)))
+def mut_leet(spark, sf_dir):
+    return _styled(spark, sf_dir, mutation.leet)
+
+
+@query(_sql_style(_sql_mapped(mutation.LOOK_FROM, mutation.LOOK_TO, 0.2, 0.5)))
+def mut_homoglyph(spark, sf_dir):
+    return _styled(spark, sf_dir, mutation.homoglyph)
+
+
+@query(_sql_style(_CASE))
+def mut_case(spark, sf_dir):
+    return _styled(spark, sf_dir, mutation.case)
+
+
+@query(_sql_style(f"CASE WHEN length(word) < 4 THEN {_CASE} ELSE word[1] || array_to_string(list_transform(string_split(substr(word, 2), ''), lambda c: {_SEPS}[{sql_number('h', 3)} % 9 + 1] || c), '') END"))
+def mut_sep(spark, sf_dir):
+    return _styled(spark, sf_dir, mutation.sep)
+
+
+@query(_sql_style(f"""CASE WHEN length(word) <= 2 THEN {_CASE} WHEN {sql_number('h', 4)} % 3 = 0 THEN word[1] || repeat('*', length(word) - 1)
+  WHEN {sql_number('h', 4)} % 3 = 1 THEN word[1] || regexp_replace(substr(word, 2), '[aeiouy]', '*', 'g') ELSE regexp_replace(word, '[aeiouy]', ['$', '@', '#'][{sql_number('h', 5)} % 3 + 1], 'g') END"""))
+def mut_censor(spark, sf_dir):
+    return _styled(spark, sf_dir, mutation.censor)
+
+
+_AT = f"({sql_number('h', 6)} % greatest(length(word) - 1, 1) + 2)"
+
+
+@query(_sql_style(f"CASE WHEN length(word) < 3 THEN {_CASE} ELSE left(word, {_AT} - 1) || repeat(substr(word, {_AT}, 1), {sql_number('h', 7)} % 3 + 2) || substr(word, {_AT} + 1) END"))
+def mut_repeat(spark, sf_dir):
+    return _styled(spark, sf_dir, mutation.repeat)
+
+
+@query(_sql_style(f"translate(word, '{_ASCII.replace(chr(39), chr(39) * 2)}', '{text.wide(_ASCII)}')"))
+def mut_fullwidth(spark, sf_dir):
+    return _styled(spark, sf_dir, lambda w, h: text.fullwidth(w))
+
+
+@query()
+def mut_combo(spark, sf_dir):
+    return _styled(spark, sf_dir, mutation.combo)
+
+
+@query()
+def mut_word(spark, sf_dir):
+    return _styled(spark, sf_dir, mutation.mutate_word)
+
+
+@query()
+def mut_fanout_offensive(spark, sf_dir):
+    return fanout.fan_out_offensive(unified(spark, sf_dir).filter("label = 1"), TARGETS)
+
+
+@query()
+def mut_fanout_clean(spark, sf_dir):
+    return fanout.fan_out_clean(unified(spark, sf_dir).filter("label = 0"), ["ord"], TARGETS)
+
+
+@query()
+def mut_all(spark, sf_dir):
+    return fanout.mutate(unified(spark, sf_dir), ["ord"], TARGETS, TARGETS)
+
+
+# Lexicon classifier -------------------------------------------------------------------------------
+
+_LIST = lambda words: "[" + ", ".join(f"'{w}'" for w in words) + "]"
+_PLACES = lambda words: f"list_filter(list_transform(t, lambda x, i: CASE WHEN list_contains({_LIST(words)}, x) THEN i END), lambda i: i IS NOT NULL)"
+_NEAR = f"len(list_filter(list_concat(e, s), lambda h: len(list_filter(p, lambda q: abs(h - q) <= {LEXICON.window})) > 0)) > 0"
+_CLASSED = f"""SELECT doc_id, (len(e) > 0)::INT AS profanity, (len(s) > 0)::INT AS insult, ({_NEAR})::INT AS attack, CASE WHEN {_NEAR} THEN 'attack' WHEN len(e) > 0 THEN 'emotional' WHEN len(s) > 0 THEN 'grey' ELSE 'clean' END AS category
+  FROM (SELECT doc_id, {_PLACES(LEXICON.expletives)} AS e, {_PLACES(LEXICON.insults)} AS s, {_PLACES(LEXICON.pronouns)} AS p FROM (SELECT doc_id, regexp_extract_all(lower(text), '\\pL+') AS t FROM documents))"""
+
+
+def _token_classes(spark, sf_dir):
+    found = lexicon.with_token_category(documents(spark, sf_dir, "doc_id", "text", "source"), LEXICON)
+    return found.withColumns({c: F.col(c).cast("int") for c in ("profanity", "insult", "attack")})
+
+
+@query(_CLASSED)
+def cls_tokens_proximity(spark, sf_dir):
+    return _token_classes(spark, sf_dir).drop("text", "source")
+
+
+@query()
+def cls_category(spark, sf_dir):
+    return lexicon.with_category(documents(spark, sf_dir, "doc_id", "text"), LEXICON).drop("text")
+
+
+@query(f"SELECT doc_id, category FROM ({_CLASSED}) WHERE category <> 'clean' OR {sql_unit(sql_hash('prefilter', 'doc_id::VARCHAR'))} < 0.1")
+def cls_prefilter(spark, sf_dir):
+    return lexicon.prefilter(_token_classes(spark, sf_dir).select("doc_id", "category"), ["doc_id"], 0.1)
+
+
+@query("SELECT doc_id, (regexp_matches(lower(text), 'ononst|inoran') AND regexp_matches(lower(text), '\\b(?:this|that)\\b'))::INT AS label FROM documents")
+def cls_autolabel(spark, sf_dir):
+    return documents(spark, sf_dir, "doc_id", lexicon.label_by_words(F.col("text"), ["ononst", "inoran"], ["this", "that"]).alias("label"))
+
+
+# Curation, merging, review ------------------------------------------------------------------------
+
+_P = sql_unit(sql_hash("score", "doc_id::VARCHAR"))
+_SCORED = f"SELECT *, {_P} AS p FROM (SELECT doc_id, source, category FROM ({_CLASSED}) JOIN documents USING (doc_id))"
+_BANKED = f"SELECT *, CASE category WHEN 'attack' THEN 'A' WHEN 'emotional' THEN 'B' WHEN 'clean' THEN 'C' ELSE 'grey' END AS bank, CASE category WHEN 'attack' THEN 1 WHEN 'grey' THEN NULL ELSE 0 END AS label FROM ({_SCORED})"
+_GREYED = f"""SELECT doc_id, p, category, CASE WHEN bank <> 'grey' THEN bank WHEN p >= 0.7 THEN 'A' WHEN p <= 0.3 THEN 'C' ELSE 'manual' END AS bank,
+  CASE WHEN bank <> 'grey' THEN label WHEN p >= 0.7 THEN 1 WHEN p <= 0.3 THEN 0 ELSE -1 END AS label,
+  CASE WHEN bank <> 'grey' THEN category WHEN p >= 0.7 THEN 'grey->attack' WHEN p <= 0.3 THEN 'grey->clean' ELSE 'grey' END AS origin_label FROM ({_BANKED})"""
+
+
+def _banked(spark, sf_dir):
+    scored = _token_classes(spark, sf_dir).withColumn("p", chance.unit(chance.hashed("score", F.col("doc_id"))))
+    return curate.banks(scored)
+
+
+def _greyed(spark, sf_dir):
+    return curate.assign_grey(_banked(spark, sf_dir)).withColumn("label", F.col("label").cast("int"))
+
+
+@query(f"SELECT doc_id, bank, label FROM ({_BANKED})")
+def cur_banks(spark, sf_dir):
+    return _banked(spark, sf_dir).select("doc_id", "bank", F.col("label").cast("int").alias("label"))
+
+
+@query(f"SELECT doc_id, bank, label, origin_label FROM ({_GREYED})")
+def cur_grey(spark, sf_dir):
+    return _greyed(spark, sf_dir).select("doc_id", "bank", "label", "origin_label")
+
+
+@query(f"SELECT doc_id, CASE WHEN p >= 0.7 THEN 1 WHEN p <= 0.3 THEN 0 ELSE -1 END AS label, printf('model_%.3f', p) AS origin_label FROM (SELECT doc_id, {_P} AS p FROM documents)")
+def mdl_grey_label(spark, sf_dir):
+    rows = documents(spark, sf_dir, "doc_id").withColumn("p", chance.unit(chance.hashed("score", F.col("doc_id"))))
+    return curate.model_labels(rows, "p").select("doc_id", F.col("label").cast("int").alias("label"), "origin_label")
+
+
+def _sql_verified(bank: str, wrong: str) -> str:
+    return f"SELECT doc_id FROM (SELECT *, {_sql_rank(f'verify-{bank}', 'doc_id')} AS r, count(*) OVER () AS n FROM g WHERE bank = '{bank}') WHERE r < greatest(floor(n * 0.2), 1) AND {wrong}"
+
+
+@query(f"""WITH g AS ({_GREYED}), moved AS ({_sql_verified("A", "p < 0.4")} UNION ALL {_sql_verified("C", "p > 0.9")})
+SELECT doc_id, CASE WHEN m THEN 'manual' ELSE bank END AS bank, CASE WHEN m THEN -1 ELSE label END AS label, CASE WHEN m THEN 'verify-disagree' ELSE origin_label END AS origin_label FROM (SELECT *, doc_id IN (SELECT doc_id FROM moved) AS m FROM g)""")
+def cur_verify(spark, sf_dir):
+    out = curate.verify(_greyed(spark, sf_dir).select("doc_id", "p", "bank", "label", "origin_label"), ["doc_id"], grey=curate.Grey(verify_share=0.2))
+    return out.select("doc_id", "bank", F.col("label").cast("int").alias("label"), "origin_label")
+
+
+@query(f"WITH g AS ({_GREYED}) " + " UNION ALL ".join(f"SELECT doc_id, bank, label FROM (SELECT *, {_sql_rank(f'bank-{b}', 'doc_id')} AS r FROM g WHERE bank = '{b}') WHERE r < {n} AND label IN (0, 1)" for b, n in (("A", 40), ("B", 50), ("C", 60))))
+def cur_combine(spark, sf_dir):
+    return curate.combine_banks(_greyed(spark, sf_dir), ["doc_id"], {"A": 40, "B": 50, "C": 60}).select("doc_id", "bank", "label")
+
+
+@query(U + "SELECT text, label, source, origin_label, split_origin FROM (SELECT *, row_number() OVER (PARTITION BY text ORDER BY r, ord) AS rn FROM (SELECT 0 AS r, * FROM u WHERE ord % 3 = 0 UNION ALL SELECT 1, * FROM u WHERE ord % 2 = 0)) WHERE rn = 1")
+def mrg_union_precedence(spark, sf_dir):
+    rows = unified(spark, sf_dir)
+    return curate.merge_banks(rows.filter("ord % 3 = 0"), rows.filter("ord % 2 = 0"), order=["ord"])
+
+
+@query(U + "SELECT ord, text FROM (SELECT *, row_number() OVER (PARTITION BY text ORDER BY ord) AS rn FROM u WHERE ord % 2 = 1) WHERE rn = 1 AND text NOT IN (SELECT text FROM u WHERE ord % 3 = 0)")
+def mrg_added(spark, sf_dir):
+    rows = unified(spark, sf_dir)
+    return curate.merge_labelled(rows.filter("ord % 3 = 0"), rows.filter("ord % 2 = 1"), ["ord"])[1].select("ord", "text")
+
+
+@query(f"WITH g AS (SELECT doc_id, text, label FROM ({_GREYED}) JOIN documents USING (doc_id)), fixes AS (SELECT text, max(doc_id % 2)::INT AS fix FROM g WHERE label = -1 AND doc_id % 3 <> 0 GROUP BY text) SELECT doc_id, CASE WHEN label = -1 THEN coalesce(fix, label) ELSE label END AS label FROM g LEFT JOIN fixes USING (text)")
+def review_apply_fixes(spark, sf_dir):
+    rows = _greyed(spark, sf_dir).select("doc_id", "text", "label")
+    fixes = rows.filter("label = -1 AND doc_id % 3 <> 0").select("text", (F.col("doc_id") % 2).alias("label"))
+    return curate.apply_fixes(rows, fixes).select("doc_id", F.col("label").cast("int").alias("label"))
+
+
+@query(f"SELECT doc_id, label FROM (SELECT doc_id, CASE WHEN doc_id % 4 = 0 THEN CASE WHEN category = 'attack' THEN 1 WHEN category IN ('emotional', 'clean') THEN 0 END ELSE label END AS label FROM ({_GREYED})) WHERE label IS NOT NULL")
+def review_fallback(spark, sf_dir):
+    rows = _greyed(spark, sf_dir).withColumn("label", F.when(F.col("doc_id") % 4 == 0, -1).otherwise(F.col("label")))
+    return curate.fallback_labels(rows).select("doc_id", F.col("label").cast("int").alias("label"))
+
+
+@query(U + "SELECT u.ord, u.text, d.lang, d.n_chars FROM u LEFT JOIN documents d ON u.ord = d.doc_id")
+def jn_metadata(spark, sf_dir):
+    return unified(spark, sf_dir).select("ord", "text").join(documents(spark, sf_dir, F.col("doc_id").alias("ord"), "lang", "n_chars"), "ord", "left")
+
+
+@query(f"SELECT DISTINCT doc_id FROM (SELECT doc_id, unnest(string_split(lower({sql_clean('text')}), ' ')) AS w FROM documents) WHERE w IN ({_KNOWN})")
+def jn_lexicon_tokens(spark, sf_dir):
+    words = spark.createDataFrame([(t,) for t in TARGETS], "w string")
+    tokens = documents(spark, sf_dir, "doc_id", F.explode(F.split(F.lower(text.clean_text(F.col("text"))), " ")).alias("w"))
+    return tokens.join(words, "w", "left_semi").select("doc_id").distinct()
+
+
+# Metrics ------------------------------------------------------------------------------------------
+
+_PRED = f"(SELECT *, ({sql_unit(sql_hash('pred', 'ord::VARCHAR'))} < CASE WHEN label = 1 THEN 0.8 ELSE 0.1 END)::INT AS pred, CASE WHEN ord % 5 = 0 THEN 'test_obfuscated' ELSE 'test' END AS benchmark_split, (ord % 3 = 0)::INT AS mutated FROM u)"
+_TP, _FP, _FN = "count(*) FILTER (label = 1 AND pred = 1)", "count(*) FILTER (label = 0 AND pred = 1)", "count(*) FILTER (label = 1 AND pred = 0)"
+_RATES = f"count(*) AS rows, round(count(*) FILTER (label = pred) / count(*), 6) AS accuracy, round(coalesce({_TP} / nullif({_TP} + {_FP}, 0), 0), 6) AS precision, round(coalesce({_TP} / nullif({_TP} + {_FN}, 0), 0), 6) AS recall, round(coalesce(2 * {_TP} / nullif(2 * {_TP} + {_FP} + {_FN}, 0), 0), 6) AS f1"
+
+
+def _predicted(spark, sf_dir):
+    p = chance.unit(chance.hashed("pred", F.col("ord")))
+    return unified(spark, sf_dir).withColumns({
+        "pred": (p < F.when(F.col("label") == 1, 0.8).otherwise(0.1)).cast("int"), "mutated": (F.col("ord") % 3 == 0).cast("int"),
+        "benchmark_split": F.when(F.col("ord") % 5 == 0, "test_obfuscated").otherwise("test"),
+    })
+
+
+def _rounded(df):
+    return df.withColumns({c: F.round(c, 6) for c in ("accuracy", "precision", "recall", "f1")})
+
+
+@query(U + f"SELECT {_RATES} FROM {_PRED}")
+def metrics_overall(spark, sf_dir):
+    return _rounded(metrics.metrics(_predicted(spark, sf_dir)))
+
+
+@query(U + f", p AS {_PRED} SELECT 'overall' AS slice, 'all' AS value, {_RATES} FROM p UNION ALL SELECT 'benchmark_split', benchmark_split, {_RATES} FROM p GROUP BY benchmark_split UNION ALL SELECT 'mutated', mutated::VARCHAR, {_RATES} FROM p GROUP BY mutated UNION ALL SELECT 'source', source, {_RATES} FROM p GROUP BY source")
+def metrics_sliced(spark, sf_dir):
+    return _rounded(metrics.sliced_metrics(_predicted(spark, sf_dir)))
+
+
+@query(U + f", p AS {_PRED}, m AS (SELECT 'a' AS model, label, pred, source FROM p UNION ALL SELECT 'b', label, 1 - pred, source FROM p) SELECT model, 'overall' AS slice, 'all' AS value, {_RATES} FROM m GROUP BY model UNION ALL SELECT model, 'source', source, {_RATES} FROM m GROUP BY model, source")
+def metrics_models(spark, sf_dir):
+    p = _predicted(spark, sf_dir)
+    both = p.withColumn("model", F.lit("a")).unionByName(p.withColumns({"model": F.lit("b"), "pred": 1 - F.col("pred")}))
+    return _rounded(metrics.sliced_metrics(both, ["source"], ["model"]))
+
+
+_NAMES = ["OK", "Toxic", "H", "1", "neutral", "S3", "odd"]
+
+
+@query(f"SELECT doc_id, name, n, CASE WHEN name = 'odd' THEN 0 WHEN TRY_CAST(name AS INT) IS NOT NULL THEN TRY_CAST(name AS INT) WHEN lower(name) IN ({', '.join(repr(x) for x in metrics.CLEAN_NAMES)}) THEN 0 WHEN lower(name) IN ({', '.join(repr(x) for x in metrics.OFFENSIVE_NAMES)}) OR n > 2 THEN 1 END AS label FROM (SELECT doc_id, {_LIST(_NAMES)}[doc_id % 7 + 1] AS name, (doc_id % 2 * 7 + 2)::INT AS n FROM documents)")
+def label_map_reduce(spark, sf_dir):
+    name = F.element_at(F.array(*map(F.lit, _NAMES)), (F.col("doc_id") % 7 + 1).cast("int"))
+    rows = documents(spark, sf_dir, "doc_id", name.alias("name"), (F.col("doc_id") % 2 * 7 + 2).cast("int").alias("n"))
+    return rows.withColumn("label", metrics.reduce_label(F.col("name"), F.col("n"), {"odd": 0}))
+
+
+@query("SELECT checkpoint, f1 FROM (SELECT 'checkpoint-' || (event_id % 9) AS checkpoint, arg_max(round(value, 3), event_id) AS f1 FROM events GROUP BY 1) ORDER BY f1 DESC, checkpoint LIMIT 1")
+def best_checkpoint(spark, sf_dir):
+    log = read_table(spark, sf_dir, "events").select(F.concat(F.lit("checkpoint-"), F.col("event_id") % 9).alias("checkpoint"), F.col("event_id").alias("step"), F.round("value", 3).alias("f1"))
+    return metrics.best_checkpoint(log)
+
+
+@query("SELECT arg_max('checkpoint-' || event_id, event_id) AS checkpoint FROM events")
+def latest_checkpoint(spark, sf_dir):
+    return metrics.latest_checkpoint(read_table(spark, sf_dir, "events").select(F.concat(F.lit("checkpoint-"), "event_id").alias("checkpoint")))
+
+
+@query("SELECT 'task' || (user_id % 5) || '_' || event_id AS task, unnest(['f1', 'accuracy']) AS metric, unnest([0.5, 0.25]) AS value FROM events WHERE event_id % 50 = 0")
+def metric_log(spark, sf_dir):
+    line = F.concat(F.lit("task"), F.col("user_id") % 5, F.lit("_"), F.col("event_id"), F.lit(": f1=0.5 accuracy=0.25"))
+    return metrics.parse_metric_log(read_table(spark, sf_dir, "events").filter("event_id % 50 = 0").select(line.alias("value")))
