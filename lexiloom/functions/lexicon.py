@@ -153,11 +153,14 @@ def with_token_category(df: DataFrame, lexicon: Lexicon, text: str = "text") ->
     """Category by whole tokens alone, without Python: for lexicons whose words are not disguised. (CLS-08, CLS-09)"""
     tokens = F.filter(F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), r"(?U)[\W_0-9]+"), lambda t: t != "")
     placed = lambda words: F.filter(F.transform("_tokens", lambda t, i: F.when(t.isin(*words), i)), lambda i: i.isNotNull()) if words else F.array().cast("array<int>")
-    out = df.withColumn("_tokens", tokens).withColumns({"_e": placed(lexicon.expletives), "_i": placed(lexicon.insults), "_p": placed(lexicon.pronouns)})
-    near = F.exists(F.concat("_e", "_i"), lambda h: F.exists("_p", lambda p: F.abs(h - p) <= lexicon.window))
-    profane, insult = F.size("_e") > 0, F.size("_i") > 0
-    category = F.when(near, "attack").when(profane, "emotional").when(insult, "grey").otherwise("clean")
-    return out.withColumns({"profanity": profane.cast("tinyint"), "insult": insult.cast("tinyint"), "attack": near.cast("tinyint"), "category": category}).drop("_tokens", "_e", "_i", "_p")
+    # Each explode of one element makes its value a column, so that it is found once per row however often it is used.
+    out = df.withColumn("_tokens", F.explode(F.array(tokens)))
+    out = out.withColumn("_m", F.explode(F.array(F.struct(placed(lexicon.expletives).alias("e"), placed(lexicon.insults).alias("i"), placed(lexicon.pronouns).alias("p")))))
+    near = F.exists(F.concat("_m.e", "_m.i"), lambda h: F.exists("_m.p", lambda p: F.abs(h - p) <= lexicon.window))
+    flags = F.struct((F.size("_m.e") > 0).alias("profanity"), (F.size("_m.i") > 0).alias("insult"), near.alias("attack"))
+    out = out.withColumn("_f", F.explode(F.array(flags)))
+    category = F.when(F.col("_f.attack"), "attack").when(F.col("_f.profanity"), "emotional").when(F.col("_f.insult"), "grey").otherwise("clean")
+    return out.withColumns({f: F.col(f"_f.{f}").cast("tinyint") for f in ("profanity", "insult", "attack")} | {"category": category}).drop("_tokens", "_m", "_f")
 
 
 def prefilter(df: DataFrame, keys: list[str], clean_share: float) -> DataFrame:

@@ -664,7 +664,7 @@ def latest_checkpoint(spark, sf_dir):
     return metrics.latest_checkpoint(read_table(spark, sf_dir, "events").select(F.concat(F.lit("checkpoint-"), "event_id").alias("checkpoint")))
 
 
-@query("SELECT 'task' || (user_id % 5) || '_' || event_id AS task, unnest(['f1', 'accuracy']) AS metric, unnest([0.5, 0.25]) AS value FROM events WHERE event_id % 50 = 0")
+@query("SELECT 'task' || (user_id % 5) || '_' || event_id AS task, unnest(['f1', 'accuracy']) AS metric, unnest([0.5::DOUBLE, 0.25::DOUBLE]) AS value FROM events WHERE event_id % 50 = 0")
 def metric_log(spark, sf_dir):
     line = F.concat(F.lit("task"), F.col("user_id") % 5, F.lit("_"), F.col("event_id"), F.lit(": f1=0.5 accuracy=0.25"))
     return metrics.parse_metric_log(read_table(spark, sf_dir, "events").filter("event_id % 50 = 0").select(line.alias("value")))
