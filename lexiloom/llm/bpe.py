@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Distinct matches that a task looks up before it starts its table anew.
-CACHED = 200_000
+CACHED = 500_000
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -51,34 +51,33 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
         tree[i] = a if a < b else b
     after, before = list(range(1, n + 2)), list(range(-1, n))
 
-    def put(i: int, value: int) -> None:
-        i += size
-        tree[i] = value
-        i >>= 1
-        while i:
-            a, b = tree[2 * i], tree[2 * i + 1]
-            least = a if a < b else b
-            if tree[i] == least:
-                break
-            tree[i] = least
-            i >>= 1
-
-    def pair(i: int) -> int:
-        j = after[i]
-        if j >= n or (r := get(piece[i : after[j]])) is None:
-            return none
-        return r * size + i
-
-    while tree[1] < none:
-        i = tree[1] & (size - 1)
+    while (top := tree[1]) < none:
+        i = top & (size - 1)
         gone = after[i]
-        after[i] = after[gone]
-        if after[i] < n:
-            before[after[i]] = i
-        put(gone, none)
-        put(i, pair(i))
-        if before[i] >= 0:
-            put(before[i], pair(before[i]))
+        last = after[gone]
+        after[i] = last
+        if last < n:
+            before[last] = i
+        changed = [(gone, none)]
+        if last < n and (r := get(piece[i : after[last]])) is not None:
+            changed.append((i, r * size + i))
+        else:
+            changed.append((i, none))
+        if (j := before[i]) >= 0:
+            r = get(piece[j:last])
+            changed.append((j, none if r is None else r * size + j))
+        for at, value in changed:
+            at += size
+            tree[at] = value
+            at >>= 1
+            while at:
+                a, b = tree[2 * at], tree[2 * at + 1]
+                if a > b:
+                    a = b
+                if tree[at] == a:
+                    break
+                tree[at] = a
+                at >>= 1
     out, i = [], 0
     while i < n:
         out.append(ranks[piece[i : after[i]]])
