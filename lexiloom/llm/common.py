@@ -35,7 +35,17 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """
     path = f"{shared_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.stored_path = path
+    return out
+
+
+def discard(*frames: DataFrame) -> None:
+    """Remove what ``stored`` wrote, once nothing reads it any more."""
+    for df in frames:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df.stored_path)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 #: Bytes of texts that a worker takes in one Arrow batch; a longer text is a batch of its own.

@@ -1,8 +1,9 @@
 """Connected components of a table of links, by alternating large-star and small-star steps.
 
-Each step is a grouped minimum and an equi-join, so a hub's links are
-pre-aggregated and its join partition can be split; no task gathers a node's
-neighbours. Every step ends in a reliable checkpoint in the shared folder.
+Each step is a grouped minimum, written to the shared folder, and an equi-join of the
+links with it. Grouping merges a hub's links before they move; the join's two sides
+are plain shuffles, so a hub's partition can be split. No task gathers a node's
+neighbours. Every round ends in a reliable checkpoint.
 """
 
 from __future__ import annotations
@@ -10,24 +11,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexiloom.llm.common import shared_dir
+from lexiloom.llm.common import discard, shared_dir, stored
 
 
 def _least(pairs: DataFrame) -> DataFrame:
     """Least neighbour of each left node, or the node itself if that is less."""
-    return pairs.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("of"), F.least("u", "m").alias("m"))
+    return stored(pairs.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("of"), F.least("u", "m").alias("m")), "least")
 
 
-def _large_star(links: DataFrame) -> DataFrame:
+def _large_star(links: DataFrame) -> tuple[DataFrame, DataFrame]:
     both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    return both.join(_least(both), F.col("u") == F.col("of")).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    least = _least(both)
+    return both.join(least, F.col("u") == F.col("of")).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")), least
 
 
-def _small_star(links: DataFrame) -> DataFrame:
+def _small_star(links: DataFrame) -> tuple[DataFrame, DataFrame]:
     down = links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     least = _least(down)
     moved = down.join(least, F.col("u") == F.col("of")).select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return moved.unionByName(least.select(F.col("of").alias("u"), F.col("m").alias("v")))
+    return moved.unionByName(least.select(F.col("of").alias("u"), F.col("m").alias("v"))), least
 
 
 def _settled(links: DataFrame) -> tuple[DataFrame, tuple]:
@@ -44,11 +46,13 @@ def components(links: DataFrame) -> DataFrame:
     """
     shared_dir(links.sparkSession)
     now, state = _settled(links.dropna(subset=["u", "v"]))
-    if state[0]:
-        while True:
-            now, after = _settled(_small_star(_large_star(now)))
-            if after == state:
-                break
-            state = after
+    while state[0]:
+        larger, first = _large_star(now)
+        smaller, second = _small_star(larger)
+        now, after = _settled(smaller)
+        discard(first, second)
+        if after == state:
+            break
+        state = after
     named = now.select(F.col("u").alias("node"), F.col("v").alias("root"))
     return named.unionByName(named.select(F.col("root").alias("node"), "root").distinct())
