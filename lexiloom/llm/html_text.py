@@ -347,5 +347,6 @@ def extract_pages(pages: DataFrame, url: str = "url", page: str = "html", text:
         for htmls, packed in batches:
             yield pd.Series([main_text(h, _unpacked(w)) for h, w in zip(htmls, packed, strict=True)], dtype=object)
 
-    joined = pages.join(fitted, host_of(F.col(url)) == F.col("_host"), "left")
-    return joined.withColumn(text, F.pandas_udf(read, "string")(F.col(page), F.col("wrapper"))).drop("_host", "wrapper")
+    rows = pages.select(F.struct(*pages.columns).alias("row"), host_of(F.col(url)).alias("host"), F.col(page).alias("page"))
+    said = rows.join(fitted, F.col("host") == F.col("_host"), "left").select("row", F.pandas_udf(read, "string")(F.col("page"), F.col("wrapper")).alias("said"))
+    return said.select(*(F.col(f"row.`{c}`").alias(c) for c in pages.columns if c != text), F.col("said").alias(text))

@@ -92,7 +92,8 @@ def mixed(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
     Columns named epoch or block are replaced.
     """
     names = [c for c in docs.columns if c not in ("epoch", "block")]
-    keyed = docs.select(*names, _key(F.col("source")).alias("_key"), tokens_of(F.col("text")).alias("_tokens"), _hash(mix.seed, F.col("doc_id"), F.md5("text")).alias("_h"))
+    shown = [F.col(f"row.`{c}`").alias(c) for c in names]
+    keyed = docs.select(F.struct(*docs.columns).alias("row"), _key(F.col("source")).alias("_key"), tokens_of(F.col("text")).alias("_tokens"), _hash(mix.seed, F.col("doc_id"), F.md5("text")).alias("_h"))
     slim = stored(keyed.select("_key", "_tokens", "_h"), "mix-documents")
     sources = stored(slim.groupBy("_key").agg(F.sum("_tokens").alias("t"), F.count("*").alias("n")), "mix-sources")
     whole = sources.agg(F.sum("t").alias("t"), F.count(F.when(F.col("t") > 0, 1)).alias("k"), F.max("n").alias("most")).first()
@@ -123,4 +124,4 @@ def mixed(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
     inside = Window.partitionBy("_key", "block").orderBy(_hash(mix.seed, "doc", F.col("passes"), F.col("_h")), "_h")
     cut = placed.filter("fits > 0").withColumn("_to", F.sum("_tokens").over(inside.rowsBetween(Window.unboundedPreceding, 0)))
     times = placed.filter("fits <= 0").withColumn("_times", F.col("passes") - F.col("fits")).unionByName(cut.withColumn("_times", F.col("passes") + (F.col("_to") <= F.col("fits")).cast("int")).drop("_to"))
-    return times.filter("_times > 0").withColumn("epoch", F.explode(F.sequence(F.lit(0), (F.col("_times") - 1).cast("int")))).select(*names, "epoch", "block")
+    return times.filter("_times > 0").withColumn("epoch", F.explode(F.sequence(F.lit(0), (F.col("_times") - 1).cast("int")))).select(*shown, "epoch", "block")

@@ -370,13 +370,13 @@ def keep_one(docs: DataFrame, shingle: int = 5, distance: int = 11, similarity:
     A group whose ids are all null keeps one of its rows.
     """
     found = near_duplicates(docs, shingle, distance, similarity).filter("doc_id <=> component_id")
-    found = stored(found.select(F.col("doc_id").alias("_id"), F.col("words").alias("_of"), F.col("group").alias("_group")), "kept")
-    once = found.groupBy("_id").agg(F.count("*").alias("_n"))
-    single = docs.join(once.filter("_n = 1 AND _id IS NOT NULL"), F.col("doc_id") == F.col("_id"), "left_semi")
-    several = once.filter("_n > 1 OR _id IS NULL")
+    found = stored(found.select(F.col("doc_id").alias("__kept_id"), F.col("words").alias("__kept_of"), F.col("group").alias("__kept_group")), "kept")
+    once = found.groupBy("__kept_id").agg(F.count("*").alias("__kept_n"))
+    single = docs.join(once.filter("__kept_n = 1 AND __kept_id IS NOT NULL"), F.col("doc_id") == F.col("__kept_id"), "left_semi")
+    several = once.filter("__kept_n > 1 OR __kept_id IS NULL")
     if several.isEmpty():
         return single
-    again = fingerprints(docs.join(several, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi"), shingle, fp="_fp", words="_words")
-    again = again.join(found.distinct(), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_words") == F.col("_of")))
-    rank = F.row_number().over(Window.partitionBy("doc_id", "_group").orderBy(*docs.columns))
-    return single.unionByName(again.withColumn("_rank", rank).filter("_rank = 1").select(*docs.columns))
+    again = fingerprints(docs.join(several, F.col("doc_id").eqNullSafe(F.col("__kept_id")), "left_semi"), shingle, fp="__kept_fp", words="__kept_words")
+    again = again.join(found.distinct(), F.col("doc_id").eqNullSafe(F.col("__kept_id")) & (F.col("__kept_words") == F.col("__kept_of")))
+    rank = F.row_number().over(Window.partitionBy("doc_id", "__kept_group").orderBy(*docs.columns))
+    return single.unionByName(again.withColumn("__kept_rank", rank).filter("__kept_rank = 1").select(*docs.columns))

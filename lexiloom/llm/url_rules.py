@@ -49,9 +49,11 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: st
     rules = rules.filter(F.col("host").isNotNull() & (F.col("host") != "")).select("host", F.coalesce("path", F.lit("")).alias("path"), "verdict")
     shapes = rules.select(F.size(F.split("host", "\\.")).alias("labels"), F.length("path").alias("chars")).distinct().collect()
     labels, chars = sorted({r.labels for r in shapes}), sorted({r.chars for r in shapes})
-    named = pages.withColumns({"host": host_of(F.col(url)), "path": path_of(F.col(url))}).drop("rule", "verdict")
+    others = [c for c in pages.columns if c not in ("host", "path", "rule", "verdict")]
+    named = pages.select(F.struct(*pages.columns).alias("row"), host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"))
+    shown = [F.col(f"row.`{c}`").alias(c) for c in others] + ["host", "path"]
     if not shapes:
-        return named.withColumns({"rule": F.lit(None).cast("string"), "verdict": F.lit(default)})
+        return named.select(*shown, F.lit(None).cast("string").alias("rule"), F.lit(default).alias("verdict"))
 
     keyed = rules.select(
         _digest(F.col("host"), F.col("path")).alias("r_digest"),
@@ -79,6 +81,5 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: st
     )
     return (
         named.join(best, (F.col("host") == F.col("_h")) & (F.col("path") == F.col("_p")), "left")
-        .withColumns({"rule": F.col("hit.rule"), "verdict": F.coalesce("hit.verdict", F.lit(default))})
-        .drop("_h", "_p", "hit")
+        .select(*shown, F.col("hit.rule").alias("rule"), F.coalesce("hit.verdict", F.lit(default)).alias("verdict"))
     )
