@@ -8,10 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexiloom.functions import chance, lexicon, mutation, text
-from lexiloom.operators import cluster, curate, dedup, fanout, metrics, sampling, split, stats
+from lexiloom.operators import cluster, curate, dedup, fanout, metrics, sampling, scoring, split, stats
 from lexiloom.plans.views import LEXICON, SQL_UNIFIED, TARGETS, documents, sql_canon, sql_clean, sql_cluster, sql_hash, sql_number, sql_unit, sql_words, unified
-from lexiloom.session import read_table
-from lexiloom.sources import adapters
+from lexiloom.session import read_table, scratch
+from lexiloom.sources import adapters, files
+from lexiloom.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -668,3 +669,69 @@ def latest_checkpoint(spark, sf_dir):
 def metric_log(spark, sf_dir):
     line = F.concat(F.lit("task"), F.col("user_id") % 5, F.lit("_"), F.col("event_id"), F.lit(": f1=0.5 accuracy=0.25"))
     return metrics.parse_metric_log(read_table(spark, sf_dir, "events").filter("event_id % 50 = 0").select(line.alias("value")))
+
+
+# Files, streams, models ---------------------------------------------------------------------------
+
+
+@query("SELECT text AS body, role AS subreddit, turn::VARCHAR AS created_utc, '1' AS score, conv_id::VARCHAR AS id FROM conversations")
+def src_json_dump(spark, sf_dir):
+    path = scratch(spark, "dump")
+    rows = read_table(spark, sf_dir, "conversations").select(F.col("text").alias("body"), F.col("role").alias("subreddit"), F.col("turn").cast("string").alias("created_utc"), F.lit("1").alias("score"), F.col("conv_id").cast("string").alias("id"))
+    rows.write.option("compression", "gzip").json(path)
+    return files.read_dump(spark, path)
+
+
+@query(sql_cluster(_COPIED + " SELECT split, label, ord AS variant FROM (SELECT split, label, (ord % 100)::INT AS ord FROM shown)"))
+def snk_export(spark, sf_dir):
+    path = scratch(spark, "export")
+    rows = _split(spark, sf_dir).withColumns({"variant": (F.col("ord") % 100).cast("tinyint"), "cluster": F.xxhash64("cluster")})
+    files.export(rows, path)
+    return files.read_split(spark, path).select("split", F.col("label").cast("int").alias("label"), F.col("variant").cast("int").alias("variant"))
+
+
+@query("SELECT DISTINCT text FROM documents WHERE doc_id % 2 = 0 OR doc_id % 3 = 0")
+def snk_shards(spark, sf_dir):
+    path, rows = scratch(spark, "shards"), documents(spark, sf_dir, "text", F.col("doc_id").alias("id"))
+    files.append_shards(rows.filter("id % 2 = 0"), path, 1000)
+    files.append_shards(rows.filter("id % 3 = 0"), path, 1000)
+    return spark.read.parquet(path).select("text")
+
+
+@query(f"SELECT text, printf('model_%.3f', p) AS origin_label, -1 AS label FROM (SELECT text, {_P} AS p FROM documents) WHERE p > 0.3 AND p < 0.7")
+def snk_review_csv(spark, sf_dir):
+    path = scratch(spark, "review")
+    rows = documents(spark, sf_dir, "doc_id", "text").withColumn("p", chance.unit(chance.hashed("score", F.col("doc_id"))))
+    files.write_review(curate.model_labels(rows, "p"), path)
+    return spark.read.csv(path, header=True, multiLine=True, escape='"', schema="text string, origin_label string, label int")
+
+
+@query(f"SELECT bank, count(*) AS n FROM ({_GREYED}) GROUP BY bank")
+def snk_banks(spark, sf_dir):
+    path = scratch(spark, "banks")
+    files.write_banks(_greyed(spark, sf_dir).select("doc_id", "bank", "label"), path)
+    return stats.counts(spark.read.parquet(path), "bank")
+
+
+@query("SELECT DISTINCT text FROM documents")
+def stream_dedup_ingest(spark, sf_dir):
+    rows = read_table(spark, sf_dir, "documents")
+    source, out, marks = scratch(spark, "incoming"), scratch(spark, "ingested"), scratch(spark, "marks")
+    rows.filter("doc_id % 2 = 0").select("doc_id", "text").write.parquet(source)
+    stream = lambda: ingest.first_seen(spark.readStream.schema("doc_id bigint, text string").parquet(source))
+    ingest.ingest(stream(), out, marks, {"source": "documents"}).awaitTermination()
+    rows.filter("doc_id % 2 = 1").select("doc_id", "text").write.mode("append").parquet(source)
+    ingest.ingest(stream(), out, marks, {"source": "documents"}).awaitTermination()
+    return spark.read.parquet(out).select("text")
+
+
+@query()
+def score_baseline(spark, sf_dir):
+    rows = unified(spark, sf_dir)
+    return scoring.predict(scoring.train(rows, 1 << 14, 5), rows.select("ord", "text")).select("ord", "label", "conf")
+
+
+@query("SELECT benchmark_split, cluster, n FROM (SELECT source AS benchmark_split, lang AS cluster, count(*) AS n FROM documents GROUP BY ALL) ORDER BY 1, 2")
+def srt_multi_key(spark, sf_dir):
+    rows = documents(spark, sf_dir, F.col("source").alias("benchmark_split"), F.col("lang").alias("cluster"))
+    return stats.counts(rows, "benchmark_split", "cluster").orderBy("benchmark_split", "cluster")

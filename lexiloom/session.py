@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+import tempfile
+import uuid
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,3 +24,13 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the driver's Parquet tables, by any path that Spark's readers open."""
     workers_import_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder that driver and executors share: within ``spark.checkpoint.dir``, or local for a local session."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        named = tempfile.mkdtemp(prefix="lexiloom-")
+    return f"{named}/{name}-{uuid.uuid4().hex}"
