@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Distinct matches that a task looks up before it starts its table anew.
-CACHED = 500_000
+CACHED = 250_000
 
 
 def load_ranks(path: str) -> dict[bytes, int]:

@@ -31,7 +31,7 @@ from lexiloom.llm.common import small_batches, stored
 
 GRAM, HASHES, UNKNOWN = 4, 3, "und"
 #: Characters that are hashed at once, to bound a worker's memory.
-WINDOW = 1 << 20
+WINDOW = 1 << 18
 # Odd multipliers of the n-gram hash.
 MULTIPLIERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5)
 FINAL = 0xFF51AFD7ED558CCD
