@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from lexiloom.llm.common import sorted_groups, stored
 from lexiloom.llm.components import components
 
-SEED, PROBES, RANKS, BLOCK = 20, 4, 4, 2048
+SEED, PROBES, RANKS, BLOCK = 20, 4, 4, 512
 #: Strangers that a bucket may be expected to hold, all probes counted.
 STRANGERS = 0.15
 
@@ -195,7 +195,7 @@ def links(nodes: DataFrame, cosine: float, recall: float) -> DataFrame:
 
 def link_counts(members: DataFrame, cosine: float) -> DataFrame:
     """(cls, n_links): for classes (root, cls, vec, copies), the copies in other classes of its component at the cosine or over."""
-    sizes = members.groupBy("root").agg(F.count("*").alias("n"))
+    sizes = stored(members.groupBy("root").agg(F.count("*").alias("n")), "component-sizes")
 
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in sorted_groups(batches, ["root", "i", "j"]):
@@ -223,7 +223,7 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.95, recall: float = 0.
     roots = stored(components(links(nodes, cosine, recall)), "vector-components")
     named = nodes.join(roots.withColumnRenamed("node", "cls"), "cls")
     counts = link_counts(named.select("root", "cls", "vec", "copies"), cosine)
-    least = named.groupBy("root").agg(F.min("first").alias("least"))
+    least = stored(named.groupBy("root").agg(F.min("first").alias("least")), "least")
     linked = named.select("cls", "root").join(least, "root").join(counts, "cls").select("cls", "n_links", "least")
     by_class = nodes.select("cls", "first", "copies").join(linked, "cls", "left")
     by_class = by_class.select("cls", (F.coalesce("n_links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("least", "first").alias("least"))

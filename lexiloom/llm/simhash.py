@@ -22,6 +22,9 @@ With a ``similarity``, what fingerprints bring together is only a candidate: wit
 each component, distinct word sequences link if the Jaccard similarity of their sets
 of shingles reaches it, and the components of these links count.
 
+Check bits, a second fingerprint from the same hashes, must agree too; without them
+chance links among many texts would join strangers into ever larger candidates.
+
 Repeated rows and ties are linked like other copies. Null ids are ignored when a
 component's least id is taken. An empty table gives an empty result.
 """
@@ -41,43 +44,67 @@ from lexiloom.llm.common import small_batches, sorted_groups, sorted_runs, store
 from lexiloom.llm.components import components
 
 SEED, BITS = 42, 64
+# Shifts and odd factors of the 64-bit mixer behind the check bits.
+MIX = ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB))
 #: Nodes that meet at one value and are compared within one task; more are dealt out by pairs of blocks.
-BLOCK = 2048
+BLOCK = 8192
+#: Rows, of 24 bytes, up to which the table of full values is broadcast.
+BROADCAST_ROWS = 100_000
 #: Nodes of a bucket up to which all its pairs are compared at once for many buckets.
-SMALL = 256
+SMALL = 64
+#: Fingerprints of a larger bucket that are compared with all its others at once.
+ROWS = 256
 #: Documents that are compared by shingles within one task; more are dealt out by pairs of blocks.
 TEXT_BLOCK = 512
-#: Cost of writing, moving and sorting a signature, in comparisons of two fingerprints.
-SIGNATURE_COST = 100.0
+#: Cost of writing, moving and sorting a signature, in comparisons of two fingerprints; disk counts as dearer than CPU time.
+SIGNATURE_COST = 2500.0
 
 
-def fingerprint(text: str | None, shingle: int) -> int:
-    """Signed 64-bit SimHash of one text."""
+def _hashes(text: str | None, shingle: int) -> np.ndarray:
+    """XXH64 of each shingle, repeats included."""
     words = (text or "").encode().lower().split()
     if not words:
-        return 0
+        return np.zeros(0, ">u8")
     digest = xxhash.xxh64_digest
     joined = b" ".join(words)
-    ends = list(accumulate(map(len, words), lambda a, b: a + b + 1))
     if len(words) <= shingle:
-        hashes = digest(joined, SEED)
-    else:
-        starts = [0, *(e + 1 for e in ends)]
-        hashes = b"".join([digest(joined[s:e], SEED) for s, e in zip(starts, ends[shingle - 1 :], strict=False)])
-    votes = np.unpackbits(np.frombuffer(hashes, np.uint8)).reshape(-1, BITS).sum(axis=0, dtype=np.int64)
-    return int(np.packbits(votes * 2 > len(hashes) // 8).view(">i8")[0])
+        return np.frombuffer(digest(joined, SEED), ">u8")
+    ends = list(accumulate(map(len, words), lambda a, b: a + b + 1))
+    starts = [0, *(e + 1 for e in ends)]
+    return np.frombuffer(b"".join([digest(joined[s:e], SEED) for s, e in zip(starts, ends[shingle - 1 :], strict=False)]), ">u8")
+
+
+def _votes(hashes: np.ndarray) -> int:
+    """Signed 64 bits, each set if over half of the hashes set it."""
+    votes = np.unpackbits(hashes.view(np.uint8)).reshape(-1, BITS).sum(axis=0, dtype=np.int64)
+    return int(np.packbits(votes * 2 > len(hashes)).view(">i8")[0])
+
+
+def fingerprint(text: str | None, shingle: int) -> int:
+    """Signed 64-bit SimHash of one text."""
+    return _votes(_hashes(text, shingle))
 
 
-def fingerprints(docs: DataFrame, shingle: int, text: str = "text", fp: str = "fp", words: str = "words") -> DataFrame:
-    """Add the fingerprint of each whole text as a signed long, and a 128-bit digest of its word sequence in hex; columns of these names are replaced."""
+def both_prints(text: str | None, shingle: int) -> tuple[int, int]:
+    """The fingerprint, and as many check bits: the vote of the same hashes, mixed anew."""
+    hashes = _hashes(text, shingle)
+    mixed = hashes.astype(np.uint64)
+    for shift, factor in MIX:
+        mixed = (mixed ^ (mixed >> np.uint64(shift))) * np.uint64(factor)
+    return _votes(hashes), _votes((mixed ^ (mixed >> np.uint64(31))).astype(">u8"))
+
+
+def fingerprints(docs: DataFrame, shingle: int, text: str = "text", fp: str = "fp", words: str = "words", check: str = "check") -> DataFrame:
+    """Add the fingerprint of each whole text and its check bits as signed longs, and a 128-bit digest of its word sequence in hex; columns of these names are replaced."""
 
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
             digest = [xxhash.xxh3_128_hexdigest(b" ".join((t or "").encode().lower().split())) for t in texts]
-            yield pd.DataFrame({"fp": pd.Series([fingerprint(t, shingle) for t in texts], dtype="int64"), "words": digest})
+            prints = np.array([both_prints(t, shingle) for t in texts], "int64").reshape(-1, 2)
+            yield pd.DataFrame({"fp": prints[:, 0], "check": prints[:, 1], "words": digest})
 
-    added = docs.withColumn("_print", F.pandas_udf(of, "fp long, words string")(F.col(text)))
-    return added.withColumns({fp: F.col("_print.fp"), words: F.col("_print.words")}).drop("_print")
+    added = docs.withColumn("_print", F.pandas_udf(of, "fp long, check long, words string")(F.col(text)))
+    return added.withColumns({fp: F.col("_print.fp"), check: F.col("_print.check"), words: F.col("_print.words")}).drop("_print")
 
 
 def bit_counts(nodes: DataFrame) -> np.ndarray:
@@ -170,7 +197,7 @@ def _signed(value: int) -> int:
 
 
 def signatures(nodes: DataFrame, plan: list[tuple[list[int], int]]) -> DataFrame:
-    """One row (part, value, fp) for each value that a fingerprint is filed under."""
+    """One row (part, value, fp, check) for each value that a fingerprint is filed under."""
     filed = []
     for part, (bits, threshold) in enumerate(plan):
         ones = [_signed(1 << (BITS - 1 - b)) for b in bits]
@@ -181,58 +208,81 @@ def signatures(nodes: DataFrame, plan: list[tuple[list[int], int]]) -> DataFrame
         elif threshold == 2:
             values += [own.bitwiseXOR(F.lit(x)) for x in ones]
         filed += [F.struct(F.lit(part).alias("part"), v.alias("value")) for v in values]
-    return nodes.select("fp", F.explode(F.array(*filed)).alias("s")).select("s.part", "s.value", "fp").filter("value IS NOT NULL")
+    return nodes.select("fp", "check", F.explode(F.array(*filed)).alias("s")).select("s.part", "s.value", "fp", "check").filter("value IS NOT NULL")
+
 
+def _near(a: np.ndarray, b: np.ndarray, distance: int, total: int) -> np.ndarray:
+    """Whether unsigned (fingerprint, check) pairs lie within ``distance`` bits on the first and ``total`` on both."""
+    first = np.bitwise_count(a[..., 0] ^ b[..., 0])
+    near = first <= distance
+    if total < 2 * BITS:
+        near &= first + np.bitwise_count(a[..., 1] ^ b[..., 1]) <= total
+    return near
 
-def forest(fps: np.ndarray, distance: int) -> tuple[list[int], list[int]]:
-    """Links that span the components of the bucket's (unsigned) fingerprints; every pair is accounted for."""
-    left, right, rest = [], [], fps
+
+def forest(prints: np.ndarray, distance: int, total: int) -> tuple[list[int], list[int]]:
+    """Links, by place, that span the components of the bucket; every pair is accounted for."""
+    left, right, rest = [], [], np.arange(len(prints))
     while len(rest):
         queue, rest = [rest[0]], rest[1:]
         while queue and len(rest):
-            x = queue.pop()
-            near = np.bitwise_count(rest ^ x) <= distance
+            i = queue.pop()
+            near = _near(prints[rest], prints[i], distance, total)
             if near.any():
-                found = rest[near]
-                left += [int(x)] * len(found)
-                right += found.tolist()
-                queue += list(found)
+                found = rest[near].tolist()
+                left += [i] * len(found)
+                right += found
+                queue += found
                 rest = rest[~near]
     return left, right
 
 
-def _verify(key: list[str], distance: int):
+def near_pairs(prints: np.ndarray, distance: int, total: int = 2 * BITS) -> tuple[np.ndarray, np.ndarray]:
+    """All links of a bucket, by place, or spanning ones if there are more links than members."""
+    left, right, n = [], [], 0
+    for at in range(0, len(prints), ROWS):
+        i, j = np.nonzero(_near(prints[at : at + ROWS, None], prints[None, at:], distance, total))
+        i, j = i[j > i] + at, j[j > i] + at
+        left.append(i)
+        right.append(j)
+        if (n := n + len(i)) > len(prints):
+            return tuple(np.array(x, "int64") for x in forest(prints, distance, total))
+    return np.concatenate(left), np.concatenate(right)
+
+
+def _verify(key: list[str], distance: int, total: int):
     """Function for mapInPandas over rows sorted by ``key``: links of each bucket."""
 
     def linked(frame: pd.DataFrame) -> pd.DataFrame:
-        fps = frame["fp"].to_numpy("int64").view("uint64")  # counts of bits are of absolute values if signed
+        prints = frame[["fp", "check"]].to_numpy("int64").view("uint64")  # counts of bits are of absolute values if signed
         keys = frame[key].to_numpy("int64")
-        new = np.ones(len(fps), bool)
+        new = np.ones(len(keys), bool)
         new[1:] = (keys[1:] != keys[:-1]).any(axis=1)
         starts = np.flatnonzero(new)
-        sizes = np.diff(np.append(starts, len(fps)))
+        sizes = np.diff(np.append(starts, len(keys)))
         left, right = [], []
+
+        def add(s: int, a: np.ndarray, b: np.ndarray) -> None:
+            left.append(prints[s + a, 0])
+            right.append(prints[s + b, 0])
+
         for s, n in zip(starts[sizes > SMALL], sizes[sizes > SMALL], strict=True):
-            a, b = forest(fps[s : s + n], distance)
-            left.append(np.array(a, "uint64"))
-            right.append(np.array(b, "uint64"))
+            add(s, *near_pairs(prints[s : s + n], distance, total))
         few = np.repeat((sizes > 1) & (sizes <= SMALL), sizes)
-        x, bucket, own = fps[few], np.repeat(np.arange(len(sizes)), sizes)[few], []
+        x, bucket, own = prints[few], np.repeat(np.arange(len(sizes)), sizes)[few], []
         for k in range(1, SMALL):
-            if len(x) <= k or not (near := bucket[k:] == bucket[:-k]).any():
+            if len(x) <= k or not (same := bucket[k:] == bucket[:-k]).any():
                 break
-            own.append(np.flatnonzero(near & (np.bitwise_count(x[k:] ^ x[:-k]) <= distance)))
-        # Buckets with more links than nodes give a forest instead of all their links.
+            own.append(np.flatnonzero(same & _near(x[k:], x[:-k], distance, total)))
+        # Buckets with more links than members give a forest instead of all their links.
         tally = sum((np.bincount(bucket[i], minlength=len(sizes)) for i in own), np.zeros(len(sizes), int))
         dense = tally > sizes
         for k, i in enumerate(own, 1):
             i = i[~dense[bucket[i]]]
-            left.append(x[i])
-            right.append(x[i + k])
+            left.append(x[i, 0])
+            right.append(x[i + k, 0])
         for s, n in zip(starts[dense], sizes[dense], strict=True):
-            a, b = forest(fps[s : s + n], distance)
-            left.append(np.array(a, "uint64"))
-            right.append(np.array(b, "uint64"))
+            add(s, *(np.array(p, "int64") for p in forest(prints[s : s + n], distance, total)))
         empty = np.zeros(0, "uint64")
         return pd.DataFrame({"u": np.concatenate([empty, *left]).view("int64"), "v": np.concatenate([empty, *right]).view("int64")})
 
@@ -243,8 +293,8 @@ def _verify(key: list[str], distance: int):
     return run
 
 
-def links(nodes: DataFrame, distance: int) -> DataFrame:
-    """Links (u, v) between distinct fingerprints that span all pairs within the distance."""
+def links(nodes: DataFrame, distance: int, total: int = 2 * BITS) -> DataFrame:
+    """Links (u, v) between fingerprints that span all pairs of nodes (fp, check) within the distance, and within ``total`` bits with the check bits."""
     spark = nodes.sparkSession
     n = nodes.count()
     plan = allocate(bit_counts(nodes), n, distance)
@@ -252,18 +302,21 @@ def links(nodes: DataFrame, distance: int) -> DataFrame:
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     full = filed.groupBy("part", "value").count().filter(F.col("count") > BLOCK)
     full = stored(full.select("part", "value", F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks")), "full-buckets")
-    few = filed.join(full, ["part", "value"], "left_anti")
+    n_full = full.count()
+    # At most one value in BLOCK signatures is full: such a table is broadcast while it is small, and shuffled beyond.
+    known = F.broadcast(full) if n_full <= BROADCAST_ROWS else full
+    few = filed.join(known, ["part", "value"], "left_anti") if n_full else filed
     order = ["part", "value"]
-    found = few.repartition(parts, *order).sortWithinPartitions(*order).mapInPandas(_verify(order, distance), "u long, v long")
-    if not full.isEmpty():
+    found = few.repartition(parts, *order).sortWithinPartitions(*order).mapInPandas(_verify(order, distance, total), "u long, v long")
+    if n_full:
         blocked = (
-            filed.join(full, ["part", "value"])
+            filed.join(known, ["part", "value"])
             .withColumn("b", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-            .select("part", "value", F.least("b", "other").alias("i"), F.greatest("b", "other").alias("j"), "fp")
+            .select("part", "value", F.least("b", "other").alias("i"), F.greatest("b", "other").alias("j"), "fp", "check")
         )
         order = ["part", "value", "i", "j"]
-        found = found.unionByName(blocked.repartition(parts, *order).sortWithinPartitions(*order).mapInPandas(_verify(order, distance), "u long, v long"))
+        found = found.unionByName(blocked.repartition(parts, *order).sortWithinPartitions(*order).mapInPandas(_verify(order, distance, total), "u long, v long"))
     return found
 
 
@@ -306,7 +359,8 @@ def jaccard_forest(sets: list[np.ndarray], similarity: float) -> tuple[list[int]
 
 def _alike(docs: DataFrame, classes: DataFrame, shingle: int, similarity: float) -> DataFrame:
     """Links (u, v) between word sequences (words, candidate, first) of one candidate group whose sets of shingles are alike."""
-    sizes = classes.groupBy("candidate").agg(F.count("*").alias("n")).filter("n > 1")
+    # Grouped tables are stored before they are joined back, so that both sides are plain and a hot group can be split.
+    sizes = stored(classes.groupBy("candidate").agg(F.count("*").alias("n")).filter("n > 1"), "candidate-sizes")
     wanted = stored(classes.join(sizes, "candidate").select(F.col("first").alias("_first"), F.col("words").alias("_words"), "candidate", "n"), "candidates")
 
     def sets_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -338,45 +392,55 @@ def _alike(docs: DataFrame, classes: DataFrame, shingle: int, similarity: float)
     return dealt.mapInPandas(linked, "u string, v string")
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 5, distance: int = 11, similarity: float | None = 0.8, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+def near_duplicates(docs: DataFrame, shingle: int = 5, distance: int = 14, similarity: float | None = 0.8, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """One row per document: doc_id, fp (signed), fingerprint (16 hex digits), words (digest), component_id (least id reachable) and group (its component's key).
 
     By default five-word shingles that are at least 0.8 alike, brought together by
-    fingerprints within 11 bits (0.8 makes 9.7 bits differ on average). Without a
+    fingerprints within 14 bits (0.8 makes 9.7 of 64 bits differ on average, with a
+    standard deviation of 2.9). Without a
     ``similarity`` the fingerprints' links alone count. With one, documents whose
     ids are all null link only to their equals.
     """
     small_batches(docs.sparkSession)
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    fps = stored(fingerprints(docs, shingle).select("doc_id", "fp", "words"), "fingerprints")
-    nodes = stored(fps.groupBy("fp").agg(F.min("doc_id").alias("first")), "nodes")
-    roots = components(links(nodes, distance)).withColumnRenamed("node", "fp")
+    fps = stored(fingerprints(docs, shingle).select("doc_id", "fp", "check", "words"), "fingerprints")
+    if similarity is None:
+        nodes = stored(fps.groupBy("fp").agg(F.min("doc_id").alias("first")).withColumn("check", F.lit(0).cast("long")), "nodes")
+        total = 2 * BITS
+    else:
+        nodes, total = stored(fps.select("fp", "check").distinct(), "nodes"), 2 * distance + 4
+    roots = components(links(nodes, distance, total)).withColumnRenamed("node", "fp")
     shown = F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint")
     if similarity is None:
         named = nodes.join(roots, "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("group"))
-        least = named.groupBy("group").agg(F.min("first").alias("component_id"))
+        least = stored(named.groupBy("group").agg(F.min("first").alias("component_id")), "least")
         return fps.join(named.select("fp", "group").join(least, "group"), "fp").select("doc_id", "fp", shown, "words", "component_id", F.col("group").cast("string").alias("group"))
     classes = fps.groupBy("fp", "words").agg(F.min("doc_id").alias("first")).join(roots, "fp", "left")
     classes = stored(classes.select("fp", "words", "first", F.coalesce("root", "fp").alias("candidate")), "word-classes")
     alike = components(_alike(docs, classes, shingle, similarity)).withColumnRenamed("node", "words")
     named = classes.join(alike, "words", "left").select("words", "first", F.coalesce("root", "words").alias("group"))
-    least = named.groupBy("group").agg(F.min("first").alias("component_id"))
+    least = stored(named.groupBy("group").agg(F.min("first").alias("component_id")), "least")
     return fps.join(named.select("words", "group").join(least, "group"), "words").select("doc_id", "fp", shown, "words", "component_id", "group")
 
 
-def keep_one(docs: DataFrame, shingle: int = 5, distance: int = 11, similarity: float | None = 0.8) -> DataFrame:
+def keep_one(docs: DataFrame, shingle: int = 5, distance: int = 14, similarity: float | None = 0.8) -> DataFrame:
     """The document of least id of each group of near-duplicates; of repeated rows of that id, one stays. Columns stay as they are.
 
     A group whose ids are all null keeps one of its rows.
     """
-    found = near_duplicates(docs, shingle, distance, similarity).filter("doc_id <=> component_id")
-    found = stored(found.select(F.col("doc_id").alias("__kept_id"), F.col("words").alias("__kept_of"), F.col("group").alias("__kept_group")), "kept")
-    once = found.groupBy("__kept_id").agg(F.count("*").alias("__kept_n"))
-    single = docs.join(once.filter("__kept_n = 1 AND __kept_id IS NOT NULL"), F.col("doc_id") == F.col("__kept_id"), "left_semi")
-    several = once.filter("__kept_n > 1 OR __kept_id IS NULL")
+    every = stored(
+        near_duplicates(docs, shingle, distance, similarity).select(F.col("doc_id").alias("__kept_id"), F.col("words").alias("__kept_of"), F.col("group").alias("__kept_group"), F.col("doc_id").eqNullSafe(F.col("component_id")).alias("__kept")),
+        "kept",
+    )
+    removed = stored(every.filter("NOT __kept").select("__kept_id").distinct(), "removed")
+    several = stored(every.groupBy("__kept_id").count().filter("count > 1 OR __kept_id IS NULL").select("__kept_id"), "several")
+    known = F.broadcast(removed) if removed.count() <= BROADCAST_ROWS else removed
+    at = F.col("doc_id") == F.col("__kept_id")
+    single = docs.filter(F.col("doc_id").isNotNull()).join(known, at, "left_anti")
     if several.isEmpty():
         return single
-    again = fingerprints(docs.join(several, F.col("doc_id").eqNullSafe(F.col("__kept_id")), "left_semi"), shingle, fp="__kept_fp", words="__kept_words")
-    again = again.join(found.distinct(), F.col("doc_id").eqNullSafe(F.col("__kept_id")) & (F.col("__kept_words") == F.col("__kept_of")))
+    same = F.col("doc_id").eqNullSafe(F.col("__kept_id"))
+    again = fingerprints(docs.join(several, same, "left_semi"), shingle, fp="__kept_fp", words="__kept_words", check="__kept_check")
+    again = again.join(every.filter("__kept").distinct(), same & (F.col("__kept_words") == F.col("__kept_of")))
     rank = F.row_number().over(Window.partitionBy("doc_id", "__kept_group").orderBy(*docs.columns))
-    return single.unionByName(again.withColumn("__kept_rank", rank).filter("__kept_rank = 1").select(*docs.columns))
+    return single.join(several, at, "left_anti").unionByName(again.withColumn("__kept_rank", rank).filter("__kept_rank = 1").select(*docs.columns))

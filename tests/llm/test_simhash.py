@@ -53,8 +53,10 @@ def test_similar_texts_against_brute_force(spark, prose):
     found = {r.doc_id: r.component_id for r in simhash.near_duplicates(frame(spark, prose)).collect()}
     sets = [shingles(t, 5) for t in prose]
     alike = lambda a, b: not (a | b) or len(a & b) >= 0.8 * len(a | b)
-    near = lambda i, j: (slow[i] ^ slow[j]).bit_count() <= 11 and alike(sets[i], sets[j])
-    slow = [slow_fingerprint(t, 5) for t in prose]
+    bits = [[x & (1 << 64) - 1 for x in simhash.both_prints(t, 5)] for t in prose]
+    assert [b[0] for b in bits] == [slow_fingerprint(t, 5) for t in prose]
+    apart = lambda i, j, k: (bits[i][k] ^ bits[j][k]).bit_count()
+    near = lambda i, j: apart(i, j, 0) <= 14 and apart(i, j, 0) + apart(i, j, 1) <= 32 and alike(sets[i], sets[j])
     assert [found[i] for i in range(len(prose))] == grouped(len(prose), near)
 
 
@@ -78,7 +80,7 @@ def test_empty_table(spark):
 
 
 @pytest.mark.parametrize("n", [10, 10_000, 10_000_000_000])
-@pytest.mark.parametrize("distance", [0, 1, 4, 8, 11])
+@pytest.mark.parametrize("distance", [0, 1, 4, 8, 11, 14])
 def test_thresholds_cover_every_pair(n, distance):
     rng = np.random.default_rng(1)
     bits = rng.integers(0, 2, (500, 64)).astype(float)
@@ -93,7 +95,7 @@ def test_links_of_a_dense_ball_span_it(spark, monkeypatch):
     prints = {int(base) ^ sum(1 << int(b) for b in rng.choice(10, rng.integers(0, 3), replace=False)) for _ in range(300)} | {int(x) for x in rng.integers(0, 1 << 62, 300)}
     prints = sorted(prints)
     monkeypatch.setattr(simhash, "BLOCK", 16)
-    nodes = spark.createDataFrame([(p,) for p in prints], "fp long")
+    nodes = spark.createDataFrame([(p, 0) for p in prints], "fp long, check long")
     links = simhash.links(nodes, 4)
     roots = {r.node: r.root for r in components(links).collect()}
     want = grouped(len(prints), lambda i, j: (prints[i] ^ prints[j]).bit_count() <= 4)
@@ -108,6 +110,16 @@ def test_components_of_chains_and_stars(spark):
     assert components(spark.createDataFrame([], "u long, v long")).count() == 0
 
 
+@pytest.mark.parametrize("spread", [2, 12, 40])
+def test_pairs_of_a_large_bucket(spread):
+    rng = np.random.default_rng(4)
+    x = np.unique(np.array([sum(1 << int(b) for b in rng.choice(64, rng.integers(0, spread), replace=False)) for _ in range(700)], dtype=np.uint64))
+    a, b = simhash.near_pairs(np.stack([x, x], axis=1), 4)
+    assert (np.bitwise_count(x[a] ^ x[b]) <= 4).all() and not (a == b).any()
+    pairs = set(zip(a.tolist(), b.tolist(), strict=True))
+    assert grouped(len(x), lambda i, j: (i, j) in pairs or (j, i) in pairs) == grouped(len(x), lambda i, j: int(x[i] ^ x[j]).bit_count() <= 4)
+
+
 def test_jaccard_forest_accounts_for_every_pair():
     rng = np.random.default_rng(3)
     base = [np.sort(rng.choice(10_000, 50, replace=False)) for _ in range(5)]
