@@ -55,7 +55,7 @@ SMALL = 64
 #: Fingerprints of a larger bucket that are compared with all its others at once.
 ROWS = 256
 #: Documents that are compared by shingles within one task; more are dealt out by pairs of blocks.
-TEXT_BLOCK = 512
+TEXT_BLOCK = 2048
 #: Cost of writing, moving and sorting a signature, in comparisons of two fingerprints; disk counts as dearer than CPU time.
 SIGNATURE_COST = 2500.0
 
