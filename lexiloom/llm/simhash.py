@@ -22,8 +22,12 @@ With a ``similarity``, what fingerprints bring together is only a candidate: wit
 each component, distinct word sequences link if the Jaccard similarity of their sets
 of shingles reaches it, and the components of these links count.
 
-Check bits, a second fingerprint from the same hashes, must agree too; without them
+Each distinct shingle then votes once, as it counts once in the similarity. Check
+bits, a second fingerprint from the same hashes, must agree too; without them
 chance links among many texts would join strangers into ever larger candidates.
+Of a set of few shingles one shingle sways many bits, so short texts are also brought
+together exactly: two sets that are alike share what is left after leaving out, from
+each, as many shingles as the similarity allows.
 
 Repeated rows and ties are linked like other copies. Null ids are ignored when a
 component's least id is taken. An empty table gives an empty result.
@@ -32,7 +36,9 @@ component's least id is taken. An empty table gives an empty result.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import accumulate
+from functools import cache
+from itertools import accumulate, combinations
+from math import ceil, comb
 
 import numpy as np
 import pandas as pd
@@ -56,6 +62,8 @@ SMALL = 64
 ROWS = 256
 #: Documents that are compared by shingles within one task; more are dealt out by pairs of blocks.
 TEXT_BLOCK = 2048
+#: Cores of a set of shingles up to which it is filed under all of them; at a similarity of 0.8, all sets of up to 14 shingles.
+CORES = 128
 #: Cost of writing, moving and sorting a signature, in comparisons of two fingerprints; disk counts as dearer than CPU time.
 SIGNATURE_COST = 2500.0
 
@@ -85,22 +93,24 @@ def fingerprint(text: str | None, shingle: int) -> int:
     return _votes(_hashes(text, shingle))
 
 
-def both_prints(text: str | None, shingle: int) -> tuple[int, int]:
-    """The fingerprint, and as many check bits: the vote of the same hashes, mixed anew."""
+def both_prints(text: str | None, shingle: int, distinct: bool = False) -> tuple[int, int]:
+    """The fingerprint, and as many check bits: the vote of the same hashes, mixed anew; if ``distinct``, repeats vote once."""
     hashes = _hashes(text, shingle)
+    if distinct:
+        hashes = np.unique(hashes)
     mixed = hashes.astype(np.uint64)
     for shift, factor in MIX:
         mixed = (mixed ^ (mixed >> np.uint64(shift))) * np.uint64(factor)
     return _votes(hashes), _votes((mixed ^ (mixed >> np.uint64(31))).astype(">u8"))
 
 
-def fingerprints(docs: DataFrame, shingle: int, text: str = "text", fp: str = "fp", words: str = "words", check: str = "check") -> DataFrame:
-    """Add the fingerprint of each whole text and its check bits as signed longs, and a 128-bit digest of its word sequence in hex; columns of these names are replaced."""
+def fingerprints(docs: DataFrame, shingle: int, text: str = "text", fp: str = "fp", words: str = "words", check: str = "check", distinct: bool = False) -> DataFrame:
+    """Add the fingerprint of each whole text and its check bits as signed longs, repeated shingles counted once if ``distinct``, and a 128-bit digest of its word sequence in hex; columns of these names are replaced."""
 
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
             digest = [xxhash.xxh3_128_hexdigest(b" ".join((t or "").encode().lower().split())) for t in texts]
-            prints = np.array([both_prints(t, shingle) for t in texts], "int64").reshape(-1, 2)
+            prints = np.array([both_prints(t, shingle, distinct) for t in texts], "int64").reshape(-1, 2)
             yield pd.DataFrame({"fp": prints[:, 0], "check": prints[:, 1], "words": digest})
 
     added = docs.withColumn("_print", F.pandas_udf(of, "fp long, check long, words string")(F.col(text)))
@@ -320,6 +330,40 @@ def links(nodes: DataFrame, distance: int, total: int = 2 * BITS) -> DataFrame:
     return found
 
 
+@cache
+def left_out(n: int, similarity: float) -> np.ndarray | None:
+    """The choices of members, by place, that a set of n leaves out for its cores, -1 for none; None if they are over ``CORES``."""
+    most = n - ceil(similarity * n - 1e-9)
+    choices = sum(comb(n, k) for k in range(most + 1))
+    if choices > CORES:
+        return None
+    return np.array([[*c, *[-1] * (most - k)] for k in range(most + 1) for c in combinations(range(n), k)], int).reshape(choices, most)
+
+
+def cores(text: str | None, shingle: int, similarity: float) -> np.ndarray:
+    """Sums of hashes of all that a short text can share with a set that is alike; none for longer texts and those without words."""
+    hashes = np.unique(_hashes(text, shingle)).astype(np.uint64)
+    chosen = left_out(len(hashes), similarity) if len(hashes) else None
+    if chosen is None:
+        return np.zeros(0, "int64")
+    return (hashes.sum() - np.append(hashes, np.uint64(0))[chosen].sum(axis=1, dtype=np.uint64)).view("int64")
+
+
+def short_links(docs: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """Links (u, v) between the fingerprints of short texts that share a core, each to the core's least."""
+
+    def filed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = [cores(t, shingle, similarity) for t in batch["text"]]
+            prints = [both_prints(t, shingle, True)[0] if len(c) else 0 for t, c in zip(batch["text"], found, strict=True)]
+            yield pd.DataFrame({"core": np.concatenate([np.zeros(0, "int64"), *found]), "fp": np.repeat(np.array(prints, "int64"), [len(c) for c in found])})
+
+    # Grouped tables are stored before they are joined back, so that a hot core can be split.
+    under = stored(docs.select("text").mapInPandas(filed, "core long, fp long").distinct(), "short-cores")
+    least = stored(under.groupBy("core").agg(F.min("fp").alias("v"), F.max("fp").alias("most")).filter("v < most").select("core", "v"), "least-of-cores")
+    return under.join(least, "core").filter("fp <> v").select(F.col("fp").alias("u"), "v").distinct()
+
+
 def shingle_set(text: str | None, shingle: int) -> np.ndarray:
     """Sorted distinct hashes of a text's shingles; none for a text without words."""
     words = (text or "").encode().lower().split()
@@ -397,19 +441,22 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, distance: int = 14, simil
 
     By default five-word shingles that are at least 0.8 alike, brought together by
     fingerprints within 14 bits (0.8 makes 9.7 of 64 bits differ on average, with a
-    standard deviation of 2.9). Without a
+    standard deviation of 2.9), or by a core if both are short. Without a
     ``similarity`` the fingerprints' links alone count. With one, documents whose
     ids are all null link only to their equals.
     """
     small_batches(docs.sparkSession)
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    fps = stored(fingerprints(docs, shingle).select("doc_id", "fp", "check", "words"), "fingerprints")
+    fps = stored(fingerprints(docs, shingle, distinct=similarity is not None).select("doc_id", "fp", "check", "words"), "fingerprints")
     if similarity is None:
         nodes = stored(fps.groupBy("fp").agg(F.min("doc_id").alias("first")).withColumn("check", F.lit(0).cast("long")), "nodes")
         total = 2 * BITS
     else:
         nodes, total = stored(fps.select("fp", "check").distinct(), "nodes"), 2 * distance + 4
-    roots = components(links(nodes, distance, total)).withColumnRenamed("node", "fp")
+    near = links(nodes, distance, total)
+    if similarity is not None:
+        near = near.unionByName(short_links(docs, shingle, similarity))
+    roots = components(near).withColumnRenamed("node", "fp")
     shown = F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint")
     if similarity is None:
         named = nodes.join(roots, "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("group"))

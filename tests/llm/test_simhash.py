@@ -60,6 +60,22 @@ def test_similar_texts_against_brute_force(spark, prose):
     assert [found[i] for i in range(len(prose))] == grouped(len(prose), near)
 
 
+def test_repeated_passages_and_short_texts_against_brute_force(spark):
+    rng = np.random.default_rng(5)
+    say = lambda n: [f"w{x}" for x in rng.integers(0, 10**6, n)]
+    texts = []
+    for _ in range(8):
+        text, line = say(104), say(10)
+        texts += [" ".join(text + line), " ".join(text + line * 12)]
+    for n in range(5, 19):
+        for _ in range(15):
+            text = say(n)
+            texts += [" ".join(text), " ".join(text[:-1]), " ".join([*text[:-1], "changed"]), " ".join(text[2:])]
+    found = {r.doc_id: r.component_id for r in simhash.near_duplicates(frame(spark, texts)).collect()}
+    sets = [shingles(t, 5) for t in texts]
+    assert [found[i] for i in range(len(texts))] == grouped(len(texts), lambda i, j: len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]))
+
+
 def test_keep_one(spark, prose):
     df = frame(spark, prose)
     kept = simhash.keep_one(df)
