@@ -12,8 +12,8 @@ sidebars, notices, adverts, forms, reader comments), content, or just on the way
 
 Every page is read through its host's wrapper; groups that the wrapper does not
 have take their role from their own tag and names, and a page in which the wrapper
-finds no text is read through a wrapper of its own. Wrappers are fitted on up to
-``SAMPLE`` pages of a host, drawn by hash; every page is extracted whole.
+finds no text is read through a wrapper of its own. Wrappers are fitted on
+all distinct pages of a host, first within salted parts, whose wrappers are then merged.
 
 Character references are decoded, white space within a block becomes one space,
 blocks are trimmed and joined in page order by line feeds. Null, empty and text-free
@@ -29,16 +29,16 @@ import json
 import re
 import zlib
 from collections.abc import Iterator
+from functools import reduce
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexiloom.llm.common import small_batches, stored
 from lexiloom.llm.url_rules import host_of
 
-SAMPLE = 6
-#: Parts that a host's pages are dealt to while its sample is drawn.
+#: Parts that a host's pages are dealt to, each with a wrapper of its own at first.
 SALTS = 64
 DROP, WAY, CONTENT = 0, 1, 2
 # Names of HTML elements by how they nest or what they hold.
@@ -213,7 +213,7 @@ def assign(wrapper: list) -> list:
             return 0, 0
         sums = [clear(x, within) for x in item[INSIDE]]
         text, links = sum(t for t, _ in sums), sum(k for _, k in sums)
-        if item[LABEL].partition(" ")[0] in ("ul", "ol", "dl", "table", "div", "section") and text and links > 0.6 * text:
+        if item[LABEL].partition(" ")[0] in ("ul", "ol", "dl", "table", "div", "section") and not within and text and links > 0.6 * text:
             item[ROLE] = DROP
             return 0, 0
         item[TEXT], item[LINKS] = text, links
@@ -310,6 +310,10 @@ def main_text(page: str | None, wrapper: list | None) -> str:
 _wrappers: dict[bytes, list] = {}
 
 
+def _packed(wrapper: list) -> bytes:
+    return zlib.compress(json.dumps(wrapper, separators=(",", ":")).encode())
+
+
 def _unpacked(data: bytes | None) -> list | None:
     if data is None:
         return None
@@ -324,18 +328,31 @@ def wrappers(pages: DataFrame, url: str = "url", page: str = "html") -> DataFram
     """(host, wrapper) for each host with pages; wrappers are packed JSON."""
     named = pages.select(host_of(F.col(url)).alias("host"), F.col(page).alias("page")).filter(F.col("page").isNotNull() & (F.col("page") != ""))
     named = named.withColumn("draw", F.xxhash64("page")).withColumn("salt", F.pmod("draw", F.lit(SALTS)))
-    # First within salted parts of a host, which each task limits before it sends rows, then within the host.
-    for part in (["host", "salt"], ["host"]):
-        first = Window.partitionBy(*part).orderBy("draw", "page")
-        named = named.withColumn("place", F.row_number().over(first)).filter(F.col("place") <= SAMPLE)
-    sample = named.select("host", "page", "place")
-
-    def inferred(rows: pd.DataFrame) -> pd.DataFrame:
-        pages_ = list(dict.fromkeys(rows.sort_values("place")["page"]))
-        packed = zlib.compress(json.dumps(infer(pages_), separators=(",", ":")).encode())
-        return pd.DataFrame({"host": [rows["host"].iloc[0]], "wrapper": [packed]})
-
-    return sample.groupBy("host").applyInPandas(inferred, "host string, wrapper binary")
+    parts = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = named.repartition(parts, "host", "salt").sortWithinPartitions("host", "salt", "draw", "page")
+
+    def fitted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """The wrapper of each part, page by page; copies are neighbours and count once."""
+        key = wrapper = last = None
+        row = lambda: pd.DataFrame({"host": [key[0]], "salt": [key[1]], "wrapper": [_packed(wrapper)]})
+        for batch in batches:
+            for host, salt, said in zip(batch["host"], batch["salt"], batch["page"], strict=True):
+                if (host, salt) != key:
+                    if wrapper is not None:
+                        yield row()
+                    key, wrapper, last = (host, salt), None, None
+                if said != last:
+                    one, last = wrap(read_page(said)), said
+                    wrapper = one if wrapper is None else merge(wrapper, one)
+        if wrapper is not None:
+            yield row()
+
+    def joined(rows: pd.DataFrame) -> pd.DataFrame:
+        each = (json.loads(zlib.decompress(w)) for w in rows.sort_values("salt")["wrapper"])
+        return pd.DataFrame({"host": [rows["host"].iloc[0]], "wrapper": [_packed(assign(reduce(merge, each)))]})
+
+    partial = dealt.select("host", "salt", "page").mapInPandas(fitted, "host string, salt long, wrapper binary")
+    return partial.groupBy("host").applyInPandas(joined, "host string, wrapper binary")
 
 
 def extract_pages(pages: DataFrame, url: str = "url", page: str = "html", text: str = "text") -> DataFrame:

@@ -133,6 +133,17 @@ def test_html_never_fails(said):
     html_text.main_text(said, html_text.infer([said, "<p>a</p>"]))
 
 
+def test_html_lists_of_links_within_articles_stay():
+    linked, plain = (f"<article><p>a</p><ul><li>{x}</ul></article>" for x in ("<a href=x>see the other page</a>", "a plain point"))
+    assert html_text.main_text(plain, html_text.infer([linked])) == "a\na plain point"
+
+
+def test_html_wrappers_see_every_page(spark):
+    rows = [(f"http://h.org/{i % 40}", f"<body><div><p>text {i % 40}</p></div><h{1 + i % 4}>t</h{1 + i % 4}><b class={'abcdefghij'[i % 10]}>x</b></body>") for i in range(120)]
+    (packed,) = [r.wrapper for r in html_text.wrappers(spark.createDataFrame(rows, "url string, html string")).collect()]
+    assert {f"b {x}" for x in "abcdefghij"} <= {x[html_text.LABEL] for x in html_text._unpacked(packed)[html_text.INSIDE][0][html_text.INSIDE]}
+
+
 def test_html_on_frames(spark):
     rows = [(i, f"http://h{i % 2}.org/{i}", page(f"T{i}", [f"p{i}"]), "w") for i in range(9)] + [(9, None, page("N", ["n"]), "w"), (10, "http://h0.org/x", None, "w"), (10, "http://h0.org/x", None, "w")]
     df = spark.createDataFrame(rows, "page_id int, url string, html string, wrapper string")
