@@ -728,7 +728,7 @@ def stream_dedup_ingest(spark, sf_dir):
 @query()
 def score_baseline(spark, sf_dir):
     rows = unified(spark, sf_dir)
-    return scoring.predict(scoring.train(rows, 1 << 14, 5), rows.select("ord", "text")).select("ord", "label", "conf")
+    return scoring.predict(scoring.train(rows), rows.select("ord", "text")).select("ord", "label", "conf")
 
 
 @query("SELECT benchmark_split, cluster, n FROM (SELECT source AS benchmark_split, lang AS cluster, count(*) AS n FROM documents GROUP BY ALL) ORDER BY 1, 2")

@@ -188,3 +188,14 @@ def test_conform(spark):
     df = conform(spark.createDataFrame([("a", 1)], "text string, extra int"), UNIFIED)
     assert [(f.name, f.dataType.simpleString()) for f in df.schema] == fields(UNIFIED) and df.first().label is None
     assert "cluster" in dict(fields(EXPORT)) and "conf" in dict(fields(BANK))
+
+
+def test_score_baseline_trains_with_the_operators_defaults(spark, monkeypatch):
+    from lexiloom.operators import scoring
+    from lexiloom.plans import catalog
+
+    used, train = [], scoring.train
+    monkeypatch.setattr(scoring, "train", lambda *a, **b: used.append(train(*a, **b)) or used[0])
+    assert catalog.QUERIES["score_baseline"](spark, "/root/testdata/sf0.001").count() > 0
+    stages = used[0].stages
+    assert (stages[1].getNumFeatures(), stages[2].getMaxIter()) == (1 << 18, 20)
