@@ -24,6 +24,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lexiloom.llm.common import with_fields
+
 #: Distinct matches that a task looks up before it starts its table anew.
 CACHED = 250_000
 
@@ -170,5 +172,4 @@ def digests(df: DataFrame, vocabulary: str, pattern: str, text: str = "text") ->
                 rows.append((len(ids), sha(np.array(ids, "<u4").tobytes()), sha(codec.decode(ids))))
             yield pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
 
-    added = df.withColumn("_digests", both(F.col(text)))
-    return added.withColumns({n: F.col(f"_digests.{n}") for n in ("n_tokens", "ids_sha256", "decoded_sha256")}).drop("_digests")
+    return with_fields(df, both(F.col(text)), {n: n for n in ("n_tokens", "ids_sha256", "decoded_sha256")})

@@ -7,7 +7,8 @@ import uuid
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -76,3 +77,12 @@ def sorted_groups(batches: Iterator[pd.DataFrame], key: list[str]) -> Iterator[p
     for rows in sorted_runs(batches, key):
         for _, group in rows.groupby(key, sort=False):
             yield group
+
+
+def with_fields(df: DataFrame, found: Column, fields: dict[str, str]) -> DataFrame:
+    """Add fields of the struct ``found`` under the names that ``fields`` maps to them; columns of these names are replaced, all others pass through."""
+    held = "_found"
+    while held.lower() in (c.lower() for c in df.columns):
+        held += "_"
+    kept = [F.col(f"`{c}`") for c in df.columns if c.lower() not in (n.lower() for n in fields)]
+    return df.withColumn(held, found).select(*kept, *(F.col(f"{held}.{field}").alias(name) for name, field in fields.items()))

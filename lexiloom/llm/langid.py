@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexiloom.llm.common import small_batches, stored
+from lexiloom.llm.common import small_batches, stored, with_fields
 
 GRAM, HASHES, UNKNOWN = 4, 3, "und"
 #: Characters that are hashed at once, to bound a worker's memory.
@@ -178,5 +178,4 @@ def identify(docs: DataFrame, model: Filter, text: str = "text") -> DataFrame:
             lang, score, cover = shared.value.predict(texts.fillna("").tolist())
             yield pd.DataFrame({"lang_pred": lang, "score": score, "coverage": cover})
 
-    added = docs.withColumn("_lang", F.pandas_udf(named, "lang_pred string, score double, coverage double")(F.col(text)))
-    return added.withColumns({n: F.col(f"_lang.{n}") for n in ("lang_pred", "score", "coverage")}).drop("_lang")
+    return with_fields(docs, F.pandas_udf(named, "lang_pred string, score double, coverage double")(F.col(text)), {n: n for n in ("lang_pred", "score", "coverage")})

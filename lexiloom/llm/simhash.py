@@ -18,13 +18,21 @@ at a value are verified on all bits, and a spanning forest of the links goes on
 to connected components, so a dense group costs links in proportion to its size.
 Values at which more than ``BLOCK`` nodes meet are dealt out by pairs of blocks.
 
+The programme plans for ``PLANNED`` nodes at least, so that what a node is filed
+under does not change with the size of the input up to there.
+
 With a ``similarity``, what fingerprints bring together is only a candidate: within
 each component, distinct word sequences link if the Jaccard similarity of their sets
 of shingles reaches it, and the components of these links count.
 
-Each distinct shingle then votes once, as it counts once in the similarity. Check
-bits, a second fingerprint from the same hashes, must agree too; without them
+Each distinct shingle then votes once, as it counts once in the similarity. Nodes
+that meet are candidates if their fingerprints and as many check bits, a second
+fingerprint from the same hashes, lie within ``total`` bits together; the distance
+of the first alone decides only where they are sure to meet. Without check bits,
 chance links among many texts would join strangers into ever larger candidates.
+A candidate group of over ``TEXT_BLOCK`` word sequences is first held against one of
+its own, so that a dense group of any size is linked without being dealt by pairs of
+blocks: see ``_large_groups``.
 Of a set of few shingles one shingle sways many bits, so short texts are also brought
 together exactly: two sets that are alike share what is left after leaving out, from
 each, as many shingles as the similarity allows.
@@ -46,20 +54,22 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexiloom.llm.common import small_batches, sorted_groups, sorted_runs, stored
+from lexiloom.llm.common import small_batches, sorted_groups, sorted_runs, stored, with_fields
 from lexiloom.llm.components import components
 
 SEED, BITS = 42, 64
 # Shifts and odd factors of the 64-bit mixer behind the check bits.
 MIX = ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB))
 #: Nodes that meet at one value and are compared within one task; more are dealt out by pairs of blocks.
-BLOCK = 8192
+BLOCK = 65536
+#: Nodes that the dynamic programme plans for at least.
+PLANNED = 10**7
 #: Rows, of 24 bytes, up to which the table of full values is broadcast.
 BROADCAST_ROWS = 100_000
 #: Nodes of a bucket up to which all its pairs are compared at once for many buckets.
 SMALL = 64
-#: Fingerprints of a larger bucket that are compared with all its others at once.
-ROWS = 256
+#: Comparisons of a larger bucket that are made at once.
+AT_ONCE = 1 << 20
 #: Documents that are compared by shingles within one task; more are dealt out by pairs of blocks.
 TEXT_BLOCK = 2048
 #: Cores of a set of shingles up to which it is filed under all of them; at a similarity of 0.8, all sets of up to 14 shingles.
@@ -113,8 +123,7 @@ def fingerprints(docs: DataFrame, shingle: int, text: str = "text", fp: str = "f
             prints = np.array([both_prints(t, shingle, distinct) for t in texts], "int64").reshape(-1, 2)
             yield pd.DataFrame({"fp": prints[:, 0], "check": prints[:, 1], "words": digest})
 
-    added = docs.withColumn("_print", F.pandas_udf(of, "fp long, check long, words string")(F.col(text)))
-    return added.withColumns({fp: F.col("_print.fp"), check: F.col("_print.check"), words: F.col("_print.words")}).drop("_print")
+    return with_fields(docs, F.pandas_udf(of, "fp long, check long, words string")(F.col(text)), {fp: "fp", check: "check", words: "words"})
 
 
 def bit_counts(nodes: DataFrame) -> np.ndarray:
@@ -180,8 +189,9 @@ def signatures_of(size: int, threshold: int) -> float:
     return {-1: 0.0, 0: 1.0, 1: 1 + size / 2, 2: 1.0 + size}[threshold]
 
 
-def allocate(counts: np.ndarray, n: int, distance: int) -> list[tuple[list[int], int]]:
-    """Groups of bits with their thresholds, at the least expected cost."""
+def allocate(counts: np.ndarray, n: int, distance: int, planned: int | None = None) -> list[tuple[list[int], int]]:
+    """Groups of bits with their thresholds, at the least expected cost for ``planned`` nodes like the n counted."""
+    planned = planned or n
     best: tuple[float, list[tuple[list[int], int]]] = (float("inf"), [])
     for m in range(max(1, -(-(distance + 1) // 3)), distance + 2):
         groups = group_bits(counts, n, m)
@@ -192,8 +202,8 @@ def allocate(counts: np.ndarray, n: int, distance: int) -> list[tuple[list[int],
             for s, (cost, chosen) in plans.items():
                 for t in (-1, 0, 1, 2):
                     filed = signatures_of(len(bits), t)
-                    pairs = 0.0 if t < 0 else n * n / 2 * shares[t]
-                    total = cost + n * filed * SIGNATURE_COST + pairs
+                    pairs = 0.0 if t < 0 else planned * planned / 2 * shares[t]
+                    total = cost + planned * filed * SIGNATURE_COST + pairs
                     if s + t + 1 <= distance + 1 and total < after.get(s + t + 1, (float("inf"),))[0]:
                         after[s + t + 1] = (total, [*chosen, t])
             plans = after
@@ -222,12 +232,11 @@ def signatures(nodes: DataFrame, plan: list[tuple[list[int], int]]) -> DataFrame
 
 
 def _near(a: np.ndarray, b: np.ndarray, distance: int, total: int) -> np.ndarray:
-    """Whether unsigned (fingerprint, check) pairs lie within ``distance`` bits on the first and ``total`` on both."""
+    """Whether unsigned (fingerprint, check) pairs lie within ``total`` bits on both, or within ``distance`` on the first if both may differ everywhere."""
     first = np.bitwise_count(a[..., 0] ^ b[..., 0])
-    near = first <= distance
-    if total < 2 * BITS:
-        near &= first + np.bitwise_count(a[..., 1] ^ b[..., 1]) <= total
-    return near
+    if total >= 2 * BITS:
+        return first <= distance
+    return first + np.bitwise_count(a[..., 1] ^ b[..., 1]) <= total
 
 
 def forest(prints: np.ndarray, distance: int, total: int) -> tuple[list[int], list[int]]:
@@ -250,8 +259,9 @@ def forest(prints: np.ndarray, distance: int, total: int) -> tuple[list[int], li
 def near_pairs(prints: np.ndarray, distance: int, total: int = 2 * BITS) -> tuple[np.ndarray, np.ndarray]:
     """All links of a bucket, by place, or spanning ones if there are more links than members."""
     left, right, n = [], [], 0
-    for at in range(0, len(prints), ROWS):
-        i, j = np.nonzero(_near(prints[at : at + ROWS, None], prints[None, at:], distance, total))
+    rows = max(16, AT_ONCE // max(len(prints), 1))
+    for at in range(0, len(prints), rows):
+        i, j = np.nonzero(_near(prints[at : at + rows, None], prints[None, at:], distance, total))
         i, j = i[j > i] + at, j[j > i] + at
         left.append(i)
         right.append(j)
@@ -304,10 +314,10 @@ def _verify(key: list[str], distance: int, total: int):
 
 
 def links(nodes: DataFrame, distance: int, total: int = 2 * BITS) -> DataFrame:
-    """Links (u, v) between fingerprints that span all pairs of nodes (fp, check) within the distance, and within ``total`` bits with the check bits."""
+    """Links (u, v) between fingerprints that span all pairs of nodes (fp, check) within the distance, or all that meet and lie within ``total`` bits with the check bits."""
     spark = nodes.sparkSession
     n = nodes.count()
-    plan = allocate(bit_counts(nodes), n, distance)
+    plan = allocate(bit_counts(nodes), n, distance, max(n, PLANNED))
     filed = signatures(nodes, plan)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     full = filed.groupBy("part", "value").count().filter(F.col("count") > BLOCK)
@@ -373,11 +383,29 @@ def shingle_set(text: str | None, shingle: int) -> np.ndarray:
     return np.sort(np.fromiter(found, np.uint64, len(found)).view("int64"))
 
 
+class _Index:
+    """Which of some sets hold a value: their values in order, each with its owner."""
+
+    def __init__(self, sets: list[np.ndarray], chosen: np.ndarray):
+        self.n = len(sets)
+        sizes = np.array([len(sets[i]) for i in chosen], int)
+        flat = np.concatenate([np.zeros(0, "int64"), *(sets[i] for i in chosen)])
+        order = np.argsort(flat, kind="stable")
+        self.values, self.owners = flat[order], np.repeat(chosen, sizes)[order]
+
+    def shared(self, own: np.ndarray) -> np.ndarray:
+        """How many values each set shares with ``own``; 0 for sets that were not chosen."""
+        start, end = np.searchsorted(self.values, own, "left"), np.searchsorted(self.values, own, "right")
+        counts = end - start
+        at = np.repeat(start - np.append(0, np.cumsum(counts)[:-1]), counts) + np.arange(counts.sum())
+        return np.bincount(self.owners[at], minlength=self.n)
+
+
 def jaccard_forest(sets: list[np.ndarray], similarity: float) -> tuple[list[int], list[int]]:
     """Links that span the components of the sets; every pair is accounted for. Empty sets are alike."""
     sizes = np.array([len(s) for s in sets])
-    flat, owner = np.concatenate(sets) if sets else np.zeros(0, "int64"), np.repeat(np.arange(len(sets)), sizes)
     left, right, open_ = [], [], np.ones(len(sets), bool)
+    index, held = _Index(sets, np.arange(len(sets))), len(sets)
     for seed in range(len(sets)):
         if not open_[seed]:
             continue
@@ -385,43 +413,45 @@ def jaccard_forest(sets: list[np.ndarray], similarity: float) -> tuple[list[int]
         queue = [seed]
         while queue and open_.any():
             i = queue.pop()
-            at = np.searchsorted(sets[i], flat)
-            shared = np.zeros(len(flat), bool)
-            within = at < sizes[i]
-            shared[within] = sets[i][at[within]] == flat[within]
-            both = np.bincount(owner[shared], minlength=len(sets))
-            found = np.flatnonzero(open_ & (both >= similarity * (sizes + sizes[i] - both)))
+            both = index.shared(sets[i])
+            found = np.flatnonzero(open_ & (both >= similarity * (sizes + sizes[i] - both) - 1e-9))
             left += [i] * len(found)
             right += found.tolist()
             queue += found.tolist()
             open_[found] = False
-            if len(found) * 4 > len(sets) or len(found) > 64:
-                still = open_[owner]
-                flat, owner = flat[still], owner[still]
+            if (still := int(open_.sum())) < 0.7 * held:  # what is linked is not looked up any more
+                index, held = _Index(sets, np.flatnonzero(open_)), still
     return left, right
 
 
-def _alike(docs: DataFrame, classes: DataFrame, shingle: int, similarity: float) -> DataFrame:
-    """Links (u, v) between word sequences (words, candidate, first) of one candidate group whose sets of shingles are alike."""
-    # Grouped tables are stored before they are joined back, so that both sides are plain and a hot group can be split.
-    sizes = stored(classes.groupBy("candidate").agg(F.count("*").alias("n")).filter("n > 1"), "candidate-sizes")
-    wanted = stored(classes.join(sizes, "candidate").select(F.col("first").alias("_first"), F.col("words").alias("_words"), "candidate", "n"), "candidates")
+def jaccard(a: np.ndarray, b: np.ndarray) -> float:
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return both / (len(a) + len(b) - both) if len(a) or len(b) else 1.0
 
-    def sets_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            own = [xxhash.xxh3_128_hexdigest(b" ".join((t or "").encode().lower().split())) for t in batch["text"]]
-            kept = batch[np.array(own, object) == batch["words"].to_numpy(object)]
-            yield kept[["words", "candidate", "n"]].assign(shingles=[shingle_set(t, shingle) for t in kept["text"]])
 
-    texts = docs.select("doc_id", "text").join(wanted, F.col("doc_id") == F.col("_first")).select("text", F.col("_words").alias("words"), "candidate", "n")
-    sets = texts.mapInPandas(sets_of, "words string, candidate long, n long, shingles array<long>")
+def across(stars: list[np.ndarray], others: list[np.ndarray], similarity: float) -> list[tuple[int, int]]:
+    """For each of ``others`` that is alike some of ``stars``, its place and that of one such star."""
+    index, sizes, out = _Index(stars, np.arange(len(stars))), np.array([len(s) for s in stars]), []
+    for k, own in enumerate(others):
+        both = index.shared(own)
+        found = np.flatnonzero(both >= similarity * (sizes + len(own) - both) - 1e-9)
+        if len(found):
+            out.append((k, int(found[0])))
+    return out
+
+
+LINK = "u string, v string"
+
+
+def _blocks_linked(sets: DataFrame, n: str, similarity: float) -> DataFrame:
+    """Links among the sets (words, candidate, shingles) of each candidate group of ``n``, dealt by pairs of blocks."""
     order = ["candidate", "i", "j"]
     dealt = (
-        sets.withColumn("blocks", F.ceil(F.col("n") / TEXT_BLOCK).cast("int"))
+        sets.withColumn("blocks", F.ceil(F.col(n) / TEXT_BLOCK).cast("int"))
         .withColumn("b", F.pmod(F.xxhash64("words"), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select("candidate", F.least("b", "other").alias("i"), F.greatest("b", "other").alias("j"), "words", "shingles")
-        .repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), *order)
+        .repartition(int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions")), *order)
         .sortWithinPartitions(*order)
     )
 
@@ -433,16 +463,91 @@ def _alike(docs: DataFrame, classes: DataFrame, shingle: int, similarity: float)
             if left:
                 yield pd.DataFrame({"u": names[left], "v": names[right]})
 
-    return dealt.mapInPandas(linked, "u string, v string")
+    return dealt.mapInPandas(linked, LINK)
+
+
+def _large_groups(members: DataFrame, similarity: float) -> DataFrame:
+    """Links within candidate groups of any size, from their stored sets (words, candidate, leader, shingles).
+
+    Jaccard distance is a metric. With d = 1 - similarity, a group's sets are stars
+    (within d of its leader: linked to it), a ring (within 2 d) or outside. A star
+    can link with a star, which the leader already joins, or with the ring, not with
+    those outside. So the ring is held against the stars, and all but the stars
+    against one another, by pairs of blocks; where all are stars, nothing is left.
+    """
+    near, far = similarity - 1e-9, 1 - 2 * (1 - similarity) - 1e-9
+    leaders = members.filter("words = leader").select(F.col("candidate").alias("of"), F.col("shingles").alias("lead"))
+    leaders = stored(leaders.dropDuplicates(["of"]), "leaders")
+
+    def placed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            alike = np.array([jaccard(np.asarray(a), np.asarray(b)) for a, b in zip(batch["shingles"], batch["lead"], strict=True)])
+            yield batch[["words", "candidate", "leader", "shingles"]].assign(place=np.where(alike >= near, 0, np.where(alike >= far, 1, 2)))
+
+    rings = members.join(leaders, F.col("candidate") == F.col("of")).drop("of").mapInPandas(placed, "words string, candidate long, leader string, shingles array<long>, place int")
+    rings = stored(rings, "rings")
+    found = rings.filter("place = 0 AND words <> leader").select(F.col("words").alias("u"), F.col("leader").alias("v"))
+    sizes = rings.groupBy(F.col("candidate").alias("of")).agg(F.count_if(F.col("place") == 0).alias("stars"), F.count_if(F.col("place") == 1).alias("ring"), F.count_if(F.col("place") > 0).alias("rest"))
+    sizes = stored(sizes.filter("rest > 0"), "ring-sizes")
+    if sizes.isEmpty():
+        return found
+    sized = rings.join(sizes, F.col("candidate") == F.col("of")).drop("of")
+    rest = _blocks_linked(sized.filter("place > 0").select("words", "candidate", "shingles", "rest"), "rest", similarity)
+    order = ["candidate", "i", "j"]
+    blocks = lambda n: F.ceil(F.col(n) / TEXT_BLOCK).cast("int")
+    own = F.when(F.col("place") == 0, blocks("stars")).otherwise(blocks("ring"))
+    other = F.when(F.col("place") == 0, blocks("ring")).otherwise(blocks("stars"))
+    met = (
+        sized.filter("place < 2 AND ring > 0")
+        .withColumn("b", F.pmod(F.xxhash64("words"), own).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), other - 1)))
+        .select("candidate", F.when(F.col("place") == 0, F.col("b")).otherwise(F.col("other")).alias("i"), F.when(F.col("place") == 0, F.col("other")).otherwise(F.col("b")).alias("j"), "place", "words", "shingles")
+        .repartition(int(members.sparkSession.conf.get("spark.sql.shuffle.partitions")), *order)
+        .sortWithinPartitions(*order)
+    )
+
+    def crossed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in sorted_groups(batches, order):
+            stars, others = rows[rows["place"] == 0], rows[rows["place"] == 1]
+            if len(stars) and len(others):
+                links_ = across([np.asarray(x, "int64") for x in stars["shingles"]], [np.asarray(x, "int64") for x in others["shingles"]], similarity)
+                yield pd.DataFrame({"u": [others["words"].iloc[a] for a, _ in links_], "v": [stars["words"].iloc[b] for _, b in links_]}, dtype=object)
+
+    return found.unionByName(rest).unionByName(met.mapInPandas(crossed, LINK))
+
+
+def _alike(docs: DataFrame, classes: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """Links (u, v) between word sequences (words, candidate, first) of one candidate group whose sets of shingles are alike."""
+    # Grouped tables are stored before they are joined back, so that both sides are plain and a hot group can be split.
+    sizes = stored(classes.groupBy("candidate").agg(F.count("*").alias("n"), F.min("words").alias("leader")).filter("n > 1"), "candidate-sizes")
+    wanted = stored(classes.join(sizes, "candidate").select(F.col("first").alias("_first"), F.col("words").alias("_words"), "candidate", "leader", "n"), "candidates")
+
+    def sets_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            own = [xxhash.xxh3_128_hexdigest(b" ".join((t or "").encode().lower().split())) for t in batch["text"]]
+            kept = batch[np.array(own, object) == batch["words"].to_numpy(object)]
+            yield kept[["words", "candidate", "leader", "n"]].assign(shingles=[shingle_set(t, shingle) for t in kept["text"]])
+
+    def sets(only: str) -> DataFrame:
+        some = wanted.filter(only)
+        some = F.broadcast(some) if some.count() <= BROADCAST_ROWS else some
+        texts = docs.select("doc_id", "text").join(some, F.col("doc_id") == F.col("_first")).select("text", F.col("_words").alias("words"), "candidate", "leader", "n")
+        return texts.mapInPandas(sets_of, "words string, candidate long, leader string, n long, shingles array<long>")
+
+    found = _blocks_linked(sets(f"n <= {TEXT_BLOCK}"), "n", similarity)
+    if wanted.filter(F.col("n") > TEXT_BLOCK).isEmpty():
+        return found
+    return found.unionByName(_large_groups(stored(sets(f"n > {TEXT_BLOCK}").drop("n"), "large-groups"), similarity))
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, distance: int = 14, similarity: float | None = 0.8, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """One row per document: doc_id, fp (signed), fingerprint (16 hex digits), words (digest), component_id (least id reachable) and group (its component's key).
 
-    By default five-word shingles that are at least 0.8 alike, brought together by
-    fingerprints within 14 bits (0.8 makes 9.7 of 64 bits differ on average, with a
-    standard deviation of 2.9), or by a core if both are short. Without a
-    ``similarity`` the fingerprints' links alone count. With one, documents whose
+    By default five-word shingles that are at least 0.8 alike. At 0.8, 9.7 of 64 bits
+    differ on average, with a standard deviation of 2.9: all texts within 14 bits meet,
+    those further apart meet if they are near on some group of bits, and those that
+    meet within 34 of 128 bits are verified; short texts also meet by a core. Without
+    a ``similarity`` the fingerprints' links alone count. With one, documents whose
     ids are all null link only to their equals.
     """
     small_batches(docs.sparkSession)
@@ -452,7 +557,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, distance: int = 14, simil
         nodes = stored(fps.groupBy("fp").agg(F.min("doc_id").alias("first")).withColumn("check", F.lit(0).cast("long")), "nodes")
         total = 2 * BITS
     else:
-        nodes, total = stored(fps.select("fp", "check").distinct(), "nodes"), 2 * distance + 4
+        nodes, total = stored(fps.select("fp", "check").distinct(), "nodes"), 2 * distance + 6
     near = links(nodes, distance, total)
     if similarity is not None:
         near = near.unionByName(short_links(docs, shingle, similarity))

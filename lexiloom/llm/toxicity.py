@@ -35,7 +35,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexiloom.llm.common import small_batches, stored
+from lexiloom.llm.common import small_batches, stored, with_fields
 
 WORD = re.compile(r"\w+")
 PREFIXES = range(3, 9)
@@ -307,8 +307,9 @@ def score(docs: DataFrame, model: Field, text: str = "text") -> DataFrame:
             rows = []
             for t in texts:
                 odds, tagged = field_.tag(t)
-                rows.append((field_.score(odds), [{"start": a, "end": b, "marginal": p} for a, b, p in field_.spans(t or "", tagged)]))
-            yield pd.DataFrame(rows, columns=["score", "spans"])
+                value = field_.score(odds)
+                rows.append((value, int(value >= 0.5), [{"start": a, "end": b, "marginal": p} for a, b, p in field_.spans(t or "", tagged)]))
+            yield pd.DataFrame(rows, columns=["score", "predicted", "spans"])
 
-    added = docs.withColumn("_toxic", F.pandas_udf(scored, "score double, spans array<struct<start:int,end:int,marginal:double>>")(F.col(text)))
-    return added.withColumns({"score": F.col("_toxic.score"), "predicted": (F.col("_toxic.score") >= 0.5).cast("int"), "spans": F.col("_toxic.spans")}).drop("_toxic")
+    found = F.pandas_udf(scored, "score double, predicted int, spans array<struct<start:int,end:int,marginal:double>>")(F.col(text))
+    return with_fields(docs, found, {n: n for n in ("score", "predicted", "spans")})

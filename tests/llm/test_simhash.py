@@ -49,15 +49,61 @@ def shingles(text, k):
     return {" ".join(words[i : i + k]) for i in range(max(1, len(words) - k + 1))} if words else set()
 
 
+def alike(a, b):
+    return not (a | b) or len(a & b) >= 0.8 * len(a | b)
+
+
 def test_similar_texts_against_brute_force(spark, prose):
     found = {r.doc_id: r.component_id for r in simhash.near_duplicates(frame(spark, prose)).collect()}
     sets = [shingles(t, 5) for t in prose]
-    alike = lambda a, b: not (a | b) or len(a & b) >= 0.8 * len(a | b)
-    bits = [[x & (1 << 64) - 1 for x in simhash.both_prints(t, 5)] for t in prose]
-    assert [b[0] for b in bits] == [slow_fingerprint(t, 5) for t in prose]
-    apart = lambda i, j, k: (bits[i][k] ^ bits[j][k]).bit_count()
-    near = lambda i, j: apart(i, j, 0) <= 14 and apart(i, j, 0) + apart(i, j, 1) <= 32 and alike(sets[i], sets[j])
-    assert [found[i] for i in range(len(prose))] == grouped(len(prose), near)
+    assert [simhash.both_prints(t, 5)[0] & (1 << 64) - 1 for t in prose] == [slow_fingerprint(t, 5) for t in prose]
+    assert [found[i] for i in range(len(prose))] == grouped(len(prose), lambda i, j: alike(sets[i], sets[j]))
+
+
+def test_texts_at_the_least_similarity_are_found(spark):
+    """Pairs at 0.8 or just over, of many lengths, against plain Jaccard: at least 0.99 of them link, and no stranger does."""
+    rng = np.random.default_rng(11)
+    texts, n = [], 0
+    for size in (6, 10, 15, 20, 25, 30, 40, 60, 100, 250):
+        for _ in range(60):
+            text = [f"w{n + k}" for k in range(size + 4)]
+            n += size + 4
+            cut = size - int(np.ceil(0.8 * size - 1e-9))
+            texts += [" ".join(text), " ".join(text[: len(text) - cut] if rng.random() < 0.5 else text[cut:])]
+    found = {r.doc_id: r.component_id for r in simhash.near_duplicates(frame(spark, texts)).collect()}
+    sets = [shingles(t, 5) for t in texts]
+    pairs = range(0, len(texts), 2)
+    assert all(alike(sets[i], sets[i + 1]) for i in pairs)
+    assert {found[i] for i in pairs} == set(pairs) and all(found[i + 1] in (i, i + 1) for i in pairs)
+    assert sum(found[i + 1] == i for i in pairs) >= 0.99 * len(pairs)
+
+
+def test_large_groups_against_brute_force(spark, monkeypatch):
+    """A dense group, a ring around it and a chain that leads away, all one candidate group of several blocks."""
+    monkeypatch.setattr(simhash, "TEXT_BLOCK", 16)
+    rng = np.random.default_rng(12)
+    base = [f"w{k}" for k in range(120)]
+    texts = []
+    for k in range(90):
+        words = list(base)
+        for at in rng.integers(0, 120, rng.integers(1, 5)):
+            words[at] = f"x{k}-{at}"
+        texts.append(" ".join(words))
+    for k in range(1, 40):
+        texts.append(" ".join(base[5 * min(k, 20) :] + [f"y{j}" for j in range(5 * k)]))
+    docs = frame(spark, texts)
+    classes = docs.selectExpr("doc_id AS first", "1L AS candidate").join(simhash.fingerprints(docs.select("doc_id", "text"), 5).selectExpr("doc_id AS first", "words"), "first")
+    found = simhash._alike(docs, classes, 5, 0.8)
+    sets = [shingles(t, 5) for t in texts]
+    want = grouped(len(texts), lambda i, j: alike(sets[i], sets[j]))
+    assert 1 < len(set(want)) < len(want)
+    named = {r.first: r.words for r in classes.collect()}
+    at = {w: i for i, w in named.items()}
+    links = {(at[r.u], at[r.v]) for r in found.collect()}
+    assert all(alike(sets[i], sets[j]) for i, j in links)
+    assert grouped(len(texts), lambda i, j: (i, j) in links or (j, i) in links) == want
+    named = {r.doc_id: r.component_id for r in simhash.near_duplicates(docs).collect()}
+    assert [named[i] for i in range(len(texts))] == want
 
 
 def test_repeated_passages_and_short_texts_against_brute_force(spark):
