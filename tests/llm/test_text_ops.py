@@ -144,6 +144,52 @@ def test_html_wrappers_see_every_page(spark):
     assert {f"b {x}" for x in "abcdefghij"} <= {x[html_text.LABEL] for x in html_text._unpacked(packed)[html_text.INSIDE][0][html_text.INSIDE]}
 
 
+def test_html_template_texts_are_found_by_alignment():
+    """The wrapper changes the result: what all pages say at a place is the template's, in runs and out of them."""
+    pages = [f"<body><div><p>Read more on this site.</p><h2>head {i}</h2><p>story {i}{' goes on' * 20}</p>{'<p>extra</p>' * (i % 3)}<p>All rights reserved</p></div></body>" for i in range(6)]
+    wrapper = html_text.infer(pages)
+    for i, p in enumerate(pages):
+        assert html_text.main_text(p, wrapper) == "\n".join([f"head {i}", f"story {i}" + " goes on" * 20] + ["extra"] * (i % 3))
+        assert "All rights reserved" in html_text.main_text(p, None)
+    few = html_text.infer(pages[: html_text.TEMPLATE_PAGES - 1])
+    assert "All rights reserved" in html_text.main_text(pages[0], few)
+    copies = [f"<article><h1>one story</h1><p>the same long paragraph</p><p>and another one</p><p>{i}</p></article>" for i in range(8)]
+    assert html_text.main_text(copies[3], html_text.infer(copies)) == "one story\nthe same long paragraph\nand another one\n3"
+
+
+@pytest.mark.parametrize("name", ["sidebar-layout", "side-by-side", "notice-board", "ad-free", "with-sidebar", "commentary"])
+def test_html_names_of_layouts_keep_their_articles(name):
+    said = f'<div class="{name}"><div class="content"><p>first words</p><p>second</p></div></div><div class="cookie-notice">ok</div><div class="ad-slot">buy</div>'
+    assert html_text.main_text(said, None) == "first words\nsecond"
+    assert html_text.main_text(f'<article><p>first</p><div class="{name}"><p>second</p></div></article>', None) == "first\nsecond" or name == "with-sidebar"
+    assert html_text.main_text(f'<div class="{name}"><article><p>first</p></article></div>', None) == "first"
+
+
+def test_html_deep_and_long_pages():
+    deep = "<div>" * 100_000 + "deep text" + "</b></div>" * 100_000
+    spans = "<span>" * 50_000 + "<li></li>" * 50_000 + "<p>" * 50_000 + "last"
+    unlike = "<div>" + "".join(f"<p class=c{'abcdefghij'[k % 10]}{chr(97 + k // 10 % 26)}{chr(97 + k // 260 % 26)}{chr(97 + k // 6760)}>{k}</p>" for k in range(50_000)) + "</div>"
+    mixed = "".join(random.Random(3).choices(["<p>a</p>", "<h3>b</h3>", "<ul><li>c</ul>", "<pre>d</pre>"], k=50_000))
+    pages = [deep, spans, unlike, mixed, deep[:500_000], unlike[::1][: len(unlike) // 2]]
+    wrapper = html_text._unpacked(html_text._packed(html_text.infer(pages)))
+    assert html_text.main_text(deep, wrapper) == "deep text" == html_text.main_text(deep, None)
+    assert html_text.main_text(spans, None).endswith("last")
+    assert html_text.main_text(unlike, wrapper) == "\n".join(map(str, range(50_000))) == html_text.main_text(unlike, None)
+    assert html_text.main_text(mixed, None).count("\n") == 49_999
+
+
+def test_html_alignment_is_a_longest_common_subsequence():
+    rng = random.Random(4)
+    for _ in range(200):
+        a, b = ([[rng.choice("abcde")] for _ in range(rng.randint(0, 12))] for _ in range(2))
+        best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i in range(len(a)):
+            for j in range(len(b)):
+                best[i + 1][j + 1] = best[i][j] + 1 if a[i] == b[j] else max(best[i][j + 1], best[i + 1][j])
+        found = html_text.pairs(a, b)
+        assert len(found) == best[-1][-1] and all(a[i] == b[j] for i, j in found) and all(x < y for (x, _), (y, _) in zip(found, found[1:]))
+
+
 def test_html_on_frames(spark):
     rows = [(i, f"http://h{i % 2}.org/{i}", page(f"T{i}", [f"p{i}"]), "w") for i in range(9)] + [(9, None, page("N", ["n"]), "w"), (10, "http://h0.org/x", None, "w"), (10, "http://h0.org/x", None, "w")]
     df = spark.createDataFrame(rows, "page_id int, url string, html string, wrapper string")
