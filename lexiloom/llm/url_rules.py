@@ -3,7 +3,9 @@
 Each URL is expanded into the expressions that a rule could have: every host
 suffix at a label boundary with as many labels as some rule has, joined with
 every path prefix as long as some rule's path. The expressions are joined to the
-rules on the first four bytes of their SHA-256; the full digest then confirms.
+rules on the first four bytes of their SHA-256; the full digest then confirms. What
+each distinct host and path gets is written before the rows are joined back to it,
+so that the rows of a very common URL can be split over tasks.
 
 Null, empty and scheme-less URLs have empty host and path and get the default
 verdict. Repeated rows stay repeated. No column but the URL is read; all other
@@ -15,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lexiloom.llm.common import stored
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Characters of a hex digest that make up the short prefix (four bytes).
 PREFIX_HEX = 8
@@ -61,7 +65,9 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: st
             (F.length("host") + F.length("path")).alias("chars"), F.length("host").alias("host_chars"),
             F.col("verdict").alias("verdict"), F.concat("host", "path").alias("rule"),
         ).alias("hit"),
-    ).withColumn("r_prefix", F.substring("r_digest", 1, PREFIX_HEX))
+    ).groupBy("r_digest").agg(F.max("hit").alias("hit"))
+    # Rules under one prefix are few: two different ones share it by chance of one in 2^32.
+    prefixed = keyed.groupBy(F.substring("r_digest", 1, PREFIX_HEX).alias("r_prefix")).agg(F.collect_list(F.struct("r_digest", "hit")).alias("hits"))
 
     part = F.split("host", "\\.")
     suffixes = F.array(*(F.when(F.size(part) >= n, F.array_join(F.slice(part, -n, n) if n > 1 else F.array(F.element_at(part, -1)), ".")) for n in labels))
@@ -75,10 +81,12 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: st
         .withColumn("prefix", F.substring("digest", 1, PREFIX_HEX))
     )
     best = (
-        expressions.join(keyed, (F.col("prefix") == F.col("r_prefix")) & (F.col("digest") == F.col("r_digest")))
-        .groupBy("host", "path").agg(F.max("hit").alias("hit"))
+        expressions.join(prefixed, F.col("prefix") == F.col("r_prefix"))
+        .select("host", "path", F.explode(F.filter("hits", lambda h: h.r_digest == F.col("digest"))).alias("confirmed"))
+        .groupBy("host", "path").agg(F.max("confirmed.hit").alias("hit"))
         .select(F.col("host").alias("_h"), F.col("path").alias("_p"), "hit")
     )
+    best = stored(best, "url-verdicts")
     return (
         named.join(best, (F.col("host") == F.col("_h")) & (F.col("path") == F.col("_p")), "left")
         .select(*shown, F.col("hit.rule").alias("rule"), F.coalesce("hit.verdict", F.lit(default)).alias("verdict"))
