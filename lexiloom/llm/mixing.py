@@ -10,8 +10,11 @@ The weights are realised exactly in documents: a source's budget of tokens is so
 whole passes over all its documents and a rest. Documents fall by hash into blocks
 of about ``block_docs``; each pass orders blocks, and documents in them, by a hash
 of their own. The rest takes whole blocks in the order of the last pass while they
-fit, then documents of the next block while they fit. Sums run over block totals
-and within single blocks, so a source of any size is spread over tasks.
+fit, then documents of the next block, the cut one, while they fit. As blocks come in
+the order of a hash, a source needs one row to say what is drawn: its whole passes and
+its cut block. The cut is found by sums over buckets of the hash, then within one
+bucket, and only the documents of cut blocks are put in order; so a source of any size
+is spread over tasks, and texts stay where they are.
 
 Tokens are runs of characters other than U+0020 and U+0009 to U+000D. Null source
 is a source of its own; null and empty texts hold no tokens and come with each
@@ -30,6 +33,10 @@ from pyspark.sql import functions as F
 
 from lexiloom.llm.common import stored
 
+#: Hex digits of a block's hash that name its bucket.
+BUCKET_HEX = 3
+#: Sources up to which the table of what is drawn is broadcast.
+BROADCAST_SOURCES = 20_000
 #: Halvings of the exponent's interval; each job evaluates the exponents of four.
 HALVINGS, PER_JOB = 48, 4
 
@@ -112,16 +119,27 @@ def mixed(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
         F.col("_key").alias("k"), F.when(F.col("t") > 0, F.expr("d div nullif(t, 0)")).otherwise(1).cast("int").alias("passes"), F.when(F.col("t") > 0, F.expr("d % nullif(t, 0)")).otherwise(0).alias("rest")
     )
 
-    order = Window.partitionBy("_key").orderBy("turn", "block")
-    blocks = slim.groupBy("_key", block.alias("block")).agg(F.sum("_tokens").alias("t"))
-    blocks = blocks.join(budgets, F.col("_key") == F.col("k")).withColumn("turn", _hash(mix.seed, "block", F.col("passes"), F.col("_key"), F.col("block")))
-    blocks = blocks.withColumn("to", F.sum("t").over(order)).select(
-        F.col("_key").alias("bk"), F.col("block").alias("bb"), "passes",
-        F.when(F.col("to") <= F.col("rest"), -1).when(F.col("to") - F.col("t") < F.col("rest"), F.col("rest") - F.col("to") + F.col("t")).otherwise(0).alias("fits"),
-    )
-    blocks = stored(blocks, "mix-blocks")
-    placed = keyed.withColumn("block", block).join(blocks, (F.col("_key") == F.col("bk")) & (F.col("block") == F.col("bb")))
+    turn = _hash(mix.seed, "block", F.col("passes"), F.col("_key"), F.col("block"))
+    blocks = slim.groupBy("_key", block.alias("block")).agg(F.sum("_tokens").alias("t")).join(budgets, F.col("_key") == F.col("k")).drop("k")
+    blocks = stored(blocks.withColumn("turn", turn).withColumn("bucket", F.substring("turn", 1, BUCKET_HEX)), "mix-blocks")
+    # Bucket sums first, then the blocks of the one bucket in which the rest ends.
+    before = lambda order: F.coalesce(F.sum("t").over(Window.partitionBy("_key").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    first = lambda order: F.row_number().over(Window.partitionBy("_key").orderBy(*order))
+    over = F.col("before") + F.col("t") > F.col("rest")
+    buckets = blocks.groupBy("_key", "rest", "bucket").agg(F.sum("t").alias("t")).withColumn("before", before(["bucket"])).filter(over).withColumn("nth", first(["bucket"]))
+    ends = stored(buckets.filter("nth = 1").select(F.col("_key").alias("k"), F.col("bucket").alias("b"), F.col("before").alias("base")), "mix-buckets")
+    within = blocks.join(ends, (F.col("_key") == F.col("k")) & (F.col("bucket") == F.col("b"))).drop("k", "b").withColumn("before", F.col("base") + before(["turn", "block"]))
+    cuts = within.filter(over).withColumn("nth", first(["turn", "block"])).filter("nth = 1")
+    cuts = cuts.select(F.col("_key").alias("ck"), F.col("turn").alias("cut_turn"), F.col("block").alias("cut_block"), (F.col("rest") - F.col("before")).alias("fits"))
+    drawn = stored(budgets.join(cuts, F.col("k") == F.col("ck"), "left").drop("ck", "rest", "d"), "mix-drawn")
+    few = sources.count() <= BROADCAST_SOURCES
+    placed = keyed.withColumn("block", block).join(F.broadcast(drawn) if few else drawn, F.col("_key") == F.col("k")).withColumn("turn", turn)
+    is_cut = F.coalesce((F.col("turn") == F.col("cut_turn")) & (F.col("block") == F.col("cut_block")), F.lit(False))
+    # Without a cut the rest holds all blocks; with one, all that come before it.
+    whole_block = F.col("cut_turn").isNull() | (F.struct("turn", "block") < F.struct(F.col("cut_turn"), F.col("cut_block")))
     inside = Window.partitionBy("_key", "block").orderBy(_hash(mix.seed, "doc", F.col("passes"), F.col("_h")), "_h")
-    cut = placed.filter("fits > 0").withColumn("_to", F.sum("_tokens").over(inside.rowsBetween(Window.unboundedPreceding, 0)))
-    times = placed.filter("fits <= 0").withColumn("_times", F.col("passes") - F.col("fits")).unionByName(cut.withColumn("_times", F.col("passes") + (F.col("_to") <= F.col("fits")).cast("int")).drop("_to"))
+    cut = placed.filter(is_cut & (F.col("fits") > 0)).withColumn("_to", F.sum("_tokens").over(inside.rowsBetween(Window.unboundedPreceding, 0)))
+    cut = cut.withColumn("_times", F.col("passes") + (F.col("_to") <= F.col("fits")).cast("int")).drop("_to")
+    plain = placed.filter(~(is_cut & (F.col("fits") > 0))).withColumn("_times", F.col("passes") + (whole_block & ~is_cut).cast("int"))
+    times = plain.unionByName(cut)
     return times.filter("_times > 0").withColumn("epoch", F.explode(F.sequence(F.lit(0), (F.col("_times") - 1).cast("int")))).select(*shown, "epoch", "block")
