@@ -18,7 +18,7 @@ Vectors that are null, empty, zero or hold a null or a non-finite component link
 with nothing: no links, a component of their own, kept. Only vectors of one length
 link. Equal vectors are one class: they link with one another if their cosine with
 themselves rounds to the least cosine or more, and their links are counted once per
-class, times copies. Null ids are ignored when a component's least id is taken;
+class, times copies. Floats are kept as they are, all other numbers as doubles. Null ids are ignored when a component's least id is taken;
 repeated ids are separate vectors that share an id. An empty table gives none.
 """
 
@@ -34,11 +34,14 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lexiloom.llm.common import sorted_groups, stored
 from lexiloom.llm.components import components
 
-SEED, PROBES, RANKS, BLOCK = 20, 4, 4, 512
+SEED, PROBES, RANKS, BLOCK = 20, 4, 4, 8192
+#: Rows of a block that are held against all others at once.
+ROWS = 512
 #: Strangers that a bucket may be expected to hold, all probes counted.
 STRANGERS = 0.15
 
@@ -113,26 +116,28 @@ def tables_for(k: int, dim: int, cosine: float, recall: float) -> int:
     return max(1, math.ceil(math.log(1 - recall) / math.log(max(1 - met, 1e-9)))) if met < 1 else 1
 
 
-def unit_rows(raw) -> np.ndarray:
-    """Unit vectors in double precision from equally long float32 bytes."""
-    x = np.frombuffer(b"".join(raw), np.float32).reshape(len(raw), -1).astype(np.float64)
+def unit_rows(raw, kind: str = "f4") -> np.ndarray:
+    """Unit vectors in double precision from equally long bytes of floats of a kind."""
+    x = np.frombuffer(b"".join(raw), kind).reshape(len(raw), -1).astype(np.float64)
     x /= np.abs(x).max(axis=1, keepdims=True)
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
-def _classed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Bytes of each usable vector and the digest that names its class; nulls for others."""
-    for batch in batches:
-        raw, named = [], []
-        for v in batch["embedding"]:
-            x = None if v is None else np.array(v, dtype=np.float64)
-            good = x is not None and len(x) and np.isfinite(x).all() and (x != 0).any()
-            data = (x.astype(np.float32) + np.float32(0)).tobytes() if good else None
-            if data is not None and not np.frombuffer(data, np.float32).any():
-                data = None
-            raw.append(data)
-            named.append(None if data is None else hashlib.md5(data).hexdigest())
-        yield pd.DataFrame({"vec_id": batch["vec_id"].astype("Int64"), "cls": named, "vec": raw})
+def _classed(kind: str):
+    """Function for mapInPandas: bytes of each usable vector and the digest that names its class; nulls for others."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            raw, named = [], []
+            for v in batch["embedding"]:
+                x = None if v is None else np.array(v, dtype=np.float64)
+                good = x is not None and len(x) and np.isfinite(x).all() and (x != 0).any()
+                data = (x.astype(kind) + 0).tobytes() if good else None  # adding 0 makes -0 and 0 alike
+                raw.append(data)
+                named.append(None if data is None else hashlib.md5(data).hexdigest())
+            yield pd.DataFrame({"vec_id": batch["vec_id"].astype("Int64"), "cls": named, "vec": raw})
+
+    return run
 
 
 def forest(x: np.ndarray, cosine: float) -> tuple[list[int], list[int]]:
@@ -165,18 +170,18 @@ def _dealt(rows: DataFrame, key: list[str], n: str) -> DataFrame:
     )
 
 
-def links(nodes: DataFrame, cosine: float, recall: float) -> DataFrame:
+def links(nodes: DataFrame, cosine: float, recall: float, kind: str = "f4") -> DataFrame:
     """Verified links (u, v) between classes (cls, vec), spanning what hashing brings together."""
     n = nodes.count()
 
     def filed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for size, rows in batch.groupby(batch["vec"].map(len)):
-                x, names = unit_rows(rows["vec"].tolist()), rows["cls"].to_numpy()
+                x, names = unit_rows(rows["vec"].tolist(), kind), rows["cls"].to_numpy()
                 k = hashes_for(n, x.shape[1])
                 for table in range(tables_for(k, x.shape[1], cosine, recall)):
                     numbers = buckets(x, table, k)
-                    yield pd.DataFrame({"cls": np.repeat(names, numbers.shape[1]), "dim": size // 4, "part": table, "bucket": numbers.ravel()})
+                    yield pd.DataFrame({"cls": np.repeat(names, numbers.shape[1]), "dim": x.shape[1], "part": table, "bucket": numbers.ravel()})
 
     key = ["dim", "part", "bucket"]
     signatures = stored(nodes.select("cls", "vec").mapInPandas(filed, "cls string, dim int, part int, bucket long"), "embedding-buckets")
@@ -186,14 +191,14 @@ def links(nodes: DataFrame, cosine: float, recall: float) -> DataFrame:
     def linked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in sorted_groups(batches, [*key, "i", "j"]):
             names = rows["cls"].to_numpy()
-            left, right = forest(unit_rows(rows["vec"].tolist()), cosine)
+            left, right = forest(unit_rows(rows["vec"].tolist(), kind), cosine)
             if left:
                 yield pd.DataFrame({"u": names[left], "v": names[right]})
 
     return _dealt(met, key, "n").mapInPandas(linked, "u string, v string")
 
 
-def link_counts(members: DataFrame, cosine: float) -> DataFrame:
+def link_counts(members: DataFrame, cosine: float, kind: str = "f4") -> DataFrame:
     """(cls, n_links): for classes (root, cls, vec, copies), the copies in other classes of its component at the cosine or over."""
     sizes = stored(members.groupBy("root").agg(F.count("*").alias("n")), "component-sizes")
 
@@ -201,16 +206,19 @@ def link_counts(members: DataFrame, cosine: float) -> DataFrame:
         for rows in sorted_groups(batches, ["root", "i", "j"]):
             i, j = rows["i"].iloc[0], rows["j"].iloc[0]
             for _, own in rows.groupby(rows["vec"].map(len)):
-                x, copies, names, b = unit_rows(own["vec"].tolist()), own["copies"].to_numpy(), own["cls"].to_numpy(), own["b"].to_numpy()
-                if i == j:
-                    near = x @ x.T >= cosine
-                    np.fill_diagonal(near, False)
-                    yield pd.DataFrame({"cls": names, "n_links": near @ copies})
-                else:
-                    left, right = np.flatnonzero(b == i), np.flatnonzero(b == j)
-                    near = x[left] @ x[right].T >= cosine
-                    yield pd.DataFrame({"cls": names[left], "n_links": near @ copies[right]})
-                    yield pd.DataFrame({"cls": names[right], "n_links": near.T @ copies[left]})
+                x, copies, names, b = unit_rows(own["vec"].tolist(), kind), own["copies"].to_numpy(), own["cls"].to_numpy(), own["b"].to_numpy()
+                left, right = np.flatnonzero(b == i), np.flatnonzero(b == j)
+                other, back = x[right].T, np.zeros(len(right), "int64")
+                for at in range(0, len(left), ROWS):
+                    rows_ = left[at : at + ROWS]
+                    near = x[rows_] @ other >= cosine
+                    if i == j:
+                        near[np.arange(len(rows_)), np.arange(at, at + len(rows_))] = False
+                    else:
+                        back += near.T @ copies[rows_]
+                    yield pd.DataFrame({"cls": names[rows_], "n_links": near @ copies[right]})
+                if i != j:
+                    yield pd.DataFrame({"cls": names[right], "n_links": back})
 
     counts = _dealt(members.join(sizes, "root"), ["root"], "n").mapInPandas(counted, "cls string, n_links long")
     return counts.groupBy("cls").agg(F.sum("n_links").alias("n_links"))
@@ -218,11 +226,12 @@ def link_counts(members: DataFrame, cosine: float) -> DataFrame:
 
 def near_duplicates(vectors: DataFrame, cosine: float = 0.95, recall: float = 0.997) -> DataFrame:
     """One row per row of ``vectors`` (vec_id, embedding): vec_id, n_links, component_id and kept."""
-    base = stored(vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding").mapInPandas(_classed, "vec_id long, cls string, vec binary"), "vectors")
+    kind = "f4" if vectors.schema["embedding"].dataType.elementType == T.FloatType() else "f8"
+    base = stored(vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding").mapInPandas(_classed(kind), "vec_id long, cls string, vec binary"), "vectors")
     nodes = stored(base.dropna(subset=["cls"]).groupBy("cls").agg(F.min("vec_id").alias("first"), F.count("*").alias("copies"), F.any_value("vec").alias("vec")), "vector-classes")
-    roots = stored(components(links(nodes, cosine, recall)), "vector-components")
+    roots = stored(components(links(nodes, cosine, recall, kind)), "vector-components")
     named = nodes.join(roots.withColumnRenamed("node", "cls"), "cls")
-    counts = link_counts(named.select("root", "cls", "vec", "copies"), cosine)
+    counts = link_counts(named.select("root", "cls", "vec", "copies"), cosine, kind)
     least = stored(named.groupBy("root").agg(F.min("first").alias("least")), "least")
     linked = named.select("cls", "root").join(least, "root").join(counts, "cls").select("cls", "n_links", "least")
     by_class = nodes.select("cls", "first", "copies").join(linked, "cls", "left")
