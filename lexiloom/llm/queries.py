@@ -155,10 +155,13 @@ WITH turns AS (
   SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS n
   FROM (SELECT conv_id, turn, role, text FROM conversations UNION ALL SELECT * FROM (VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')))
 ), escaped AS (
-  SELECT *, length(replace(replace(replace(replace(role || text, '&', '&a'), '<', '&l'), '[', '&s'), ']', '&e')) + 6 AS chars FROM turns
+  SELECT *, length(piece) AS chars, coalesce(sum(length(piece)) OVER (PARTITION BY conv_id ORDER BY n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before,
+    max(n) FILTER (role = 'assistant') OVER (PARTITION BY conv_id) AS last
+  FROM (SELECT *, '[' || replace(replace(replace(replace(role, '&', '&a'), '<', '&l'), '[', '&s'), ']', '&e') || ']' || replace(replace(replace(replace(text, '&', '&a'), '<', '&l'), '[', '&s'), ']', '&e') || '</s>' AS piece FROM turns)
 )
 SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY n)) AS turns_sha256,
   coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
-  sha256(coalesce(string_agg(text, '' ORDER BY n) FILTER (role = 'assistant'), '')) AS loss_sha256, sum(chars)::BIGINT AS formatted_chars
+  sha256(coalesce(string_agg(text, '' ORDER BY n) FILTER (role = 'assistant'), '')) AS loss_sha256, sum(chars)::BIGINT AS formatted_chars,
+  sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN '|' || before || '|' ELSE '' END || CASE WHEN n < last THEN piece ELSE '' END, '' ORDER BY n) FILTER (n <= last), '')) AS contexts_sha256
 FROM escaped GROUP BY conv_id""",
 }

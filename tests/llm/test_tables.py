@@ -62,6 +62,15 @@ def test_url_rules_against_brute_force(spark):
     assert url_rules.judge_urls(df.limit(0), spark.createDataFrame(rules, "host string, path string, verdict string")).count() == 0
 
 
+def test_a_very_common_url(spark):
+    urls = ["http://example.com/en/7"] * 3000 + [None] * 500 + [f"http://h{i}.org/es/{i}" for i in range(40)]
+    df = spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "page_id int, url string").repartition(9)
+    found = url_rules.judge_urls(df, spark.createDataFrame(queries.URL_RULES, "host string, path string, verdict string"))
+    assert sorted((r.page_id, r.rule, r.verdict) for r in found.collect()) == sorted((i, *slow_verdict(u, queries.URL_RULES)[2:]) for i, u in enumerate(urls))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" not in plan  # what is joined back to the rows is a written table
+
+
 def mixing_docs(spark, sizes, tokens=lambda i: 5 + i % 7):
     rows = [(f"{s}-{i}", s if s != "null" else None, " ".join(["w"] * tokens(i)), 1, 2) for s, n in sizes.items() for i in range(n)]
     return spark.createDataFrame(rows, "doc_id string, source string, text string, passes int, row int")
@@ -96,6 +105,40 @@ def test_mixing_meets_budgets(spark):
     assert sorted(map(repr, again.collect())) == sorted(map(repr, out.drop("t").collect()))
 
 
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_mixing_takes_blocks_in_order(spark, monkeypatch, broadcast):
+    """Whole blocks of a source in hash order while they fit, then documents of the next one, by plain sums."""
+    monkeypatch.setattr(mixing, "BROADCAST_SOURCES", 10 if broadcast else 0)
+    df = mixing_docs(spark, {"big": 900, "mid": 200, "small": 40, "null": 25})
+    mix = mixing.Mix(entropy_share=0.97, max_repeats=2.5, block_docs=10)
+    out = mixing.mixed(df, mix).collect()
+    md5 = lambda *x: hashlib.md5("|".join(map(str, x)).encode()).hexdigest()
+    times, block_of, tokens = {}, {}, {r.doc_id: len(r.text.split()) for r in df.collect()}
+    for r in out:
+        times[r.doc_id] = times.get(r.doc_id, 0) + 1
+        block_of[r.doc_id] = r.block
+    for source in ("big", "mid", "small", "null"):
+        docs = [d for d in tokens if d.rsplit("-", 1)[0] == source]
+        h = {d: md5("mix", d, hashlib.md5(" ".join(["w"] * tokens[d]).encode()).hexdigest()) for d in docs}
+        passes, key = min(times.get(d, 0) for d in docs), "n" if source == "null" else f"s{source}"
+        if max(times.get(d, 0) for d in docs) == passes:
+            continue
+        blocks = {}
+        for d in docs:
+            blocks.setdefault(h[d][:2], []).append(d)
+            assert block_of.get(d, h[d][:2]) == h[d][:2]
+        rest = sum(tokens[d] for d in docs if times.get(d, 0) > passes)
+        order = sorted(blocks, key=lambda b: (md5("mix", "block", passes, key, b), b))
+        whole = [b for b in order if all(times.get(d, 0) > passes for d in blocks[b])]
+        assert whole == order[: len(whole)]
+        partly = [b for b in order if b not in whole and any(times.get(d, 0) > passes for d in blocks[b])]
+        assert partly in ([], [order[len(whole)]])
+        for b in partly:
+            drawn = [times[d] > passes if d in times else False for d in sorted(blocks[b], key=lambda d: (md5("mix", "doc", passes, h[d]), h[d]))]
+            assert drawn == sorted(drawn, reverse=True)
+        assert rest > 0
+
+
 def test_mixing_edges(spark):
     assert mixing.mixed(mixing_docs(spark, {"a": 3}).limit(0)).count() == 0
     assert mixing.mixed(mixing_docs(spark, {"a": 3, "b": 2}, lambda i: 0)).count() == 5
@@ -129,6 +172,15 @@ def test_embeddings_against_brute_force(spark):
     assert embed_dedup.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_double_embeddings_stay_doubles(spark):
+    a = [1.0, 0.0, 1e-300]
+    b = [1.0, math.tan(math.acos(0.95)) * (1 + 1e-12), 0.0]  # just under the least cosine in doubles, at it in floats
+    c = [1.0, math.tan(math.acos(0.95)) * (1 - 1e-12), 0.0]
+    tiny = [1e-200, 0.0, 0.0]
+    df = spark.createDataFrame(list(enumerate([a, b, c, tiny])), "vec_id long, embedding array<double>")
+    assert {r.vec_id: r.n_links for r in embed_dedup.near_duplicates(df).collect()} == {0: 2, 1: 1, 2: 3, 3: 2}
+
+
 def test_large_groups_of_embeddings_are_dealt_by_blocks(spark, monkeypatch):
     monkeypatch.setattr(embed_dedup, "BLOCK", 16)
     rng = np.random.default_rng(6)
@@ -168,6 +220,24 @@ def test_chat_round_trip(spark):
     assert chat.read_back(empty, chat.expand_targets(empty)).count() == 0
 
 
+def test_chat_contexts_are_read_back(spark):
+    df = spark.createDataFrame(TURNS, "conv_id long, turn long, role string, text string")
+    turns = chat.render_turns(df)
+    right = {r.conv_id: r.contexts_sha256 for r in chat.read_back(turns, chat.expand_targets(turns)).collect()}
+    pieces = {}
+    for r in sorted(turns.collect(), key=lambda r: r.position):
+        pieces.setdefault(r.conv_id, []).append((r.piece, r.trainable))
+    for c, own in pieces.items():
+        said, last = "", max((k for k, (_, t) in enumerate(own) if t), default=-1)
+        for k, (piece, trainable) in enumerate(own[: last + 1]):
+            said += (f"|{sum(len(p) for p, _ in own[:k])}|" if trainable else "") + (piece if k < last else "")
+        assert right[c] == hashlib.sha256(said.encode()).hexdigest()
+    for wrong in ("context_turns", "context_chars"):
+        examples = chat.expand_targets(turns).withColumn(wrong, F.greatest(F.col(wrong) - 1, F.lit(0)))
+        found = {r.conv_id: r.contexts_sha256 for r in chat.read_back(turns, examples).collect()}
+        assert found[1] != right[1] and found[2] == right[2]
+
+
 def test_chat_examples_hold_their_prefix(spark):
     df = spark.createDataFrame(TURNS, "conv_id long, turn long, role string, text string")
     turns = chat.render_turns(df)
