@@ -81,7 +81,8 @@ def toxic_field(docs: DataFrame, labels: DataFrame) -> toxicity.Field:
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     found = toxicity.score(docs, toxic_field(docs, read_table(spark, sf_dir, "labels")))
-    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted", F.size("spans").alias("n_spans"))
+    offsets = F.array_join(F.transform("spans", lambda s: F.concat(s.start, F.lit("-"), s.end)), " ")
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted", F.size("spans").alias("n_spans"), offsets.alias("offsets"))
 
 
 def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,15 +1,23 @@
 """Toxic spans and document scores by a linear-chain conditional random field.
 
-A token is a run of word characters, in lower case; its features are the word and
-its prefixes of 3 to 8 characters. The chain has two states, other and toxic.
+A token is a run of word characters, in lower case; its features are the word, its
+prefixes of 3 to 8 characters, and the word together with the one before it, if that
+tells more than either word alone. The chain has two states, other and toxic.
 
 Fitting reads a hash sample of at most about ``sample_docs`` labelled documents of
-each class. Tokens are labelled from it: a token is toxic if it stands in a toxic
-document and has a feature whose document frequency among toxic documents exceeds
-that among clean ones by ``seed_odds``; all other tokens are not. The field's
-weights are then fitted to windows of tokens around every token with a feature of
-the model, with an L2 penalty, and a logistic curve maps the chains' scores to the
-documents' labels.
+each class. The model's features are those whose document frequency among toxic
+documents exceeds that among clean ones by ``feature_odds`` and ``errors`` standard errors, and that occur in
+``least_share`` of the sample's toxic documents (so their number is bounded by the
+sample). Documents are labelled, tokens are not: their labels are latent. A clean
+document says that none of its tokens is toxic, a toxic one that at least one is, and
+the weights maximise the likelihood of that: the expectations of a toxic document's
+chain are taken by forward-backward under the constraint, which leaves out the one
+path without a toxic token. They start from weights fitted with the tokens of toxic
+documents counted as toxic if a feature's odds reach ``seed_odds``, and an L2 penalty
+holds them near these. Chains are windows of tokens
+around all that have a feature of the model, at most ``fit_windows`` of them, by
+documents in hash order. A logistic curve maps the chains' scores to the documents'
+labels.
 
 Scoring runs forward-backward over the whole chain of a document. Tokens without
 any feature of the model share one transition matrix, so a run of them is one power
@@ -32,6 +40,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -51,12 +60,15 @@ class Settings:
     sample_docs: int = 3000
     seed_odds: float = 4.0  #: log of the ratio of document frequencies
     feature_odds: float = 1.5
+    errors: float = 2.0  #: standard errors by which the odds of a feature must be over that
     least_docs: int = 3
     least_share: float = 0.01  #: of the toxic documents of the sample, that hold a feature
-    most_features: int = 5000
     around: int = 3  #: tokens on either side in a fitting window
-    l2: float = 0.05
-    rounds: int = 200
+    fit_windows: int = 12_000  #: windows of the sample's documents that the weights are fitted to
+    l2: float = 0.25
+    noise: float = 0.1  #: share of documents that are taken to be labelled toxic without a toxic token
+    seed_rounds: int = 150
+    rounds: int = 50  #: with latent labels
     span_at: float = 0.5
 
 
@@ -64,6 +76,12 @@ def features(word: str) -> list[str]:
     return [f"w:{word}", *(f"p:{word[:k]}" for k in PREFIXES if len(word) > k)]
 
 
+def own_features(words: list[str], chosen) -> list[list]:
+    """What ``chosen`` (a mapping) says of each token's features, those that it has."""
+    known = {w: [chosen[f] for f in features(w) if f in chosen] for w in set(words)}
+    return [known[w] + [chosen[f] for f in (f"b:{before} {w}",) if f in chosen] for before, w in zip(["", *words], words, strict=False)]
+
+
 @dataclass
 class Field:
     """Weights of features (toxic against other), the bias of a token, and log transition weights."""
@@ -76,6 +94,24 @@ class Field:
     span_at: float = 0.5
     known: dict[str, float | None] = field(default_factory=dict, repr=False)
 
+    def __post_init__(self):
+        #: Weights of two words in a row, by the second and then the first.
+        self.after: dict[str, dict[str, float]] = {}
+        for name, weight in self.weights.items():
+            if name.startswith("b:"):
+                first, second = name[2:].split(" ")
+                self.after.setdefault(second, {})[first] = weight
+        self.steps = self._powers()
+
+    def _powers(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
+        """One transition, scaled, and the parts of the k-th power of a featureless token's."""
+        a = np.exp(self.moves - self.moves.max())
+        values, vectors = np.linalg.eig(a * np.array([1.0, math.exp(self.bias)]))
+        order = np.argsort(-values.real)
+        values, vectors = values.real[order], vectors.real[:, order]
+        inverse = np.linalg.inv(vectors)
+        return a, np.outer(vectors[:, 0], inverse[0]), np.outer(vectors[:, 1], inverse[1]), values[1] / values[0]
+
     def __getstate__(self):
         return self.__dict__ | {"known": {}}
 
@@ -91,14 +127,7 @@ class Field:
 
     def marginals(self, at: list[int], emissions: list[float], n: int) -> list[float]:
         """Chance of toxic at the positions ``at`` of a chain of n tokens, all others being without features."""
-        a = np.exp(self.moves - self.moves.max())
-        step = a * np.array([1.0, math.exp(self.bias)])
-        values, vectors = np.linalg.eig(step)
-        order = np.argsort(-values.real)
-        values, vectors = values.real[order], vectors.real[:, order]
-        inverse = np.linalg.inv(vectors)
-        first, second = np.outer(vectors[:, 0], inverse[0]), np.outer(vectors[:, 1], inverse[1])
-        ratio = values[1] / values[0]
+        a, first, second, ratio = self.steps
         gap = lambda k: first + second * ratio**k  # noqa: E731  the k-th power, scaled
         state, seen = np.array([1.0, 0.0]), -1
         forward = []
@@ -125,6 +154,10 @@ class Field:
         words = WORD.findall(text.lower())
         known = self.known
         scored = [known[w] if w in known else self.emission(w) for w in words]
+        if after := self.after:
+            for i in [i for i, w in enumerate(words) if w in after]:
+                if i and (pair := after[words[i]].get(words[i - 1])) is not None:
+                    scored[i] = pair + (self.bias if scored[i] is None else scored[i])
         at = [i for i, e in enumerate(scored) if e is not None]
         if not at:
             return math.log(FLOOR), []
@@ -157,8 +190,8 @@ class Field:
         return 1 / (1 + math.exp(-max(-60.0, min(60.0, slope * odds + at))))
 
 
-def _forward_backward(emit: np.ndarray, real: np.ndarray, moves: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
-    """Log partition, toxic marginals and expected moves over padded windows (rows) of log weights ``emit``."""
+def _forward_backward(emit: np.ndarray, real: np.ndarray, moves: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Log partition, toxic marginals and expected moves of each of some padded windows (rows) of log weights ``emit``."""
     n, length = emit.shape
     scores = np.stack([np.zeros_like(emit), emit], axis=2)
     ahead = np.full((length, n, 2), 0.0)
@@ -168,26 +201,39 @@ def _forward_backward(emit: np.ndarray, real: np.ndarray, moves: np.ndarray) ->
         ahead[t] = np.where(real[:, t, None], moved, ahead[t - 1])
     z = np.logaddexp(ahead[-1][:, 0], ahead[-1][:, 1])
     behind = np.zeros((length, n, 2))
-    pairs = np.zeros((2, 2))
+    pairs = np.zeros((n, 2, 2))
     for t in range(length - 1, 0, -1):
         into = scores[:, t] + behind[t]
         both = np.exp(ahead[t - 1][:, :, None] + moves + into[:, None, :] - z[:, None, None])
-        pairs += both[real[:, t]].sum(axis=0)
+        pairs += both * real[:, t, None, None]
         moved = np.logaddexp(moves[:, 0] + into[:, :1], moves[:, 1] + into[:, 1:])
         behind[t - 1] = np.where(real[:, t, None], moved, behind[t])
     chance = np.exp(ahead[:, :, 1] + behind[:, :, 1] - z).T
-    pairs[0] += [(1 - chance[:, 0]).sum(), chance[:, 0].sum()]
-    return float(z.sum()), chance * real, pairs
+    pairs[:, 0, 0] += 1 - chance[:, 0]
+    pairs[:, 0, 1] += chance[:, 0]
+    return z, chance * real, pairs
+
+
+def pulls(z: np.ndarray, lengths: np.ndarray, calm: float, doc: np.ndarray, toxic: np.ndarray, noise: float = 0.0) -> np.ndarray:
+    """How far each window's expectations, less those of the path without a toxic token, are to move.
+
+    With P the chance that none of a document's tokens is toxic: in a clean document
+    all the way back (-1); in a toxic one, where expectations under the constraint
+    are (E - P E0) / (1 - P), by P / (1 - P), or less if a share ``noise`` of such labels is wrong.
+    """
+    none = np.exp(np.clip(np.bincount(doc, weights=calm * lengths - z), -700, 0))
+    return np.where(toxic, ((1 - noise) * none / ((1 - noise) * (1 - none) + noise))[doc], -1.0)
 
 
-def train(windows: list[tuple[list[list[int]], list[int]]], names: list[str], settings: Settings) -> Field:
-    """Fit weights to windows of (features by token, label by token) by Adam on the penalised log likelihood."""
-    length = max(len(y) for _, y in windows)
-    n = len(windows)
-    real, y = np.zeros((n, length), bool), np.zeros((n, length))
+def train(windows: list[tuple[list[list[int]], list[int], int, int]], names: list[str], settings: Settings) -> Field:
+    """Fit weights to windows of (features by token, first labels by token, document, label of the document) by Adam."""
+    lengths = np.array([len(w[1]) for w in windows])
+    length, n = int(lengths.max()), len(windows)
+    doc = np.unique([w[2] for w in windows], return_inverse=True)[1]
+    toxic = np.array([w[3] == 1 for w in windows])
+    real, y = np.arange(length) < lengths[:, None], np.zeros((n, length))
     flat, where = [], []
-    for r, (tokens, labels) in enumerate(windows):
-        real[r, : len(labels)] = True
+    for r, (tokens, labels, _, _) in enumerate(windows):
         y[r, : len(labels)] = labels
         for t, own in enumerate(tokens):
             flat += own
@@ -198,14 +244,21 @@ def train(windows: list[tuple[list[list[int]], list[int]]], names: list[str], se
     w[k] = -2.0
     was = np.concatenate([np.zeros((n, 1)), y[:, :-1]], axis=1)
     told = np.array([[((was == i) & (y == j) & real).sum() for j in (0, 1)] for i in (0, 1)], float)
-    m, v = np.zeros_like(w), np.zeros_like(w)
-    for step in range(1, settings.rounds + 1):
-        emit = np.bincount(where, weights=w[flat], minlength=n * length).reshape(n, length) + w[k]
-        _, chance, pairs = _forward_backward(np.where(real, emit, 0), real, w[k + 1 :].reshape(2, 2))
-        off = ((y - chance) * real).ravel()
-        slope = np.concatenate([np.bincount(flat, weights=off[where], minlength=k), [off.sum()], (told - pairs).ravel()]) - settings.l2 * w * math.sqrt(n)
-        m, v = 0.9 * m + 0.1 * slope, 0.999 * v + 0.001 * slope**2
-        w += 0.2 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
+    calm = np.zeros((n, 2, 2))
+    calm[:, 0, 0] = lengths
+    for rounds, latent in ((settings.seed_rounds, False), (settings.rounds, True)):
+        m, v, start = np.zeros_like(w), np.zeros_like(w), w * latent
+        for step in range(1, rounds + 1):
+            emit = np.bincount(where, weights=w[flat], minlength=n * length).reshape(n, length) + w[k]
+            z, chance, pairs = _forward_backward(np.where(real, emit, 0), real, w[k + 1 :].reshape(2, 2))
+            if latent:
+                pull = pulls(z, lengths, w[k + 1], doc, toxic, settings.noise)
+                off, moved = (pull[:, None] * chance).ravel(), (pull[:, None, None] * (pairs - calm)).sum(axis=0)
+            else:
+                off, moved = ((y - chance) * real).ravel(), told - pairs.sum(axis=0)
+            slope = np.concatenate([np.bincount(flat, weights=off[where], minlength=k), [off.sum()], moved.ravel()]) - settings.l2 * (w - start) * math.sqrt(n)
+            m, v = 0.9 * m + 0.1 * slope, 0.999 * v + 0.001 * slope**2
+            w += (0.02 if latent else 0.2) * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
     return Field(dict(zip(names, w[:k].tolist(), strict=True)), float(w[k]), w[k + 1 :].reshape(2, 2), span_at=settings.span_at)
 
 
@@ -243,21 +296,38 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) ->
     if not n1 or not n0:
         return Field({}, -10.0, np.zeros((2, 2)), (0.0, -40.0))
 
-    def frequencies(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for toxic, rows in batch.groupby("toxic"):
+    def frequencies(only: set[str] | None):
+        """Function for mapInPandas: how many documents hold each feature, of ``only`` those if told."""
+
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
                 found: Counter = Counter()
-                for t in rows["text"]:
-                    found.update({f for w in set(WORD.findall(t.lower())) for f in features(w)})
-                yield pd.DataFrame({"f": list(found), "d1": [n * (toxic == 1) for n in found.values()], "d0": [n * (toxic == 0) for n in found.values()]})
+                for t in batch["text"]:
+                    words = WORD.findall(t.lower())
+                    held = {f for w in set(words) for f in features(w)} | {f"b:{a} {b}" for a, b in zip(words, words[1:], strict=False)}
+                    found.update(held if only is None else held & only)
+                yield pd.DataFrame({"f": list(found), "n": list(found.values())})
+
+        return run
+
+    def counted(toxic: int, only: set[str] | None) -> DataFrame:
+        return sample.filter(F.col("toxic") == toxic).mapInPandas(frequencies(only), "f string, n long").groupBy("f").agg(F.sum("n").alias("n"))
 
     least = max(settings.least_docs, math.ceil(settings.least_share * n1))
-    odds = F.log((F.col("d1") + 0.5) / n1) - F.log((F.col("d0") + 0.5) / n0)
-    table = sample.mapInPandas(frequencies, "f string, d1 long, d0 long").groupBy("f").agg(F.sum("d1").alias("d1"), F.sum("d0").alias("d0"))
-    chosen = table.filter(F.col("d1") >= least).withColumn("odds", odds).filter(F.col("odds") >= settings.feature_odds).orderBy(F.desc("odds"), "f").limit(settings.most_features).toPandas()
-    names = chosen["f"].tolist()
+    # Each toxic document of the sample holds so many features, and each feature at least ``least`` of them: the table is bounded.
+    d1 = {r.f: r.n for r in counted(1, None).filter(F.col("n") >= least).collect()}
+    d0 = {r.f: r.n for r in counted(0, set(d1)).collect()}
+    odds = {f: math.log((d1[f] + 0.5) / n1) - math.log((d0.get(f, 0) + 0.5) / n0) for f in d1}
+
+    def tells(f: str) -> bool:
+        """Whether a feature's odds are over ``feature_odds``, for two words in a row: over those of either word alone."""
+        alone = [odds[g] for w in f[2:].split(" ") for g in features(w) if g in odds] if f.startswith("b:") else []
+        error = math.sqrt(1 / (d1[f] + 0.5) + 1 / (d0.get(f, 0) + 0.5))
+        return odds[f] - settings.errors * error >= settings.feature_odds + max([0.0, *alone])
+
+    names = sorted(filter(tells, odds))
     index = {f: i for i, f in enumerate(names)}
-    seeds = set(chosen.loc[chosen["odds"] >= settings.seed_odds, "f"])
+    seeds = {index[f] for f in names if odds[f] >= settings.seed_odds}
     if not names:
         return Field({}, -10.0, np.zeros((2, 2)), (0.0, math.log(n1 / n0)))
     around = settings.around
@@ -266,24 +336,22 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) ->
         for batch in batches:
             rows = []
             for text, toxic in zip(batch["text"], batch["toxic"], strict=True):
-                words = WORD.findall(text.lower())
-                own = {w: [index[f] for f in features(w) if f in index] for w in set(words)}
-                at = [i for i, w in enumerate(words) if own[w]]
+                own = own_features(WORD.findall(text.lower()), index)
                 spans: list[list[int]] = []
-                for i in at:
+                for i in [i for i, x in enumerate(own) if x]:
                     if spans and i - around <= spans[-1][1] and spans[-1][1] - spans[-1][0] < 16:
                         spans[-1][1] = i + around + 1
                     else:
                         spans.append([max(i - around, 0), i + around + 1])
-                for a, b in spans:
-                    part = words[a : min(b, len(words))]
-                    rows.append(([own[w] for w in part], [int(toxic == 1 and any(f in seeds for f in features(w))) for w in part]))
-            yield pd.DataFrame({"tokens": [x for x, _ in rows], "labels": [y for _, y in rows]})
-
-    found = sample.mapInPandas(windows_of, "tokens array<array<int>>, labels array<int>")
-    # Windows that are alike are fitted once for each time they occur, up to a bound on the rows that reach the driver.
-    taken = found.orderBy(F.md5(F.to_json(F.struct("tokens", "labels")))).limit(4 * settings.sample_docs).toPandas()
-    windows = [([list(map(int, t)) for t in x], list(map(int, y))) for x, y in zip(taken["tokens"], taken["labels"], strict=True)]
+                of = xxhash.xxh64_intdigest(text.encode(), toxic) >> 1
+                for place, (a, b) in enumerate(spans):
+                    part = own[a:b]
+                    rows.append((of, place, toxic, part, [int(toxic == 1 and any(f in seeds for f in x)) for x in part]))
+            yield pd.DataFrame(rows, columns=["of", "place", "toxic", "tokens", "labels"])
+
+    found = sample.mapInPandas(windows_of, "of long, place int, toxic int, tokens array<array<int>>, labels array<int>")
+    taken = found.orderBy("of", "place").limit(settings.fit_windows).toPandas()
+    windows = [([list(map(int, t)) for t in x], list(map(int, y)), of, toxic) for of, toxic, x, y in zip(taken["of"], taken["toxic"], taken["tokens"], taken["labels"], strict=True)]
     field_ = train(windows, names, settings)
 
     def odds_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -1,6 +1,7 @@
 """HTML extraction, byte-level BPE, Ogg media, language ID and toxicity."""
 
 import hashlib
+import math
 import random
 import struct
 import zlib
@@ -257,6 +258,49 @@ def test_toxicity_accuracy_and_spans(spark, toxic_model):
         assert bool(said) == bool(r.toxic)
 
 
+def test_toxicity_by_context_and_not_the_word(spark):
+    """Two words are toxic in a row and clean apart; every document holds both."""
+    rng = random.Random(9)
+    plain = [f"word{c}{d}" for c in "abcdefgh" for d in "ijklmnop"]
+
+    def said(hot):
+        words = rng.choices(plain, k=rng.randint(8, 30))
+        if hot:
+            words[4:4] = ["plain", "owl"]
+        else:
+            words[2:2], words[6:6] = ["owl"], ["plain"]
+        return " ".join(words)
+
+    rows = [(i, said(hot := int(i % 3 == 0)), hot) for i in range(900)]
+    df = spark.createDataFrame(rows[:600], "doc_id int, text string, toxic int")
+    model = toxicity.fit(df.select("doc_id", "text"), df.select("doc_id", "toxic"))
+    held = spark.createDataFrame(rows[600:], "doc_id int, text string, toxic int")
+    for r in toxicity.score(held, model).collect():
+        assert r.predicted == r.toxic
+        assert [r.text[s.start : s.end] for s in r.spans] == (["owl"] if r.toxic else []) or [r.text[s.start : s.end] for s in r.spans] == ["plain owl"]
+
+
+def test_expectations_under_the_constraint():
+    """Pulls of a toxic document of two windows, against all its label paths with at least one toxic token."""
+    rng = np.random.default_rng(3)
+    emit, moves = rng.normal(size=(2, 3)), rng.normal(size=(2, 2))
+    lengths = np.array([3, 2])
+    real = np.arange(3) < lengths[:, None]
+    z, chance, _ = toxicity._forward_backward(np.where(real, emit, 0), real, moves)
+    pull = toxicity.pulls(z, lengths, moves[0, 0], np.zeros(2, int), np.array([True, True]))
+    total, held = 0.0, np.zeros(5)
+    for bits in range(1, 32):
+        path = np.array([bits >> k & 1 for k in range(5)])
+        score = 0.0
+        for window, own in ((0, path[:3]), (1, path[3:])):
+            for t, state in enumerate(own):
+                score += moves[own[t - 1] if t else 0, state] + state * emit[window, t]
+        total += math.exp(score)
+        held += math.exp(score) * path
+    flat = np.concatenate([chance[0], chance[1, :2]])
+    assert np.allclose(held / total - flat, np.concatenate([pull[0] * chance[0], pull[1] * chance[1, :2]]))
+
+
 def test_toxicity_edges(spark, toxic_model):
     df = spark.createDataFrame([(1, None), (2, ""), (3, "İ grumbol"), (4, "word " * 50_000)], "doc_id int, text string")
     found = {r.doc_id: r for r in toxicity.score(df, toxic_model).collect()}
