@@ -9,6 +9,7 @@ matching linear in the text.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -112,20 +113,54 @@ def classify(text: str | None, lexicon: Lexicon) -> tuple[bool, bool, bool, str]
     if hits and p["pronoun"]:
         tokens = [(m.end(), m[0]) for m in p["token"].finditer(text)]
         people = [i for i, (_, w) in enumerate(tokens) if p["pronoun"].match(w)]
-        if people:
-            ends = [end for end, _ in tokens]
-            for start in hits:
-                # The token that holds or follows the hit's start. (CLS-07)
-                at = next((i for i, end in enumerate(ends) if end > start), None)
-                if at is not None and any(abs(at - i) <= lexicon.window for i in people):
-                    return profane, has_insult, True, "attack"
+        ends = [end for end, _ in tokens]
+        for start in hits if people else ():
+            # The token that holds or follows the hit's start, and the first person not before its window. (CLS-07)
+            at = bisect_right(ends, start)
+            near = bisect_left(people, at - lexicon.window)
+            if at < len(ends) and near < len(people) and people[near] <= at + lexicon.window:
+                return profane, has_insult, True, "attack"
     return profane, has_insult, False, "emotional" if profane else "grey" if has_insult else "clean"
 
 
+# Python's classes in Java's terms. Java's own, with (?U), count combining marks and joiners among word characters.
+_WORD, _SPACE = r"\p{L}\p{N}_", r"\s\x1c-\x1f"
+_EDGE = rf"(?:(?<=[{_WORD}])(?![{_WORD}])|(?<![{_WORD}])(?=[{_WORD}]))"
+_NO_EDGE = rf"(?:(?<=[{_WORD}])(?=[{_WORD}])|(?<![{_WORD}])(?![{_WORD}]))"
+_OUTSIDE = {"w": f"[{_WORD}]", "W": f"[^{_WORD}]", "s": f"[{_SPACE}]", "S": f"[^{_SPACE}]", "d": r"\p{Nd}", "D": r"\P{Nd}", "b": _EDGE, "B": _NO_EDGE}
+_INSIDE = {"w": _WORD, "W": f"[^{_WORD}]", "s": _SPACE, "S": f"[^{_SPACE}]", "d": r"\p{Nd}", "D": r"\P{Nd}"}
+
+
+def java_pattern(pattern: str) -> str:
+    """A Python pattern with its classes and word boundaries spelled out as Java means them; all else is common to both."""
+    out, i, inside = [], 0, False
+    while i < len(pattern):
+        c = pattern[i]
+        if c == "\\" and i + 1 < len(pattern):
+            out.append((_INSIDE if inside else _OUTSIDE).get(pattern[i + 1], pattern[i : i + 2]))
+            i += 2
+            continue
+        if inside and c in "[&":  # plain characters in Python's classes
+            c = "\\" + c
+        elif c == "[":
+            inside = True
+            negated = pattern[i + 1 : i + 2] == "^"
+            c += "^" * negated
+            i += negated
+            if pattern[i + 1 : i + 2] == "]":
+                c += r"\]"
+                i += 1
+        elif c == "]":
+            inside = False
+        out.append(c)
+        i += 1
+    return "".join(out)
+
+
 def gate(lexicon: Lexicon) -> str | None:
-    """A Java pattern that every text with a hit or an attack matches: the loose forms and the user's patterns."""
-    forms = [loose_form(w) for w in (*lexicon.expletives, *lexicon.insults)] + [strict_form(w) for w in (*lexicon.expletives, *lexicon.insults)] + list(lexicon.attacks) + list(lexicon.censored)
-    return "(?iU)" + "|".join(forms) if forms else None
+    """A Java pattern that every text with a hit or an attack matches: the loose forms, which the strict ones imply, and the user's patterns."""
+    forms = [loose_form(w) for w in (*lexicon.expletives, *lexicon.insults)] + list(lexicon.attacks) + list(lexicon.censored)
+    return "(?iu)" + "|".join(java_pattern(f) for f in forms) if forms else None
 
 
 def classify_column(text: Column, lexicon: Lexicon) -> Column:
@@ -145,8 +180,11 @@ def with_category(df: DataFrame, lexicon: Lexicon, text: str = "text") -> DataFr
     if pattern is None:
         return df.withColumns({f: F.lit(0).cast("tinyint") for f in flags} | {"category": F.lit("clean")})
     shown = F.when(F.coalesce(F.col(text), F.lit("")).rlike(pattern), F.col(text))
-    found = df.withColumn("_class", classify_column(shown, lexicon))
-    return found.withColumns({f: F.col(f"_class.{f}").cast("tinyint") for f in flags} | {"category": F.col("_class.category")}).drop("_class")
+    held = "_class"
+    while held in df.columns:
+        held += "_"
+    found = df.withColumn(held, classify_column(shown, lexicon))
+    return found.withColumns({f: F.col(f"{held}.{f}").cast("tinyint") for f in flags} | {"category": F.col(f"{held}.category")}).drop(held)
 
 
 def with_token_category(df: DataFrame, lexicon: Lexicon, text: str = "text") -> DataFrame:

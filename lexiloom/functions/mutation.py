@@ -30,21 +30,23 @@ def _pick(options: list[str], h: Column, at: int) -> Column:
 
 
 def case(w: Column, h: Column) -> Column:
-    """Upper-case about half of the characters, by a bit for each place. (MUT-05)"""
-    chars = F.split(w, "")
-    return F.array_join(F.transform(chars, lambda c, i: F.when(F.conv(F.substring(F.md5(F.concat(h, i.cast("string"))), 1, 1), 16, 10).cast("int") < 8, F.upper(c)).otherwise(c)), "")
+    """Upper-case about half of the characters, by a digit of a hash for each; one hash serves 32 of them. (MUT-05)"""
+    blocks = F.sequence(F.lit(0), F.greatest(F.floor((F.length(w) - 1) / 32).cast("int"), F.lit(0)))
+    digits = F.split(F.array_join(F.transform(blocks, lambda b: F.md5(F.concat(h, b.cast("string")))), ""), "")
+    return let(digits, lambda d: F.array_join(F.transform(F.split(w, ""), lambda c, i: F.when(F.element_at(d, i + 1) < "8", F.upper(c)).otherwise(c)), ""))
 
 
 def _mapped(w: Column, h: Column, letters: str, forms: str, low: float, high: float) -> Column:
-    """Map a hash-drawn part of a word's distinct letters, every occurrence of each; other words change case."""
-    pool = F.array_distinct(F.filter(F.split(w, ""), lambda c: F.lit(letters).contains(c) & (c != "")))
-    size = F.size(F.filter(F.split(w, ""), lambda c: F.lit(letters).contains(c) & (c != "")))
-    k = F.greatest(F.lit(1), F.bround(size * (F.lit(low) + unit(h, 2) * (high - low))).cast("int"))
-    # Characters that a draw without replacement of k places would hit at least once: the first k distinct by hash.
-    drawn = F.slice(F.array_sort(F.transform(pool, lambda c: F.struct(F.md5(F.concat(h, c)).alias("h"), c.alias("c")))), F.lit(1), F.least(k, F.size(pool)))
-    hit = F.transform(drawn, lambda x: x["c"])
-    done = F.array_join(F.transform(F.split(w, ""), lambda c: F.when(F.array_contains(hit, c), F.translate(c, letters, forms)).otherwise(c)), "")
-    return F.when(size == 0, case(w, h)).otherwise(done)
+    """Draw a part of the places that hold a letter with a form, by hash, and map the letters drawn wherever they stand; other words change case."""
+    pool = F.split(F.regexp_replace(w, f"[^{letters}]", ""), "")
+
+    def drawn(pool: Column) -> Column:
+        k = F.greatest(F.lit(1), F.bround(F.size(pool) * (F.lit(low) + unit(h, 2) * (high - low))).cast("int"))
+        order = F.array_sort(F.transform(pool, lambda c, i: F.concat(F.md5(F.concat(h, i.cast("string"))), c)))
+        return F.array_join(F.transform(F.slice(order, F.lit(1), k), lambda x: F.right(x, F.lit(1))), "")
+
+    mapped = let(let(pool, drawn), lambda hit: F.call_function("translate", w, hit, F.translate(hit, letters, forms)))
+    return F.when(~w.rlike(f"[{letters}]"), case(w, h)).otherwise(mapped)
 
 
 def leet(w: Column, h: Column) -> Column:
@@ -59,13 +61,13 @@ def homoglyph(w: Column, h: Column) -> Column:
 
 def sep(w: Column, h: Column) -> Column:
     """A separator between all characters of words of four and more. (MUT-02)"""
-    return F.when(F.length(w) < 4, case(w, h)).otherwise(F.concat(F.left(w, F.lit(1)), F.array_join(F.transform(F.split(F.substring(w, 2, 1 << 20), ""), lambda c: F.concat(_pick(SEPARATORS, h, 3), c)), "")))
+    return F.when(F.length(w) < 4, case(w, h)).otherwise(F.concat(F.left(w, F.lit(1)), F.array_join(F.transform(F.split(F.substring(w, F.lit(2), F.length(w)), ""), lambda c: F.concat(_pick(SEPARATORS, h, 3), c)), "")))
 
 
 def censor(w: Column, h: Column) -> Column:
     """Stars after the first letter, stars for later vowels, or a sign for every vowel. (MUT-03)"""
     mode = number(h, 4) % 3
-    first, rest = F.left(w, F.lit(1)), F.substring(w, 2, 1 << 20)
+    first, rest = F.left(w, F.lit(1)), F.substring(w, F.lit(2), F.length(w))
     stars = F.concat(first, F.repeat(F.lit("*"), F.length(rest)))
     vowels = F.concat(first, F.regexp_replace(rest, f"[{VOWELS}]", "*"))
     sign = F.translate(w, VOWELS, "$" * 6), F.translate(w, VOWELS, "@" * 6), F.translate(w, VOWELS, "#" * 6)

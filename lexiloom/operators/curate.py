@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexiloom.functions.chance import SEED
-from lexiloom.operators.dedup import added, dedup_text, union_all, union_first
+from lexiloom.operators.dedup import added, union_all, union_first
 from lexiloom.operators.sampling import sample_fraction, sample_n
-from lexiloom.schemas import BANK, UNIFIED, conform, fields
+from lexiloom.schemas import UNIFIED, fields
 
 
 @dataclass(frozen=True)
@@ -32,8 +33,9 @@ def banks(df: DataFrame) -> DataFrame:
 
 
 def grey_label(p: Column, grey: Grey = Grey()) -> Column:
-    """1 at ``high`` and over, 0 at ``low`` and under, -1 between. (MDL-02)"""
-    return F.when(p >= grey.high, 1).when(p <= grey.low, 0).otherwise(-1).cast("tinyint")
+    """1 at ``high`` and over, 0 at ``low`` and under, -1 between, in the precision of scores. (MDL-02)"""
+    at = p.cast("float")
+    return F.when(at >= F.lit(grey.high).cast("float"), 1).when(at <= F.lit(grey.low).cast("float"), 0).otherwise(-1).cast("tinyint")
 
 
 def model_labels(df: DataFrame, p: str, grey: Grey = Grey()) -> DataFrame:
@@ -52,12 +54,16 @@ def assign_grey(df: DataFrame, p: str = "p", grey: Grey = Grey()) -> DataFrame:
     })
 
 
-def verify(df: DataFrame, keys: list[str], p: str = "p", grey: Grey = Grey(), seed: int = SEED) -> DataFrame:
-    """Score a sample of banks A and C and send disagreements to manual review. (CUR-04, WIN-12)"""
+def verify(df: DataFrame, keys: list[str], p: str = "p", grey: Grey = Grey(), seed: int = SEED, score: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """Score a sample of banks A and C and send disagreements to manual review. (CUR-04, WIN-12)
+
+    With ``score``, which adds ``p``, only the sample is scored. Rows that share their keys are moved together.
+    """
     pulled = []
     for bank, wrong in (("A", F.col(p) < grey.attack_floor), ("C", F.col(p) > grey.clean_ceiling)):
-        pulled.append(sample_fraction(df.filter(F.col("bank") == bank), keys, grey.verify_share, 1, seed, f"verify-{bank}").filter(wrong).select(*keys))
-    moved = union_all(*pulled).withColumn("_moved", F.lit(True))
+        drawn = sample_fraction(df.filter(F.col("bank") == bank), keys, grey.verify_share, 1, seed, f"verify-{bank}")
+        pulled.append((score(drawn) if score else drawn).filter(wrong).select(*keys))
+    moved = union_all(*pulled).distinct().withColumn("_moved", F.lit(True))
     out = df.join(moved, keys, "left")
     is_moved = F.col("_moved").isNotNull()
     return out.withColumns({
@@ -96,11 +102,3 @@ def fallback_labels(df: DataFrame) -> DataFrame:
     fixed = F.when(c == "attack", 1).when(c.isin("emotional", "clean"), 0)
     return df.withColumn("label", F.when(F.col("label") == -1, fixed).otherwise(F.col("label")).cast("tinyint")).filter("label IS NOT NULL")
 
-
-def to_bank(df: DataFrame) -> DataFrame:
-    return conform(df, BANK)
-
-
-def distinct_candidates(df: DataFrame, order: list[str]) -> DataFrame:
-    """Candidates without repeats of a text. (WIN-03)"""
-    return dedup_text(df, order)

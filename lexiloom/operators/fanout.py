@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexiloom.functions.chance import SEED, hashed
-from lexiloom.functions.mutation import hits_of, long_words, mutate_random_word, mutate_text, sentence_style
+from lexiloom.functions.mutation import hits_of, let, long_words, mutate_random_word, mutate_text, sentence_style
 from lexiloom.functions.text import clean_text
 from lexiloom.operators.dedup import keep_first
 from lexiloom.operators.sampling import sample_fraction
@@ -31,8 +31,8 @@ def fan_out_offensive(df: DataFrame, targets: list[str], variants: int = 3, seed
     found = df.withColumnRenamed("text", "base_text").withColumns({"_hits": hits_of(text, targets, 2), "_places": long_words(text)})
     # The explode keeps the hits as columns: they are found once per text, not once per token of each variant.
     rows = found.withColumn("variant", F.explode(F.sequence(F.lit(0), F.lit(variants)))).withColumn("_h", hashed("offensive", F.col("source"), text, v, seed=seed))
-    # Without hits and long words nothing changes, which is when each third variant takes the whole style.
-    whole = F.when((F.size(places) == 0) & (v % 3 == 0), sentence_style(text, F.col("_h"))).otherwise(mutate_random_word(text, places, F.col("_h")))
+    # A random word may come out as it was, and there may be none to change: each third variant then takes the whole style.
+    whole = let(mutate_random_word(text, places, F.col("_h")), lambda t: F.when((t == text) & (v % 3 == 0), sentence_style(text, F.col("_h"))).otherwise(t))
     said = F.when(v == 0, text).otherwise(clean_text(F.when(F.size(hits) > 0, mutate_text(text, hits, F.col("_h"))).otherwise(whole)))
     return rows.withColumn("text", said).withColumns({"mutated": (v > 0).cast("tinyint"), "variant": v.cast("tinyint")}).drop("_hits", "_places", "_h")
 

@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from lexiloom.functions.chance import SEED, first_by_hash, hashed, running
 from lexiloom.operators.dedup import dedup_text
 
+#: Rows up to which a sample is taken by an ordered limit.
+ORDERED = 100_000
+
 
 def _with_total(df: DataFrame, by: list[str]) -> DataFrame:
     """Add the rows of each group (or of all) from a table of totals."""
@@ -25,8 +28,20 @@ def cap_per_source(df: DataFrame, keys: list[str], most_pos: int, most_neg: int,
 
 
 def sample_n(df: DataFrame, keys: list[str], n: int, seed: int = SEED, purpose: str = "sample") -> DataFrame:
-    """n rows, or all if there are fewer. (WIN-10, SRC-11)"""
-    return first_by_hash(df, [], purpose, keys, F.lit(n), seed) if n >= 0 else df
+    """n rows, or all if there are fewer. (WIN-10, SRC-11)
+
+    Up to ``ORDERED`` rows each task keeps its own first n and nothing else moves; beyond that all rows are ranked.
+    """
+    if n < 0:
+        return df
+    if n > ORDERED:
+        return first_by_hash(df, [], purpose, keys, F.lit(n), seed)
+    return df.withColumn("_h", hashed(purpose, *(F.col(k) for k in keys), seed=seed)).orderBy("_h", *keys).limit(n).drop("_h")
+
+
+def head(df: DataFrame, order: list[str], n: int) -> DataFrame:
+    """The first n rows in an order. (FLT-12)"""
+    return df.orderBy(*order).limit(n)
 
 
 def sample_fraction(df: DataFrame, keys: list[str], fraction: float, least: int = 0, seed: int = SEED, purpose: str = "fraction") -> DataFrame:

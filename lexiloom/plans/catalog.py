@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from lexiloom.functions import chance, lexicon, mutation, text
 from lexiloom.operators import cluster, curate, dedup, fanout, metrics, sampling, scoring, split, stats
-from lexiloom.plans.views import LEXICON, SQL_UNIFIED, TARGETS, documents, sql_canon, sql_clean, sql_cluster, sql_hash, sql_number, sql_unit, sql_words, unified
+from lexiloom.plans import mutation_sql
+from lexiloom.plans.views import LEXICON, SQL_UNIFIED, TARGETS, documents, sql_clean, sql_cluster, sql_hash, sql_letters, sql_number, sql_unit, sql_words, unified
 from lexiloom.session import read_table, scratch
 from lexiloom.sources import adapters, files
 from lexiloom.streaming import ingest
@@ -52,7 +53,7 @@ def txt_is_latin(spark, sf_dir):
     return documents(spark, sf_dir, "doc_id", text.is_latin(F.col("text")).alias("latin"))
 
 
-@query(f"SELECT doc_id, {sql_canon('text')} AS canon FROM documents")
+@query(f"SELECT doc_id, array_to_string(list_filter(l, lambda x, i: i = 1 OR x <> l[i - 1]), '') AS canon FROM (SELECT doc_id, {sql_letters('text')} AS l FROM documents)")
 def txt_canonicalize(spark, sf_dir):
     return documents(spark, sf_dir, "doc_id", text.canonicalize(F.col("text")).alias("canon"))
 
@@ -74,10 +75,7 @@ def txt_html_clean_all(spark, sf_dir):
     return read_table(spark, sf_dir, "pages").select("page_id", text.html_to_text_all(F.col("html")).alias("plain"))
 
 
-_ASCII = "".join(map(chr, range(0x21, 0x7F)))
-
-
-@query(f"SELECT doc_id, translate(text, '{_ASCII.replace(chr(39), chr(39) * 2)}', '{text.wide(_ASCII)}') AS wide FROM documents")
+@query(f"SELECT doc_id, {mutation_sql.fullwidth('text')} AS wide FROM documents")
 def txt_fullwidth(spark, sf_dir):
     return documents(spark, sf_dir, "doc_id", text.fullwidth(F.col("text")).alias("wide"))
 
@@ -90,11 +88,7 @@ def _tokens(spark, sf_dir):
 
 
 _SQL_TOKENS = f"SELECT DISTINCT lower(regexp_extract(token, '^([^A-Za-z0-9]*)([A-Za-z0-9]+)([^A-Za-z0-9]*)$', 2)) AS word FROM (SELECT unnest(string_split({sql_clean('text')}, ' ')) AS token FROM documents) WHERE word <> ''"
-_KNOWN = ", ".join(f"'{t}'" for t in TARGETS)
-_STEMS = " ".join(f"WHEN length(word) > {len(s) + 2} AND ends_with(word, '{s}') AND left(word, length(word) - {len(s)}) IN ({_KNOWN}) THEN left(word, length(word) - {len(s)})" for s in text.SUFFIXES)
-
-
-@query(f"SELECT word, CASE WHEN word IN ({_KNOWN}) THEN word {_STEMS} END AS stem FROM ({_SQL_TOKENS})")
+@query(f"SELECT word, {mutation_sql.stem('word')} AS stem FROM ({_SQL_TOKENS})")
 def txt_stem(spark, sf_dir):
     return _tokens(spark, sf_dir).select("word", text.stem_in(F.col("word"), TARGETS).alias("stem"))
 
@@ -165,9 +159,9 @@ _SENTENCES = f"""SELECT doc_id, place, {sql_clean("said")} AS said FROM (
   SELECT doc_id, unnest(s) AS said, generate_subscripts(s, 1) AS place FROM (SELECT doc_id, string_split(regexp_replace(replace(text, chr(10), ' '), '([.!?])\\s+', '\\1' || chr(30), 'g'), chr(30)) AS s FROM documents))"""
 
 
-@query(f"SELECT said AS text, 0 AS label, 'articles' AS source, 'clean' AS origin_label, 'train' AS split_origin FROM (SELECT * FROM ({_SENTENCES}) WHERE {sql_words('said')} BETWEEN 4 AND 60 ORDER BY doc_id, place LIMIT 5000)")
+@query(f"SELECT said AS text, 0 AS label, 'articles' AS source, 'clean' AS origin_label, 'train' AS split_origin FROM (SELECT * FROM ({_SENTENCES}) WHERE {sql_words('said')} BETWEEN 4 AND 60 ORDER BY doc_id, place LIMIT 350000)")
 def src_sentences(spark, sf_dir):
-    return adapters.from_articles(documents(spark, sf_dir, "doc_id", "text"), "articles", ["doc_id"], 5000).withColumn("label", F.col("label").cast("int"))
+    return adapters.from_articles(documents(spark, sf_dir, "doc_id", "text"), "articles", ["doc_id"]).withColumn("label", F.col("label").cast("int"))
 
 
 @query(f"SELECT {sql_clean('text')} AS text, 'conv' AS source, role AS subreddit, 0::BIGINT AS created_utc, turn AS score, conv_id || '-' || turn AS id FROM conversations WHERE {sql_clean('text')} <> ''")
@@ -256,10 +250,10 @@ def count_labels(spark, sf_dir):
     return stats.counts(unified(spark, sf_dir), "label")
 
 
-@query("WITH old AS (SELECT doc_id AS ord, text FROM documents WHERE doc_id % 2 = 0), fresh AS (SELECT doc_id AS ord, text FROM documents WHERE doc_id % 3 = 0) SELECT ord, md5(text) AS digest FROM (SELECT *, row_number() OVER (PARTITION BY text ORDER BY r, ord) AS rn FROM (SELECT 0 AS r, * FROM old UNION ALL SELECT 1, * FROM fresh)) WHERE rn = 1")
+@query("WITH old AS (SELECT doc_id AS ord, text FROM documents WHERE doc_id % 2 = 0), fresh AS (SELECT doc_id AS ord, text FROM documents WHERE doc_id % 2 = 1 OR doc_id % 3 = 0) SELECT ord, md5(text) AS digest FROM (SELECT *, row_number() OVER (PARTITION BY text ORDER BY r, ord) AS rn FROM (SELECT 0 AS r, * FROM old UNION ALL SELECT 1, * FROM fresh)) WHERE rn = 1")
 def set_union_precedence(spark, sf_dir):
     rows = documents(spark, sf_dir, F.col("doc_id").alias("ord"), "text")
-    return dedup.union_first(rows.filter("ord % 2 = 0"), rows.filter("ord % 3 = 0"), order=["ord"]).select("ord", F.md5("text").alias("digest"))
+    return dedup.union_first(rows.filter("ord % 2 = 0"), rows.filter("ord % 2 = 1 OR ord % 3 = 0"), order=["ord"]).select("ord", F.md5("text").alias("digest"))
 
 
 @query("SELECT doc_id, text FROM documents WHERE text NOT IN (SELECT text FROM documents WHERE doc_id % 2 = 0)")
@@ -401,9 +395,6 @@ def oldest_cursor(spark, sf_dir):
 # Mutation -----------------------------------------------------------------------------------------
 
 _H = sql_hash("style", "word")
-_CHARS = "string_split(word, '')"
-_CASE = f"array_to_string(list_transform({_CHARS}, lambda c, i: CASE WHEN ('0x' || substr(md5(h || (i - 1)::VARCHAR), 1, 1))::INT < 8 THEN upper(c) ELSE c END), '')"
-_SEPS = "[" + ", ".join(f"'{s}'" for s in mutation.SEPARATORS) + "]"
 
 
 def _styled(spark, sf_dir, style):
@@ -411,79 +402,72 @@ def _styled(spark, sf_dir, style):
     return words.select("word", style(F.col("word"), F.col("h")).alias("form"))
 
 
-def _sql_style(form: str) -> str:
-    return f"SELECT word, {form} AS form FROM (SELECT word, {_H} AS h FROM ({_SQL_TOKENS}))"
+def _sql_style(form) -> str:
+    return f"SELECT word, {form('word', 'h')} AS form FROM (SELECT word, {_H} AS h FROM ({_SQL_TOKENS}))"
 
 
-def _sql_mapped(letters: str, forms: str, low: float, high: float) -> str:
-    pool = f"list_filter({_CHARS}, lambda c: contains('{letters}', c))"
-    k = f"least(greatest(1, round_even(len({pool}) * ({low} + {sql_unit('h', 2)} * ({high} - {low})), 0))::INT, len(list_distinct({pool})))"
-    drawn = f"list_transform(list_sort(list_transform(list_distinct({pool}), lambda c: md5(h || c) || c))[1:{k}], lambda x: substr(x, 33))"
-    return f"CASE WHEN len({pool}) = 0 THEN {_CASE} ELSE array_to_string(list_transform({_CHARS}, lambda c: CASE WHEN list_contains({drawn}, c) THEN translate(c, '{letters}', '{forms}') ELSE c END), '') END"
-
-
-@query(_sql_style(_sql_mapped(mutation.LEET_FROM, mutation.LEET_TO, 0.3, 0.8)))
+@query(_sql_style(mutation_sql.leet))
 def mut_leet(spark, sf_dir):
     return _styled(spark, sf_dir, mutation.leet)
 
 
-@query(_sql_style(_sql_mapped(mutation.LOOK_FROM, mutation.LOOK_TO, 0.2, 0.5)))
+@query(_sql_style(mutation_sql.homoglyph))
 def mut_homoglyph(spark, sf_dir):
     return _styled(spark, sf_dir, mutation.homoglyph)
 
 
-@query(_sql_style(_CASE))
+@query(_sql_style(mutation_sql.case))
 def mut_case(spark, sf_dir):
     return _styled(spark, sf_dir, mutation.case)
 
 
-@query(_sql_style(f"CASE WHEN length(word) < 4 THEN {_CASE} ELSE word[1] || array_to_string(list_transform(string_split(substr(word, 2), ''), lambda c: {_SEPS}[{sql_number('h', 3)} % 9 + 1] || c), '') END"))
+@query(_sql_style(mutation_sql.sep))
 def mut_sep(spark, sf_dir):
     return _styled(spark, sf_dir, mutation.sep)
 
 
-@query(_sql_style(f"""CASE WHEN length(word) <= 2 THEN {_CASE} WHEN {sql_number('h', 4)} % 3 = 0 THEN word[1] || repeat('*', length(word) - 1)
-  WHEN {sql_number('h', 4)} % 3 = 1 THEN word[1] || regexp_replace(substr(word, 2), '[aeiouy]', '*', 'g') ELSE regexp_replace(word, '[aeiouy]', ['$', '@', '#'][{sql_number('h', 5)} % 3 + 1], 'g') END"""))
+@query(_sql_style(mutation_sql.censor))
 def mut_censor(spark, sf_dir):
     return _styled(spark, sf_dir, mutation.censor)
 
 
-_AT = f"({sql_number('h', 6)} % greatest(length(word) - 1, 1) + 2)"
-
-
-@query(_sql_style(f"CASE WHEN length(word) < 3 THEN {_CASE} ELSE left(word, {_AT} - 1) || repeat(substr(word, {_AT}, 1), {sql_number('h', 7)} % 3 + 2) || substr(word, {_AT} + 1) END"))
+@query(_sql_style(mutation_sql.repeat))
 def mut_repeat(spark, sf_dir):
     return _styled(spark, sf_dir, mutation.repeat)
 
 
-@query(_sql_style(f"translate(word, '{_ASCII.replace(chr(39), chr(39) * 2)}', '{text.wide(_ASCII)}')"))
+@query(_sql_style(mutation_sql.fullwidth))
 def mut_fullwidth(spark, sf_dir):
     return _styled(spark, sf_dir, lambda w, h: text.fullwidth(w))
 
 
-@query()
+@query(_sql_style(mutation_sql.combo))
 def mut_combo(spark, sf_dir):
     return _styled(spark, sf_dir, mutation.combo)
 
 
-@query()
+@query(_sql_style(mutation_sql.word))
 def mut_word(spark, sf_dir):
     return _styled(spark, sf_dir, mutation.mutate_word)
 
 
-@query()
+def _flags(df):
+    return df.withColumns({c: F.col(c).cast("int") for c in ("mutated", "variant")})
+
+
+@query(mutation_sql.FANOUT_OFFENSIVE)
 def mut_fanout_offensive(spark, sf_dir):
-    return fanout.fan_out_offensive(unified(spark, sf_dir).filter("label = 1"), TARGETS)
+    return _flags(fanout.fan_out_offensive(unified(spark, sf_dir).filter("label = 1"), TARGETS))
 
 
-@query()
+@query(mutation_sql.FANOUT_CLEAN)
 def mut_fanout_clean(spark, sf_dir):
-    return fanout.fan_out_clean(unified(spark, sf_dir).filter("label = 0"), ["ord"], TARGETS)
+    return _flags(fanout.fan_out_clean(unified(spark, sf_dir).filter("label = 0"), ["ord"], TARGETS))
 
 
-@query()
+@query(mutation_sql.MUTATED)
 def mut_all(spark, sf_dir):
-    return fanout.mutate(unified(spark, sf_dir), ["ord"], TARGETS, TARGETS)
+    return _flags(fanout.mutate(unified(spark, sf_dir), ["ord"], TARGETS, TARGETS))
 
 
 # Lexicon classifier -------------------------------------------------------------------------------
@@ -571,16 +555,16 @@ def cur_combine(spark, sf_dir):
     return curate.combine_banks(_greyed(spark, sf_dir), ["doc_id"], {"A": 40, "B": 50, "C": 60}).select("doc_id", "bank", "label")
 
 
-@query(U + "SELECT text, label, source, origin_label, split_origin FROM (SELECT *, row_number() OVER (PARTITION BY text ORDER BY r, ord) AS rn FROM (SELECT 0 AS r, * FROM u WHERE ord % 3 = 0 UNION ALL SELECT 1, * FROM u WHERE ord % 2 = 0)) WHERE rn = 1")
+@query(U + "SELECT text, label, source, origin_label, split_origin FROM (SELECT *, row_number() OVER (PARTITION BY text ORDER BY r, ord) AS rn FROM (SELECT 0 AS r, * FROM u WHERE ord % 3 = 0 UNION ALL SELECT 1, * FROM u WHERE ord % 3 <> 0 OR ord % 2 = 0)) WHERE rn = 1")
 def mrg_union_precedence(spark, sf_dir):
     rows = unified(spark, sf_dir)
-    return curate.merge_banks(rows.filter("ord % 3 = 0"), rows.filter("ord % 2 = 0"), order=["ord"])
+    return curate.merge_banks(rows.filter("ord % 3 = 0"), rows.filter("ord % 3 <> 0 OR ord % 2 = 0"), order=["ord"])
 
 
-@query(U + "SELECT ord, text FROM (SELECT *, row_number() OVER (PARTITION BY text ORDER BY ord) AS rn FROM u WHERE ord % 2 = 1) WHERE rn = 1 AND text NOT IN (SELECT text FROM u WHERE ord % 3 = 0)")
+@query(U + "SELECT ord, text FROM (SELECT *, row_number() OVER (PARTITION BY text ORDER BY ord) AS rn FROM u WHERE ord % 3 <> 0 OR ord % 2 = 1) WHERE rn = 1 AND text NOT IN (SELECT text FROM u WHERE ord % 3 = 0)")
 def mrg_added(spark, sf_dir):
     rows = unified(spark, sf_dir)
-    return curate.merge_labelled(rows.filter("ord % 3 = 0"), rows.filter("ord % 2 = 1"), ["ord"])[1].select("ord", "text")
+    return curate.merge_labelled(rows.filter("ord % 3 = 0"), rows.filter("ord % 3 <> 0 OR ord % 2 = 1"), ["ord"])[1].select("ord", "text")
 
 
 @query(f"WITH g AS (SELECT doc_id, text, label FROM ({_GREYED}) JOIN documents USING (doc_id)), fixes AS (SELECT text, max(doc_id % 2)::INT AS fix FROM g WHERE label = -1 AND doc_id % 3 <> 0 GROUP BY text) SELECT doc_id, CASE WHEN label = -1 THEN coalesce(fix, label) ELSE label END AS label FROM g LEFT JOIN fixes USING (text)")
@@ -601,7 +585,7 @@ def jn_metadata(spark, sf_dir):
     return unified(spark, sf_dir).select("ord", "text").join(documents(spark, sf_dir, F.col("doc_id").alias("ord"), "lang", "n_chars"), "ord", "left")
 
 
-@query(f"SELECT DISTINCT doc_id FROM (SELECT doc_id, unnest(string_split(lower({sql_clean('text')}), ' ')) AS w FROM documents) WHERE w IN ({_KNOWN})")
+@query(f"SELECT DISTINCT doc_id FROM (SELECT doc_id, unnest(string_split(lower({sql_clean('text')}), ' ')) AS w FROM documents) WHERE w IN ({mutation_sql.KNOWN})")
 def jn_lexicon_tokens(spark, sf_dir):
     words = spark.createDataFrame([(t,) for t in TARGETS], "w string")
     tokens = documents(spark, sf_dir, "doc_id", F.explode(F.split(F.lower(text.clean_text(F.col("text"))), " ")).alias("w"))
@@ -665,10 +649,10 @@ def latest_checkpoint(spark, sf_dir):
     return metrics.latest_checkpoint(read_table(spark, sf_dir, "events").select(F.concat(F.lit("checkpoint-"), "event_id").alias("checkpoint")))
 
 
-@query("SELECT 'task' || (user_id % 5) || '_' || event_id AS task, unnest(['f1', 'accuracy']) AS metric, unnest([0.5::DOUBLE, 0.25::DOUBLE]) AS value FROM events WHERE event_id % 50 = 0")
+@query("SELECT 'task' || (user_id % 5) || '_' || event_id AS task, unnest(['f1', 'accuracy']) AS metric, unnest([(event_id % 1000) / 1000.0, (event_id % 97 + 1) / 100.0])::DOUBLE AS value FROM events")
 def metric_log(spark, sf_dir):
-    line = F.concat(F.lit("task"), F.col("user_id") % 5, F.lit("_"), F.col("event_id"), F.lit(": f1=0.5 accuracy=0.25"))
-    return metrics.parse_metric_log(read_table(spark, sf_dir, "events").filter("event_id % 50 = 0").select(line.alias("value")))
+    line = F.format_string("task%d_%d: f1=0.%03d accuracy=0.%02d", F.col("user_id") % 5, "event_id", F.col("event_id") % 1000, F.col("event_id") % 97 + 1)
+    return metrics.parse_metric_log(read_table(spark, sf_dir, "events").select(line.alias("value")))
 
 
 # Files, streams, models ---------------------------------------------------------------------------
@@ -690,11 +674,11 @@ def snk_export(spark, sf_dir):
     return files.read_split(spark, path).select("split", F.col("label").cast("int").alias("label"), F.col("variant").cast("int").alias("variant"))
 
 
-@query("SELECT DISTINCT text FROM documents WHERE doc_id % 2 = 0 OR doc_id % 3 = 0")
+@query("SELECT DISTINCT text FROM documents")
 def snk_shards(spark, sf_dir):
     path, rows = scratch(spark, "shards"), documents(spark, sf_dir, "text", F.col("doc_id").alias("id"))
     files.append_shards(rows.filter("id % 2 = 0"), path, 1000)
-    files.append_shards(rows.filter("id % 3 = 0"), path, 1000)
+    files.append_shards(rows.filter("id % 2 = 1 OR id % 3 = 0"), path, 1000)
     return spark.read.parquet(path).select("text")
 
 

@@ -51,10 +51,10 @@ def sql_unit(h: str, at: int = 1) -> str:
     return f"({sql_number(h, at)} / 4503599627370496.0)"
 
 
-def sql_canon(c: str) -> str:
+def sql_letters(c: str) -> str:
+    """Letters of the canonical form, repeats still there; a column of its own, so that it is found once a row."""
     wide = text.wide(text.ALNUM)
-    letters = f"regexp_replace(translate(lower(translate({c}, '{text.LOOKALIKES}{wide}', '{text.LOOKALIKES_LATIN}{text.ALNUM}')), '{text.LEET_DIGITS}', '{text.LEET_LETTERS}'), '[^a-z0-9]+', '', 'g')"
-    return f"array_to_string(list_filter(string_split({letters}, ''), lambda x, i: i = 1 OR x <> string_split({letters}, '')[i - 1]), '')"
+    return f"string_split(regexp_replace(translate(lower(translate({c}, '{text.LOOKALIKES}{wide}', '{text.LOOKALIKES_LATIN}{text.ALNUM}')), '{text.LEET_DIGITS}', '{text.LEET_LETTERS}'), '[^a-z0-9]+', '', 'g'), '')"
 
 
 def sql_cluster(ctes: str) -> str:
@@ -62,7 +62,7 @@ def sql_cluster(ctes: str) -> str:
     return f"""WITH u AS ({SQL_UNIFIED}),
 first AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lower(trim(text)) ORDER BY source, ord) AS rn FROM u) WHERE rn = 1),
 normal AS (SELECT * EXCLUDE rn FROM first WHERE {sql_words("text")} BETWEEN 3 AND 512),
-letters AS (SELECT *, string_split(regexp_replace(translate(lower(translate(text, '{text.LOOKALIKES}{text.wide(text.ALNUM)}', '{text.LOOKALIKES_LATIN}{text.ALNUM}')), '{text.LEET_DIGITS}', '{text.LEET_LETTERS}'), '[^a-z0-9]+', '', 'g'), '') AS l FROM normal),
+letters AS (SELECT *, {sql_letters("text")} AS l FROM normal),
 clustered AS (SELECT * EXCLUDE l, md5(array_to_string(list_filter(l, lambda x, i: i = 1 OR x <> l[i - 1]), '')) AS cluster FROM letters){ctes}"""
 
 

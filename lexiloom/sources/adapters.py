@@ -104,6 +104,18 @@ def from_posts(df: DataFrame, source: str = "posts") -> DataFrame:
     return _candidate(df, clean_text(html_to_text_all(F.coalesce(have("com"), have("comment")))), source, have("board"), timestamp_seconds(have("time")), F.lit("0"), have("no"), REMOVED["posts"])
 
 
+def comment_records(df: DataFrame, source: str = "comments") -> DataFrame:
+    """Comments from a paged API's records (channel, JSON value). (SRC-12)"""
+    j = F.from_json("value", "body string, subreddit string, created_utc string, score string, id string")
+    return from_comments(df.select(j.alias("j")).select("j.*"), source)
+
+
+def post_records(df: DataFrame, source: str = "posts") -> DataFrame:
+    """Board posts from a paged API's records. (SRC-16, SRC-17)"""
+    j = F.from_json("value", "com string, comment string, time string, no string")
+    return from_posts(df.select(F.col("channel").alias("board"), j.alias("j")).select("board", "j.*"), source)
+
+
 VIDEO_COMMENT = "snippet struct<topLevelComment: struct<id: string, snippet: struct<textDisplay: string, publishedAt: string, likeCount: bigint>>>"
 
 

@@ -91,6 +91,19 @@ def video_pages(get: Callable[[dict], object], channel: str, most_pages: int, mo
             return
 
 
+def video_search(get: Callable[[dict], object], channel: str, most_pages: int, most_rows: int, size: int) -> Iterator[dict]:
+    """Comment threads of the videos that a search finds, each with its video's id and title; ``most_rows`` for each video. (SRC-18)"""
+    token = None
+    for _ in range(most_pages):
+        page = get({"q": channel, "what": "search", "maxResults": size} | ({"pageToken": token} if token else {}))
+        for found in page.get("items", []):
+            video, title = found["id"]["videoId"], found.get("snippet", {}).get("title", "")
+            for thread in video_pages(get, video, most_pages, most_rows, size):
+                yield thread | {"videoId": video, "title": title}
+        if not (token := page.get("nextPageToken")):
+            return
+
+
 def board_threads(get: Callable[[dict], object], channel: str, most_pages: int, most_rows: int, size: int) -> Iterator[dict]:
     """Posts of a live board: its catalogue, then up to ``size`` threads. (SRC-16, FLT-11)"""
     rows = 0
@@ -102,7 +115,7 @@ def board_threads(get: Callable[[dict], object], channel: str, most_pages: int,
                 return
 
 
-PAGERS = {"comments": comment_pages, "archive": archive_pages, "videos": video_pages, "board": board_threads}
+PAGERS = {"comments": comment_pages, "archive": archive_pages, "videos": video_pages, "video-search": video_search, "board": board_threads}
 
 
 class _Paged:

@@ -94,8 +94,20 @@ def has_files(spark: SparkSession, path: str) -> bool:
     return fs.exists(at) and any(not s.getPath().getName().startswith(("_", ".")) for s in fs.listStatus(at))
 
 
+def recover(spark: SparkSession, path: str) -> None:
+    """Put the old table back if a run ended while it was replaced."""
+    at, old = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (path, f"{path}.old"))
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(at) and fs.exists(old):
+        fs.rename(old, at)
+
+
 def replace_table(df: DataFrame, path: str) -> None:
-    """Write beside ``path``, then move into its place, so readers never see half a table. (SNK-08)"""
+    """Write beside ``path``, then move into its place, so readers never see half a table. (SNK-08)
+
+    A run that ends between the two moves leaves the old table beside ``path``; ``recover`` puts it back.
+    """
+    recover(df.sparkSession, path)
     spark = df.sparkSession
     path_of = spark._jvm.org.apache.hadoop.fs.Path
     at, new, old = path_of(path), path_of(f"{path}.new"), path_of(f"{path}.old")

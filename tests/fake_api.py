@@ -29,3 +29,10 @@ def flaky(url, params):
     if CALLS["n"] < 3:
         raise ConnectionError("busy")
     return {"data": []}
+
+
+def video_search(url, params):
+    if params.get("what") != "search":
+        return videos(url, params)
+    n = int(params.get("pageToken", 0))
+    return {"items": [{"id": {"videoId": f"v{n}"}, "snippet": {"title": f"title {n}"}}]} | ({"nextPageToken": 1} if n == 0 else {})

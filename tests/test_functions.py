@@ -1,5 +1,8 @@
 import html
+import os
+import random
 import re
+import zlib
 
 import pytest
 from hypothesis import given, settings
@@ -8,6 +11,9 @@ from pyspark.sql import functions as F
 
 from lexiloom.functions import chance, lexicon, mutation, text
 
+DATA = "/root/testdata/sf0.001"
+needs_data = pytest.mark.skipif(not os.path.isdir(DATA), reason="the driver's tables are not here")
+
 
 def one(spark, value, f):
     return spark.createDataFrame([(value,)], "x string").select(f(F.col("x")).alias("y")).first()["y"]
@@ -129,3 +135,87 @@ def test_native_and_span_classifiers_agree_on_plain_tokens(spark):
 
 def test_loose_form_is_linear(spark):
     assert not re.search(lexicon.loose_form("beoeoeb"), "b" + "." * 20_000)
+
+
+ODD = ["́", "⃣", "²", "½", "ſ", "K", "ı", "İ", ".", "*", "-", "_", "1", "é", "‿", "‍", "\x1c", " ", " ", " ", "\n"]
+
+
+def test_the_gate_lets_through_all_that_the_classifier_finds(spark):
+    rng = random.Random(5)
+    pieces = ["darn", "blast", "oaf", "dolt", "you", "your", "go away", "d", "a", "r", "n", "o", "f", "b", "l", "st", "x", "k", "s", *ODD]
+    said = ["d́áŕn this", "d⃣arn it", "you d.ár.n oaf"] + ["".join(rng.choices(pieces, k=rng.randint(1, 9))) for _ in range(4000)]
+    found = lexicon.with_category(spark.createDataFrame([(s, 1) for s in said], "text string, _class int"), LEXICON).collect()
+    assert sum(r.category != "clean" for r in found) > 400 and all(r["_class"] == 1 for r in found)
+    for r in found:
+        assert (bool(r.profanity), bool(r.insult), bool(r.attack), r.category) == lexicon.classify(r.text, LEXICON), repr(r.text)
+
+
+def test_patterns_in_terms_of_the_engine(spark):
+    rng = random.Random(6)
+    patterns = [r"\bab\b", r"a\Wb", r"a[^\w\s]b", r"a[\W_0-9]*b", r"\Ba\B", r"a\sb", r"a\Db", r"[]a]b", r"a[[&&]b", r"a\S\db"]
+    said = ["".join(rng.choices(["a", "b", "&", "[", "]", "2", *ODD], k=rng.randint(1, 6))) for _ in range(1500)]
+    df = spark.createDataFrame([(s,) for s in said], "x string")
+    for p in patterns:
+        found = {r.x: r.y for r in df.select("x", F.col("x").rlike(lexicon.java_pattern(p)).alias("y")).collect()}
+        assert found == {s: bool(re.search(p, s)) for s in said}, p
+
+
+def slow_class(said, lex):
+    """All hits by the obvious forms, and every hit held against every pronoun."""
+    hits = {}
+    for name, words in (("e", lex.expletives), ("i", lex.insults)):
+        strict = [m.span() for m in re.finditer("|".join(r"\b" + lexicon.JUNK.join(w) + r"\b" for w in words), said, re.I)]
+        loose = [m for m in re.finditer("|".join(map(reference_loose, words)), said, re.I) if m.span() not in strict and (len(m[0]) >= 5 or re.search(r"[\W_0-9]", m[0]))]
+        hits[name] = [a for a, _ in strict] + [m.start() for m in loose]
+    censored = [m.start() for p in lex.censored for m in re.finditer(p, said, re.I)]
+    tokens = list(re.finditer(r"[^\W_0-9]+", said))
+    place = lambda at: next((k for k, t in enumerate(tokens) if t.end() > at), None)
+    people = [k for k, t in enumerate(tokens) if re.match(rf"\b(?:{'|'.join(lex.pronouns)})\b", t[0], re.I)]
+    near = any(place(a) is not None and abs(place(a) - k) <= lex.window for a in hits["e"] + hits["i"] + censored for k in people)
+    if any(re.search(p, said, re.I) for p in lex.attacks) or near:
+        return "attack"
+    return "emotional" if hits["e"] or (censored and not hits["i"]) else "grey" if hits["i"] else "clean"
+
+
+@needs_data
+def test_categories_of_all_documents_against_brute_force(spark):
+    from lexiloom.plans import catalog, views
+
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{DATA}/documents.parquet").collect()}
+    found = {r.doc_id: r.category for r in catalog.QUERIES["cls_category"](spark, DATA).collect()}
+    assert found == {i: slow_class(t or "", views.LEXICON) for i, t in texts.items()} and len(set(found.values())) > 2
+
+
+@needs_data
+def test_seeds_and_references_against_brute_force(spark):
+    from lexiloom.plans import catalog
+
+    rows = {r.doc_id: r for r in spark.read.parquet(f"{DATA}/documents.parquet").collect()}
+    found = {r.doc_id: r.seed for r in catalog.QUERIES["txt_crc_seed"](spark, DATA).collect()}
+    assert found == {i: 42 + 100_000 + zlib.crc32(f"{r.source}|{r.text}".encode()) % 97 for i, r in rows.items()}
+    pages = {r.page_id: r.html for r in spark.read.parquet(f"{DATA}/pages.parquet").collect()}
+    for r in catalog.QUERIES["txt_html_clean_all"](spark, DATA).collect():
+        said = re.sub(r"<[^>]+>", " ", re.sub(r'class="(quote|deadlink|quoteLink)"', "", html.unescape(pages[r.page_id] or ""))).replace("\xa0", " ")
+        assert r.plain == re.sub(r" *\n *", " ", re.sub(r"\n[ \t\n\x0b\f\r]*\n+", "\n", re.sub(r"[ \t]+", " ", said))).strip(" ")
+
+
+def test_words_of_any_length_are_changed_whole(spark):
+    w = "abcdefghij" * ((1 << 20) // 10 + 6)
+    sep, star = spark.createDataFrame([(w,)], "w string").select(mutation.sep(F.col("w"), F.md5(F.lit("x"))).alias("a"), mutation.censor(F.col("w"), F.md5(F.lit("x"))).alias("b")).first()
+    assert len(sep) == 2 * len(w) - 1 and sep[::2] == w and len(star) == len(w)
+
+
+@pytest.mark.parametrize(("style", "letters", "forms", "low", "high"), [("leet", mutation.LEET_FROM, mutation.LEET_TO, 0.3, 0.8), ("homoglyph", mutation.LOOK_FROM, mutation.LOOK_TO, 0.2, 0.5)])
+def test_draws_follow_a_draw_of_places(spark, style, letters, forms, low, high):
+    """How many letters change, and how often each does, as with a plain draw of places without replacement."""
+    word, n = "mississippitaboo", 4000
+    df = spark.range(n).select(F.lit(word).alias("w"), F.md5(F.col("id").cast("string")).alias("h"))
+    found = [r.y for r in df.select(getattr(mutation, style)(F.col("w"), F.col("h")).alias("y")).collect()]
+    rng, table = random.Random(1), dict(zip(letters, forms, strict=True))
+    pool = [c for c in word if c in table]
+    drawn = [set(rng.sample(pool, max(1, round(len(pool) * rng.uniform(low, high))))) for _ in range(n)]
+    for c in set(pool):
+        share = sum(table[c] in y for y in found) / n
+        assert abs(share - sum(c in d for d in drawn) / n) < 0.04, c
+    changed = [sum(a != b for a, b in zip(word, y, strict=True)) for y in found]
+    assert abs(sum(changed) / n - sum(sum(word.count(c) for c in d) for d in drawn) / n) < 0.25

@@ -4,6 +4,8 @@ import pytest
 import zstandard
 from pyspark.sql import functions as F
 
+from lexiloom.functions import lexicon
+from lexiloom.operators import curate, scoring
 from lexiloom.plans import flow
 from lexiloom.sources import adapters, apis, files
 from lexiloom.streaming import ingest
@@ -111,7 +113,7 @@ def test_rescans_of_a_live_board(spark, tmp_path):
 
 
 def test_steps():
-    assert flow.resolve("export,core") == ["normalize", "mutate", "dedup", "split", "export"] and flow.resolve("") == []
+    assert flow.resolve("export,core") == ["download", "normalize", "mutate", "dedup", "split", "export"] and flow.resolve("") == []
     with pytest.raises(ValueError):
         flow.resolve("nope")
 
@@ -120,7 +122,7 @@ def test_build(spark, tmp_path):
     raw = spark.range(60).select(F.concat(F.lit("some people work on item "), F.col("id")).alias("text"), (F.col("id") % 2).cast("tinyint").alias("label"), F.lit("s").alias("source"), F.lit("o").alias("origin_label"), F.when(F.col("id") % 3 == 0, "test").otherwise("train").alias("split_origin"))
     raw.write.parquet(str(tmp_path / "raw"))
     build = flow.Build(spark, flow.Settings(str(tmp_path), ["work"], test_target=16, val_target=8))
-    assert build.run("all")[-1] == "export: done" and build.log[0] == "curate: skipped"
+    assert build.run("all")[-1] == "export: done" and build.log[0] == "download: skipped" and "curate: skipped" in build.log
     done = files.read_split(spark, str(tmp_path / "dataset"))
     assert done.groupBy("cluster").agg(F.countDistinct(F.when(F.col("split") != "test_obfuscated", F.col("split"))).alias("n")).filter("n > 1").isEmpty()
     assert {"train", "validation", "test", "test_obfuscated"} == {r.split for r in done.select("split").distinct().collect()}
@@ -128,3 +130,96 @@ def test_build(spark, tmp_path):
     assert abs(sizes[0] - sizes[1]) <= 4
     report = json.loads(spark.read.json(str(tmp_path / "report")).first().stats)
     assert report["total_rows"] == done.count() > report["distinct_rows"]
+
+
+WORDS = lexicon.Lexicon(("darn",), ("oaf",), ("you",))
+SAID = ["darn this rain again today", "you are such an oaf today", "what an oaf that was today", "some oaf went by just now", "an oaf of the first order", "a quiet day in the park"]
+
+
+def candidates(spark, path):
+    rows = [(t, "comments", "c", 1, 1, str(i)) for i, t in enumerate(SAID)]
+    spark.createDataFrame(rows, "text string, source string, subreddit string, created_utc bigint, score bigint, id string").write.parquet(f"{path}/candidates")
+
+
+def labels(spark, path):
+    return {r.text: (r.label, r.origin_label) for r in spark.read.parquet(f"{path}/community").collect()}
+
+
+def test_grey_rows_end_in_a_bank_or_in_review(spark, tmp_path):
+    work = str(tmp_path)
+    candidates(spark, work)
+    chances = {SAID[2]: 0.9, SAID[3]: 0.1, SAID[4]: 0.5}
+    build = flow.Build(spark, flow.Settings(work, lexicon=WORDS, scorer=lambda: lambda texts: [chances.get(t, 0.5) for t in texts]))
+    log = build.run("curate,review,merge")
+    assert log[0] == "curate: done" and log[1].startswith("review: waiting for labels") and len(log) == 2
+    (open_,) = spark.read.parquet(f"{work}/manual").collect()
+    assert (open_.text, open_.label) == (SAID[4], -1) and abs(open_.conf - 0.5) < 1e-6
+    banked = {r.text: (r.bank, r.label) for r in spark.read.parquet(f"{work}/banks").collect()}
+    assert banked == {SAID[0]: ("B", 0), SAID[1]: ("A", 1), SAID[2]: ("A", 1), SAID[3]: ("C", 0), SAID[5]: ("C", 0)}
+    spark.createDataFrame([(SAID[4], "grey", 1)], "text string, origin_label string, label int").coalesce(1).write.mode("overwrite").csv(f"{work}/review", header=True)
+    assert build.run("review,merge")[-2:] == ["review: done", "merge: done"]
+    assert labels(spark, work) == {SAID[0]: (0, "emotional"), SAID[1]: (1, "attack"), SAID[2]: (1, "grey->attack"), SAID[3]: (0, "grey->clean"), SAID[4]: (1, "grey"), SAID[5]: (0, "clean")}
+
+
+def test_build_without_a_model(spark, tmp_path):
+    work = str(tmp_path)
+    candidates(spark, work)
+    assert "review: waiting" in flow.Build(spark, flow.Settings(work, lexicon=WORDS)).run("comments")[-1]
+    assert spark.read.parquet(f"{work}/manual").count() == 3
+    flow.Build(spark, flow.Settings(work, lexicon=WORDS, by_lexicon=True)).run("review,merge")
+    assert set(labels(spark, work)) == {SAID[0], SAID[1], SAID[5]}
+
+
+def test_verification_scores_a_sample_only(spark):
+    rows = spark.createDataFrame([(str(i), "A" if i % 2 else "C") for i in range(200)], "text string, bank string").withColumns({"label": F.lit(1).cast("tinyint"), "origin_label": F.lit("x")})
+    asked = spark.sparkContext.accumulator(0)
+
+    def scorer():
+        def score(texts):
+            asked.add(len(texts))
+            return [0.0] * len(texts)
+
+        return score
+
+    out = curate.verify(rows, ["text"], grey=curate.Grey(verify_share=0.1), score=lambda df: scoring.score_with(df, scorer))
+    assert {(r.bank, r.n) for r in out.groupBy("bank").agg(F.count("*").alias("n")).collect()} == {("A", 90), ("C", 100), ("manual", 10)}
+    assert 0 < asked.value <= 40
+
+
+def test_feeds_and_tables(spark, tmp_path):
+    work = str(tmp_path)
+    spark.createDataFrame([(f"one two three four {i}", i) for i in range(9)], "body string, n int").write.json(f"{work}/other")
+    feeds = {"fetch": {"channels": "a,b", "transport": "tests.fake_api:comments", "maxPages": 1, "pageSize": 5}, "fetch-videos": {"kind": "video-search", "channels": "q", "transport": "tests.fake_api:video_search"}}
+    table = flow.Table(f"{work}/other", "json", adapters.ColumnMap(text="body", id="n"))
+    build = flow.Build(spark, flow.Settings(work, feeds=feeds, tables=(table,), scorer=lambda: lambda texts: [int(t[-1]) / 10 for t in texts], most_rows=9))
+    assert build.run("fetch,fetch-tables,fetch-videos") == ["fetch: done", "fetch-tables: done", "fetch-videos: done"]
+    assert spark.read.parquet(f"{work}/candidates").groupBy("source").count().count() >= 1
+    assert {r.id: r.label for r in spark.read.parquet(f"{work}/labelled").collect()} == {str(i): 0 if i <= 3 else 1 if i >= 7 else -1 for i in range(9)}
+    before = spark.read.parquet(f"{work}/labelled").count()
+    assert build.run("fetch-tables")[-1] == "fetch-tables: done" and spark.read.parquet(f"{work}/labelled").count() == before
+
+
+def test_titles_of_searched_videos():
+    found = list(apis.video_search(lambda params: fake_api.video_search("", params), "q", 5, 100, 10))
+    assert [(r["videoId"], r["title"]) for r in found] == [("v0", "title 0")] * 3 + [("v1", "title 1")] * 3
+
+
+def test_a_replaced_table_is_recovered(spark, tmp_path):
+    path = str(tmp_path / "t")
+    files.replace_table(spark.range(3), path)
+    (tmp_path / "t").rename(tmp_path / "t.old")
+    files.replace_table(spark.range(5), path)
+    assert spark.read.parquet(path).count() == 5 and not (tmp_path / "t.old").exists()
+    (tmp_path / "t").rename(tmp_path / "t.old")
+    files.recover(spark, path)
+    assert spark.read.parquet(path).count() == 5
+
+
+def test_model_steps(spark, tmp_path):
+    work = str(tmp_path)
+    rows = spark.range(200).select(F.concat(F.when(F.col("id") % 2 == 0, "good thing number ").otherwise("bad stuff number "), F.col("id")).alias("text"), (F.col("id") % 2).cast("tinyint").alias("label"), F.lit("s").alias("source"), F.lit("o").alias("origin_label"), F.when(F.col("id") % 3 == 0, "test").otherwise("train").alias("split_origin"))
+    rows.write.parquet(f"{work}/in")
+    build = flow.Build(spark, flow.Settings(work, ["stuff"], downloads=(flow.Table(f"{work}/in"),), test_target=40, val_target=10))
+    assert build.run("core,model")[-2:] == ["train: done", "finalize: done"]
+    (overall,) = spark.read.parquet(f"{work}/evaluation").filter("slice = 'overall'").collect()
+    assert overall.accuracy > 0.8
