@@ -11,7 +11,7 @@ from lexiloom.functions import chance, lexicon, mutation, text
 from lexiloom.operators import cluster, curate, dedup, fanout, metrics, sampling, scoring, split, stats
 from lexiloom.plans import mutation_sql
 from lexiloom.plans.views import LEXICON, SQL_UNIFIED, TARGETS, documents, sql_clean, sql_cluster, sql_hash, sql_letters, sql_number, sql_unit, sql_words, unified
-from lexiloom.session import read_table, scratch
+from lexiloom.session import kept, read_table, scratch
 from lexiloom.sources import adapters, files
 from lexiloom.streaming import ingest
 
@@ -215,8 +215,8 @@ def nrm_normalize(spark, sf_dir):
 
 
 def _clustered(spark, sf_dir):
-    """Normalised rows with their canonical form's MD5 as cluster."""
-    return cluster.with_canon(dedup.normalize(unified(spark, sf_dir), ORDER)).withColumn("cluster", F.md5("canon")).drop("canon")
+    """Normalised rows with their canonical form's MD5 as cluster; splits read them several times, so they are written once."""
+    return kept(cluster.with_canon(dedup.normalize(unified(spark, sf_dir), ORDER)).withColumn("cluster", F.md5("canon")).drop("canon"), "clustered")
 
 
 @query(sql_cluster(" SELECT ord, cluster, (SELECT count(*) FROM (SELECT min((source, ord)) AS m FROM clustered GROUP BY cluster) t WHERE t.m < f.m)::BIGINT AS dense FROM clustered JOIN (SELECT cluster, min((source, ord)) AS m FROM clustered GROUP BY cluster) f USING (cluster)"))
@@ -331,7 +331,7 @@ _SPLIT = (
 
 def _split(spark, sf_dir):
     parted = split.assign_split(_clustered(spark, sf_dir), ORDER, TEST, VALIDATION)
-    return parted.withColumn("mutated", (F.col("ord") % 3 == 0).cast("int"))
+    return kept(parted.withColumn("mutated", (F.col("ord") % 3 == 0).cast("int")), "split")
 
 
 @query(sql_cluster(_SPLIT + " SELECT split, label, count(*) AS n FROM parted GROUP BY split, label"))

@@ -26,6 +26,13 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """Write what several branches of a query read to a new shared folder, and read it back: it is worked out once."""
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new folder that driver and executors share: within ``spark.checkpoint.dir``, or local for a local session."""
     named = spark.conf.get("spark.checkpoint.dir", None)
