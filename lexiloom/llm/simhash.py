@@ -343,15 +343,27 @@ def links(nodes: DataFrame, distance: int, total: int = 2 * BITS) -> DataFrame:
 @cache
 def left_out(n: int, similarity: float) -> np.ndarray | None:
     """The choices of members, by place, that a set of n leaves out for its cores, -1 for none; None if they are over ``CORES``."""
-    most = n - ceil(similarity * n - 1e-9)
-    choices = sum(comb(n, k) for k in range(most + 1))
-    if choices > CORES:
-        return None
+    most, choices = n - ceil(similarity * n - 1e-9), 0
+    for k in range(most + 1):
+        choices += comb(n, k)
+        if choices > CORES:  # binomials of large sets are never worked out
+            return None
     return np.array([[*c, *[-1] * (most - k)] for k in range(most + 1) for c in combinations(range(n), k)], int).reshape(choices, most)
 
 
+@cache
+def longest(similarity: float) -> float:
+    """The most members of a set that has cores: those that leave out none, or whose choices are few."""
+    if similarity >= 1:
+        return float("inf")
+    return max(n for n in range(1, max(CORES, ceil(1 / (1 - similarity))) + 2) if left_out(n, similarity) is not None)
+
+
 def cores(text: str | None, shingle: int, similarity: float) -> np.ndarray:
     """Sums of hashes of all that a short text can share with a set that is alike; none for longer texts and those without words."""
+    # So many distinct shingles hold up to ``shingle - 1`` distinct words more.
+    if len(set((text or "").encode().lower().split())) >= longest(similarity) + shingle:
+        return np.zeros(0, "int64")
     hashes = np.unique(_hashes(text, shingle)).astype(np.uint64)
     chosen = left_out(len(hashes), similarity) if len(hashes) else None
     if chosen is None:
