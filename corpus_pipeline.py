@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexiloom.llm import bpe, langid, mixing, simhash, toxicity
-from lexiloom.llm.common import small_batches, stored
+from lexiloom.llm.common import discard, small_batches, stored
 from lexiloom.llm.queries import VOCABULARY, language_filter, toxic_field
 from lexiloom.session import read_table, workers_import_package
 
@@ -77,6 +77,9 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply the stages to documents; what each keeps is written to the shared folder for the next."""
     docs = read_table(spark, sf_dir, "documents")
+    before: list[DataFrame] = []
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), name)
+        discard(*before)  # a stage's documents have been read once the next one's are written
+        before = [docs]
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -38,9 +39,32 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     df.write.parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out.stored_path = path
+    if _scopes:
+        _scopes[-1].append(out)
     return out
 
 
+_scopes: list[list[DataFrame]] = []
+
+
+@contextmanager
+def temporary(*, keep_last: bool = False):
+    """Remove what ``stored`` writes within, at the end: for tables that only lead to one that is written or checkpointed there.
+
+    With ``keep_last`` the table written last stays, and belongs to the scope around.
+    """
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        written = _scopes.pop()
+        if keep_last and written:
+            last = written.pop()
+            if _scopes:
+                _scopes[-1].append(last)
+        discard(*written)
+
+
 def discard(*frames: DataFrame) -> None:
     """Remove what ``stored`` wrote, once nothing reads it any more."""
     for df in frames:

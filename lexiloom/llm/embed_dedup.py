@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lexiloom.llm.common import sorted_groups, stored
+from lexiloom.llm.common import sorted_groups, stored, temporary
 from lexiloom.llm.components import components
 
 SEED, PROBES, RANKS, BLOCK = 20, 4, 4, 8192
@@ -229,7 +229,8 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.95, recall: float = 0.
     kind = "f4" if vectors.schema["embedding"].dataType.elementType == T.FloatType() else "f8"
     base = stored(vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding").mapInPandas(_classed(kind), "vec_id long, cls string, vec binary"), "vectors")
     nodes = stored(base.dropna(subset=["cls"]).groupBy("cls").agg(F.min("vec_id").alias("first"), F.count("*").alias("copies"), F.any_value("vec").alias("vec")), "vector-classes")
-    roots = stored(components(links(nodes, cosine, recall, kind)), "vector-components")
+    with temporary(keep_last=True):
+        roots = stored(components(links(nodes, cosine, recall, kind)), "vector-components")
     named = nodes.join(roots.withColumnRenamed("node", "cls"), "cls")
     counts = link_counts(named.select("root", "cls", "vec", "copies"), cosine, kind)
     least = stored(named.groupBy("root").agg(F.min("first").alias("least")), "least")

@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexiloom.llm.common import small_batches, stored, with_fields
+from lexiloom.llm.common import small_batches, stored, temporary, with_fields
 
 GRAM, HASHES, UNKNOWN = 4, 3, "und"
 #: Characters that are hashed at once, to bound a worker's memory.
@@ -158,7 +158,13 @@ def fit(labelled: DataFrame, settings: Settings = Settings()) -> Filter:
                     found, n = np.unique(x, return_counts=True)
                     yield pd.DataFrame({"lang": lang, "gram": found.view("int64"), "n": n})
 
-    table = stored(sample.mapInPandas(counted, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")), "langid-grams")
+    with temporary():
+        return _filter(sample.mapInPandas(counted, "lang string, gram long, n long"), sizes, settings)
+
+
+def _filter(found: DataFrame, sizes: dict[str, int], settings: Settings) -> Filter:
+    """The filter of languages by documents (``sizes``) from their n-grams (lang, gram, n)."""
+    table = stored(found.groupBy("lang", "gram").agg(F.sum("n").alias("n")), "langid-grams")
     total = table.groupBy("lang").agg(F.sum("n").alias("total"))
     shares = table.join(F.broadcast(total), "lang").select("lang", "gram", "n", (F.col("n") / F.col("total")).alias("f"))
     top = shares.groupBy("gram").agg(F.max("f").alias("top"))

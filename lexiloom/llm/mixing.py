@@ -31,7 +31,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexiloom.llm.common import stored
+from lexiloom.llm.common import stored, temporary
 
 #: Hex digits of a block's hash that name its bucket.
 BUCKET_HEX = 3
@@ -46,7 +46,7 @@ class Mix:
     entropy_share: float = 0.95
     max_repeats: float = 4.0
     budget_share: float = 1.0  #: tokens to draw, as a share of all tokens
-    block_docs: int = 1000
+    block_docs: int = 128
     seed: str = "mix"
 
 
@@ -93,23 +93,25 @@ def exponent(shares: DataFrame, n_sources: int, mix: Mix) -> float:
     return max(ranges["entropy"][0], ranges["repeats"][1])
 
 
-def mixed(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
-    """Rows of ``docs`` (doc_id, text, source and others), each as often as its source's budget asks, with epoch (from 0) and block.
+def _block(digits: int) -> Column:
+    return F.substring("_h", 1, digits) if digits else F.lit("")
 
-    Columns named epoch or block are replaced.
-    """
-    names = [c for c in docs.columns if c not in ("epoch", "block")]
-    shown = [F.col(f"row.`{c}`").alias(c) for c in names]
-    keyed = docs.select(F.struct(*docs.columns).alias("row"), _key(F.col("source")).alias("_key"), tokens_of(F.col("text")).alias("_tokens"), _hash(mix.seed, F.col("doc_id"), F.md5("text")).alias("_h"))
+
+def _turn(mix: Mix) -> Column:
+    return _hash(mix.seed, "block", F.col("passes"), F.col("_key"), F.col("block"))
+
+
+def _drawn(keyed: DataFrame, mix: Mix) -> tuple[DataFrame, int, int] | None:
+    """What each source gives (k, passes, cut_turn, cut_block, fits), hex digits of a block's name, and the number of sources; None without tokens."""
     slim = stored(keyed.select("_key", "_tokens", "_h"), "mix-documents")
     sources = stored(slim.groupBy("_key").agg(F.sum("_tokens").alias("t"), F.count("*").alias("n")), "mix-sources")
     whole = sources.agg(F.sum("t").alias("t"), F.count(F.when(F.col("t") > 0, 1)).alias("k"), F.max("n").alias("most")).first()
     if not whole.t:
-        return docs.select(*names, F.lit(0).alias("epoch"), F.lit("").alias("block"))
+        return None
     digits = 0
     while whole.most > mix.block_docs * 16**digits:
         digits += 1
-    block = F.substring("_h", 1, digits) if digits else F.lit("")
+    block = _block(digits)
     shares = sources.filter("t > 0").select((F.col("t") / whole.t).alias("p"))
     a = exponent(shares, whole.k, mix)
     z = shares.agg(F.sum(F.pow("p", F.lit(a)))).first()[0]
@@ -119,7 +121,7 @@ def mixed(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
         F.col("_key").alias("k"), F.when(F.col("t") > 0, F.expr("d div nullif(t, 0)")).otherwise(1).cast("int").alias("passes"), F.when(F.col("t") > 0, F.expr("d % nullif(t, 0)")).otherwise(0).alias("rest")
     )
 
-    turn = _hash(mix.seed, "block", F.col("passes"), F.col("_key"), F.col("block"))
+    turn = _turn(mix)
     blocks = slim.groupBy("_key", block.alias("block")).agg(F.sum("_tokens").alias("t")).join(budgets, F.col("_key") == F.col("k")).drop("k")
     blocks = stored(blocks.withColumn("turn", turn).withColumn("bucket", F.substring("turn", 1, BUCKET_HEX)), "mix-blocks")
     # Bucket sums first, then the blocks of the one bucket in which the rest ends.
@@ -132,8 +134,24 @@ def mixed(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
     cuts = within.filter(over).withColumn("nth", first(["turn", "block"])).filter("nth = 1")
     cuts = cuts.select(F.col("_key").alias("ck"), F.col("turn").alias("cut_turn"), F.col("block").alias("cut_block"), (F.col("rest") - F.col("before")).alias("fits"))
     drawn = stored(budgets.join(cuts, F.col("k") == F.col("ck"), "left").drop("ck", "rest", "d"), "mix-drawn")
-    few = sources.count() <= BROADCAST_SOURCES
-    placed = keyed.withColumn("block", block).join(F.broadcast(drawn) if few else drawn, F.col("_key") == F.col("k")).withColumn("turn", turn)
+    return drawn, digits, sources.count()
+
+
+def mixed(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
+    """Rows of ``docs`` (doc_id, text, source and others), each as often as its source's budget asks, with epoch (from 0) and block.
+
+    Columns named epoch or block are replaced.
+    """
+    names = [c for c in docs.columns if c not in ("epoch", "block")]
+    shown = [F.col(f"row.`{c}`").alias(c) for c in names]
+    keyed = docs.select(F.struct(*docs.columns).alias("row"), _key(F.col("source")).alias("_key"), tokens_of(F.col("text")).alias("_tokens"), _hash(mix.seed, F.col("doc_id"), F.md5("text")).alias("_h"))
+    with temporary(keep_last=True):
+        said = _drawn(keyed, mix)
+    if said is None:
+        return docs.select(*names, F.lit(0).alias("epoch"), F.lit("").alias("block"))
+    drawn, digits, few = said
+    block = _block(digits)
+    placed = keyed.withColumn("block", block).join(F.broadcast(drawn) if few <= BROADCAST_SOURCES else drawn, F.col("_key") == F.col("k")).withColumn("turn", _turn(mix))
     is_cut = F.coalesce((F.col("turn") == F.col("cut_turn")) & (F.col("block") == F.col("cut_block")), F.lit(False))
     # Without a cut the rest holds all blocks; with one, all that come before it.
     whole_block = F.col("cut_turn").isNull() | (F.struct("turn", "block") < F.struct(F.col("cut_turn"), F.col("cut_block")))

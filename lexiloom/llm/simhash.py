@@ -54,7 +54,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexiloom.llm.common import small_batches, sorted_groups, sorted_runs, stored, with_fields
+from lexiloom.llm.common import small_batches, sorted_groups, sorted_runs, stored, temporary, with_fields
 from lexiloom.llm.components import components
 
 SEED, BITS = 42, 64
@@ -71,7 +71,7 @@ SMALL = 64
 #: Comparisons of a larger bucket that are made at once.
 AT_ONCE = 1 << 20
 #: Documents that are compared by shingles within one task; more are dealt out by pairs of blocks.
-TEXT_BLOCK = 2048
+TEXT_BLOCK = 512
 #: Cores of a set of shingles up to which it is filed under all of them; at a similarity of 0.8, all sets of up to 14 shingles.
 CORES = 128
 #: Cost of writing, moving and sorting a signature, in comparisons of two fingerprints; disk counts as dearer than CPU time.
@@ -570,10 +570,11 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, distance: int = 14, simil
         total = 2 * BITS
     else:
         nodes, total = stored(fps.select("fp", "check").distinct(), "nodes"), 2 * distance + 6
-    near = links(nodes, distance, total)
-    if similarity is not None:
-        near = near.unionByName(short_links(docs, shingle, similarity))
-    roots = components(near).withColumnRenamed("node", "fp")
+    with temporary():
+        near = links(nodes, distance, total)
+        if similarity is not None:
+            near = near.unionByName(short_links(docs, shingle, similarity))
+        roots = components(near).withColumnRenamed("node", "fp")
     shown = F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint")
     if similarity is None:
         named = nodes.join(roots, "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("group"))
@@ -581,7 +582,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, distance: int = 14, simil
         return fps.join(named.select("fp", "group").join(least, "group"), "fp").select("doc_id", "fp", shown, "words", "component_id", F.col("group").cast("string").alias("group"))
     classes = fps.groupBy("fp", "words").agg(F.min("doc_id").alias("first")).join(roots, "fp", "left")
     classes = stored(classes.select("fp", "words", "first", F.coalesce("root", "fp").alias("candidate")), "word-classes")
-    alike = components(_alike(docs, classes, shingle, similarity)).withColumnRenamed("node", "words")
+    with temporary():
+        alike = components(_alike(docs, classes, shingle, similarity)).withColumnRenamed("node", "words")
     named = classes.join(alike, "words", "left").select("words", "first", F.coalesce("root", "words").alias("group"))
     least = stored(named.groupBy("group").agg(F.min("first").alias("component_id")), "least")
     return fps.join(named.select("words", "group").join(least, "group"), "words").select("doc_id", "fp", shown, "words", "component_id", "group")

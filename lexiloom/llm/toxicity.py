@@ -44,7 +44,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexiloom.llm.common import small_batches, stored, with_fields
+from lexiloom.llm.common import small_batches, stored, temporary, with_fields
 
 WORD = re.compile(r"\w+")
 PREFIXES = range(3, 9)
@@ -283,6 +283,11 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) ->
     The sample is drawn from the labels alone, so it is the only side of the join
     with the texts that moves; it has a bounded number of rows.
     """
+    with temporary():
+        return _fit(docs, labels, settings)
+
+
+def _fit(docs: DataFrame, labels: DataFrame, settings: Settings) -> Field:
     told = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).dropna().filter("toxic IN (0, 1)")
     sizes = {r.toxic: r.n for r in told.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if len(sizes) < 2:
