@@ -16,6 +16,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("work", help="folder with raw/ (unified tables) or candidates/")
     ap.add_argument("--steps", default="core", help=f"of {', '.join(STEPS)} or {', '.join(PRESETS)}")
     ap.add_argument("--targets", help="file of words to vary in offensive rows")
+    ap.add_argument("--clean-targets", help="file of everyday words to vary in clean rows")
     ap.add_argument("--expletives", help="file of expletives")
     ap.add_argument("--insults", help="file of insults")
     ap.add_argument("--pronouns", default="you,your,yours,u", help="second-person words")
@@ -39,7 +40,7 @@ def main(argv: list[str] | None = None) -> None:
     tables = tuple(Table(path, form) for form, _, path in (t.partition(":") for t in a.table))
     if a.held_out:
         given["held_out"] = tuple(a.held_out.split(","))
-    settings = Settings(a.work, targets=list(words(a.targets)) or ["\0"], lexicon=lexicon, source_caps=a.source_caps, feeds=feeds, tables=tables, **given)
+    settings = Settings(a.work, targets=list(words(a.targets)), clean_targets=list(words(a.clean_targets)), lexicon=lexicon, source_caps=a.source_caps, feeds=feeds, tables=tables, **given)
     print("\n".join(Build(spark, settings).run(a.steps)))
 
 

@@ -25,7 +25,7 @@ def unit(h: Column, at: int = 1) -> Column:
     return number(h, at) / F.lit(float(1 << 52))
 
 
-def running(df: DataFrame, by: list[str], order: list[str], value: Column, out: str, digits: int = 2) -> DataFrame:
+def running(df: DataFrame, by: list[str], order: list[str], value: Column, out: str, digits: int = 3) -> DataFrame:
     """Add the sum of ``value`` over the rows before this one within ``by``, in the order of ``order``.
 
     The first column of ``order`` is a hash in hex. Rows fall into 16**digits

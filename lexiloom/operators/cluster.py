@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lexiloom.functions.text import canonicalize
 from lexiloom.operators.dedup import dedup_exact
+from lexiloom.session import kept as stored
 
 
 def with_canon(df: DataFrame, split_empty: bool = False) -> DataFrame:
@@ -21,14 +22,18 @@ def assign_clusters(df: DataFrame, order: list[str], dense: bool = False, split_
     """Deduplicate exactly, then add ``cluster``. (CLU-01, WIN-04)
 
     By default the id is a hash of the canonical form, which needs no order. With
-    ``dense`` it is the place of the form's first appearance, from 0; only one row
-    per distinct form goes through that global order.
+    ``dense`` it is the place of the form's first appearance, from 0: distinct forms
+    are dealt out by ranges of that order and numbered range by range.
     """
     kept = with_canon(dedup_exact(df, order), split_empty)
     if not dense:
         return kept.withColumn("cluster", F.xxhash64("canon")).drop("canon")
     first = kept.groupBy("canon").agg(F.min(F.struct(*order)).alias("_at"))
-    ids = first.select("canon", (F.row_number().over(Window.orderBy("_at")) - 1).cast("bigint").alias("cluster"))
+    ranged = stored(first.repartitionByRange("_at").withColumn("_part", F.spark_partition_id()), "ranged")
+    sizes = ranged.groupBy(F.col("_part").alias("_p")).agg(F.count("*").alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    place = F.row_number().over(Window.partitionBy("_part").orderBy("_at")) - 1 + F.col("_before")
+    ids = ranged.join(F.broadcast(sizes.withColumn("_before", before)), F.col("_part") == F.col("_p")).select("canon", place.cast("bigint").alias("cluster"))
     return kept.join(ids, "canon").drop("canon")
 
 

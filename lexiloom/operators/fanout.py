@@ -11,17 +11,6 @@ from lexiloom.functions.text import clean_text
 from lexiloom.operators.dedup import keep_first
 from lexiloom.operators.sampling import sample_fraction
 
-# Everyday words that clean rows may have changed.
-EVERYDAY = """
-example because please before house music people think thanks great hello where never friend world right would should
-these those there their thing things want going watch game play like love life time good back some more very even still
-might could about after again against always around every other first found give know leave make means most need only
-open over read same seems show small start state story taken though three through under until water while without word
-work years young reason special strong school friends happy money number nothing morning looking power between family
-history really better
-""".split()
-
-
 def fan_out_offensive(df: DataFrame, targets: list[str], variants: int = 3, seed: int = SEED) -> DataFrame:
     """Each row and ``variants`` mutations of it: up to two target words, else one random word, else, for each third variant, the whole style. (MUT-13)
 
@@ -37,8 +26,8 @@ def fan_out_offensive(df: DataFrame, targets: list[str], variants: int = 3, seed
     return rows.withColumn("text", said).withColumns({"mutated": (v > 0).cast("tinyint"), "variant": v.cast("tinyint")}).drop("_hits", "_places", "_h")
 
 
-def fan_out_clean(df: DataFrame, keys: list[str], targets: list[str] = EVERYDAY, share: float = 0.4, seed: int = SEED) -> DataFrame:
-    """Each row, and for an exact share of them one mutation of an everyday word, where they have one. (MUT-14)"""
+def fan_out_clean(df: DataFrame, keys: list[str], targets: list[str], share: float = 0.4, seed: int = SEED) -> DataFrame:
+    """Each row, and for an exact share of them one mutation of a target, such as an everyday word, where they have one. (MUT-14)"""
     base = df.withColumnRenamed("text", "base_text")
     chosen = sample_fraction(base, keys, share, 0, seed, "clean-variants")
     h = hashed("clean", F.col("source"), F.col("base_text"), seed=seed)
@@ -48,7 +37,7 @@ def fan_out_clean(df: DataFrame, keys: list[str], targets: list[str] = EVERYDAY,
     return tag(base.withColumn("text", F.col("base_text")), 0).unionByName(tag(made, 1))
 
 
-def mutate(df: DataFrame, order: list[str], targets: list[str], clean_targets: list[str] = EVERYDAY, variants: int = 3, clean_share: float = 0.4, seed: int = SEED) -> DataFrame:
+def mutate(df: DataFrame, order: list[str], targets: list[str], clean_targets: list[str], variants: int = 3, clean_share: float = 0.4, seed: int = SEED) -> DataFrame:
     """Offensive rows with variants, then clean rows with theirs, the first of each text. (MUT-13, MUT-14, WIN-02)"""
     hot = fan_out_offensive(df.filter("label = 1"), targets, variants, seed).withColumn("_class", F.lit(0))
     cold = fan_out_clean(df.filter("label = 0"), order, clean_targets, clean_share, seed).withColumn("_class", F.lit(1))

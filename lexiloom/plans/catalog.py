@@ -709,6 +709,106 @@ def stream_dedup_ingest(spark, sf_dir):
     return spark.read.parquet(out).select("text")
 
 
+@query("SELECT ord, origin FROM (SELECT *, row_number() OVER (PARTITION BY lower(trim(text)) ORDER BY origin, ord) AS rn FROM (SELECT doc_id AS ord, text, CASE WHEN doc_id % 2 = 0 THEN 'b' ELSE 'a' END AS origin FROM documents)) WHERE rn = 1")
+def src_ranked_files(spark, sf_dir):
+    """Of copies in several files, the one in the file whose name comes first wins."""
+    path, rows = scratch(spark, "ranked"), documents(spark, sf_dir, F.col("doc_id").alias("ord"), "text")
+    for name, part in (("b", "ord % 2 = 0"), ("a", "ord % 2 = 1")):
+        rows.filter(part).withColumn("origin", F.lit(name)).write.parquet(f"{path}/{name}")
+    ranked = files.read_ranked(spark, f"{path}/a", f"{path}/b").withColumn("_file", F.element_at(F.split("_file", "/"), -1))
+    return dedup.dedup_exact(ranked, ["origin", "ord"]).select("ord", "origin")
+
+
+@query("SELECT doc_id, md5(text) AS digest FROM documents")
+def src_many_paths(spark, sf_dir):
+    path, rows = scratch(spark, "many"), documents(spark, sf_dir, "doc_id", "text")
+    rows.filter("doc_id % 2 = 0").write.parquet(f"{path}/x/even")
+    rows.filter("doc_id % 2 = 1").write.parquet(f"{path}/odd")
+    return files.read_many(spark, f"{path}/x, {path}/odd,{path}/x,").select("doc_id", F.md5("text").alias("digest"))
+
+
+@query("SELECT text AS body, role AS subreddit, turn::VARCHAR AS created_utc, '1' AS score, conv_id::VARCHAR AS id FROM conversations")
+def src_block_dump(spark, sf_dir):
+    """A dump of one compressed frame for each line."""
+    path = scratch(spark, "blocks")
+    rows = read_table(spark, sf_dir, "conversations").select(F.col("text").alias("body"), F.col("role").alias("subreddit"), F.col("turn").cast("string").alias("created_utc"), F.lit("1").alias("score"), F.col("conv_id").cast("string").alias("id"))
+    files.write_block_dump(rows, path)
+    return files.read_block_dump(spark, path)
+
+
+@query("SELECT text, 'x' AS origin_label, (doc_id % 3)::INT AS label FROM documents WHERE doc_id % 3 < 2")
+def src_review_csv(spark, sf_dir):
+    """Rows of a review that hold a label of 0 or 1."""
+    path = scratch(spark, "reviewed")
+    documents(spark, sf_dir, "text", F.lit("x").alias("origin_label"), (F.col("doc_id") % 3).alias("label")).write.csv(path, header=True, escape='"')
+    return files.read_review(spark, path)
+
+
+@query(f"SELECT word FROM ({_SQL_TOKENS}) WHERE length(word) >= 3")
+def src_word_list(spark, sf_dir):
+    path = scratch(spark, "words")
+    _tokens(spark, sf_dir).select(F.concat(F.lit("  "), F.upper("word"), F.lit(" ")).alias("value")).unionByName(spark.range(3).select(F.lit("# a comment").alias("value"))).write.text(path)
+    return spark.createDataFrame([(w,) for w in lexicon.read_words(spark, path)], "word string")
+
+
+@query("SELECT said AS text FROM (SELECT unnest(string_split(text, chr(10))) AS said FROM documents) WHERE trim(said) <> ''")
+def src_lines(spark, sf_dir):
+    path = scratch(spark, "lines")
+    documents(spark, sf_dir, F.col("text").alias("value")).write.text(path)
+    return files.read_lines(spark, path)
+
+
+@query("SELECT doc_id, md5(text) AS digest, lang FROM documents")
+def snk_parquet(spark, sf_dir):
+    path, rows = scratch(spark, "stage"), documents(spark, sf_dir, "doc_id", "text", "lang")
+    files.write_parquet(rows.filter("doc_id % 2 = 0"), path)
+    files.write_parquet(rows, path)
+    return spark.read.parquet(path).select("doc_id", F.md5("text").alias("digest"), "lang")
+
+
+@query("SELECT doc_id, md5(text) AS digest FROM documents WHERE n_chars > 100")
+def snk_replace(spark, sf_dir):
+    """A table rewritten from itself."""
+    path = scratch(spark, "replaced")
+    files.replace_table(documents(spark, sf_dir, "doc_id", "text", "n_chars"), path)
+    files.replace_table(spark.read.parquet(path).filter("n_chars > 100"), path)
+    return spark.read.parquet(path).select("doc_id", F.md5("text").alias("digest"))
+
+
+@query(sql_cluster(_COPIED + " SELECT '| ' || split || ' | ' || format('{:,}', count(*)) || ' |' AS line FROM shown GROUP BY split"))
+def snk_card(spark, sf_dir):
+    """The lines of a dataset card that tell the size of each split."""
+    said = files.card(files.statistics(_split(spark, sf_dir)))
+    rows = spark.createDataFrame([(line,) for line in said.split("\n")], "line string")
+    return rows.filter(F.col("line").rlike(r"^\| (train|validation|test|test_obfuscated) \|"))
+
+
+@query("SELECT doc_id, n_chars FROM documents ORDER BY n_chars DESC, doc_id LIMIT 50")
+def head_rows(spark, sf_dir):
+    return sampling.head(documents(spark, sf_dir, "doc_id", "n_chars"), [F.desc("n_chars"), "doc_id"], 50)
+
+
+@query("SELECT doc_id, CASE WHEN p >= 70 THEN 1 WHEN p <= 30 THEN 0 ELSE -1 END AS label, printf('model_%.3f', p / 100.0) AS origin_label FROM (SELECT doc_id, length(text) % 100 AS p FROM documents)")
+def mdl_score(spark, sf_dir):
+    """Labels by a pluggable scorer, here the last two digits of a text's length."""
+    rows = scoring.score_with(documents(spark, sf_dir, "doc_id", "text"), lambda: lambda texts: [len(t) % 100 / 100 for t in texts])
+    return curate.model_labels(rows, "p").select("doc_id", F.col("label").cast("int").alias("label"), "origin_label")
+
+
+@query(f"SELECT count(*) AS n FROM (SELECT {_P} AS p FROM documents) WHERE p > 0.3 AND p < 0.7")
+def review_undecided(spark, sf_dir):
+    """Undecided rows counted by the files that hold them, then in all."""
+    path = scratch(spark, "labelled")
+    rows = documents(spark, sf_dir, "doc_id", "text").withColumn("p", chance.unit(chance.hashed("score", F.col("doc_id"))))
+    curate.model_labels(rows, "p").write.parquet(path)
+    return stats.undecided_by_file(spark.read.parquet(path)).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
+
+
+@query(U + "SELECT source, count(*) FILTER (label = 0) AS label_0, count(*) FILTER (label = 1) AS label_1 FROM u GROUP BY source")
+def pivot_values_found(spark, sf_dir):
+    return stats.cross_table(unified(spark, sf_dir), "source", "label")
+
+
 @query()
 def score_baseline(spark, sf_dir):
     rows = unified(spark, sf_dir)

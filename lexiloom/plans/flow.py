@@ -36,6 +36,8 @@ PRESETS = {
     "all": "community,balance",
     "model": "train,finalize",
 }
+#: Stands for an empty word list; no word is this.
+NO_WORDS = ["\0"]
 #: The channels' records of each fetching step as candidates.
 RECORDS = {"fetch": adapters.comment_records, "fetch-boards": adapters.post_records, "fetch-videos": adapters.from_video_comments}
 
@@ -71,6 +73,7 @@ class ReviewNeeded(Exception):
 class Settings:
     work: str
     targets: list[str] = field(default_factory=list)
+    clean_targets: list[str] = field(default_factory=list)  #: everyday words that clean rows may have changed
     lexicon: Lexicon = field(default_factory=Lexicon)
     downloads: tuple[Table, ...] = ()  #: labelled tables for ``raw``
     tables: tuple[Table, ...] = ()  #: tables of candidates that a model labels
@@ -236,7 +239,7 @@ class Build:
             return False
         rows = sampling.cap_per_source(self.read("normalized"), ["text"], self.s.most_pos, self.s.most_neg, self.s.seed) if self.s.most_pos or self.s.most_neg else self.read("normalized")
         keyed = rows.withColumn("key", F.md5(F.concat_ws("|", "source", "text")))
-        self.write(fanout.mutate(keyed, ["key"], self.s.targets, variants=self.s.variants, clean_share=self.s.clean_share, seed=self.s.seed).drop("key"), "mutated")
+        self.write(fanout.mutate(keyed, ["key"], self.s.targets or NO_WORDS, self.s.clean_targets or NO_WORDS, variants=self.s.variants, clean_share=self.s.clean_share, seed=self.s.seed).drop("key"), "mutated")
         return True
 
     def dedup(self) -> bool:

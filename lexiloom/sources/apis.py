@@ -7,16 +7,20 @@ linearly growing pause. (SRC-12, SRC-16, SRC-17, SRC-18, SRC-19)
 
 from __future__ import annotations
 
+import hashlib
 import importlib
 import json
+import os
+import tempfile
 import time
 import urllib.error
 import urllib.parse
 import urllib.request
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition, SimpleDataSourceStreamReader
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
 Transport = Callable[[str, dict], object]
 RECORD = "channel string, value string"
@@ -141,19 +145,58 @@ class PagedReader(_Paged, DataSourceReader):
         return self.records(partition.value)
 
 
-class RescanReader(_Paged, SimpleDataSourceStreamReader):
-    """Scans all channels anew for each micro-batch; the offset counts scans. (STR-02)"""
+@dataclass
+class Scan(InputPartition):
+    """One channel, read for one scan."""
+
+    channel: str
+    number: int
+
+
+class RescanReader(_Paged, DataSourceStreamReader):
+    """Scans all channels anew, each in a task of its own; the offset counts scans. (STR-02)
+
+    With ``repeat`` there are so many scans, without it one every ``every`` seconds.
+    With ``keep``, a folder that all workers can open, a scan's records are written
+    there before they are handed out, so a replayed batch has the same rows; without
+    it a replay fetches anew.
+    """
+
+    def __init__(self, options: dict):
+        super().__init__(options)
+        self.scans = 0
 
     def initialOffset(self) -> dict:
         return {"scan": 0}
 
-    def read(self, start: dict) -> tuple[Iterator[tuple[str, str]], dict]:
-        if start["scan"] >= int(self.options.get("repeat", 1)):
-            return iter([]), start
-        return iter([r for c in self.channels for r in self.records(c)]), {"scan": start["scan"] + 1}
+    def latestOffset(self) -> dict:
+        if repeat := int(self.options.get("repeat", 0)):
+            self.scans = min(self.scans + 1, repeat)
+            return {"scan": self.scans}
+        return {"scan": int(time.time() // float(self.options.get("every", 60)))}
 
-    def readBetweenOffsets(self, start: dict, end: dict) -> Iterator[tuple[str, str]]:
-        return iter([r for c in self.channels for r in self.records(c)] if end["scan"] > start["scan"] else [])
+    def partitions(self, start: dict, end: dict) -> list[Scan]:
+        return [Scan(c, end["scan"]) for c in self.channels] if end["scan"] > start["scan"] else []
+
+    def read(self, partition: Scan) -> Iterator[tuple[str, str]]:
+        keep = self.options.get("keep")
+        if not keep:
+            yield from self.records(partition.channel)
+            return
+        name = hashlib.sha256(partition.channel.encode()).hexdigest()[:16]
+        path = os.path.join(keep, f"{partition.number:012d}-{name}.jsonl")
+        if not os.path.exists(path):
+            os.makedirs(keep, exist_ok=True)
+            with tempfile.NamedTemporaryFile("w", dir=keep, delete=False, encoding="utf-8") as out:
+                for _, value in self.records(partition.channel):
+                    out.write(value + "\n")
+            os.replace(out.name, path)
+        with open(path, encoding="utf-8") as lines:
+            for line in lines:
+                yield partition.channel, line.rstrip("\n")
+
+    def commit(self, end: dict) -> None:
+        """Nothing is kept on the other side."""
 
 
 class PagedApi(DataSource):
@@ -169,7 +212,7 @@ class PagedApi(DataSource):
     def reader(self, schema) -> PagedReader:
         return PagedReader(dict(self.options))
 
-    def simpleStreamReader(self, schema) -> RescanReader:
+    def streamReader(self, schema) -> RescanReader:
         return RescanReader(dict(self.options))
 
 

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import io
 import json
+import os
+import tempfile
 from collections.abc import Iterator
+from urllib.parse import urlparse
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -63,6 +66,27 @@ def read_block_dump(spark: SparkSession, path: str, schema: str = COMMENT) -> Da
     return raw.select(F.from_json("value", schema).alias("j")).filter("j IS NOT NULL").select("j.*").dropna(how="all")
 
 
+def write_block_dump(df: DataFrame, path: str) -> None:
+    """Rows as JSON lines, each a zstd frame of its own, one file a task, in a folder that all workers can open. (SRC-14)"""
+    folder = urlparse(path).path if path.startswith("file:") else path
+
+    def written(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import zstandard
+        from pyspark import TaskContext
+
+        os.makedirs(folder, exist_ok=True)
+        packer, name = zstandard.ZstdCompressor(), f"part-{TaskContext.get().partitionId():05d}.jsonl.zst_blocks"
+        with tempfile.NamedTemporaryFile(dir=folder, prefix=".", delete=False) as out:
+            for batch in batches:
+                for value in batch["value"]:
+                    out.write(packer.compress(value.encode() + b"\n"))
+        os.replace(out.name, f"{folder}/{name}")
+        yield pd.DataFrame({"name": [name]})
+
+    rows = df.select(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("value"))
+    rows.mapInPandas(written, "name string").write.format("noop").mode("overwrite").save()
+
+
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """Lines that are not blank, as ``text``. (SRC-23)"""
     return spark.read.text(path).select(F.col("value").alias("text")).filter(F.trim("text") != "")

@@ -36,3 +36,8 @@ def video_search(url, params):
         return videos(url, params)
     n = int(params.get("pageToken", 0))
     return {"items": [{"id": {"videoId": f"v{n}"}, "snippet": {"title": f"title {n}"}}]} | ({"nextPageToken": 1} if n == 0 else {})
+
+
+def board_of_now(url, params):
+    CALLS["n"] += 1
+    return board(url, params) if params["what"] == "catalog" else {"posts": [{"com": f"call {CALLS['n']}", "no": 1}]}

@@ -160,7 +160,7 @@ def test_fan_out(spark):
             assert r.text == "a b"
     clean = fanout.fan_out_clean(df, ["ord"], ["work"], 1.0).collect()
     assert len(clean) == 4 and sum(r.mutated for r in clean) == 1
-    whole = fanout.mutate(df.withColumn("label", F.when(F.col("ord") == 1, 1).otherwise(0)), ["ord"], ["work"])
+    whole = fanout.mutate(df.withColumn("label", F.when(F.col("ord") == 1, 1).otherwise(0)), ["ord"], ["work"], ["work"])
     assert whole.count() == whole.select("text").distinct().count()
 
 

@@ -223,3 +223,13 @@ def test_model_steps(spark, tmp_path):
     assert build.run("core,model")[-2:] == ["train: done", "finalize: done"]
     (overall,) = spark.read.parquet(f"{work}/evaluation").filter("slice = 'overall'").collect()
     assert overall.accuracy > 0.8
+
+
+def test_replayed_scans_give_the_same_rows(spark, tmp_path):
+    from lexiloom.sources.apis import RescanReader, Scan
+
+    options = {"kind": "board", "channels": "x,y", "transport": "tests.fake_api:board_of_now", "pageSize": "1", "keep": str(tmp_path / "kept")}
+    reader = RescanReader(options)
+    assert [(s.channel, s.number) for s in reader.partitions({"scan": 0}, {"scan": 2})] == [("x", 2), ("y", 2)] and reader.partitions({"scan": 2}, {"scan": 2}) == []
+    first = list(reader.read(Scan("x", 1)))
+    assert list(RescanReader(options).read(Scan("x", 1))) == first != list(reader.read(Scan("x", 2)))
