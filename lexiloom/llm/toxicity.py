@@ -311,7 +311,8 @@ def _fit(docs: DataFrame, labels: DataFrame, settings: Settings) -> Field:
                     words = WORD.findall(t.lower())
                     held = {f for w in set(words) for f in features(w)} | {f"b:{a} {b}" for a, b in zip(words, words[1:], strict=False)}
                     found.update(held if only is None else held & only)
-                yield pd.DataFrame({"f": list(found), "n": list(found.values())})
+                if found:
+                    yield pd.DataFrame({"f": list(found), "n": list(found.values())})
 
         return run
 
@@ -352,7 +353,8 @@ def _fit(docs: DataFrame, labels: DataFrame, settings: Settings) -> Field:
                 for place, (a, b) in enumerate(spans):
                     part = own[a:b]
                     rows.append((of, place, toxic, part, [int(toxic == 1 and any(f in seeds for f in x)) for x in part]))
-            yield pd.DataFrame(rows, columns=["of", "place", "toxic", "tokens", "labels"])
+            if rows:
+                yield pd.DataFrame(rows, columns=["of", "place", "toxic", "tokens", "labels"])
 
     found = sample.mapInPandas(windows_of, "of long, place int, toxic int, tokens array<array<int>>, labels array<int>")
     taken = found.orderBy("of", "place").limit(settings.fit_windows).toPandas()

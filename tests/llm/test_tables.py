@@ -275,3 +275,36 @@ def test_pipeline_rejects_only_what_it_should(spark):
     said = [(1, "the cat sat on the mat", "en", "s", 1), (2, None, "en", "s", 0), (3, "123 456", "en", "s", 7), (4, "the cat ate the rat", "en", "s", 1), (5, "日本語", None, None, 3)]
     docs = spark.createDataFrame(said, "doc_id long, text string, lang string, source string, n_chars long")
     assert {r.doc_id for r in corpus_pipeline.language(spark, docs, DATA).collect()} == {1, 4}
+
+
+def test_pipeline_stages_take_nulls_repeats_and_clashing_names(spark):
+    rng = random.Random(2)
+    words = ["".join(rng.choices("abcdefgh", k=4)) for _ in range(200)]
+    texts = [" ".join(rng.choices(words, k=rng.randint(20, 60))) for _ in range(30)] + [None, "", "  ", "the", "the", "日本語", "the word " * 20_000]
+    rows = [(None if i % 11 == 0 else i, t, None if i % 5 == 0 else "en", None if i % 7 == 0 else f"s{i % 3}", None, "a", "b", "c", "d", None) for i, t in enumerate([*texts, *texts[:4]])]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, row string, lang_pred string, score string, words string, _found int"
+    docs = spark.createDataFrame(rows, schema)
+    told = {tuple(r) for r in docs.collect()}
+    for name, stage in corpus_pipeline.STAGES:
+        for table in (docs, docs.limit(0)):
+            out = stage(spark, table, DATA)
+            if name != "byte_level_bpe":
+                assert out.columns == docs.columns
+                assert {tuple(r) for r in out.collect()} <= told
+            assert table is docs or out.count() == 0
+    kept = corpus_pipeline.STAGES[2][1](spark, docs, DATA)
+    same = lambda f: f.select("text").distinct().count()
+    assert same(kept) == kept.select(F.coalesce(F.trim("text"), F.lit(""))).distinct().count()
+
+
+@needs_data
+def test_pipeline_stages_against_plain_forms(spark):
+    """Toxicity by the operator's own scores, and the mix by its SQL, over what the stages before kept."""
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    scores = {r.doc_id: r.predicted for r in queries.op9_toxicity(spark, DATA).collect()}
+    assert {r.doc_id for r in corpus_pipeline.STAGES[1][1](spark, docs, DATA).collect()} == {i for i, p in scores.items() if not p}
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{DATA}/documents.parquet'")
+    want = con.execute("WITH RECURSIVE " + queries.mixing_sql("documents", "doc_id, source").lstrip()).fetchall()
+    found = corpus_pipeline.STAGES[3][1](spark, docs, DATA).select("doc_id", "source").collect()
+    assert sorted(map(tuple, found)) == sorted(want)
