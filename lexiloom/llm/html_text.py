@@ -20,8 +20,10 @@ copies of one another. Roles are the same for all pages of a host.
 
 Every page is read through its host's wrapper; groups that the wrapper does not
 have take their role from their own tag and names, and a page in which the wrapper
-finds no text is read through a wrapper of its own. Wrappers are fitted on
-all distinct pages of a host, first within salted parts, whose wrappers are then merged.
+finds no text is read through a wrapper of its own. Wrappers are fitted on all pages
+of a host where they lie, and only wrappers move: each task has one for each host and
+shape of page, these are merged by host and salt, then by host. Copies of a page weigh
+more, but a template text takes ``TEMPLATE_PAGES`` pages that differ.
 No step recurses, and alignment looks at up to ``BAND`` places of a label, so deep
 nesting and long lists of unlike groups cost time in proportion to their length.
 
@@ -51,8 +53,10 @@ from pyspark.sql import functions as F
 from lexiloom.llm.common import small_batches, stored
 from lexiloom.llm.url_rules import host_of
 
-#: Parts that a host's pages are dealt to, each with a wrapper of its own at first.
+#: Parts that the wrappers of a host's tasks are dealt to, each merged by itself at first.
 SALTS = 64
+#: Wrappers that a task holds before it hands them on.
+HELD = 2000
 #: Distinct pages that must share a text at a place for it to be the template's.
 TEMPLATE_PAGES = 5
 #: Times that a label may come back within a group before all from its first to its last place is one repeated group.
@@ -145,10 +149,12 @@ def read_page(page: str) -> Group:
     return root
 
 
-# A wrapper is a nested list: [label, quantifier, inside, text, links, role, seen, common].
+# A wrapper is a nested list: [label, quantifier, inside, text, links, role, seen, common, few, places].
 # Text and links count characters in all pages seen; ``seen`` counts the pages. A text has
-# the label "#" and in ``common`` those that all these pages have there: digest to length.
-LABEL, QUANT, INSIDE, TEXT, LINKS, ROLE, SEEN, COMMON = range(8)
+# the label "#", in ``common`` those that all these pages have there (digest to length) and
+# in ``few`` the least digests of the pages, up to TEMPLATE_PAGES. ``places`` are the places
+# of each label inside, worked out when they are first asked for.
+LABEL, QUANT, INSIDE, TEXT, LINKS, ROLE, SEEN, COMMON, FEW, PLACES = range(10)
 _OPTIONAL = {"": "?", "?": "?", "+": "*", "*": "*"}
 _REPEATED = {"": "+", "+": "+", "?": "*", "*": "*"}
 
@@ -168,14 +174,14 @@ def flat(task):
     return value
 
 
-def said_of(text: str) -> tuple[int, int]:
-    """Digest and length of a text, white space aside."""
-    words = " ".join(text.split())
-    return xxhash.xxh64_intdigest(words), len(words)
+def said_of(text: str) -> int:
+    """Digest of a text, white space aside."""
+    return xxhash.xxh64_intdigest(" ".join(text.split()))
 
 
-def wrap(page: Group) -> list:
+def wrap(page: Group, digest: int = 0) -> list:
     """The wrapper that one page makes, runs of like groups folded."""
+    few = (digest,)
     order, stack = [], [(page, False)]
     while stack:
         group, linked = stack.pop()
@@ -187,19 +193,50 @@ def wrap(page: Group) -> list:
         inside, text, links = [], 0, 0
         for x in group.inside:
             if isinstance(x, str):
-                digest, size = said_of(x)
-                if not size:
+                if x.isspace() or not x:
                     continue
                 size = len(x) - x.count(" ")
-                item = ["#", "", [], size, size * linked, WAY, 1, {digest: size}]
+                item = ["#", "", [], size, size * linked, WAY, 1, {said_of(x): size}, few, None]
             else:
                 item = made.pop(id(x))
             text, links = text + item[TEXT], links + item[LINKS]
             inside.append(item)
-        made[id(group)] = [group.label, "", flat(fold(inside)), text, links, WAY, 1, None]
+        if len(inside) > 1:
+            inside = flat(fold(inside))
+        made[id(group)] = [group.label, "", inside, text, links, WAY, 1, None, None, None]
     return made[id(page)]
 
 
+def nodes_of(wrapper: list) -> list[list]:
+    """Groups and texts in page order."""
+    out, stack = [], [wrapper]
+    while stack:
+        out.append(item := stack.pop())
+        stack += reversed(item[INSIDE])
+    return out
+
+
+def shape_of(nodes: list[list]) -> tuple:
+    """What wrappers share if they differ in texts alone."""
+    return tuple((x[LABEL], x[QUANT], len(x[INSIDE])) for x in nodes)
+
+
+def add(nodes: list[list], more: list[list]) -> None:
+    """Merge a wrapper of the same shape into one, node by node; both are given by their nodes and of different pages."""
+    for a, b in zip(nodes, more, strict=True):
+        a[TEXT] += b[TEXT]
+        a[LINKS] += b[LINKS]
+        a[SEEN] += b[SEEN]
+        if a[COMMON] is not None:
+            a[COMMON] = {k: n for k, n in a[COMMON].items() if k in b[COMMON]}
+            if a[FEW] != b[FEW]:
+                a[FEW] = least_of(a[FEW], b[FEW])
+
+
+def least_of(a: tuple, b: tuple) -> tuple:
+    return tuple(sorted({*a, *b})[:TEMPLATE_PAGES])
+
+
 def fold(items: list):
     """Turn runs of one to three like groups in a row, and what lies between the places of a label that keeps coming back, into repeated groups."""
     if len({x[LABEL] for x in items}) == len(items):
@@ -216,7 +253,8 @@ def fold(items: list):
                 for k in range(i, i + period):
                     one = items[k]
                     for again in range(k + period, j, period):
-                        one = yield merge(one, items[again], True)
+                        other = items[again]
+                        one = merge_plain(one, other, True) if plain(one, other) else (yield merge(one, other, True))
                     out.append([one[LABEL], _REPEATED[one[QUANT]], *one[INSIDE:]])
                 i = j
             else:
@@ -246,20 +284,44 @@ def fold(items: list):
     return folded + out[last:]
 
 
+def _quant(a: str, b: str) -> str:
+    if a == b:
+        return a
+    return "*" if "*" in a + b or a + b in ("?+", "+?") else "+" if "+" in a + b else "?"
+
+
+def merge_texts(a: list, b: list, folded: bool) -> list:
+    """Text for two texts: of the same pages if they are ``folded``, else of different ones."""
+    if not folded:
+        common = {k: n for k, n in a[COMMON].items() if k in b[COMMON]}
+    elif a[SEEN] == b[SEEN]:
+        common = a[COMMON] | b[COMMON]
+    else:
+        common = (a if a[SEEN] > b[SEEN] else b)[COMMON]
+    seen = max(a[SEEN], b[SEEN]) if folded else a[SEEN] + b[SEEN]
+    return ["#", _quant(a[QUANT], b[QUANT]), [], a[TEXT] + b[TEXT], a[LINKS] + b[LINKS], WAY, seen, common, a[FEW] if a[FEW] == b[FEW] else least_of(a[FEW], b[FEW]), None]
+
+
+def plain(a: list, b: list) -> bool:
+    """Whether two like groups hold one text each, or nothing: there is nothing to align."""
+    x, y = a[INSIDE], b[INSIDE]
+    return len(x) == len(y) and (not x or len(x) == 1 and x[0][LABEL] == y[0][LABEL] == "#")
+
+
+def merge_plain(a: list, b: list, folded: bool) -> list:
+    """``merge`` for two groups that are ``plain``, or two texts."""
+    if a[LABEL] == "#":
+        return merge_texts(a, b, folded)
+    inside = [merge_texts(x, y, folded) for x, y in zip(a[INSIDE], b[INSIDE], strict=True)]
+    return [a[LABEL], _quant(a[QUANT], b[QUANT]), inside, a[TEXT] + b[TEXT], a[LINKS] + b[LINKS], WAY, max(a[SEEN], b[SEEN]) if folded else a[SEEN] + b[SEEN], None, None, None]
+
+
 def merge(a: list, b: list, folded: bool):
     """Wrapper for two like groups: of the same pages if they are ``folded``, else of different ones."""
-    quant = a[QUANT] if a[QUANT] == b[QUANT] else "*" if "*" in (q := a[QUANT] + b[QUANT]) or q in ("?+", "+?") else "+" if "+" in q else "?"
+    if plain(a, b):
+        return merge_plain(a, b, folded)
     inside = yield align(a[INSIDE], b[INSIDE], folded)
-    seen = max(a[SEEN], b[SEEN]) if folded else a[SEEN] + b[SEEN]
-    common = None
-    if a[LABEL] == "#":
-        if not folded:
-            common = {k: n for k, n in a[COMMON].items() if k in b[COMMON]}
-        elif a[SEEN] == b[SEEN]:
-            common = a[COMMON] | b[COMMON]
-        else:
-            common = (a if a[SEEN] > b[SEEN] else b)[COMMON]
-    return [a[LABEL], quant, inside, a[TEXT] + b[TEXT], a[LINKS] + b[LINKS], WAY, seen, common]
+    return [a[LABEL], _quant(a[QUANT], b[QUANT]), inside, a[TEXT] + b[TEXT], a[LINKS] + b[LINKS], WAY, max(a[SEEN], b[SEEN]) if folded else a[SEEN] + b[SEEN], None, None, None]
 
 
 def pairs(a: list, b: list) -> list[tuple[int, int]]:
@@ -297,11 +359,12 @@ def align(a: list, b: list, folded: bool):
         return []
     optional = lambda x: [x[LABEL], _OPTIONAL[x[QUANT]], *x[INSIDE:]]
     out, i, j = [], 0, 0
-    for m, n in [*pairs(a, b), (len(a), len(b))]:
+    same = len(a) == len(b) and all(x[LABEL] == y[LABEL] for x, y in zip(a, b, strict=True))
+    for m, n in [*(((k, k) for k in range(len(a))) if same else pairs(a, b)), (len(a), len(b))]:
         out += [optional(x) for x in a[i:m]]
         out += [optional(x) for x in b[j:n]]
         if m < len(a):
-            out.append((yield merge(a[m], b[n], folded)))
+            out.append(merge_plain(a[m], b[n], folded) if plain(a[m], b[n]) else (yield merge(a[m], b[n], folded)))
         i, j = m + 1, n + 1
     return (yield fold(out))
 
@@ -349,7 +412,7 @@ def assign(wrapper: list) -> list:
 
     def slots(x: list) -> int:
         """Characters of a text that are not the template's."""
-        return x[TEXT] - (sum(x[COMMON].values()) * x[SEEN] if x[SEEN] >= TEMPLATE_PAGES else 0)
+        return x[TEXT] - (sum(x[COMMON].values()) * x[SEEN] if len(x[FEW]) >= TEMPLATE_PAGES else 0)
 
     def count() -> dict[int, tuple[int, int, int, bool]]:
         """Text, text in slots and link text that each group holds, and whether an article or main is in it; what is dropped counts nothing."""
@@ -416,14 +479,14 @@ def assign(wrapper: list) -> list:
         x[ROLE] = CONTENT
     copies = sum(sums[id(x)][1] for x in contents) < 0.5 * sum(sums[id(x)][0] for x in contents)
     for x, _ in items:
-        if x[LABEL] == "#" and (copies or x[SEEN] < TEMPLATE_PAGES):
+        if x[LABEL] == "#" and (copies or len(x[FEW]) < TEMPLATE_PAGES):
             x[COMMON] = {}
     return wrapper
 
 
 def infer(pages: list[str]) -> list:
     """Wrapper of a host's pages, aligned one after another."""
-    return assign(reduce(merged, (wrap(read_page(p)) for p in pages or [""])))
+    return assign(reduce(merged, (wrap(read_page(p), xxhash.xxh64_intdigest(p)) for p in pages or [""])))
 
 
 def extract(page: Group, wrapper: list) -> str:
@@ -441,9 +504,12 @@ def extract(page: Group, wrapper: list) -> str:
         within = within or group.tag in ("article", "main")
         if own[ROLE] == DROP if own is not None else by_tag(group.label, within) or by_name(group.label):
             return None
-        places: dict[str, list[int]] = {}
-        for k, item in enumerate(own[INSIDE] if own is not None else ()):
-            places.setdefault(item[LABEL], []).append(k)
+        if own is None:
+            places = {}
+        elif (places := own[PLACES]) is None:
+            places = own[PLACES] = {}
+            for k, item in enumerate(own[INSIDE]):
+                places.setdefault(item[LABEL], []).append(k)
         if group.tag in BLOCK:
             end()
         return [iter(group.inside), content or (own is not None and own[ROLE] == CONTENT), within, own, places, 0, group.tag in BLOCK]
@@ -463,7 +529,7 @@ def extract(page: Group, wrapper: list) -> str:
             k = near[min(bisect_left(near, at), len(near) - 1)]
             top[5], hit = max(k, at) if isinstance(x, str) else k, own[INSIDE][k]
         if isinstance(x, str):
-            if content and not (hit is not None and hit[COMMON] and said_of(x)[0] in hit[COMMON]):
+            if content and not (hit is not None and hit[COMMON] and said_of(x) in hit[COMMON]):
                 line.append(x)
         elif x.tag == "br":
             line.append(" ")
@@ -486,16 +552,16 @@ def _packed(wrapper: list) -> bytes:
     """A wrapper's groups in page order with their depths, as packed JSON."""
     rows, stack = [], [(0, wrapper)]
     while stack:
-        depth, (label, quant, inside, text, links, role, seen, common) = stack.pop()
-        rows.append([depth, label, quant, text, links, role, seen, None if common is None else list(common.items())])
+        depth, (label, quant, inside, text, links, role, seen, common, few, _) = stack.pop()
+        rows.append([depth, label, quant, text, links, role, seen, None if common is None else list(common.items()), few])
         stack += [(depth + 1, x) for x in reversed(inside)]
     return zlib.compress(json.dumps(rows, separators=(",", ":")).encode())
 
 
 def _unpacked(data: bytes) -> list:
     path: list[list] = []
-    for depth, label, quant, text, links, role, seen, common in json.loads(zlib.decompress(data)):
-        item = [label, quant, [], text, links, role, seen, None if common is None else {k: n for k, n in common}]
+    for depth, label, quant, text, links, role, seen, common, few in json.loads(zlib.decompress(data)):
+        item = [label, quant, [], text, links, role, seen, None if common is None else {k: n for k, n in common}, few and tuple(few), None]
         del path[depth:]
         if path:
             path[-1][INSIDE].append(item)
@@ -520,32 +586,39 @@ def _known(data: bytes | None) -> list | None:
 def wrappers(pages: DataFrame, url: str = "url", page: str = "html") -> DataFrame:
     """(host, wrapper) for each host with pages; wrappers are packed JSON."""
     named = pages.select(host_of(F.col(url)).alias("host"), F.col(page).alias("page")).filter(F.col("page").isNotNull() & (F.col("page") != ""))
-    named = named.withColumn("draw", F.xxhash64("page")).withColumn("salt", F.pmod("draw", F.lit(SALTS)))
-    parts = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = named.repartition(parts, "host", "salt").sortWithinPartitions("host", "salt", "draw", "page")
 
     def fitted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """The wrapper of each part, page by page; copies are neighbours and count once."""
-        key = wrapper = last = None
-        row = lambda: pd.DataFrame({"host": [key[0]], "salt": [key[1]], "wrapper": [_packed(wrapper)]})
+        """Wrappers of the hosts of a task's pages, a few thousand pages' shapes at a time."""
+        held: dict[tuple[str, tuple], list[list]] = {}
+
+        def handed_on() -> pd.DataFrame:
+            by_host: dict[str, list] = {}
+            for (host, _), nodes in held.items():
+                by_host[host] = merged(by_host[host], nodes[0]) if host in by_host else nodes[0]
+            held.clear()
+            return pd.DataFrame({"host": list(by_host), "wrapper": [_packed(w) for w in by_host.values()]})
+
         for batch in batches:
-            for host, salt, said in zip(batch["host"], batch["salt"], batch["page"], strict=True):
-                if (host, salt) != key:
-                    if wrapper is not None:
-                        yield row()
-                    key, wrapper, last = (host, salt), None, None
-                if said != last:
-                    one, last = wrap(read_page(said)), said
-                    wrapper = one if wrapper is None else merged(wrapper, one)
-        if wrapper is not None:
-            yield row()
-
-    def joined(rows: pd.DataFrame) -> pd.DataFrame:
-        each = map(_unpacked, rows.sort_values("salt")["wrapper"])
-        return pd.DataFrame({"host": [rows["host"].iloc[0]], "wrapper": [_packed(assign(reduce(merged, each)))]})
-
-    partial = dealt.select("host", "salt", "page").mapInPandas(fitted, "host string, salt long, wrapper binary")
-    return partial.groupBy("host").applyInPandas(joined, "host string, wrapper binary")
+            for host, said in zip(batch["host"], batch["page"], strict=True):
+                nodes = nodes_of(wrap(read_page(said), xxhash.xxh64_intdigest(said)))
+                key = (host, shape_of(nodes))
+                if key in held:
+                    add(held[key], nodes)
+                else:
+                    held[key] = nodes
+                    if len(held) >= HELD:
+                        yield handed_on()
+        if held:
+            yield handed_on()
+
+    def together(rows: pd.DataFrame, last: bool) -> pd.DataFrame:
+        each = (_unpacked(w) for w in sorted(rows["wrapper"]))
+        wrapper = reduce(merged, each)
+        return pd.DataFrame({"host": [rows["host"].iloc[0]], "wrapper": [_packed(assign(wrapper) if last else wrapper)]})
+
+    partial = named.mapInPandas(fitted, "host string, wrapper binary").withColumn("salt", F.pmod(F.xxhash64("wrapper"), F.lit(SALTS)))
+    salted = partial.groupBy("host", "salt").applyInPandas(lambda rows: together(rows, False), "host string, wrapper binary")
+    return salted.groupBy("host").applyInPandas(lambda rows: together(rows, True), "host string, wrapper binary")
 
 
 def extract_pages(pages: DataFrame, url: str = "url", page: str = "html", text: str = "text") -> DataFrame:
