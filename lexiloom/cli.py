@@ -30,7 +30,8 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--table", action="append", default=[], metavar="FORMAT:PATH", help="a table of candidates")
     ap.add_argument("--held-out", help="sources whose clusters may go to test, by commas")
     # Settings that the environment gives, as LEXILOOM_TEST_TARGET=100, hold where the command line says nothing.
-    ap.set_defaults(**{k.removeprefix("LEXILOOM_").lower(): v for k, v in os.environ.items() if k.startswith("LEXILOOM_")})
+    given = {k.removeprefix("LEXILOOM_").lower(): v for k, v in os.environ.items() if k.startswith("LEXILOOM_")}
+    ap.set_defaults(**{k: v for k, v in given.items() if k not in ("feed", "table")})
     a = ap.parse_args(argv)
     spark = SparkSession.builder.appName("lexiloom").getOrCreate()
     words = lambda path: tuple(read_words(spark, path)) if path else ()

@@ -4,6 +4,7 @@ import pytest
 import zstandard
 from pyspark.sql import functions as F
 
+from lexiloom import cli
 from lexiloom.functions import lexicon
 from lexiloom.operators import curate, scoring
 from lexiloom.plans import flow
@@ -225,6 +226,20 @@ def test_model_steps(spark, tmp_path):
     assert overall.accuracy > 0.8
 
 
+def test_command_line_and_environment(spark, tmp_path, monkeypatch, capsys):
+    raw = spark.range(60).select(F.concat(F.lit("some people work on item "), F.col("id")).alias("text"), (F.col("id") % 2).cast("tinyint").alias("label"), F.lit("s").alias("source"), F.lit("o").alias("origin_label"), F.when(F.col("id") % 3 == 0, "test").otherwise("train").alias("split_origin"))
+    raw.write.parquet(str(tmp_path / "raw"))
+    (tmp_path / "words.txt").write_text("work\n# comment\n")
+    (tmp_path / "everyday.txt").write_text("people\n")
+    for name, value in (("VARIANTS", "2"), ("TEST_TARGET", "16"), ("CLEAN_SHARE", "1.0")):
+        monkeypatch.setenv(f"LEXILOOM_{name}", value)
+    cli.main([str(tmp_path), "--steps", "core", "--targets", str(tmp_path / "words.txt"), "--clean-targets", str(tmp_path / "everyday.txt"), "--val-target", "8", "--test-target", "12"])
+    assert "export: done" in capsys.readouterr().out
+    done = spark.read.parquet(str(tmp_path / "split"))
+    assert done.agg(F.max("variant")).first()[0] == 2 and done.filter("label = 0 AND mutated = 1").count() > 0
+    assert 0 < done.filter("split = 'test' AND mutated = 0").count() <= 12
+
+
 def test_replayed_scans_give_the_same_rows(spark, tmp_path):
     from lexiloom.sources.apis import RescanReader, Scan
 
