@@ -78,7 +78,11 @@ BATCH_BYTES = "2m"
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Bound the memory of Python workers by bytes, as one text may be long."""
+    """Bound the memory of Python workers by bytes, as one text may be long.
+
+    Operators are lazy and the setting is read when they run, so it stays for the
+    session; it changes how rows are batched, and no result.
+    """
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
 
