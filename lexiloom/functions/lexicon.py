@@ -12,6 +12,8 @@ import re
 from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import reduce
+from operator import or_
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -137,7 +139,12 @@ def java_pattern(pattern: str) -> str:
     while i < len(pattern):
         c = pattern[i]
         if c == "\\" and i + 1 < len(pattern):
-            out.append((_INSIDE if inside else _OUTSIDE).get(pattern[i + 1], pattern[i : i + 2]))
+            said = (_INSIDE if inside else _OUTSIDE).get(pattern[i + 1], pattern[i : i + 2])
+            if said == _EDGE and pattern[i + 2 : i + 3].isalnum() and pattern[i + 3 : i + 4] not in tuple("?*{"):
+                said = f"(?<![{_WORD}])"  # a word character follows
+            elif said == _EDGE and pattern[i - 1 : i].isalnum() and pattern[i - 2 : i - 1] != "\\":
+                said = f"(?![{_WORD}])"  # one came before
+            out.append(said)
             i += 2
             continue
         if inside and c in "[&":  # plain characters in Python's classes
@@ -157,10 +164,28 @@ def java_pattern(pattern: str) -> str:
     return "".join(out)
 
 
-def gate(lexicon: Lexicon) -> str | None:
-    """A Java pattern that every text with a hit or an attack matches: the loose forms, which the strict ones imply, and the user's patterns."""
-    forms = [loose_form(w) for w in (*lexicon.expletives, *lexicon.insults)] + list(lexicon.attacks) + list(lexicon.censored)
-    return "(?iu)" + "|".join(java_pattern(f) for f in forms) if forms else None
+def skeleton(word: str) -> str:
+    """A word's letters without vowels."""
+    return "".join(c for c in word.lower() if c not in VOWELS)
+
+
+def gate(lexicon: Lexicon, text: Column) -> Column | None:
+    """Whether a text can have a hit or an attack, without Python; None without words and patterns.
+
+    Whatever matches a word's loose form, which the strict one implies, holds its
+    consonants in a row once all but letters, and then vowels, are taken out. The
+    user's own patterns are looked for as they are.
+    """
+    words = sorted({skeleton(w) for w in (*lexicon.expletives, *lexicon.insults)})
+    patterns = [java_pattern(f) for f in (*lexicon.attacks, *lexicon.censored)]
+    found = []
+    if words:
+        # The letters that Python takes for an i or an s whatever the case: dotted and dotless i, long s.
+        plain = F.regexp_replace(F.translate(F.lower(text), "ſı", "s"), r"[^\p{L}]|[aeiouy]", "")
+        found.append(F.exists(F.array(plain), lambda t: reduce(or_, (t.contains(w) for w in words))))
+    if patterns:
+        found.append(text.rlike("(?iu)" + "|".join(patterns)))
+    return reduce(or_, found) if found else None
 
 
 def classify_column(text: Column, lexicon: Lexicon) -> Column:
@@ -175,11 +200,11 @@ def classify_column(text: Column, lexicon: Lexicon) -> Column:
 
 def with_category(df: DataFrame, lexicon: Lexicon, text: str = "text") -> DataFrame:
     """Add profanity, insult, attack (0/1) and category. Only texts that pass the native gate go through Python."""
-    pattern = gate(lexicon)
+    passes = gate(lexicon, F.coalesce(F.col(text), F.lit("")))
     flags = ("profanity", "insult", "attack")
-    if pattern is None:
+    if passes is None:
         return df.withColumns({f: F.lit(0).cast("tinyint") for f in flags} | {"category": F.lit("clean")})
-    shown = F.when(F.coalesce(F.col(text), F.lit("")).rlike(pattern), F.col(text))
+    shown = F.when(passes, F.col(text))
     held = "_class"
     while held in df.columns:
         held += "_"
