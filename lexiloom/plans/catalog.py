@@ -546,13 +546,15 @@ def _sql_verified(bank: str, wrong: str) -> str:
 @query(f"""WITH g AS ({_GREYED}), moved AS ({_sql_verified("A", "p < 0.4")} UNION ALL {_sql_verified("C", "p > 0.9")})
 SELECT doc_id, CASE WHEN m THEN 'manual' ELSE bank END AS bank, CASE WHEN m THEN -1 ELSE label END AS label, CASE WHEN m THEN 'verify-disagree' ELSE origin_label END AS origin_label FROM (SELECT *, doc_id IN (SELECT doc_id FROM moved) AS m FROM g)""")
 def cur_verify(spark, sf_dir):
-    out = curate.verify(_greyed(spark, sf_dir).select("doc_id", "p", "bank", "label", "origin_label"), ["doc_id"], grey=curate.Grey(verify_share=0.2))
+    rows = kept(_greyed(spark, sf_dir).select("doc_id", "p", "bank", "label", "origin_label"), "greyed")
+    out = curate.verify(rows, ["doc_id"], grey=curate.Grey(verify_share=0.2))
     return out.select("doc_id", "bank", F.col("label").cast("int").alias("label"), "origin_label")
 
 
 @query(f"WITH g AS ({_GREYED}) " + " UNION ALL ".join(f"SELECT doc_id, bank, label FROM (SELECT *, {_sql_rank(f'bank-{b}', 'doc_id')} AS r FROM g WHERE bank = '{b}') WHERE r < {n} AND label IN (0, 1)" for b, n in (("A", 40), ("B", 50), ("C", 60))))
 def cur_combine(spark, sf_dir):
-    return curate.combine_banks(_greyed(spark, sf_dir), ["doc_id"], {"A": 40, "B": 50, "C": 60}).select("doc_id", "bank", "label")
+    rows = kept(_greyed(spark, sf_dir).select("doc_id", "bank", "label"), "greyed")
+    return curate.combine_banks(rows, ["doc_id"], {"A": 40, "B": 50, "C": 60}).select("doc_id", "bank", "label")
 
 
 @query(U + "SELECT text, label, source, origin_label, split_origin FROM (SELECT *, row_number() OVER (PARTITION BY text ORDER BY r, ord) AS rn FROM (SELECT 0 AS r, * FROM u WHERE ord % 3 = 0 UNION ALL SELECT 1, * FROM u WHERE ord % 3 <> 0 OR ord % 2 = 0)) WHERE rn = 1")
