@@ -1,9 +1,13 @@
+import os
+import re
+
 import numpy as np
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
 from lexiloom.llm import simhash
+from lexiloom.llm.common import shared_dir
 from lexiloom.llm.components import components
 
 SCHEMA = "doc_id long, text string, fp string, words string, _id string"
@@ -196,3 +200,11 @@ def test_jaccard_forest_accounts_for_every_pair():
 
 def test_hashing_matches_the_engine(spark):
     assert spark.range(1).select(F.xxhash64(F.lit("a b c d"))).first()[0] == np.int64(np.uint64(xxhash.xxh64_intdigest(b"a b c d", 42)).astype(np.int64))
+
+
+def test_tables_on_the_way_are_removed(spark, prose):
+    folder = shared_dir(spark).removeprefix("file:")
+    before = set(os.listdir(folder))
+    out = simhash.near_duplicates(frame(spark, prose))
+    left = {m[1] for name in set(os.listdir(folder)) - before if (m := re.fullmatch("([a-z-]+)-[0-9a-f]{32}", name))}
+    assert left == {"fingerprints", "nodes", "word-classes", "least"} and out.count() == len(prose)
