@@ -5,7 +5,8 @@ fast Hadamard transform, and hashed to its nearest signed axis; several such has
 make up a table's bucket. Each vector is filed under its own bucket and, in order
 of lost length, under the next likely ones. Vectors that meet are verified by cosine
 in double precision, and a spanning forest of the verified links goes on to
-connected components. Within a component every vector is then held against every
+connected components, first of one table, then of all: what one table has joined need
+not meet again. Within a component every vector is then held against every
 other, in blocks, so links that hashing missed there count too.
 
 The number of hashes follows the number of vectors, so that buckets hold few
@@ -36,10 +37,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lexiloom.llm.common import sorted_groups, stored, temporary
+from lexiloom.llm.common import sorted_groups, sorted_runs, stored, temporary
 from lexiloom.llm.components import components
 
 SEED, PROBES, RANKS, BLOCK = 20, 4, 4, 8192
+#: Rows of a bucket up to which all its pairs are compared at once for many buckets.
+SMALL = 16
 #: Rows of a block that are held against all others at once.
 ROWS = 512
 #: Strangers that a bucket may be expected to hold, all probes counted.
@@ -134,7 +137,7 @@ def _classed(kind: str):
                 good = x is not None and len(x) and np.isfinite(x).all() and (x != 0).any()
                 data = (x.astype(kind) + 0).tobytes() if good else None  # adding 0 makes -0 and 0 alike
                 raw.append(data)
-                named.append(None if data is None else hashlib.md5(data).hexdigest())
+                named.append(None if data is None else hashlib.md5(data).digest())
             yield pd.DataFrame({"vec_id": batch["vec_id"].astype("Int64"), "cls": named, "vec": raw})
 
     return run
@@ -157,6 +160,29 @@ def forest(x: np.ndarray, cosine: float) -> tuple[list[int], list[int]]:
     return left, right
 
 
+def bucket_links(x: np.ndarray, keys: np.ndarray, cosine: float) -> tuple[np.ndarray, np.ndarray]:
+    """Links by place, of rows sorted by key: all of buckets of up to ``SMALL`` rows, many at once, and spanning ones of larger buckets."""
+    new = np.ones(len(x), bool)
+    new[1:] = (keys[1:] != keys[:-1]).any(axis=1)
+    bucket, starts = np.cumsum(new) - 1, np.flatnonzero(new)
+    sizes = np.diff(np.append(starts, len(x)))
+    left, right = [np.zeros(0, int)], [np.zeros(0, int)]
+    for s, n in zip(starts[sizes > SMALL], sizes[sizes > SMALL], strict=True):
+        a, b = forest(x[s : s + n], cosine)
+        left.append(s + np.array(a, int))
+        right.append(s + np.array(b, int))
+    few = np.flatnonzero((sizes > 1) & (sizes <= SMALL))
+    few = np.flatnonzero(np.isin(bucket, few))
+    for d in range(1, SMALL):
+        i = np.flatnonzero(bucket[few[d:]] == bucket[few[:-d]])
+        if not len(i):
+            break
+        i = i[np.einsum("ij,ij->i", x[few[i]], x[few[i + d]]) >= cosine]
+        left.append(few[i])
+        right.append(few[i + d])
+    return np.concatenate(left), np.concatenate(right)
+
+
 def _dealt(rows: DataFrame, key: list[str], n: str) -> DataFrame:
     """Deal groups of ``n`` rows by pairs of blocks (i, j); ``b`` is a row's own block."""
     return (
@@ -170,32 +196,58 @@ def _dealt(rows: DataFrame, key: list[str], n: str) -> DataFrame:
     )
 
 
-def links(nodes: DataFrame, cosine: float, recall: float, kind: str = "f4") -> DataFrame:
-    """Verified links (u, v) between classes (cls, vec), spanning what hashing brings together."""
-    n = nodes.count()
+def _filed(nodes: DataFrame, parts: str, n: int, cosine: float, recall: float, kind: str) -> DataFrame:
+    """Buckets (cls, key, and root if known) of classes (cls, vec, and root) in the first table or in all ``others``; a key stands for length, table and bucket."""
+    known = [c for c in ("cls", "root") if c in nodes.columns]
 
     def filed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for size, rows in batch.groupby(batch["vec"].map(len)):
-                x, names = unit_rows(rows["vec"].tolist(), kind), rows["cls"].to_numpy()
-                k = hashes_for(n, x.shape[1])
-                for table in range(tables_for(k, x.shape[1], cosine, recall)):
-                    numbers = buckets(x, table, k)
-                    yield pd.DataFrame({"cls": np.repeat(names, numbers.shape[1]), "dim": x.shape[1], "part": table, "bucket": numbers.ravel()})
-
-    key = ["dim", "part", "bucket"]
-    signatures = stored(nodes.select("cls", "vec").mapInPandas(filed, "cls string, dim int, part int, bucket long"), "embedding-buckets")
-    shared = signatures.groupBy(*key).agg(F.count("*").alias("n")).filter("n > 1")
-    met = signatures.join(shared, key).join(nodes.select("cls", "vec"), "cls")
+            for _, rows in batch.groupby(batch["vec"].map(len)):
+                x, names = unit_rows(rows["vec"].tolist(), kind), {c: rows[c].to_numpy() for c in known}
+                dim = x.shape[1]
+                k = hashes_for(n, dim)
+                for table in range(tables_for(k, dim, cosine, recall)):
+                    if (table == 0) == (parts == "first"):
+                        numbers = buckets(x, table, k)
+                        times = numbers.shape[1]
+                        yield pd.DataFrame({c: np.repeat(v, times) for c, v in names.items()} | {"dim": dim, "part": table, "bucket": numbers.ravel()})
+
+    found = nodes.select(*known, "vec").mapInPandas(filed, "".join(f"{c} binary, " for c in known) + "dim int, part int, bucket long")
+    return stored(found.select(*known, F.xxhash64("dim", "part", "bucket").alias("key")), f"embedding-buckets-{parts}")
+
+
+def _met(nodes: DataFrame, signatures: DataFrame, cosine: float, kind: str) -> DataFrame:
+    """Verified links (u, v) that span what meets in a bucket of several classes, not all of one root."""
+    counts, wanted = [F.count("*").alias("n")], "n > 1"
+    if "root" in signatures.columns:
+        counts, wanted = [*counts, F.min("root").alias("least"), F.max("root").alias("most")], "n > 1 AND least <> most"
+    shared = signatures.groupBy("key").agg(*counts).filter(wanted).select("key", "n")
+    met = signatures.select("cls", "key").join(shared, "key").join(nodes.select("cls", "vec"), "cls")
+
+    order = ["key", "i", "j"]
 
     def linked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in sorted_groups(batches, [*key, "i", "j"]):
-            names = rows["cls"].to_numpy()
-            left, right = forest(unit_rows(rows["vec"].tolist(), kind), cosine)
-            if left:
-                yield pd.DataFrame({"u": names[left], "v": names[right]})
+        for run in sorted_runs(batches, order):
+            for _, rows in run.groupby(run["vec"].map(len)):  # keys of two lengths may be equal by chance
+                names, at = rows["cls"].to_numpy(), rows[order].to_numpy("int64")
+                left, right = bucket_links(unit_rows(rows["vec"].tolist(), kind), at, cosine)
+                if len(left):
+                    yield pd.DataFrame({"u": names[left], "v": names[right]})
+
+    return _dealt(met, ["key"], "n").mapInPandas(linked, "u binary, v binary")
 
-    return _dealt(met, key, "n").mapInPandas(linked, "u string, v string")
+
+def rooted(nodes: DataFrame, cosine: float, recall: float, kind: str = "f4") -> DataFrame:
+    """(node, root) of classes (cls, vec) that links join, from what hashing brings together.
+
+    The first table alone joins most of a dense group; in the other tables a bucket
+    whose classes have one root already is left out, before any vector moves to it.
+    """
+    n = nodes.count()
+    first = stored(components(_met(nodes, _filed(nodes.select("cls", "vec"), "first", n, cosine, recall, kind), cosine, kind)), "embedding-first")
+    known = nodes.join(first, F.col("cls") == F.col("node"), "left").select("cls", "vec", F.coalesce("root", "cls").alias("root"))
+    more = _met(nodes, _filed(known, "others", n, cosine, recall, kind), cosine, kind)
+    return components(more.unionByName(first.select(F.col("node").alias("u"), F.col("root").alias("v"))))
 
 
 def link_counts(members: DataFrame, cosine: float, kind: str = "f4") -> DataFrame:
@@ -220,17 +272,17 @@ def link_counts(members: DataFrame, cosine: float, kind: str = "f4") -> DataFram
                 if i != j:
                     yield pd.DataFrame({"cls": names[right], "n_links": back})
 
-    counts = _dealt(members.join(sizes, "root"), ["root"], "n").mapInPandas(counted, "cls string, n_links long")
+    counts = _dealt(members.join(sizes, "root"), ["root"], "n").mapInPandas(counted, "cls binary, n_links long")
     return counts.groupBy("cls").agg(F.sum("n_links").alias("n_links"))
 
 
 def near_duplicates(vectors: DataFrame, cosine: float = 0.95, recall: float = 0.997) -> DataFrame:
     """One row per row of ``vectors`` (vec_id, embedding): vec_id, n_links, component_id and kept."""
     kind = "f4" if vectors.schema["embedding"].dataType.elementType == T.FloatType() else "f8"
-    base = stored(vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding").mapInPandas(_classed(kind), "vec_id long, cls string, vec binary"), "vectors")
+    base = stored(vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding").mapInPandas(_classed(kind), "vec_id long, cls binary, vec binary"), "vectors")
     nodes = stored(base.dropna(subset=["cls"]).groupBy("cls").agg(F.min("vec_id").alias("first"), F.count("*").alias("copies"), F.any_value("vec").alias("vec")), "vector-classes")
     with temporary(keep_last=True):
-        roots = stored(components(links(nodes, cosine, recall, kind)), "vector-components")
+        roots = stored(rooted(nodes, cosine, recall, kind), "vector-components")
     named = nodes.join(roots.withColumnRenamed("node", "cls"), "cls")
     counts = link_counts(named.select("root", "cls", "vec", "copies"), cosine, kind)
     least = stored(named.groupBy("root").agg(F.min("first").alias("least")), "least")

@@ -308,3 +308,23 @@ def test_pipeline_stages_against_plain_forms(spark):
     want = con.execute("WITH RECURSIVE " + queries.mixing_sql("documents", "doc_id, source").lstrip()).fetchall()
     found = corpus_pipeline.STAGES[3][1](spark, docs, DATA).select("doc_id", "source").collect()
     assert sorted(map(tuple, found)) == sorted(want)
+
+
+@pytest.mark.parametrize("sizes", [[2] * 40, [1, 3, 16, 17, 1, 60, 2], [1], [200]])
+def test_links_of_buckets_span_what_is_near(sizes):
+    rng = np.random.default_rng(8)
+    x = np.concatenate([rng.standard_normal((1, 6)) + rng.standard_normal((n, 6)) * rng.choice([0.1, 0.3, 1.0], (n, 1)) for n in sizes])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    keys = np.repeat(np.arange(len(sizes)) * 7, sizes)[:, None]
+    a, b = embed_dedup.bucket_links(x, keys, 0.95)
+    near = (x @ x.T >= 0.95) & (keys == keys.T)
+    assert all(near[i, j] and i != j for i, j in zip(a, b, strict=True))
+
+    def roots(linked):
+        root = np.arange(len(x))
+        for _ in x:
+            for i, j in linked:
+                root[[i, j]] = min(root[i], root[j])
+        return root.tolist()
+
+    assert roots(list(zip(a, b, strict=True))) == roots(list(zip(*np.nonzero(near), strict=True)))
