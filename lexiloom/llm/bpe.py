@@ -4,8 +4,8 @@ Each match of the split pattern is encoded by itself: while some pair of live
 neighbours has a rank, the leftmost pair of the least rank is merged. A segment
 tree over byte positions keeps that pair at its root; a merge changes the pairs
 of two live neighbours and clears one position, so it costs three updates of
-logarithmic length, whatever the match's length. Matches that recur in a task are
-looked up, as words do.
+logarithmic length, whatever the match's length. Matches that recur are looked up, as
+words do; short matches that are new go through their trees many at a time.
 
 Null and empty texts have no ids. Texts are encoded whole; special tokens' strings
 are ordinary text. Ids outside the vocabulary raise ``KeyError`` when decoded.
@@ -16,7 +16,10 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import sys
+from array import array
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -26,8 +29,14 @@ from pyspark.sql import functions as F
 
 from lexiloom.llm.common import with_fields
 
-#: Distinct matches that a task looks up before it starts its table anew.
-CACHED = 250_000
+#: Distinct matches in the table that a worker looks up, and in the one before it.
+CACHED = 150_000
+#: Short matches from which, and up to which, trees are worked on at once.
+AT_ONCE, MOST_AT_ONCE = 32, 8192
+#: Stands for no rank.
+NONE = 1 << 40
+# Fixed value: odd multiplier that spreads keys.
+SPREAD = 0x9E3779B97F4A7C15
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -40,46 +49,47 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     if (whole := ranks.get(piece)) is not None:
         return [whole]
     n = len(piece)
-    size = 1 << max(1, (n - 1).bit_length())
-    none = 1 << 62
-    # A node holds rank * size + position: the least is the leftmost pair of least rank.
+    bits = max(1, (n - 1).bit_length())
+    size = 1 << bits
+    none, mask = 1 << 62, size - 1
+    # A node holds the rank and, in its last bits, the position: the least is the leftmost pair of least rank.
     tree = [none] * (2 * size)
     get = ranks.get
     for i in range(n - 1):
         if (r := get(piece[i : i + 2])) is not None:
-            tree[size + i] = r * size + i
+            tree[size + i] = r << bits | i
     for i in range(size - 1, 0, -1):
         a, b = tree[2 * i], tree[2 * i + 1]
         tree[i] = a if a < b else b
     after, before = list(range(1, n + 2)), list(range(-1, n))
 
     while (top := tree[1]) < none:
-        i = top & (size - 1)
+        i = top & mask
         gone = after[i]
-        last = after[gone]
-        after[i] = last
+        last = after[i] = after[gone]
+        tree[size + gone] = tree[size + i] = none
         if last < n:
             before[last] = i
-        changed = [(gone, none)]
-        if last < n and (r := get(piece[i : after[last]])) is not None:
-            changed.append((i, r * size + i))
-        else:
-            changed.append((i, none))
-        if (j := before[i]) >= 0:
+            if (r := get(piece[i : after[last]])) is not None:
+                tree[size + i] = r << bits | i
+        j = before[i]
+        if j >= 0:
             r = get(piece[j:last])
-            changed.append((j, none if r is None else r * size + j))
-        for at, value in changed:
-            at += size
-            tree[at] = value
-            at >>= 1
-            while at:
-                a, b = tree[2 * at], tree[2 * at + 1]
-                if a > b:
-                    a = b
-                if tree[at] == a:
-                    break
-                tree[at] = a
-                at >>= 1
+            tree[size + j] = none if r is None else r << bits | j
+        else:
+            j = i
+        # The three positions' ways up, from right to left; where two have met, one is gone.
+        x, y, z = size + gone >> 1, size + i >> 1, size + j >> 1
+        while x:
+            a, b = tree[2 * x], tree[2 * x + 1]
+            tree[x] = a if a < b else b
+            if y != x:
+                a, b = tree[2 * y], tree[2 * y + 1]
+                tree[y] = a if a < b else b
+            if z != y:
+                a, b = tree[2 * z], tree[2 * z + 1]
+                tree[z] = a if a < b else b
+            x, y, z = x >> 1, y >> 1, z >> 1
     out, i = [], 0
     while i < n:
         out.append(ranks[piece[i : after[i]]])
@@ -87,26 +97,165 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     return out
 
 
+class Pairs:
+    """Which two tokens in a row make a token: an open-addressed table from both ids to the id, for many look-ups at once."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        get, self.base = ranks.get, max(ranks.values()) + 1
+        found = [(get(t[:k]), get(t[k:]), r) for t, r in ranks.items() for k in range(1, len(t))]
+        rows = np.array([x for x in found if x[0] is not None and x[1] is not None], np.int64).reshape(-1, 3)
+        keys, self.bits = rows[:, 0] * self.base + rows[:, 1], max(4, int(4 * len(rows)).bit_length())
+        self.keys, self.made = np.full(1 << self.bits, -1, np.int64), np.full(1 << self.bits, NONE, np.int64)
+        at, left = self._place(keys), np.arange(len(keys))
+        while len(left):
+            slot, first = np.unique(at[left], return_index=True)
+            taken = left[first[self.keys[slot] < 0]]
+            self.keys[at[taken]], self.made[at[taken]] = keys[taken], rows[taken, 2]
+            left = left[self.keys[at[left]] != keys[left]]
+            at[left] = (at[left] + 1) & ((1 << self.bits) - 1)
+
+    def _place(self, keys: np.ndarray) -> np.ndarray:
+        mixed = keys.astype(np.uint64) * np.uint64(SPREAD)
+        return (mixed >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def __call__(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Id of each two tokens, ``NONE`` if they make none."""
+        keys = a * self.base + b
+        at = self._place(keys)
+        held = self.keys[at]
+        out = np.where(held == keys, self.made[at], NONE)
+        left = np.flatnonzero((held != keys) & (held >= 0))
+        while len(left):
+            at[left] = (at[left] + 1) & ((1 << self.bits) - 1)
+            held = self.keys[at[left]]
+            hit = held == keys[left]
+            out[left[hit]] = self.made[at[left[hit]]]
+            left = left[~hit & (held >= 0)]
+        return out
+
+
+def merge_many(pieces: list[bytes], pairs: Pairs, single: np.ndarray) -> list[tuple[int, ...]]:
+    """``merge`` of matches of up to the same power of two of bytes: one tree each, a merge of all of them at a time."""
+    n = np.array([len(x) for x in pieces])
+    bits = max(1, int(n.max() - 1).bit_length())
+    w, size = len(pieces), 1 << bits
+    mask = size - 1
+    raw = np.zeros((w, size), np.uint8)
+    raw[np.arange(size) < n[:, None]] = np.frombuffer(b"".join(pieces), np.uint8)
+    ids = single[raw]
+    place = np.arange(size)
+    ranks = np.full((w, size), NONE, np.int64)
+    some = place[:-1] < n[:, None] - 1
+    ranks[:, :-1][some] = pairs(ids[:, :-1][some], ids[:, 1:][some])
+    node = np.full((w, 2 * size), NONE << bits, np.int64)
+    node[:, size:] = np.where(ranks == NONE, NONE << bits, ranks << bits | place)
+    for k in range(bits - 1, -1, -1):
+        node[:, 1 << k : 2 << k] = node[:, 2 << k : 4 << k].reshape(w, 1 << k, 2).min(axis=2)
+    after, before = np.tile(np.arange(1, size + 2), (w, 1)), np.tile(np.arange(-1, size), (w, 1))
+    tree, ids, after, before = node.ravel(), ids.ravel(), after.ravel(), before.ravel()
+    rows = np.arange(w)
+    while True:
+        top = tree[rows * 2 * size + 1]
+        going = top < NONE << bits
+        rows, top = rows[going], top[going]
+        if not len(rows):
+            break
+        links, own, trees = rows * (size + 1), rows * size, rows * 2 * size
+        i = top & mask
+        gone = after[links + i]
+        last = after[links + gone]
+        after[links + i] = last
+        ids[own + i] = top >> bits
+        here = last < n[rows]
+        before[(links + last)[here]] = i[here]
+        right = np.full(len(rows), NONE, np.int64)
+        right[here] = pairs(ids[(own + i)[here]], ids[(own + last)[here]])
+        j = before[links + i]
+        has = j >= 0
+        left = np.full(len(rows), NONE, np.int64)
+        left[has] = pairs(ids[(own + j)[has]], ids[(own + i)[has]])
+        tree[trees + size + gone] = NONE << bits
+        tree[trees + size + i] = np.where(right == NONE, NONE << bits, right << bits | i)
+        at = (trees + size + j)[has]
+        tree[at] = np.where(left == NONE, NONE << bits, left << bits | j)[has]
+        j = np.where(has, j, i)
+        for up in range(1, bits + 1):
+            for x in (gone, i, j):
+                up_node = (size + x) >> up
+                below = trees + 2 * up_node
+                tree[trees + up_node] = np.minimum(tree[below], tree[below + 1])
+    out = []
+    starts = np.zeros((w, size), bool)
+    at = np.zeros(w, np.int64)
+    rows = np.arange(w)
+    while len(rows):
+        starts[rows, at[rows]] = True
+        at[rows] = after[rows * (size + 1) + at[rows]]
+        rows = rows[at[rows] < n[rows]]
+    flat, counts = ids.reshape(w, size)[starts].tolist(), starts.sum(axis=1).tolist()
+    k = 0
+    for c in counts:
+        out.append(tuple(flat[k : k + c]))
+        k += c
+    return out
+
+
 class Codec:
     """Encoder and decoder of one vocabulary, with a bounded table of matches."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks, self.pattern = ranks, regex.compile(pattern)
         self.tokens = {i: token for token, i in ranks.items()}
-        self.known: dict[str, list[int]] = {}
+        self.known: dict[str, tuple[int, ...]] = {}
+        self.older: dict[str, tuple[int, ...]] = {}
+        self.pairs: Pairs | None = None
+
+    def merged(self, pieces: list[bytes]) -> list[tuple[int, ...]]:
+        """Ids of each match; short ones many at a time, if the vocabulary has all bytes."""
+        found: list[tuple[int, ...] | None] = [(r,) if (r := self.ranks.get(x)) is not None else None for x in pieces]
+        by_bits: dict[int, list[int]] = {}
+        for k, x in enumerate(pieces):
+            if found[k] is None:
+                by_bits.setdefault(max(1, (len(x) - 1).bit_length()), []).append(k)
+        for bits, places in by_bits.items():
+            if len(places) >= AT_ONCE and bits <= 6 and self.has_all_bytes():
+                for at in range(0, len(places), MOST_AT_ONCE):
+                    some = places[at : at + MOST_AT_ONCE]
+                    for k, ids in zip(some, merge_many([pieces[k] for k in some], self.pairs, self.single), strict=True):
+                        found[k] = ids
+            else:
+                for k in places:
+                    found[k] = tuple(merge(pieces[k], self.ranks))
+        return found
+
+    def has_all_bytes(self) -> bool:
+        if self.pairs is None:
+            self.pairs = Pairs(self.ranks)
+            self.single = np.array([self.ranks.get(bytes([x]), -1) for x in range(256)], np.int64)
+        return bool((self.single >= 0).all())
+
+    def encode_many(self, texts) -> list[list[int]]:
+        """Ids of each text; matches that recur are looked up."""
+        every = [self.pattern.findall(t or "") for t in texts]
+        if len(self.known) >= CACHED:  # what the next texts need again comes back from the older table
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older
+        new = []
+        for match in set().union(*every).difference(known):
+            if (ids := older.get(match)) is not None:
+                known[match] = ids
+            else:
+                new.append(match)
+        for match, ids in zip(new, self.merged([m.encode() for m in new]), strict=True):
+            known[match] = ids
+        out = [list(chain.from_iterable(map(known.__getitem__, matches))) for matches in every]
+        for match in new:
+            if len(match) > 64:
+                del known[match]
+        return out
 
     def encode(self, text: str | None) -> list[int]:
-        ids: list[int] = []
-        known = self.known
-        for match in self.pattern.findall(text or ""):
-            if (found := known.get(match)) is None:
-                found = merge(match.encode(), self.ranks)
-                if len(match) <= 64:
-                    if len(known) >= CACHED:
-                        known.clear()
-                    known[match] = found
-            ids += found
-        return ids
+        return self.encode_many([text])[0]
 
     def decode(self, ids) -> bytes:
         tokens = self.tokens
@@ -139,7 +288,7 @@ def encode(df: DataFrame, vocabulary: str, pattern: str, text: str = "text", ids
     def to_ids(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         codec = _codec(shared, pattern)
         for texts in batches:
-            yield pd.Series([np.array(codec.encode(t), np.int32) for t in texts], dtype=object)
+            yield pd.Series([np.array(ids, np.int32) for ids in codec.encode_many(texts)], dtype=object)
 
     return df.withColumn(ids, to_ids(F.col(text)))
 
@@ -165,11 +314,17 @@ def digests(df: DataFrame, vocabulary: str, pattern: str, text: str = "text") ->
     def both(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         codec = _codec(shared, pattern)
         sha = lambda b: hashlib.sha256(b).hexdigest()
+
+        def packed(ids: list[int]) -> bytes:
+            out = array("I", ids)
+            if sys.byteorder == "big":
+                out.byteswap()
+            return out.tobytes()
+
         for texts in batches:
             rows = []
-            for t in texts:
-                ids = codec.encode(t)
-                rows.append((len(ids), sha(np.array(ids, "<u4").tobytes()), sha(codec.decode(ids))))
+            for ids in codec.encode_many(texts):
+                rows.append((len(ids), sha(packed(ids)), sha(codec.decode(ids))))
             yield pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
 
     return with_fields(df, both(F.col(text)), {n: n for n in ("n_tokens", "ids_sha256", "decoded_sha256")})

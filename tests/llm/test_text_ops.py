@@ -28,6 +28,38 @@ def test_bpe_matches_the_library(text):
     assert ids == LIBRARY.encode_ordinary(text) and CODEC.decode(ids) == text.encode()
 
 
+@pytest.mark.parametrize("most", [2, 4, 7, 16, 33, 64])
+def test_bpe_of_many_matches_at_once(most):
+    rng = random.Random(most)
+    words = [w.encode() for w in ("the", " hello", "über", "日本語", "aaaa", "zq", "ing", "tion", " a", "\n\n", "0123")]
+    pieces = [(b"".join(rng.choices(words, k=8)) + rng.randbytes(2 * most))[rng.randint(0, 6) :][: rng.randint(max(2, most // 2 + 1), most)] for _ in range(700)] + [b"a" * most] * 40
+    pieces = [x for x in pieces if (len(x) - 1).bit_length() == (most - 1).bit_length()]
+    assert CODEC.has_all_bytes() and len(pieces) > 60
+    assert bpe.merge_many(pieces, CODEC.pairs, CODEC.single) == [tuple(plain_merge(x)) for x in pieces]
+    assert all(bpe.merge(x, RANKS) == plain_merge(x) for x in pieces if x not in RANKS)
+
+
+def plain_merge(piece):
+    """The definition: of all pairs that make a token, the leftmost of least rank is merged, until none does."""
+    parts = [bytes([x]) for x in piece]
+    while True:
+        found = [(RANKS[parts[i] + parts[i + 1]], i) for i in range(len(parts) - 1) if parts[i] + parts[i + 1] in RANKS]
+        if not found:
+            return [RANKS[p] for p in parts]
+        _, i = min(found)
+        parts[i : i + 2] = [parts[i] + parts[i + 1]]
+
+
+def test_bpe_of_many_texts_matches_the_library():
+    rng = random.Random(1)
+    said = lambda: " ".join("".join(rng.choices(["ka", "sch", "é", "x", "tion", "日", "'s", "12", "\n", "  "], k=rng.randint(1, 12))) for _ in range(rng.randint(0, 60)))
+    texts = [said() for _ in range(300)] + ["", None, "ab" * 5000]
+    codec = bpe.Codec(RANKS, public_tokenizers.PATTERN)
+    want = [LIBRARY.encode_ordinary(t or "") for t in texts]
+    assert codec.encode_many(texts) == want == [codec.encode(t) for t in texts]
+    assert not any(len(m) > 64 for m in codec.known)
+
+
 def test_bpe_of_one_very_long_match():
     text = "ab" * 20_000
     assert CODEC.encode(text) == LIBRARY.encode_ordinary(text)
