@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexiloom.functions.chance import hashed, unit
+from lexiloom.functions.text import clean_text
 
 JUNK = r"[\W_0-9]*"
 VOWELS = "aeiouy"
@@ -226,6 +227,12 @@ def with_token_category(df: DataFrame, lexicon: Lexicon, text: str = "text") ->
     return out.withColumns({f: F.col(f"_f.{f}").cast("tinyint") for f in ("profanity", "insult", "attack")} | {"category": category}).drop("_tokens", "_m", "_f")
 
 
+def holding_words(df: DataFrame, words: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
+    """Keys of the rows of which a token, as it is between spaces and in lower case, is among ``words`` (its first column), a list of any size. (JN-08)"""
+    tokens = df.select(*keys, F.explode(F.array_distinct(F.split(F.lower(clean_text(F.col(text))), " "))).alias("_token"))
+    return tokens.join(words.select(F.col(words.columns[0]).alias("_word")), F.col("_token") == F.col("_word"), "left_semi").select(*keys).distinct()
+
+
 def prefilter(df: DataFrame, keys: list[str], clean_share: float) -> DataFrame:
     """All rows that are not clean, and by hash this share of those that are. (CLS-11)"""
     return df.filter((F.col("category") != "clean") | (unit(hashed("prefilter", *(F.col(k) for k in keys))) < clean_share))

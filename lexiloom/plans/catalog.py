@@ -590,8 +590,7 @@ def jn_metadata(spark, sf_dir):
 @query(f"SELECT DISTINCT doc_id FROM (SELECT doc_id, unnest(string_split(lower({sql_clean('text')}), ' ')) AS w FROM documents) WHERE w IN ({mutation_sql.KNOWN})")
 def jn_lexicon_tokens(spark, sf_dir):
     words = spark.createDataFrame([(t,) for t in TARGETS], "w string")
-    tokens = documents(spark, sf_dir, "doc_id", F.explode(F.split(F.lower(text.clean_text(F.col("text"))), " ")).alias("w"))
-    return tokens.join(words, "w", "left_semi").select("doc_id").distinct()
+    return lexicon.holding_words(documents(spark, sf_dir, "doc_id", "text"), words, ["doc_id"])
 
 
 # Metrics ------------------------------------------------------------------------------------------

@@ -161,7 +161,10 @@ def write_review(df: DataFrame, path: str) -> None:
 
 
 def statistics(df: DataFrame) -> dict:
-    """The statistics of an export as a nested dictionary; ``distinct_rows`` leaves the obfuscated copy out. (SNK-05)"""
+    """The statistics of an export as a nested dictionary; ``distinct_rows`` leaves the obfuscated copy out. (SNK-05)
+
+    The driver holds a number for each source and split, which a report on paper does too.
+    """
     out: dict = {}
     for r in report(with_obfuscated(df)).collect():
         if r["kind"] == "splits":
