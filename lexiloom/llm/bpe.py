@@ -30,9 +30,11 @@ from pyspark.sql import functions as F
 from lexiloom.llm.common import with_fields
 
 #: Distinct matches in the table that a worker looks up, and in the one before it.
-CACHED = 150_000
+CACHED = 120_000
+#: Characters of texts whose matches are held at once; a longer text is held alone.
+TEXTS_AT_ONCE = 1 << 17
 #: Short matches from which, and up to which, trees are worked on at once.
-AT_ONCE, MOST_AT_ONCE = 32, 8192
+AT_ONCE, MOST_AT_ONCE = 32, 2048
 #: Stands for no rank.
 NONE = 1 << 40
 # Fixed value: odd multiplier that spreads keys.
@@ -102,15 +104,20 @@ class Pairs:
 
     def __init__(self, ranks: dict[bytes, int]):
         get, self.base = ranks.get, max(ranks.values()) + 1
-        found = [(get(t[:k]), get(t[k:]), r) for t, r in ranks.items() for k in range(1, len(t))]
-        rows = np.array([x for x in found if x[0] is not None and x[1] is not None], np.int64).reshape(-1, 3)
-        keys, self.bits = rows[:, 0] * self.base + rows[:, 1], max(4, int(4 * len(rows)).bit_length())
-        self.keys, self.made = np.full(1 << self.bits, -1, np.int64), np.full(1 << self.bits, NONE, np.int64)
+        keys, made = array("q"), array("q")
+        for token, rank in ranks.items():
+            for k in range(1, len(token)):
+                if (a := get(token[:k])) is not None and (b := get(token[k:])) is not None:
+                    keys.append(a * self.base + b)
+                    made.append(rank)
+        keys, made = np.array(keys, np.int64), np.array(made, np.int64)
+        self.bits = max(4, int(2 * len(keys)).bit_length())
+        self.keys, self.made = np.full(1 << self.bits, -1, np.int64), np.zeros(1 << self.bits, np.int32)
         at, left = self._place(keys), np.arange(len(keys))
         while len(left):
             slot, first = np.unique(at[left], return_index=True)
             taken = left[first[self.keys[slot] < 0]]
-            self.keys[at[taken]], self.made[at[taken]] = keys[taken], rows[taken, 2]
+            self.keys[at[taken]], self.made[at[taken]] = keys[taken], made[taken]
             left = left[self.keys[at[left]] != keys[left]]
             at[left] = (at[left] + 1) & ((1 << self.bits) - 1)
 
@@ -123,7 +130,7 @@ class Pairs:
         keys = a * self.base + b
         at = self._place(keys)
         held = self.keys[at]
-        out = np.where(held == keys, self.made[at], NONE)
+        out = np.where(held == keys, self.made[at].astype(np.int64), NONE)
         left = np.flatnonzero((held != keys) & (held >= 0))
         while len(left):
             at[left] = (at[left] + 1) & ((1 << self.bits) - 1)
@@ -236,7 +243,17 @@ class Codec:
 
     def encode_many(self, texts) -> list[list[int]]:
         """Ids of each text; matches that recur are looked up."""
-        every = [self.pattern.findall(t or "") for t in texts]
+        out, some, size = [], [], 0
+        for text in texts:
+            some.append(text or "")
+            size += len(some[-1])
+            if size >= TEXTS_AT_ONCE:
+                out += self._encoded(some)
+                some, size = [], 0
+        return out + self._encoded(some)
+
+    def _encoded(self, texts: list[str]) -> list[list[int]]:
+        every = [self.pattern.findall(t) for t in texts]
         if len(self.known) >= CACHED:  # what the next texts need again comes back from the older table
             self.known, self.older = {}, self.known
         known, older = self.known, self.older

@@ -74,7 +74,7 @@ def discard(*frames: DataFrame) -> None:
 
 
 #: Bytes of texts that a worker takes in one Arrow batch; a longer text is a batch of its own.
-BATCH_BYTES = "2m"
+BATCH_BYTES = "1m"
 
 
 def small_batches(spark: SparkSession) -> None:

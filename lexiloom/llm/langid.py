@@ -12,7 +12,7 @@ The model is fitted on a hash sample of about ``sample_docs`` labelled documents
 each language. An n-gram belongs to a language if it is at least ``least_share`` as
 frequent there as in the language that uses it most; each language keeps at most
 ``most_grams`` n-grams, which bounds the filter. Everything else reads all rows and
-whole texts. A worker holds the code points of one batch of texts (2 MB of them, or one
+whole texts. A worker holds the code points of one batch of texts (1 MB of them, or one
 longer text) about six times over, and hashes of a window. Texts that are null, empty or hold no letter are ``und`` with score 0;
 a text with letters but no known n-gram gets the most frequent language with score
 0; without any labelled document every text is ``und``.
@@ -32,7 +32,7 @@ from lexiloom.llm.common import small_batches, stored, temporary, with_fields
 
 GRAM, HASHES, UNKNOWN = 4, 3, "und"
 #: Characters that are hashed at once, to bound a worker's memory.
-WINDOW = 1 << 18
+WINDOW = 1 << 16
 # Odd multipliers of the n-gram hash.
 MULTIPLIERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5)
 FINAL = 0xFF51AFD7ED558CCD

@@ -51,7 +51,7 @@ PREFIXES = range(3, 9)
 #: Log odds beyond which documents are alike to the curve, so that wrong labels far out don't bend it.
 FAR = (-6.0, 10.0)
 #: Distinct words that a task looks up before it starts its table anew.
-CACHED = 150_000
+CACHED = 60_000
 FLOOR = 1e-12
 
 
