@@ -30,11 +30,11 @@ from pyspark.sql import functions as F
 from lexiloom.llm.common import with_fields
 
 #: Distinct matches in the table that a worker looks up, and in the one before it.
-CACHED = 150_000
+CACHED = 120_000
 #: Characters of texts whose matches are held at once; a longer text is held alone.
-TEXTS_AT_ONCE = 1 << 19
+TEXTS_AT_ONCE = 1 << 17
 #: Short matches from which, and up to which, trees are worked on at once.
-AT_ONCE, MOST_AT_ONCE = 32, 4096
+AT_ONCE, MOST_AT_ONCE = 32, 2048
 #: Stands for no rank.
 NONE = 1 << 40
 # Fixed value: odd multiplier that spreads keys.
