@@ -17,6 +17,10 @@ and at neighbouring values as far as the group's threshold asks; nodes that meet
 at a value are verified on all bits, and a spanning forest of the links goes on
 to connected components, so a dense group costs links in proportion to its size.
 Values at which more than ``BLOCK`` nodes meet are dealt out by pairs of blocks.
+A dense group meets at most of the values that its nodes are filed under, and each
+value has links that span it. With a ``similarity``, where these values are many, nodes
+first meet at their own values alone; what that joins need not be linked again, so at
+all values only links between nodes not joined yet are made: see ``near_roots``.
 
 The programme plans for ``PLANNED`` nodes at least, so that what a node is filed
 under does not change with the size of the input up to there.
@@ -216,19 +220,19 @@ def _signed(value: int) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
-def signatures(nodes: DataFrame, plan: list[tuple[list[int], int]]) -> DataFrame:
-    """One row (part, value, fp, check) for each value that a fingerprint is filed under."""
+def signatures(nodes: DataFrame, plan: list[tuple[list[int], int]], own_only: bool = False) -> DataFrame:
+    """One row (part, value and the node's columns) for each value that a fingerprint is filed under, or for its own values alone."""
     filed = []
     for part, (bits, threshold) in enumerate(plan):
         ones = [_signed(1 << (BITS - 1 - b)) for b in bits]
         own = F.col("fp").bitwiseAND(F.lit(_signed(sum(1 << (BITS - 1 - b) for b in bits))))
         values = [own]
-        if threshold == 1:
+        if threshold == 1 and not own_only:
             values += [F.when(own.bitwiseAND(F.lit(x)) != 0, own.bitwiseXOR(F.lit(x))) for x in ones]
-        elif threshold == 2:
+        elif threshold == 2 and not own_only:
             values += [own.bitwiseXOR(F.lit(x)) for x in ones]
         filed += [F.struct(F.lit(part).alias("part"), v.alias("value")) for v in values]
-    return nodes.select("fp", "check", F.explode(F.array(*filed)).alias("s")).select("s.part", "s.value", "fp", "check").filter("value IS NOT NULL")
+    return nodes.select("*", F.explode(F.array(*filed)).alias("s")).select("s.part", "s.value", *nodes.columns).filter("value IS NOT NULL")
 
 
 def _near(a: np.ndarray, b: np.ndarray, distance: int, total: int) -> np.ndarray:
@@ -239,9 +243,24 @@ def _near(a: np.ndarray, b: np.ndarray, distance: int, total: int) -> np.ndarray
     return first + np.bitwise_count(a[..., 1] ^ b[..., 1]) <= total
 
 
-def forest(prints: np.ndarray, distance: int, total: int) -> tuple[list[int], list[int]]:
-    """Links, by place, that span the components of the bucket; every pair is accounted for."""
+def forest(prints: np.ndarray, distance: int, total: int, roots: np.ndarray | None = None) -> tuple[list[int], list[int]]:
+    """Links, by place, that span the components of the bucket; every pair is accounted for. Nodes of one root are joined already."""
     left, right, rest = [], [], np.arange(len(prints))
+    if roots is not None:
+        while len(rest):
+            queue, reached = [], np.array([roots[rest[0]]])
+            while True:
+                joined = np.isin(roots[rest], reached)
+                queue += rest[joined].tolist()
+                rest = rest[~joined]
+                if not queue or not len(rest):
+                    break
+                i = queue.pop()
+                found = rest[_near(prints[rest], prints[i], distance, total)]
+                reached, first = np.unique(roots[found], return_index=True)
+                left += [i] * len(first)
+                right += found[first].tolist()
+        return left, right
     while len(rest):
         queue, rest = [rest[0]], rest[1:]
         while queue and len(rest):
@@ -256,22 +275,23 @@ def forest(prints: np.ndarray, distance: int, total: int) -> tuple[list[int], li
     return left, right
 
 
-def near_pairs(prints: np.ndarray, distance: int, total: int = 2 * BITS) -> tuple[np.ndarray, np.ndarray]:
-    """All links of a bucket, by place, or spanning ones if there are more links than members."""
+def near_pairs(prints: np.ndarray, distance: int, total: int = 2 * BITS, roots: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """All links of a bucket, by place, or spanning ones if there are more links than members; none between nodes of one root."""
     left, right, n = [], [], 0
     rows = max(16, AT_ONCE // max(len(prints), 1))
     for at in range(0, len(prints), rows):
         i, j = np.nonzero(_near(prints[at : at + rows, None], prints[None, at:], distance, total))
         i, j = i[j > i] + at, j[j > i] + at
-        left.append(i)
-        right.append(j)
         if (n := n + len(i)) > len(prints):
-            return tuple(np.array(x, "int64") for x in forest(prints, distance, total))
+            return tuple(np.array(x, "int64") for x in forest(prints, distance, total, roots))
+        apart = slice(None) if roots is None else roots[i] != roots[j]
+        left.append(i[apart])
+        right.append(j[apart])
     return np.concatenate(left), np.concatenate(right)
 
 
 def _verify(key: list[str], distance: int, total: int):
-    """Function for mapInPandas over rows sorted by ``key``: links of each bucket."""
+    """Function for mapInPandas over rows sorted by ``key``: links of each bucket; between their roots if the rows have a column own."""
 
     def linked(frame: pd.DataFrame) -> pd.DataFrame:
         prints = frame[["fp", "check"]].to_numpy("int64").view("uint64")  # counts of bits are of absolute values if signed
@@ -280,16 +300,24 @@ def _verify(key: list[str], distance: int, total: int):
         new[1:] = (keys[1:] != keys[:-1]).any(axis=1)
         starts = np.flatnonzero(new)
         sizes = np.diff(np.append(starts, len(keys)))
+        roots = frame["own"].to_numpy("int64").view("uint64") if "own" in frame else None
+        if roots is not None:  # buckets of one root have nothing to link
+            mixed = np.minimum.reduceat(roots, starts) != np.maximum.reduceat(roots, starts)
+            rows = np.repeat(mixed, sizes)
+            prints, roots, sizes = prints[rows], roots[rows], sizes[mixed]
+            starts = np.cumsum(sizes) - sizes
+        names = prints[:, 0] if roots is None else roots
         left, right = [], []
 
         def add(s: int, a: np.ndarray, b: np.ndarray) -> None:
-            left.append(prints[s + a, 0])
-            right.append(prints[s + b, 0])
+            left.append(names[s + a])
+            right.append(names[s + b])
 
         for s, n in zip(starts[sizes > SMALL], sizes[sizes > SMALL], strict=True):
-            add(s, *near_pairs(prints[s : s + n], distance, total))
+            add(s, *near_pairs(prints[s : s + n], distance, total, roots if roots is None else roots[s : s + n]))
         few = np.repeat((sizes > 1) & (sizes <= SMALL), sizes)
         x, bucket, own = prints[few], np.repeat(np.arange(len(sizes)), sizes)[few], []
+        named = names[few]
         for k in range(1, SMALL):
             if len(x) <= k or not (same := bucket[k:] == bucket[:-k]).any():
                 break
@@ -299,10 +327,11 @@ def _verify(key: list[str], distance: int, total: int):
         dense = tally > sizes
         for k, i in enumerate(own, 1):
             i = i[~dense[bucket[i]]]
-            left.append(x[i, 0])
-            right.append(x[i + k, 0])
+            i = i[named[i] != named[i + k]]
+            left.append(named[i])
+            right.append(named[i + k])
         for s, n in zip(starts[dense], sizes[dense], strict=True):
-            add(s, *(np.array(p, "int64") for p in forest(prints[s : s + n], distance, total)))
+            add(s, *(np.array(p, "int64") for p in forest(prints[s : s + n], distance, total, roots if roots is None else roots[s : s + n])))
         empty = np.zeros(0, "uint64")
         return pd.DataFrame({"u": np.concatenate([empty, *left]).view("int64"), "v": np.concatenate([empty, *right]).view("int64")})
 
@@ -313,12 +342,34 @@ def _verify(key: list[str], distance: int, total: int):
     return run
 
 
+def planned(nodes: DataFrame, distance: int) -> list[tuple[list[int], int]]:
+    """Groups of bits with their thresholds for nodes (fp)."""
+    n = nodes.count()
+    return allocate(bit_counts(nodes), n, distance, max(n, PLANNED))
+
+
 def links(nodes: DataFrame, distance: int, total: int = 2 * BITS) -> DataFrame:
     """Links (u, v) between fingerprints that span all pairs of nodes (fp, check) within the distance, or all that meet and lie within ``total`` bits with the check bits."""
-    spark = nodes.sparkSession
-    n = nodes.count()
-    plan = allocate(bit_counts(nodes), n, distance, max(n, PLANNED))
-    filed = signatures(nodes, plan)
+    return links_of(signatures(nodes, planned(nodes, distance)), distance, total)
+
+
+def near_roots(nodes: DataFrame, distance: int, total: int, more: DataFrame) -> DataFrame:
+    """One row (node, root) for each node that is not the root of its component under ``links`` and the links ``more``.
+
+    First from ``more`` and the nodes' own values alone, which join most of a dense
+    group; at all values, links between the roots of what these join are enough.
+    """
+    plan = planned(nodes, distance)
+    joined = components(links_of(signatures(nodes, plan, own_only=True), distance, total).unionByName(more)).withColumnRenamed("node", "fp")
+    rooted = stored(nodes.join(joined, "fp", "left").select("fp", "check", F.coalesce("root", "fp").alias("own")), "rooted")
+    roots = components(links_of(signatures(rooted, plan), distance, total))
+    found = rooted.join(roots, F.col("own") == F.col("node"), "left").select(F.col("fp").alias("node"), F.coalesce("root", "own").alias("root"))
+    return found.filter("node <> root").distinct().checkpoint()  # one fingerprint may have several check bits
+
+
+def links_of(filed: DataFrame, distance: int, total: int) -> DataFrame:
+    """Links (u, v) that span all near pairs filed under one value (part, value, fp, check); with a column own, the root of what a node is joined with, links between these roots."""
+    spark = filed.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     full = filed.groupBy("part", "value").count().filter(F.col("count") > BLOCK)
     full = stored(full.select("part", "value", F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks")), "full-buckets")
@@ -333,7 +384,7 @@ def links(nodes: DataFrame, distance: int, total: int = 2 * BITS) -> DataFrame:
             filed.join(known, ["part", "value"])
             .withColumn("b", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-            .select("part", "value", F.least("b", "other").alias("i"), F.greatest("b", "other").alias("j"), "fp", "check")
+            .select("part", "value", F.least("b", "other").alias("i"), F.greatest("b", "other").alias("j"), *filed.columns[2:])
         )
         order = ["part", "value", "i", "j"]
         found = found.unionByName(blocked.repartition(parts, *order).sortWithinPartitions(*order).mapInPandas(_verify(order, distance, total), "u long, v long"))
@@ -571,10 +622,11 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, distance: int = 14, simil
     else:
         nodes, total = stored(fps.select("fp", "check").distinct(), "nodes"), 2 * distance + 6
     with temporary():
-        near = links(nodes, distance, total)
-        if similarity is not None:
-            near = near.unionByName(short_links(docs, shingle, similarity))
-        roots = components(near).withColumnRenamed("node", "fp")
+        if similarity is None:
+            roots = components(links(nodes, distance, total))
+        else:
+            roots = near_roots(nodes, distance, total, short_links(docs, shingle, similarity))
+        roots = roots.withColumnRenamed("node", "fp")
     shown = F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint")
     if similarity is None:
         named = nodes.join(roots, "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("group"))

@@ -169,6 +169,34 @@ def test_links_of_a_dense_ball_span_it(spark, monkeypatch):
     assert all((r.u ^ r.v).bit_count() <= 4 for r in links.collect())
 
 
+def test_a_dense_group_is_linked_once(spark, monkeypatch):
+    """Fingerprints of one group meet at many values; what is joined is not linked again at each of them."""
+    rng = np.random.default_rng(6)
+    base = rng.integers(0, 2, 128)
+    near = [np.where(rng.random(128) < 0.06, 1 - base, base) for _ in range(400)] + list(rng.integers(0, 2, (200, 128)))
+    prints = np.packbits(np.array(near, np.uint8), axis=1).view(">i8").tolist()
+    prints += [[prints[0][0], prints[1][1]]]  # one fingerprint with other check bits
+    nodes = spark.createDataFrame(prints, "fp long, check long")
+    joined = []
+    monkeypatch.setattr(simhash, "components", lambda links: joined.append(links.distinct().count()) or components(links))
+    none = spark.createDataFrame([], "u long, v long")
+    linked = simhash.links(nodes, 14, 34).distinct().collect()
+    fps = sorted({p for p, _ in prints})
+    pairs = {(r.u, r.v) for r in linked} | {(r.v, r.u) for r in linked}
+    want = [fps[w] for w in grouped(len(fps), lambda i, j: (fps[i], fps[j]) in pairs)]
+    assert len(set(want)) < 250
+    for block in (simhash.BLOCK, 16):
+        monkeypatch.setattr(simhash, "BLOCK", block)
+        joined.clear()
+        rows = simhash.near_roots(nodes, 14, 34, none).collect()
+        roots = {r.node: r.root for r in rows}
+        assert len(roots) == len(rows) and [roots.get(p, p) for p in fps] == want
+        assert 2 * sum(joined) < len(linked) or block == 16
+    with_more = spark.createDataFrame([(prints[-2][0], prints[0][0])], "u long, v long")
+    roots = {r.node: r.root for r in simhash.near_roots(nodes, 14, 34, with_more).collect()}
+    assert roots.get(prints[-2][0], prints[-2][0]) == roots.get(prints[0][0], prints[0][0])
+
+
 def test_components_of_chains_and_stars(spark):
     chain = [(i, i + 1) for i in range(100)] + [(500, 500 + i) for i in range(1, 300)] + [(7, 7), (None, 3), (900, 901), (901, 900)]
     roots = {r.node: r.root for r in components(spark.createDataFrame(chain, "u long, v long")).collect()}
