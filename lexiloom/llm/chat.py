@@ -5,11 +5,12 @@ that begin a control string are escaped (``&`` to ``&a``, ``<`` to ``&l``, ``[``
 to ``&s``, ``]`` to ``&e``), so no text can close a turn or open one, and the
 escape is undone exactly.
 
-Every assistant turn becomes an example of its own: all preceding turns are its
-context, and the loss mask covers that reply's escaped text alone. An example
-points into its conversation by character offsets, so a conversation of n turns
-takes n rows and not the n * n / 2 turns that the prefixes hold;
-``materialise`` renders the prefixes where a trainer wants plain text.
+Every assistant turn becomes an example of its own: its prefix, all preceding turns
+as rendered, is its context, and the loss mask covers that reply's escaped text
+alone. Prefixes are made row by row from a running list of a conversation's pieces:
+n turns give at most n rows, but n * n / 2 pieces of text, so time grows with the
+square of a conversation's turns; ``read_back`` takes digests of each prefix within
+the stage that makes it, so none is shuffled or kept.
 
 Null role and null text count as empty. Turns are ordered by (turn, role, text),
 nulls first, so repeated and tied rows have one order; repeats are kept. Rows of
@@ -60,18 +61,22 @@ def render_turns(conversations: DataFrame, target_role: str = "assistant") -> Da
 
 
 def expand_targets(turns: DataFrame) -> DataFrame:
-    """One example per assistant turn: context_turns, context_chars, the reply's piece and its mask."""
-    return turns.filter("trainable").select("conv_id", "position", (F.col("position") - 1).alias("context_turns"), "context_chars", F.col("piece").alias("target"), "mask_at", "mask_chars")
+    """One example per assistant turn: its whole prefix, the reply's piece and its mask.
+
+    ``known_chars`` counts the characters of the prefix that the example before it holds already.
+    """
+    before = Window.partitionBy("conv_id").orderBy("position").rowsBetween(Window.unboundedPreceding, -1)
+    known = F.coalesce(F.max(F.when(F.col("trainable"), F.col("context_chars"))).over(before), F.lit(0).cast("long"))
+    return (
+        turns.select("*", F.collect_list("piece").over(before).alias("pieces"), known.alias("known_chars"))
+        .filter("trainable")
+        .select("conv_id", "position", (F.col("position") - 1).alias("context_turns"), "context_chars", "known_chars", F.array_join("pieces", "").alias("context"), F.col("piece").alias("target"), "mask_at", "mask_chars")
+    )
 
 
 def materialise(turns: DataFrame) -> DataFrame:
     """Examples as plain text: the whole prefix, then the reply; mask offsets count from the text's start."""
-    whole = turns.groupBy("conv_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("position", "piece"))), lambda t: t.piece), "").alias("whole"))
-    examples = expand_targets(turns)
-    return examples.join(whole, examples.conv_id.eqNullSafe(whole.conv_id)).select(
-        examples.conv_id, "position", F.substring("whole", F.lit(1), (F.col("context_chars") + F.length("target")).cast("int")).alias("text"),
-        (F.col("context_chars") + F.col("mask_at")).alias("mask_start"), "mask_chars",
-    )
+    return expand_targets(turns).select("conv_id", "position", F.concat("context", "target").alias("text"), (F.col("context_chars") + F.col("mask_at")).alias("mask_start"), "mask_chars")
 
 
 def read_back(turns: DataFrame, examples: DataFrame) -> DataFrame:
@@ -79,19 +84,27 @@ def read_back(turns: DataFrame, examples: DataFrame) -> DataFrame:
 
     Role and text of each turn come from parsing the whole rendered string, the
     loss text from what lies under the examples' masks, in order. ``contexts_sha256``
-    reads every example's context back from the rendered string: in order, what each
-    context adds to the one before it (the turns that its ``context_turns`` points
-    beyond), a bar, its ``context_chars`` and a bar.
+    reads every example's whole context: in order, what each context adds to the one
+    before it, a bar, its ``context_chars`` and a bar. A context that does not begin
+    with all of the one before it, or is not of the turns and characters that it
+    claims, gives a mark and its own digest instead.
     """
     joined = lambda pieces, text: F.array_join(F.transform(F.array_sort(pieces), text), "")
     role = lambda p: unescape(F.regexp_extract(p, r"^\[([^\]]*)\]", 1))
     text = lambda p: unescape(F.regexp_replace(p, r"^\[[^\]]*\]", ""))
     masked = lambda t: unescape(F.substring(t.target, t.mask_at + 1, t.mask_chars))
     whole = turns.groupBy("conv_id").agg(joined(F.collect_list(F.struct("position", "piece")), lambda t: t.piece).alias("formatted"))
-    held = F.struct("position", "target", "mask_at", "mask_chars", "context_turns", "context_chars")
-    loss = examples.groupBy("conv_id").agg(F.array_sort(F.collect_list(held)).alias("held")).withColumnRenamed("conv_id", "of")
-    known = lambda i: F.when(i > 0, F.element_at("held", F.greatest(i, F.lit(1))).context_turns).otherwise(0).cast("int")  # noqa: E731  turns in the context before
-    added = lambda e, i: F.array_join(F.transform(F.slice("parsed", known(i) + 1, e.context_turns.cast("int") - known(i)), lambda p: F.concat(p, F.lit(END))), "")
+    known = F.col("known_chars").cast("int")
+    read = examples.select(
+        "conv_id", "position", "target", "mask_at", "mask_chars", "context_turns", "context_chars", "known_chars", F.xxhash64("context").alias("whole"),
+        F.xxhash64(F.substring("context", F.lit(1), known)).alias("begins"), F.substring("context", known + 1, F.lit(2**31 - 1)).alias("added"),
+    )
+    held = F.struct("position", "target", "mask_at", "mask_chars", "context_turns", "context_chars", "known_chars", "whole", "begins", "added")
+    loss = read.groupBy("conv_id").agg(F.array_sort(F.collect_list(held)).alias("held")).withColumnRenamed("conv_id", "of")
+    before = lambda i, name, first: F.when(i > 0, F.element_at("held", F.greatest(i, F.lit(1)))[name]).otherwise(first)  # noqa: E731  of the example before
+    turns_of = lambda e, i: before(i, "context_turns", F.lit(0)) + F.regexp_count(e.added, F.lit(END))
+    as_said = lambda e, i: (e.begins == before(i, "whole", F.xxhash64(F.lit("")))) & (e.context_chars == e.known_chars + F.length(e.added)) & (e.context_turns == turns_of(e, i))
+    added = lambda e, i: F.when(as_said(e, i), e.added).otherwise(F.concat(F.lit("!"), e.whole.cast("string")))
     contexts = F.transform("held", lambda e, i: F.concat(added(e, i), F.lit("|"), e.context_chars.cast("string"), F.lit("|")))
     return (
         whole.join(loss, F.col("conv_id").eqNullSafe(F.col("of")), "left")

@@ -238,6 +238,26 @@ def test_chat_contexts_are_read_back(spark):
         assert found[1] != right[1] and found[2] == right[2]
 
 
+def test_chat_targets_are_expanded_with_their_prefix(spark):
+    df = spark.createDataFrame(TURNS, "conv_id long, turn long, role string, text string")
+    turns = chat.render_turns(df)
+    pieces = {}
+    for r in sorted(turns.collect(), key=lambda r: r.position):
+        pieces.setdefault(r.conv_id, []).append(r.piece)
+    examples = chat.expand_targets(turns)
+    made = examples.collect()
+    assert len(made) == sum(r == "assistant" for _, _, r, _ in TURNS)
+    assert all(r.context == "".join(pieces[r.conv_id][: r.position - 1]) and r.context_chars == len(r.context) for r in made)
+    right = {r.conv_id: r.contexts_sha256 for r in chat.read_back(turns, examples).collect()}
+    # A wrong character at any place of the last prefix shows, also where the example before it has the right one.
+    last = max((r for r in made if r.conv_id == 1), key=lambda r: r.position)
+    for at in (0, last.known_chars, last.context_chars - 1):
+        wrong = F.overlay("context", F.lit("\x01"), F.lit(at + 1), F.lit(1))
+        changed = examples.withColumn("context", F.when((F.col("conv_id") == 1) & (F.col("position") == last.position), wrong).otherwise(F.col("context")))
+        found = {r.conv_id: r.contexts_sha256 for r in chat.read_back(turns, changed).collect()}
+        assert found[1] != right[1] and found[3] == right[3]
+
+
 def test_chat_examples_hold_their_prefix(spark):
     df = spark.createDataFrame(TURNS, "conv_id long, turn long, role string, text string")
     turns = chat.render_turns(df)
