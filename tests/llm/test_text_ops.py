@@ -60,6 +60,59 @@ def test_bpe_of_many_texts_matches_the_library():
     assert not any(len(m) > 64 for m in codec.known)
 
 
+class Counted(str):
+    """Counts how often a match's place in a table is worked out."""
+
+    __slots__ = ()
+    hashed = 0
+
+    def __hash__(self):
+        Counted.hashed += 1
+        return super().__hash__()
+
+
+def test_bpe_looks_up_each_match_once():
+    codec, text = bpe.Codec(RANKS, public_tokenizers.PATTERN), "katschion schkax, über 12 " * 400
+    matches = codec.pattern.findall(text)
+
+    class Pattern:
+        def findall(self, text):
+            return [Counted(m) for m in matches]
+
+    codec.pattern, Counted.hashed = Pattern(), 0
+    assert codec.encode_many([text]) == [LIBRARY.encode_ordinary(text)]
+    assert len(matches) <= Counted.hashed <= len(matches) + 5 * len(set(matches))
+
+
+def test_bpe_tables_that_fill_up_and_texts_that_fail(monkeypatch):
+    monkeypatch.setattr(bpe, "CACHED", 40)
+    monkeypatch.setattr(bpe, "TEXTS_AT_ONCE", 300)
+    monkeypatch.setattr(bpe, "RUNS_AT_ONCE", 7)
+    rng = random.Random(2)
+    words = ["".join(rng.choices(["ka", "sch", "é", "日", "tion", "x"], k=rng.randint(1, 9))) for _ in range(120)] + ["ab" * 60, "日x" * 40]
+    texts = [" ".join(rng.choices(words, k=rng.randint(0, 30))) for _ in range(200)]
+    codec = bpe.Codec(RANKS, public_tokenizers.PATTERN)
+    for _ in range(2):
+        assert codec.encode_many(texts) == [LIBRARY.encode_ordinary(t) for t in texts]
+        assert [bytes(raw) for some in codec.encoded(texts) for raw in codec.decoded(*some)] == [t.encode() for t in texts]
+        assert len(codec.known) < 120 and not any(len(m) > 64 for m in codec.known)
+        with pytest.raises(UnicodeEncodeError):
+            codec.encode("neverseen \ud800 neither")
+
+
+def test_bpe_of_vocabularies_with_large_ids_or_without_some_bytes():
+    texts = ["abab ba aab bb " * 20, "", "a"] + [f"{a}{b}{a}{a}{b}" for a in ("ab", "ba", "aa") for b in ("b", "aab", "ba")]
+    ranks = {b"a": 0, b"b": 1, b" ": 2, b"ab": 3, b"aa": 4, b" a": 5, b"aba": 7}
+    codec, large = bpe.Codec(ranks, public_tokenizers.PATTERN), bpe.Codec({x: r << 28 for x, r in ranks.items()}, public_tokenizers.PATTERN)
+    want = [[i for m in codec.pattern.findall(t) for i in bpe.merge(m.encode(), ranks)] for t in texts]
+    assert codec.encode_many(texts) == want and large.encode_many(texts) == [[i << 28 for i in x] for x in want]
+    for c in (codec, large):
+        assert [bytes(raw) for some in c.encoded(texts) for raw in c.decoded(*some)] == [t.encode() for t in texts]
+        with pytest.raises(KeyError):
+            c.encode("abc")
+        assert c.encode_many(texts[-1:]) == c.encode_many(texts)[-1:]
+
+
 def test_bpe_of_one_very_long_match():
     text = "ab" * 20_000
     assert CODEC.encode(text) == LIBRARY.encode_ordinary(text)
