@@ -96,9 +96,9 @@ def apply_fixes(df: DataFrame, fixes: DataFrame) -> DataFrame:
     return df.join(known, "text", "left").withColumn("label", F.when(F.col("label") == -1, F.coalesce("_fix", "label")).otherwise(F.col("label")).cast("tinyint")).drop("_fix")
 
 
-def fallback_labels(df: DataFrame) -> DataFrame:
-    """Label undecided rows by category: attack 1, emotional and clean 0, grey dropped. (JN-09, MRG-03)"""
-    c = F.col("category")
+def fallback_labels(df: DataFrame, undecided: Column | None = None) -> DataFrame:
+    """Label undecided rows, those with label -1 if not told, by category: attack 1, emotional and clean 0, grey dropped. (JN-09, MRG-03)"""
+    c, undecided = F.col("category"), F.col("label") == -1 if undecided is None else undecided
     fixed = F.when(c == "attack", 1).when(c.isin("emotional", "clean"), 0)
-    return df.withColumn("label", F.when(F.col("label") == -1, fixed).otherwise(F.col("label")).cast("tinyint")).filter("label IS NOT NULL")
+    return df.withColumn("label", F.when(undecided, fixed).otherwise(F.col("label")).cast("tinyint")).filter("label IS NOT NULL")
 
