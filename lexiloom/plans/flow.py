@@ -5,7 +5,7 @@ split rows) is written once. Steps run in a fixed order, whatever order they are
 named in; steps whose input is missing are skipped and reported. (EXT-01 to EXT-04)
 
 Rows that neither lexicon nor model decides go to ``manual`` with label -1 and are
-never dropped unseen: the step ``review`` writes them to a CSV and the run stops
+never dropped unseen: the step ``review`` writes them to CSV files and the run stops
 there; the next run takes the labels that were filled in and goes on without the rest.
 """
 
@@ -188,7 +188,7 @@ class Build:
         return True
 
     def review(self) -> bool:
-        """Decide rows with label -1: by category if asked, else by a review of the CSV that is written for it. (MRG-03, JN-05, JN-09, AGG-13)"""
+        """Decide rows with label -1: by category if asked, else by a review of the CSV files that are written for it. (MRG-03, JN-05, JN-09, AGG-13)"""
         open_ = {n: self.read(n) for n in ("manual", "labelled") if self.has(n)}
         undecided = {n: stats.undecided_by_file(df) for n, df in open_.items() if not df.filter("label = -1").isEmpty()}
         if not undecided:

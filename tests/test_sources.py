@@ -67,6 +67,19 @@ def test_reviews_lines_and_lists(spark, tmp_path):
         files.read_many(spark, " , ")
 
 
+def test_many_rows_for_review_are_spread_over_files(spark, tmp_path):
+    """As a CSV can't be split, one file would be written, and read, by one task."""
+    said = F.concat_ws("\n", *(F.sha2(F.concat_ws("|", "id", F.lit(i)), 512) for i in range(16)))
+    rows = spark.range(0, 4000, 1, 3).select(said.alias("text"), F.lit("grey").alias("origin_label"), F.when(F.col("id") % 4 == 0, 1).otherwise(-1).alias("label"))
+    files.write_review(rows, str(tmp_path / "r"))
+    written = [p.stat().st_size for p in (tmp_path / "r").glob("part-*")]
+    assert len(written) > 2 and max(written) < sum(written) / 2
+    back = spark.read.csv(str(tmp_path / "r"), schema="text string, origin_label string, label int", **files.REVIEW)
+    assert back.count() == 3000 and back.exceptAll(rows.filter("label = -1")).isEmpty()
+    files.write_review(rows.limit(40).repartition(8), str(tmp_path / "few"))
+    assert len(list((tmp_path / "few").glob("part-*"))) == 1
+
+
 def test_replace_table_may_read_what_it_replaces(spark, tmp_path):
     path = str(tmp_path / "t")
     spark.range(5).write.parquet(path)
